@@ -110,13 +110,14 @@ def bucket_of(order: Column, cuts: list[float]) -> Column:
 
 
 def running_total(df: DataFrame, keys: list[str], bucket: str, order: str,
-                  values: dict[str, str]) -> DataFrame:
+                  values: dict[str, str], ties: list[str] | None = None) -> DataFrame:
     """Running totals up to and including the current ``order`` value, per ``keys``.
 
     ``values`` maps output to input columns. ``bucket`` must rise with ``order`` and bound the
     rows that one task sorts: totals per bucket are summed first, the sum of the earlier
     buckets enters each bucket as one extra leading row, and the window then runs per
     (keys, bucket). A key with a third of all rows is spread over all its buckets.
+    Equal ``order`` values share their total; with ``ties`` rows count one by one in that order.
     ``order`` must not be NULL.
     """
     part = [*keys, bucket]
@@ -130,9 +131,10 @@ def running_total(df: DataFrame, keys: list[str], bucket: str, order: str,
         F.lit(True).alias("_head"))
     rows = df.select("*", *[named(v).alias(f"_s_{o}") for o, v in values.items()],
                      F.lit(False).alias("_head"))
-    upto = (Window.partitionBy(*[named(p) for p in part])
-            .orderBy(named(order).asc_nulls_first())
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    sort = [named(order).asc_nulls_first(), *[named(t) for t in ties or []]]
+    upto = Window.partitionBy(*[named(p) for p in part]).orderBy(*sort)
+    bounds = (Window.unboundedPreceding, Window.currentRow)
+    upto = upto.rowsBetween(*bounds) if ties else upto.rangeBetween(*bounds)
     both = rows.unionByName(heads, allowMissingColumns=True)
     summed = both.select(*[named(c) for c in df.columns], "_head",
                          *[F.sum(f"_s_{o}").over(upto).alias(o) for o in values])

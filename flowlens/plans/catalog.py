@@ -1,4 +1,4 @@
 """Loads every query module."""
 
-from flowlens.plans import q_packets, q_detect, q_blocks, q_logs  # noqa: F401
+from flowlens.plans import q_packets, q_detect, q_blocks, q_logs, q_features, q_eval, q_models  # noqa: F401
 from flowlens.plans.registry import ORACLES, QUERIES  # noqa: F401
