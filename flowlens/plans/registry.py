@@ -12,6 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+CHECKS: dict[str, str] = {}  # the same texts without the view definitions
 
 # Further views of the check SQL, each built on those before it.
 DERIVED = {
@@ -81,6 +82,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = fn
         if oracle is not None:
+            CHECKS[name] = oracle
             ORACLES[name] = with_views(oracle)
         return fn
     return add
