@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlens import settings
@@ -110,26 +112,30 @@ def block_timeline(events: DataFrame, ip: str = "src_ip", time: str = "ts_us",
 
 
 def _open_blocks(held: DataFrame, entries: dict[tuple[str, int], int], span: int) -> DataFrame:
-    """Opened blocks per (ip, part) as rows (ip, part, t).
+    """Opened blocks as rows (ip, t), one task per part.
 
-    ``entries`` holds the last block before the part for the few (ip, part) pairs that have one.
+    ``entries`` holds the last block before the part, for at most two ips per part.
     """
-    spark = held.sparkSession
-    start = spark.createDataFrame(
-        [(i, p, t) for (i, p), t in entries.items()], "ip string, part int, entry bigint")
-    grouped = held.groupBy("ip", "part").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    known = grouped.join(start, ["ip", "part"], "left") if entries else grouped.withColumn(
-        "entry", F.lit(None).cast("bigint"))
-    # The state is (last block, opened blocks); at most one block opens per ``span``.
-    state = F.struct(F.col("entry").alias("last"), F.array().cast("array<bigint>").alias("opened"))
-
-    def step(acc: Column, t: Column) -> Column:
-        opens = acc["last"].isNull() | (t - acc["last"] > span)
-        return F.when(opens, F.struct(
-            t.alias("last"), F.concat(acc["opened"], F.array(t)).alias("opened"))).otherwise(acc)
-
-    return known.select("ip", "part", F.explode(
-        F.aggregate("ts", state, step, lambda acc: acc["opened"])).alias("t"))
+    known = held.sparkSession.sparkContext.broadcast(entries)
+
+    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["ip", "t"], kind="stable")
+        ips, times, part = pdf["ip"].to_numpy(), pdf["t"].to_numpy(), int(pdf["part"].iat[0])
+        edges = np.flatnonzero(np.r_[True, ips[1:] != ips[:-1], True])
+        kept = []
+        for start, end in zip(edges[:-1], edges[1:]):
+            last = known.value.get((ips[start], part))
+            at = start
+            if last is not None:
+                at += int(np.searchsorted(times[start:end], last + span, side="right"))
+            while at < end:
+                kept.append(at)
+                at += 1
+                if at < end:
+                    at += int(np.searchsorted(times[at:end], times[kept[-1]] + span, side="right"))
+        return pd.DataFrame({"ip": ips[kept], "t": times[kept]})
+
+    return held.groupBy("part").applyInPandas(replay, "ip string, t bigint")
 
 
 def _settle(held: DataFrame, span: int) -> dict[tuple[str, int], int]:

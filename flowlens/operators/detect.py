@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlens import settings
 from flowlens.functions.timing import MICROS, moment
 from flowlens.functions.values import named
-from flowlens.operators.scale import bucket_of, cut_points, exact_quantiles, running_total
+from flowlens.operators.scale import DIRECT_ROWS, exact_quantiles, running_total, split_total
 from flowlens.session import stage
 
 # Rule names and confidences, in report order.
@@ -158,21 +158,55 @@ def detect_outliers(df: DataFrame, baseline: DataFrame, limit: float = settings.
 
 
 def trailing_counts(events: DataFrame, keys: list[str], time: str = "ts_us",
-                    window_us: int = settings.RATE_WINDOW_SECONDS * MICROS) -> DataFrame:
+                    window_us: int = settings.RATE_WINDOW_SECONDS * MICROS,
+                    hot_rows: int = 5_000_000) -> DataFrame:
     """Events of the last ``window_us`` microseconds at each instant of a key.
 
-    An event counts from its own instant until just before it is ``window_us`` old. Each event
-    adds one at its time and takes it back when it ages out; the running total of these steps
-    is the trailing count. Steps are summed per instant before the shuffle and totalled per
-    second, so a key with a third of all events is spread over its seconds.
+    An event counts from its own instant until just before it is ``window_us`` old. Keys with up
+    to ``hot_rows`` events take one window each. Larger ones, at most ``rows / hot_rows`` of them,
+    are split over their seconds, see ``_split_counts``; both ways give the same numbers.
 
     Returns the keys, the time, ``events`` (at that instant) and ``recent``.
     """
+    rows = events.where(named(time).isNotNull()).select(*[named(k) for k in keys], named(time))
+    sizes = []
+    if events.count() > hot_rows:
+        sizes = rows.groupBy(*[named(k) for k in keys]).agg(F.count("*").alias("_n")).where(
+            F.col("_n") > hot_rows).collect()
+    if not sizes:
+        return _window_counts(rows, keys, time, window_us)
+    hot = rows.sparkSession.createDataFrame(
+        [tuple(r[:-1]) for r in sizes], rows.select(*[named(k) for k in keys]).schema
+    ).withColumnsRenamed({k: f"_h{i}" for i, k in enumerate(keys)})
+    same = [named(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)]
+    cold_rows = rows.join(F.broadcast(hot), same, "left_anti")
+    hot_part = rows.join(F.broadcast(hot), same, "left_semi")
+    return _window_counts(cold_rows, keys, time, window_us).unionByName(
+        _split_counts(hot_part, keys, time, window_us))
+
+
+def _steps(rows: DataFrame, keys: list[str], time: str, window_us: int) -> DataFrame:
+    """Each event adds one at its time and takes it back when it ages out; the running total of
+    these steps is the trailing count. Unlike a sliding frame it costs the same for any window."""
     at = named(time)
-    steps = events.where(at.isNotNull()).select(*[named(k) for k in keys], F.inline(F.array(
+    return rows.select(*[named(k) for k in keys], F.inline(F.array(
         F.struct(at.alias(time), F.lit(1).alias("step"), F.lit(1).alias("events")),
         F.struct((at + window_us).alias(time), F.lit(-1).alias("step"), F.lit(0).alias("events")))))
-    moves = steps.groupBy(*[named(k) for k in keys], named(time)).agg(
+
+
+def _window_counts(rows: DataFrame, keys: list[str], time: str, window_us: int) -> DataFrame:
+    upto = Window.partitionBy(*[named(k) for k in keys]).orderBy(named(time)).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    counted = _steps(rows, keys, time, window_us).withColumn("recent", F.sum("step").over(upto))
+    return counted.where(F.col("events") > 0).groupBy(
+        *[named(k) for k in keys], named(time), "recent").agg(F.sum("events").alias("events")).select(
+        *[named(k) for k in keys], named(time), "events", "recent")
+
+
+def _split_counts(rows: DataFrame, keys: list[str], time: str, window_us: int) -> DataFrame:
+    """The same for busy keys. Steps are summed per instant before the shuffle and totalled per
+    second, so one task sorts at most one second of a key, a million instants."""
+    moves = _steps(rows, keys, time, window_us).groupBy(*[named(k) for k in keys], named(time)).agg(
         F.sum("step").alias("step"), F.sum("events").alias("events"))
     seconds = moves.withColumn("_second", F.floor(named(time) / MICROS))
     counted = running_total(seconds, keys, "_second", time, {"recent": "step"})
@@ -182,10 +216,12 @@ def trailing_counts(events: DataFrame, keys: list[str], time: str = "ts_us",
 
 def rate_limited(events: DataFrame, keys: list[str] | None = None, time: str = "ts_us",
                  threshold: int = settings.RATE_LIMIT,
-                 window_us: int = settings.RATE_WINDOW_SECONDS * MICROS) -> DataFrame:
+                 window_us: int = settings.RATE_WINDOW_SECONDS * MICROS,
+                 hot_rows: int = 5_000_000) -> DataFrame:
     """Instants at which a key has more than ``threshold`` events in its trailing window."""
     by = keys or ["src_ip", "dst_ip", "dst_port"]
-    return trailing_counts(events, by, time, window_us).where(F.col("recent") > threshold)
+    counted = trailing_counts(events, by, time, window_us, hot_rows)
+    return counted.where(F.col("recent") > threshold)
 
 
 def rule_notices(conn: DataFrame, rules: list[dict]) -> DataFrame:
@@ -243,28 +279,27 @@ def detect_windows(flows: DataFrame, as_of=None, syn_floor: int = settings.SYN_F
     return hits.unionByName(scans)
 
 
-def window_thresholds(flows: DataFrame) -> DataFrame:
+def window_thresholds(flows: DataFrame, rows_per_bucket: int = DIRECT_ROWS) -> DataFrame:
     """Quantile thresholds per window, interpolated between exact ranks."""
     shares = {"packet_rate": settings.PACKET_RATE_QUANTILE, "byte_rate": settings.BYTE_RATE_QUANTILE,
               "syn_count": settings.SYN_QUANTILE}
     long = flows.select("window_start", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(q).alias("q"), named(c).cast("double").alias("value"))
-        for c, q in shares.items()]))).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    tallied = long.groupBy("window_start", "feature", "q", "value").agg(F.count("*").alias("n"))
-    held = stage(tallied, "values")
-    cuts = cut_points(held, "value")
-    ranked = running_total(held.withColumn("_bucket", bucket_of(F.col("value"), cuts)),
-                           ["window_start", "feature", "q"], "_bucket", "value", {"upto": "n"})
-    sizes = held.groupBy("window_start", "feature", "q").agg(F.sum("n").alias("size")).withColumn(
-        "position", (F.col("size") - 1) * F.col("q"))
-    joined = ranked.join(sizes, ["window_start", "feature", "q"])
+        F.struct(F.lit(c).alias("feature"), named(c).cast("double").alias("value"))
+        for c in shares]))).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    keys = ["window_start", "feature"]
+    held = stage(long.groupBy(*keys, "value").agg(F.count("*").alias("n")), "values")
+    ranked = split_total(held, keys, "value", {"upto": "n"}, rows_per_bucket=rows_per_bucket)
+    q = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("feature")]
+    sizes = held.groupBy(*keys).agg(F.sum("n").alias("size")).withColumn(
+        "position", (F.col("size") - 1) * q)
+    joined = ranked.join(sizes, keys)
     low, share = F.floor("position"), F.col("position") - F.floor("position")
     high = F.least(low + 1, F.col("size") - 1)
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("value")))
 
-    picked = joined.groupBy("window_start", "feature").agg(
+    picked = joined.groupBy(*keys).agg(
         at(low).alias("lo"), at(high).alias("hi"), F.max(share).alias("share"))
     value = (1 - F.col("share")) * F.col("lo") + F.col("share") * F.col("hi")
     return picked.groupBy("window_start").agg(*[

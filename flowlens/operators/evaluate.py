@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlens.functions.values import named
-from flowlens.operators.scale import bucket_of, cut_points, running_total
+from flowlens.operators.scale import DIRECT_ROWS, split_total
 from flowlens.session import stage
 
 METRICS = ["accuracy", "precision", "recall", "f1_score"]
@@ -97,7 +97,7 @@ def class_report(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def binary_auc(scored: DataFrame, positive: Column, score: str = "score",
-               by: list[str] | None = None) -> DataFrame:
+               by: list[str] | None = None, rows_per_bucket: int = DIRECT_ROWS) -> DataFrame:
     """Area under the ROC curve of ``score`` for ``positive``; NULL with one class only.
 
     Rows are tallied per distinct score, and the running count of negatives over the scores is
@@ -107,9 +107,7 @@ def binary_auc(scored: DataFrame, positive: Column, score: str = "score",
     tally = stage(scored.where(named(score).isNotNull()).groupBy(
         *[named(k) for k in keys], named(score).cast("double").alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")), "scores")
-    cuts = cut_points(tally, "score")
-    upto = running_total(tally.withColumn("_bucket", bucket_of(F.col("score"), cuts)),
-                         keys, "_bucket", "score", {"neg_upto": "neg"})
+    upto = split_total(tally, keys, "score", {"neg_upto": "neg"}, rows_per_bucket=rows_per_bucket)
     below = (F.col("neg_upto") - F.col("neg")).cast("double") + F.col("neg") / 2
     area, pos, neg = F.sum(F.col("pos") * below), F.sum("pos"), F.sum("neg")
     return upto.groupBy(*keys).agg(F.when((pos > 0) & (neg > 0), area / (

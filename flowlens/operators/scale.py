@@ -26,17 +26,18 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, float], direct_rows: int =
     names = {f"c{i}": c for i, c in enumerate(wanted)}
     values = df.select(*[F.nanvl(named(c).cast("double"), F.lit(None).cast("double")).alias(k)
                          for k, c in names.items()])
-    counts = values.agg(*[F.count(k).alias(k) for k in names]).first()
     result: dict[str, float | None] = {c: None for c in wanted}
-    small = [k for k in names if 0 < counts[k] <= direct_rows]
+    large = {}
+    if df.count() > direct_rows:
+        counts = values.agg(*[F.count(k).alias(k) for k in names]).first()
+        large = {k: counts[k] for k in names if counts[k] > direct_rows}
+    small = [k for k in names if k not in large]
     if small:
         row = values.agg(*[F.percentile(k, F.lit(float(wanted[names[k]]))).alias(k)
                            for k in small]).first()
         result.update({names[k]: row[k] for k in small})
-    for k in names:
-        if counts[k] > direct_rows:
-            result[names[k]] = _narrowed(values, k, wanted[names[k]], counts[k],
-                                         direct_rows, accuracy)
+    for k, n in large.items():
+        result[names[k]] = _narrowed(values, k, wanted[names[k]], n, direct_rows, accuracy)
     return result
 
 
@@ -101,26 +102,41 @@ def cut_points(df: DataFrame, order: str, rows_per_bucket: int = DIRECT_ROWS,
 
 def bucket_of(order: Column, cuts: list[float]) -> Column:
     """Number of cut points at or below the value: equal values share a bucket."""
-    if not cuts:
-        return F.lit(0)
     points = F.array(*[F.lit(float(v)) for v in cuts])
     above = order.cast("double")
     return F.when(order.isNull(), F.lit(0)).otherwise(
         F.size(F.filter(points, lambda p: p <= above)))
 
 
-def running_total(df: DataFrame, keys: list[str], bucket: str, order: str,
+def split_total(df: DataFrame, keys: list[str], order: str, values: dict[str, str],
+                ties: list[str] | None = None, rows_per_bucket: int = DIRECT_ROWS) -> DataFrame:
+    """``running_total`` with buckets of about ``rows_per_bucket`` rows cut from the data."""
+    cuts = cut_points(df, order, rows_per_bucket)
+    if not cuts:
+        return running_total(df, keys, None, order, values, ties)
+    split = df.withColumn("_bucket", bucket_of(named(order), cuts))
+    return running_total(split, keys, "_bucket", order, values, ties).drop("_bucket")
+
+
+def running_total(df: DataFrame, keys: list[str], bucket: str | None, order: str,
                   values: dict[str, str], ties: list[str] | None = None) -> DataFrame:
     """Running totals up to and including the current ``order`` value, per ``keys``.
 
     ``values`` maps output to input columns. ``bucket`` must rise with ``order`` and bound the
     rows that one task sorts: totals per bucket are summed first, the sum of the earlier
     buckets enters each bucket as one extra leading row, and the window then runs per
-    (keys, bucket). A key with a third of all rows is spread over all its buckets.
+    (keys, bucket). A key with a third of all rows is spread over all its buckets. Without a
+    bucket the window runs per key, for tables known to be small.
     Equal ``order`` values share their total; with ``ties`` rows count one by one in that order.
     ``order`` must not be NULL.
     """
-    part = [*keys, bucket]
+    part = [*keys, bucket] if bucket else keys
+    sort = [named(order).asc_nulls_first(), *[named(t) for t in ties or []]]
+    upto = Window.partitionBy(*[named(p) for p in part]).orderBy(*sort)
+    bounds = (Window.unboundedPreceding, Window.currentRow)
+    upto = upto.rowsBetween(*bounds) if ties else upto.rangeBetween(*bounds)
+    if not bucket:
+        return df.select("*", *[F.sum(named(v)).over(upto).alias(o) for o, v in values.items()])
     totals = df.groupBy(*[named(p) for p in part]).agg(
         *[F.sum(named(v)).alias(f"_t_{o}") for o, v in values.items()])
     earlier = Window.partitionBy(*[named(k) for k in keys]).orderBy(named(bucket)).rowsBetween(
@@ -131,10 +147,6 @@ def running_total(df: DataFrame, keys: list[str], bucket: str, order: str,
         F.lit(True).alias("_head"))
     rows = df.select("*", *[named(v).alias(f"_s_{o}") for o, v in values.items()],
                      F.lit(False).alias("_head"))
-    sort = [named(order).asc_nulls_first(), *[named(t) for t in ties or []]]
-    upto = Window.partitionBy(*[named(p) for p in part]).orderBy(*sort)
-    bounds = (Window.unboundedPreceding, Window.currentRow)
-    upto = upto.rowsBetween(*bounds) if ties else upto.rangeBetween(*bounds)
     both = rows.unionByName(heads, allowMissingColumns=True)
     summed = both.select(*[named(c) for c in df.columns], "_head",
                          *[F.sum(f"_s_{o}").over(upto).alias(o) for o in values])
@@ -145,11 +157,12 @@ def rank_in_group(df: DataFrame, keys: list[str], order: str, ties: list[str],
                   out: str = "rank", rows_per_bucket: int = DIRECT_ROWS) -> DataFrame:
     """``row_number`` per group by a numeric column, split as in ``running_total``."""
     cuts = cut_points(df, order, rows_per_bucket)
-    split = df.withColumn("_bucket", bucket_of(named(order), cuts))
-    window = Window.partitionBy(*[named(k) for k in keys], "_bucket").orderBy(
-        named(order), *[named(t) for t in ties])
+    sort = [named(order), *[named(t) for t in ties]]
     if not cuts:
-        return split.withColumn(out, F.row_number().over(window).cast("bigint")).drop("_bucket")
+        whole = Window.partitionBy(*[named(k) for k in keys]).orderBy(*sort)
+        return df.withColumn(out, F.row_number().over(whole).cast("bigint"))
+    split = df.withColumn("_bucket", bucket_of(named(order), cuts))
+    window = Window.partitionBy(*[named(k) for k in keys], "_bucket").orderBy(*sort)
     part = [*keys, "_bucket"]
     earlier = Window.partitionBy(*[named(k) for k in keys]).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from flowlens import settings
 from flowlens.functions.values import named
-from flowlens.operators.scale import bucket_of, cut_points, running_total
+from flowlens.operators.scale import split_total
 from flowlens.session import stage
 
 MOST_PIVOTS = 20_000
@@ -65,8 +65,16 @@ def neighbours(points: DataFrame, k: int = settings.NEIGHBOURS, cell_rows: int =
 
     Fewer are listed only where the label has fewer points.
     """
+    def own(pdf: pd.DataFrame) -> pd.DataFrame:
+        vecs = np.stack(pdf["vec"].to_numpy())
+        near = _nearest(vecs, vecs, pdf["w"].to_numpy(), k)
+        return pdf.assign(near=near)
+
     spark = points.sparkSession
     sizes = {r["label"]: r["n"] for r in points.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if max(sizes.values(), default=0) <= cell_rows:  # one cell per label
+        return points.select("label", "vec", "w").groupBy("label").applyInPandas(
+            own, f"label string, vec array<double>, w bigint, near {NEAR}")
     share = min(1.0, MOST_PIVOTS * cell_rows / max(1, sum(sizes.values())))
     pivots: dict[str, np.ndarray] = {}
     for label, n in sizes.items():
@@ -91,7 +99,7 @@ def neighbours(points: DataFrame, k: int = settings.NEIGHBOURS, cell_rows: int =
 
     placed = stage(points.select("label", "vec", "w").mapInPandas(
         assign, "label string, vec array<double>, w bigint, cell int, reach double"), "cells")
-    cells = {(r["label"], r["cell"]): (r["lo"], r["hi"], math.ceil(r["n"] / cell_rows))
+    cells = {(r["label"], r["cell"]): (r["lo"], r["hi"], math.ceil(r["n"] / cell_rows), r["n"])
              for r in placed.groupBy("label", "cell").agg(
                  F.min("reach").alias("lo"), F.max("reach").alias("hi"),
                  F.count("*").alias("n")).collect()}
@@ -99,19 +107,13 @@ def neighbours(points: DataFrame, k: int = settings.NEIGHBOURS, cell_rows: int =
                                    "label string, cell int, chunks int")
     # One row per pivot.
     held = stage(placed.join(F.broadcast(chunks), ["label", "cell"]).withColumn(
-        "chunk", F.pmod(F.xxhash64("vec", F.lit(seed + 1)), F.col("chunks")).cast("int")), "chunks")
-
-    def own(pdf: pd.DataFrame) -> pd.DataFrame:
-        vecs = np.stack(pdf["vec"].to_numpy())
-        near = _nearest(vecs, vecs, pdf["w"].to_numpy(), k)
-        return pdf[["label", "vec", "w", "cell", "chunk", "reach"]].assign(near=near)
+        "chunk", F.pmod(F.xxhash64("vec", F.lit(seed + 1)), F.col("chunks")).cast("int")).select(
+        "label", "vec", "w", "cell", "chunk", "reach"), "chunks")
 
     first = held.groupBy("label", "cell", "chunk").applyInPandas(
         own, f"label string, vec array<double>, w bigint, cell int, chunk int, reach double, near {NEAR}")
-    if len(cells) == len(sizes) and all(c[2] == 1 for c in cells.values()):
-        return first.select("label", "vec", "w", "near")
     first = stage(first, "near")
-    layout = spark.sparkContext.broadcast(cells)  # three numbers per pivot
+    layout = spark.sparkContext.broadcast(cells)  # four numbers per pivot
 
     def routes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables: dict[str, tuple] = {}
@@ -119,25 +121,27 @@ def neighbours(points: DataFrame, k: int = settings.NEIGHBOURS, cell_rows: int =
             of = [(c, *v) for (lab, c), v in layout.value.items() if lab == label]
             tables[label] = tuple(np.array(x) for x in zip(*of))
         for pdf in batches:
-            out = []
             for label, at in pdf.groupby("label").indices.items():
-                ids, lo, hi, count = tables[label]
+                ids, lo, hi, count, size = tables[label]
                 vecs = np.stack(pdf["vec"].to_numpy()[at])
-                bound = np.sqrt([n[-1]["dist2"] if len(n) >= k else np.inf
+                found = np.sqrt([n[-1]["dist2"] if len(n) >= k else np.inf
                                  for n in pdf["near"].to_numpy()[at]])
                 home, homechunk = pdf["cell"].to_numpy()[at], pdf["chunk"].to_numpy()[at]
                 reach = pdf["reach"].to_numpy()[at]
-                for block in _blocks(len(at), len(ids)):
+                for block in _blocks(len(at), 10 * len(ids)):
                     d = np.sqrt(_squared(vecs[block], shared.value[label][ids]))
-                    least = np.maximum(np.maximum(d - hi, lo - d), (d - reach[block, None]) / 2)
+                    # The cells that hold k others in all bound the k-th distance too.
+                    order = np.argsort(d + hi, axis=1)
+                    enough = (np.cumsum(size[order], axis=1) > k).argmax(axis=1)
+                    rows = np.arange(len(d))
+                    whole = np.where(size.sum() > k, (d + hi)[rows, order[rows, enough]], np.inf)
+                    bound = np.minimum(found[block], whole)[:, None] * (1 + 1e-9)
                     # A little slack keeps rounding from hiding an equal distance.
-                    open_ = least <= bound[block, None] * (1 + 1e-9)
-                    for q, c in zip(*np.nonzero(open_)):
-                        row = at[block.start + q]
-                        for chunk in range(count[c]):
-                            if ids[c] != home[block.start + q] or chunk != homechunk[block.start + q]:
-                                out.append((label, int(ids[c]), chunk, pdf["vec"].iat[row]))
-            yield pd.DataFrame(out, columns=["label", "cell", "chunk", "query"])
+                    least = np.maximum(np.maximum(d - hi, lo - d), (d - reach[block, None]) / 2)
+                    out = [(label, int(ids[c]), chunk, vecs[block.start + q])
+                           for q, c in zip(*np.nonzero(least <= bound)) for chunk in range(count[c])
+                           if ids[c] != home[block.start + q] or chunk != homechunk[block.start + q]]
+                    yield pd.DataFrame(out, columns=["label", "cell", "chunk", "query"])
 
     visits = stage(first.select("label", "vec", "cell", "chunk", "reach", "near").mapInPandas(
         routes, "label string, cell int, chunk int, query array<double>"), "visits")
@@ -203,9 +207,7 @@ def oversample(df: DataFrame, label: str, features: list[str], k: int = settings
     slotted = stage(slotted, "slots")
     shares = df.sparkSession.createDataFrame(
         [(c, lacking[c], sizes[c]) for c in lacking], "label string, lacking bigint, size bigint")
-    cuts = cut_points(slotted, "_order")
-    running = running_total(slotted.withColumn("_bucket", bucket_of(F.col("_order"), cuts)),
-                            ["label"], "_bucket", "_order", {"upto": "w"}, ties=["vec"])
+    running = split_total(slotted, ["label"], "_order", {"upto": "w"}, ties=["vec"])
     # One row per class. A row with weight w takes its part of the lacking rows, exactly.
     counted = running.join(F.broadcast(shares), "label")
 

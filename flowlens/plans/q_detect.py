@@ -206,3 +206,13 @@ select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as iso, epoch_us(ts) as ts
 def iso_time_roundtrip(spark, sf):
     rows = event_history(spark, sf).select("event_id", timing.iso_text(F.col("timestamp")).alias("iso"))
     return rows.withColumn("ts_us", timing.micros(timing.from_iso(F.col("iso"))))
+
+
+@query("rate_limit_hot_keys", """
+select src_ip, dst_ip, dst_port, ts_us, recent, count(*) as events from (
+  select *, count(*) over (partition by src_ip, dst_ip, dst_port order by ts_us
+                           range between 59999999 preceding and current row) as recent
+  from packets) where recent > 10 group by all""")
+def rate_limit_hot_keys(spark, sf):
+    """The same, with every key of more than 20 packets treated as a busy one."""
+    return detect.rate_limited(view(spark, sf, "packets"), threshold=10, hot_rows=20)
