@@ -43,7 +43,9 @@ def read_log(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
 
 
 def log_files(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Log type to path: the standard types first, in their order, then the others by name."""
+    """Log type to path: the standard types first, in their order, then the others by name.
+
+    Files of length 0 are not listed."""
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.log")
                .load(folder).select("path").collect())
     found = {r["path"].rsplit("/", 1)[1].removesuffix(".log"): r["path"] for r in listing}
