@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowlens import settings
 from flowlens.functions.timing import MICROS, moment
 from flowlens.functions.values import named
-from flowlens.operators.scale import DIRECT_ROWS, exact_quantiles, running_total, split_total
+from flowlens.operators.scale import DIRECT_ROWS, bounded, exact_quantiles, running_total, split_total
 from flowlens.session import stage
 
 # Rule names and confidences, in report order.
@@ -256,9 +256,8 @@ def detect_windows(flows: DataFrame, as_of=None, syn_floor: int = settings.SYN_F
     a window with most of the flows is no single task.
     """
     cuts = window_thresholds(flows)
-    # One row per window; the planner broadcasts it when it measures it as small.
     same = F.col("window_start").eqNullSafe(F.col("_w"))
-    with_cuts = flows.join(cuts.withColumnRenamed("window_start", "_w"), same)
+    with_cuts = flows.join(bounded(cuts.withColumnRenamed("window_start", "_w")), same)
     src, dst, when, key = _host(flows, "src_ip"), _host(flows, "dst_ip"), moment(as_of), _key(flows)
     tests = [
         ("high_packet_rate", F.col("packet_rate") > F.col("packet_rate_cut"),
@@ -292,7 +291,7 @@ def window_thresholds(flows: DataFrame, rows_per_bucket: int = DIRECT_ROWS) -> D
     q = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("feature")]
     sizes = held.groupBy(*keys).agg(F.sum("n").alias("size")).withColumn(
         "position", (F.col("size") - 1) * q)
-    joined = ranked.join(sizes, keys)
+    joined = ranked.join(bounded(sizes), keys)
     low, share = F.floor("position"), F.col("position") - F.floor("position")
     high = F.least(low + 1, F.col("size") - 1)
 

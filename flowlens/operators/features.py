@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from flowlens import settings
 from flowlens.functions.values import columns_of, named
-from flowlens.operators.scale import exact_quantiles, group_size, rank_in_group, running_total
+from flowlens.operators.scale import bounded, exact_quantiles, group_size, rank_in_group, running_total
 from flowlens.session import stage
 
-BROADCAST_ROWS = 100_000
-
 
 def _missing(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
@@ -108,13 +106,10 @@ def fit_codes(df: DataFrame, columns: list[str], rows_per_part: int = 1_000_000)
 
 def encode(df: DataFrame, codes: DataFrame, columns: list[str]) -> DataFrame:
     """Columns replaced by their codes. A value without a code is an error."""
-    sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count("*").alias("n")).collect()}
     out = df
     for i, c in enumerate(columns):
-        part = codes.where(F.col("column") == c).select(
-            F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"))
-        if sizes.get(c, 0) <= BROADCAST_ROWS:
-            part = F.broadcast(part)
+        part = bounded(codes.where(F.col("column") == c).select(
+            F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}")))
         out = out.join(part, named(c).cast("string") == F.col(f"_v{i}"), "left")
 
     def coded(i: int, c: str) -> Column:
@@ -171,10 +166,7 @@ def normalise_flows(flows: DataFrame) -> DataFrame:
     columns = [c for c in settings.NORMALISED_COLUMNS if c in flows.columns]
     out = scale(flows, fit_scaler(flows, columns))
     if "protocol_type" in flows.columns:
-        coded = flows.sparkSession.createDataFrame(
-            [(r[0],) for r in flows.select("protocol_type").distinct().collect()],
-            "protocol_type string")  # four classes
-        codes = fit_codes(coded, ["protocol_type"])
+        codes = fit_codes(flows, ["protocol_type"])
         both = out.withColumn("protocol_type_encoded", F.col("protocol_type"))
         out = encode(both, codes.withColumn("column", F.lit("protocol_type_encoded")),
                      ["protocol_type_encoded"])

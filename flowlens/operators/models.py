@@ -94,7 +94,8 @@ def prepare(raw: DataFrame, target: str = "label", smote: bool = True, scale: bo
     result holds the training rows with columns ``x_<name>`` and ``label_index``, and the test
     rows as they came.
     """
-    train, test = ft.stratified_split(raw.dropDuplicates(), target, share, seed, order)
+    distinct = stage(raw.dropDuplicates(), "distinct")
+    train, test = ft.stratified_split(distinct, target, share, seed, order)
     fills = ft.fit_fills(train, train.columns)
     filled, inputs = ft.select_features(ft.fill(train, {c: v for c, v in fills.items() if c != target}),
                                         target)
@@ -232,6 +233,9 @@ def score(model: TrainedModel, raw: DataFrame) -> DataFrame:
     gets the one-hot of its prediction, and confidence 1 for an attack, else 0.
     """
     labels = model.preparation.labels
+    absent = [c for c in model.preparation.inputs if c not in raw.columns]
+    if absent:
+        raise ValueError(f"columns the model was trained on are missing: {absent}")
     out = model.pipeline.transform(raw)
     label = F.get(F.array(*[F.lit(v) for v in labels]), F.col("prediction").cast("int"))
     kept = [named(c) for c in raw.columns]

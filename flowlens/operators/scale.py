@@ -9,6 +9,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowlens.functions.values import named
 
 DIRECT_ROWS = 2_000_000
+BROADCAST_ROWS = 100_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A derived table for the small side of a join: broadcast if it has at most ``rows`` rows,
+    which is checked, else left to the planner."""
+    head = df.limit(rows + 1).collect()
+    if len(head) > rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, float], direct_rows: int = DIRECT_ROWS,
@@ -128,15 +138,17 @@ def running_total(df: DataFrame, keys: list[str], bucket: str | None, order: str
     (keys, bucket). A key with a third of all rows is spread over all its buckets. Without a
     bucket the window runs per key, for tables known to be small.
     Equal ``order`` values share their total; with ``ties`` rows count one by one in that order.
-    ``order`` must not be NULL.
     """
     part = [*keys, bucket] if bucket else keys
-    sort = [named(order).asc_nulls_first(), *[named(t) for t in ties or []]]
-    upto = Window.partitionBy(*[named(p) for p in part]).orderBy(*sort)
+    sort = [named(order), *[named(t) for t in ties or []]]
+    within = Window.partitionBy(*[named(p) for p in part])
     bounds = (Window.unboundedPreceding, Window.currentRow)
-    upto = upto.rowsBetween(*bounds) if ties else upto.rangeBetween(*bounds)
     if not bucket:
-        return df.select("*", *[F.sum(named(v)).over(upto).alias(o) for o, v in values.items()])
+        frame = within.orderBy(*sort)
+        frame = frame.rowsBetween(*bounds) if ties else frame.rangeBetween(*bounds)
+        return df.select("*", *[F.sum(named(v)).over(frame).alias(o) for o, v in values.items()])
+    frame = within.orderBy(F.desc("_head"), *sort)
+    frame = frame.rowsBetween(*bounds) if ties else frame.rangeBetween(*bounds)
     totals = df.groupBy(*[named(p) for p in part]).agg(
         *[F.sum(named(v)).alias(f"_t_{o}") for o, v in values.items()])
     earlier = Window.partitionBy(*[named(k) for k in keys]).orderBy(named(bucket)).rowsBetween(
@@ -149,36 +161,20 @@ def running_total(df: DataFrame, keys: list[str], bucket: str | None, order: str
                      F.lit(False).alias("_head"))
     both = rows.unionByName(heads, allowMissingColumns=True)
     summed = both.select(*[named(c) for c in df.columns], "_head",
-                         *[F.sum(f"_s_{o}").over(upto).alias(o) for o in values])
+                         *[F.sum(f"_s_{o}").over(frame).alias(o) for o in values])
     return summed.where(~F.col("_head")).drop("_head")
 
 
 def rank_in_group(df: DataFrame, keys: list[str], order: str, ties: list[str],
                   out: str = "rank", rows_per_bucket: int = DIRECT_ROWS) -> DataFrame:
     """``row_number`` per group by a numeric column, split as in ``running_total``."""
-    cuts = cut_points(df, order, rows_per_bucket)
-    sort = [named(order), *[named(t) for t in ties]]
-    if not cuts:
-        whole = Window.partitionBy(*[named(k) for k in keys]).orderBy(*sort)
-        return df.withColumn(out, F.row_number().over(whole).cast("bigint"))
-    split = df.withColumn("_bucket", bucket_of(named(order), cuts))
-    window = Window.partitionBy(*[named(k) for k in keys], "_bucket").orderBy(*sort)
-    part = [*keys, "_bucket"]
-    earlier = Window.partitionBy(*[named(k) for k in keys]).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = (split.groupBy(*[named(p) for p in part]).agg(F.count("*").alias("_n"))
-               .select(*[named(p).alias(f"_k{i}") for i, p in enumerate(part)],
-                       F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
-    same = [named(p).eqNullSafe(F.col(f"_k{i}")) for i, p in enumerate(part)]
-    ranked = split.withColumn("_rn", F.row_number().over(window))
-    return (ranked.join(offsets, same, "left")
-            .withColumn(out, F.col("_rn") + F.col("_before"))
-            .drop("_bucket", "_rn", "_before", *[f"_k{i}" for i in range(len(part))]))
+    ones = df.withColumn("_one", F.lit(1))
+    return split_total(ones, keys, order, {out: "_one"}, ties, rows_per_bucket).drop("_one")
 
 
 def group_size(df: DataFrame, keys: list[str], out: str) -> DataFrame:
-    """Rows per group, as a table joined back on the keys."""
+    """Adds the rows per group."""
     sizes = (df.groupBy(*[named(k) for k in keys]).agg(F.count("*").alias(out))
              .select(*[named(k).alias(f"_g{i}") for i, k in enumerate(keys)], out))
     same = [named(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)]
-    return df.join(sizes, same, "left").drop(*[f"_g{i}" for i in range(len(keys))])
+    return df.join(bounded(sizes), same, "left").drop(*[f"_g{i}" for i in range(len(keys))])

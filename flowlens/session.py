@@ -54,9 +54,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def _work_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/flowlens/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/flowlens/{label}-{uuid.uuid4().hex}"
+    return f"{_work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged. Call it once no table built on it is read any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_work_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,11 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
+def stamped(name: str, at: dt.datetime | None = None) -> str:
+    """``name`` with a time stamp, for outputs of repeated runs."""
+    return f"{name}_{(at or dt.datetime.now()).strftime('%Y%m%d_%H%M%S')}"
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV files with a header below ``path``, which must not exist yet."""
     df.write.mode("errorifexists").option("header", True).csv(path)

@@ -88,12 +88,8 @@ def test_models_beat_the_majority(run):
         assert got[name]["f1_score"] > base and got[name]["roc_auc"] > 0.9
     assert got["svm"]["roc_auc"] is None and got["svm"]["f1_score"] > 0.5
     assert best.first()["model_name"] in got
-    assert results.select(*[c for c in spark_columns()]).columns == spark_columns()
-
-
-def spark_columns():
-    return ["model_name", "accuracy", "precision", "recall", "f1_score", "roc_auc", "confusion_matrix",
-            "classification_report"]
+    with pytest.raises(ValueError, match="proto"):
+        ml.score(models["svm"], prepared.test.drop("proto"))
 
 
 def test_probabilities(run):
