@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
     RandomForestClassifier)
@@ -24,6 +25,7 @@ from flowlens.session import stage
 
 MAX_BINS = 256
 MAX_VOCABULARY = 100_000
+LEAST_PARTITION_ROWS, MOST_PARTITION_ROWS = 5_000, 1_000_000
 
 
 @dataclass
@@ -139,7 +141,10 @@ class TrainedModel:
 
 def estimator_stages(name: str, classes: int, rows: int, train: DataFrame | None = None,
                      inputs: Iterable[str] = (), params: dict | None = None) -> list:
-    """Stages of a classifier by name. Boosting and the SVM are one-against-rest above two classes."""
+    """Derived-column stages, if any, and the learner of a name.
+
+    Boosting and the SVM are one-against-rest above two classes.
+    """
     known = settings.MODEL_PARAMS
     if name not in known:
         raise ValueError(f"unknown model: {name}")
@@ -152,7 +157,8 @@ def estimator_stages(name: str, classes: int, rows: int, train: DataFrame | None
         return [DecisionTreeClassifier(maxDepth=p["depth"], seed=p["seed"], maxBins=MAX_BINS, **columns)]
     if name == "logistic_regression":
         return [LogisticRegression(maxIter=p["max_iter"], regParam=1.0 / (p["C"] * rows),
-                                   elasticNetParam=0.0, standardization=False, **columns)]
+                                   tol=p["tol"], elasticNetParam=0.0, standardization=False,
+                                   **columns)]
     if name == "xgboost":
         boosted = GBTClassifier(maxIter=p["rounds"], maxDepth=p["depth"], stepSize=p["rate"],
                                 seed=p["seed"], maxBins=MAX_BINS, **columns)
@@ -166,7 +172,7 @@ def estimator_stages(name: str, classes: int, rows: int, train: DataFrame | None
         spread = sum(cells[f"s{i}"] for i in range(len(zs))) / len(zs) - mean * mean
         gamma = 1.0 / (len(zs) * spread) if spread > 0 else 1.0
     rff, assembler = fourier_stages(zs, gamma, p["features"], p["seed"])
-    machine = LinearSVC(regParam=1.0 / (p["C"] * rows), maxIter=100, labelCol="label_index",
+    machine = LinearSVC(regParam=1.0 / (p["C"] * rows), maxIter=100, tol=p["tol"], labelCol="label_index",
                         featuresCol="kernel_features")
     if classes > 2:
         machine = OneVsRest(classifier=machine, labelCol="label_index", parallelism=classes,
@@ -200,8 +206,14 @@ def _vectors(prepared: Prepared) -> DataFrame:
 def _fit(name: str, prepared: Prepared, vectors: DataFrame, rows: int, params: dict | None) -> TrainedModel:
     prep = prepared.preparation
     stages = estimator_stages(name, len(prep.labels), rows, vectors, prep.inputs, params)
-    fitted = Pipeline(stages=stages).fit(vectors)
-    return TrainedModel(name, PipelineModel([*input_stages(prep), *vector_stages(prep), *fitted.stages]), prep)
+    *derived, learner = stages
+    data = vectors
+    if derived:  # derived columns are computed once, not in every pass of the learner
+        data = stage(PipelineModel(derived).transform(vectors).select(
+            "label_index", learner.getFeaturesCol()), "derived")
+    fitted = learner.fit(data)
+    return TrainedModel(name, PipelineModel(
+        [*input_stages(prep), *vector_stages(prep), *derived, fitted]), prep)
 
 
 def train_all(prepared: Prepared, names: Iterable[str] | None = None,
@@ -209,8 +221,12 @@ def train_all(prepared: Prepared, names: Iterable[str] | None = None,
     """All models, fitted side by side, and a status table. One that fails is left out and named."""
     wanted = list(names or settings.MODEL_NAMES)
     spark = prepared.train.sparkSession
-    vectors = stage(_vectors(prepared), "vectors")
-    rows = vectors.count()
+    rows = prepared.train.count()
+    # Learners run very many short jobs: as many partitions as cores, fewer for few rows, more
+    # only when a partition would get large.
+    few, many = math.ceil(rows / LEAST_PARTITION_ROWS), math.ceil(rows / MOST_PARTITION_ROWS)
+    parts = max(1, many, min(few, spark.sparkContext.defaultParallelism))
+    vectors = stage(_vectors(prepared).repartition(parts), "vectors")
 
     def attempt(name: str):
         try:

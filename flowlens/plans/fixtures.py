@@ -7,7 +7,6 @@ its check.
 from __future__ import annotations
 
 import re
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 

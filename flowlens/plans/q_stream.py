@@ -12,7 +12,6 @@ from flowlens.functions.timing import from_micros
 from flowlens.operators.detect import DETECTION_COLUMNS
 from flowlens.operators.flows import FLOW_KEYS
 from flowlens.plans.fixtures import view
-from flowlens.plans.q_blocks import TIMELINE_SQL
 from flowlens.plans.q_detect import event_history
 from flowlens.plans.q_sources import PACKET_SQL, capture_files
 from flowlens.plans.registry import CHECKS, DERIVED, query

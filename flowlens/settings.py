@@ -60,8 +60,8 @@ CONNECTION_KEYS = ["id.orig_h", "id.orig_p", "id.resp_h", "id.resp_p"]
 MODEL_NAMES = ["random_forest", "svm", "xgboost", "decision_tree", "logistic_regression"]
 MODEL_PARAMS = {
     "random_forest": {"trees": 100, "depth": 10, "seed": SEED},
-    "svm": {"C": 1.0, "gamma": "scale", "features": 100, "seed": SEED},
+    "svm": {"C": 1.0, "gamma": "scale", "features": 100, "tol": 1e-3, "seed": SEED},
     "xgboost": {"rounds": 100, "depth": 6, "rate": 0.1, "seed": SEED},
     "decision_tree": {"depth": 10, "seed": SEED},
-    "logistic_regression": {"max_iter": 1000, "C": 1.0},
+    "logistic_regression": {"max_iter": 1000, "C": 1.0, "tol": 1e-4},
 }
