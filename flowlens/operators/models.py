@@ -194,13 +194,24 @@ def fourier_stages(inputs: list[str], gamma: float, count: int, seed: int) -> li
 
 
 def train_model(name: str, prepared: Prepared, params: dict | None = None) -> TrainedModel:
-    return _fit(name, prepared, _vectors(prepared), prepared.train.count(), params)
+    vectors, rows = _vectors(prepared)
+    return _fit(name, prepared, vectors, rows, params)
 
 
-def _vectors(prepared: Prepared) -> DataFrame:
+def _vectors(prepared: Prepared) -> tuple[DataFrame, int]:
+    """The training vectors, written in partitions for learning, and their number.
+
+    Learners run very many short jobs: as many partitions as cores, fewer for few rows, more
+    only when a partition would get large. A forest draws rows per partition, so the layout is
+    the same each time.
+    """
     prep = prepared.preparation
-    out = PipelineModel(vector_stages(prep)).transform(prepared.train)
-    return out.select("label_index", "features", *[named(f"z_{c}") for c in prep.inputs])
+    rows = prepared.train.count()
+    few, many = math.ceil(rows / LEAST_PARTITION_ROWS), math.ceil(rows / MOST_PARTITION_ROWS)
+    cores = prepared.train.sparkSession.sparkContext.defaultParallelism
+    out = PipelineModel(vector_stages(prep)).transform(prepared.train).select(
+        "label_index", "features", *[named(f"z_{c}") for c in prep.inputs])
+    return stage(out.repartition(max(1, many, min(few, cores))), "vectors"), rows
 
 
 def _fit(name: str, prepared: Prepared, vectors: DataFrame, rows: int, params: dict | None) -> TrainedModel:
@@ -221,12 +232,7 @@ def train_all(prepared: Prepared, names: Iterable[str] | None = None,
     """All models, fitted side by side, and a status table. One that fails is left out and named."""
     wanted = list(names or settings.MODEL_NAMES)
     spark = prepared.train.sparkSession
-    rows = prepared.train.count()
-    # Learners run very many short jobs: as many partitions as cores, fewer for few rows, more
-    # only when a partition would get large.
-    few, many = math.ceil(rows / LEAST_PARTITION_ROWS), math.ceil(rows / MOST_PARTITION_ROWS)
-    parts = max(1, many, min(few, spark.sparkContext.defaultParallelism))
-    vectors = stage(_vectors(prepared).repartition(parts), "vectors")
+    vectors, rows = _vectors(prepared)
 
     def attempt(name: str):
         try:
