@@ -17,7 +17,7 @@ select concat('10.0.', o_orderkey // 10 // 250, '.', o_orderkey // 10 % 250) as
        1704067200000000 + (o_orderkey * 2 % 700) * 1000000 as block_us,
        case when o_orderstatus = 'F' then 'syn_flood' else 'port_scan' end as reason, 300 as duration
 from orders where o_orderkey % 10 = 0"""
-LEDGER_AS_OF = "2024-01-01 00:06:40"  # 400 s after the start
+LEDGER_AS_OF = "2024-01-01T00:06:40Z"  # 400 s after the start
 
 
 def order_ledger(spark, sf):

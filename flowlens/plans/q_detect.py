@@ -10,9 +10,9 @@ from flowlens.operators.flows import flow_features, window_flows
 from flowlens.operators.scale import exact_quantiles
 from flowlens.plans.fixtures import table, view
 from flowlens.plans.registry import query
-from flowlens.session import stage
+from flowlens.session import stage, tune
 
-AS_OF = "2024-01-01 02:00:00"
+AS_OF = "2024-01-01T02:00:00Z"
 SHOWN = ["type", "confidence", "src_ip", "dst_ip"]
 RULE_SET = [
     {"description": "Half-open connection", "condition": "conn_state = 'S0' and resp_p = 443",
@@ -196,7 +196,7 @@ from events""")
 def detection_stats(spark, sf):
     from flowlens.plans.q_blocks import order_ledger
     stats = history.detection_stats(event_history(spark, sf), order_ledger(spark, sf),
-                                    "2024-01-01 00:06:40")
+                                    "2024-01-01T00:06:40Z")
     return stats.select("detections_in_all", "total_detections",
                         F.col("attack_counts")["error"].alias("errors"), "blocked_ips_count")
 
@@ -204,6 +204,7 @@ def detection_stats(spark, sf):
 @query("iso_time_roundtrip", """
 select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as iso, epoch_us(ts) as ts_us from events""")
 def iso_time_roundtrip(spark, sf):
+    tune(spark)  # the text is in UTC
     rows = event_history(spark, sf).select("event_id", timing.iso_text(F.col("timestamp")).alias("iso"))
     return rows.withColumn("ts_us", timing.micros(timing.from_iso(F.col("iso"))))
 

@@ -56,7 +56,7 @@ def score_confidence(spark, sf):
 def detect_ml(spark, sf):
     prepared, models, _, _ = trained(spark, sf)
     scored = ml.score(models["random_forest"], prepared.test)
-    return detect.model_hits(scored, "2024-01-01 02:00:00").select("type", "confidence", "src_ip", "dst_ip")
+    return detect.model_hits(scored, "2024-01-01T02:00:00Z").select("type", "confidence", "src_ip", "dst_ip")
 
 
 @query("feature_importance")

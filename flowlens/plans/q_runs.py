@@ -13,7 +13,7 @@ from flowlens.plans.q_models import trained
 from flowlens.plans.q_packets import FLOW_SQL
 from flowlens.plans.q_sources import CONN_TYPES, capture_files
 from flowlens.plans.registry import CHECKS, query
-from flowlens.session import new_path, stage
+from flowlens.session import new_path, stage, tune
 from flowlens.operators.flows import FLOW_KEYS, flow_features
 from flowlens.sources import logs
 
@@ -58,6 +58,7 @@ select (select count(*) from conn_dns_http) as log_rows, 36 as log_columns, (sel
        (select count(*) from ({CHECKS['block_new_candidates']})) as blocked_ips,
        '2024-01-01T00:06:40.000000' as finished""")
 def pipe_full_summary(spark, sf):
+    tune(spark)  # the finishing time is shown in UTC
     return runs.full_run(spark, capture_files(spark, sf), log_paths(spark, sf), order_ledger(spark, sf),
                          as_of=LEDGER_AS_OF)
 

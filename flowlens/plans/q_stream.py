@@ -102,7 +102,7 @@ select d.* from ({CHECKS['detect_per_window']}) d, mark where window_us + 600000
 def stream_detect(spark, sf):
     path = new_path(spark, "detections")
     flows = sp.stream_window_flows(packet_stream(spark, sf), "10 minutes")
-    sinks.detect_closed_windows(flows, path, new_path(spark, "checkpoint"), "2024-01-01 02:00:00",
+    sinks.detect_closed_windows(flows, path, new_path(spark, "checkpoint"), "2024-01-01T02:00:00Z",
                                 available_now=True).awaitTermination()
     return spark.read.parquet(path).where(F.col("type").isin("high_packet_rate", "syn_flood")).groupBy(
         F.unix_micros("window_start").alias("window_us"), "type").agg(F.count("*").alias("detections"))
