@@ -54,8 +54,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and authority, as Spark itself resolves it."""
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(named).toString()
+
+
 def _work_dir(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/flowlens/{spark.sparkContext.applicationId}"
+    return f"{qualified(spark, shared_dir(spark))}/flowlens/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
