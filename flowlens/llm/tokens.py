@@ -14,8 +14,19 @@ _PIECES = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+").findall
 # Other white space and separators may join such a run; texts that hold any are encoded in one call.
 _OTHER_SPACE = re.compile(
     "[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]").search
+# A plain word: at most one space or line end, Latin-1 letters (all of one class, composed, and of one length in
+# either case), then some stops. Pre-tokenizers part it into exactly these three.
+_PLAIN = re.compile("([ \n]?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]*)").fullmatch
 LONGEST_KEPT = 48  # characters of a piece that is remembered
-MOST_KEPT = 400_000  # pieces remembered by a worker; then it starts anew
+MOST_KEPT = 600_000  # pieces in each of the two generations a worker remembers
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves, the others
+    for the letters from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
 
 
 class Encoder:
@@ -27,27 +38,53 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._known: dict[str, bytes] = {}
+        self._model, self._letters = self._tokenizer.model, _byte_letters()
+        # Vocabularies with word ends drop white space and case; the others keep both.
+        self._drops = bool(self._model.end_of_word_suffix)
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """The ids of one pre-token."""
+        found = self._new.get(part) or self._old.get(part)
+        if found is None:
+            letters = "".join([self._letters[b] for b in part.encode()])
+            found = self._keep(part, np.array([t.id for t in self._model.tokenize(letters)], "<u4").tobytes())
+        return found
+
+    def _keep(self, piece: str, ids: bytes) -> bytes:
+        if len(piece) <= LONGEST_KEPT:
+            if len(self._new) >= MOST_KEPT:
+                self._old, self._new = self._new, {}
+            self._new[piece] = ids
+        return ids
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _piece(self, piece: str) -> bytes:
+        known = self._old.get(piece)
+        if known is not None:
+            return self._keep(piece, known)
+        plain = _PLAIN(piece)
+        if not plain:
+            return self._keep(piece, self._whole(piece))
+        space, word, stops = plain.groups()
+        if self._drops:
+            parts = [word.lower(), stops]
+        else:
+            parts = [space, word, stops] if space == "\n" else [space + word, stops]
+        return self._keep(piece, b"".join([self._part(p) for p in parts if p]))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if _OTHER_SPACE(text):
-            return self._plain([text])[0]
-        known = self._known
-        pieces = _PIECES(text)
-        new = list({p for p in pieces if p not in known})
-        if new:
-            if len(known) + len(new) > MOST_KEPT:
-                known.clear()
-                new = list(set(pieces))
-            ids = dict(zip(new, self._plain(new)))
-            known.update((p, i) for p, i in ids.items() if len(p) <= LONGEST_KEPT)
-            return b"".join([known[p] if p in known else ids[p] for p in pieces])
-        return b"".join([known[p] for p in pieces])
+            return self._whole(text)
+        out = []
+        for piece in _PIECES(text):
+            ids = self._new.get(piece)
+            out.append(self._piece(piece) if ids is None else ids)
+        return b"".join(out)
 
 
 @functools.lru_cache(maxsize=4)
