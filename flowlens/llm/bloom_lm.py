@@ -30,7 +30,7 @@ SEGMENTS = 64
 DISCOUNT = 0.95  # of the successor mass
 END = ""  # the token after the last word of a text
 FLUSH = 500_000  # entries a task counts before it gives them out
-MOST_KEPT = 300_000  # rare words a worker remembers
+SCORED_CHARS = 1 << 20  # characters scored at once; a longer text is scored alone
 
 
 def held_out(key: Column) -> Column:
@@ -204,6 +204,18 @@ def fit(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col:
     return Model(unigrams, n, v, words, counts, bloom, least)
 
 
+def _short_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and texts in slices of about ``SCORED_CHARS`` characters."""
+    for batch in batches:
+        start, texts, size = 0, [], 0
+        for i, text in enumerate(batch.column(1)):
+            texts.append(text.as_py())
+            size += len(texts[-1])
+            if size >= SCORED_CHARS or i == batch.num_rows - 1:
+                yield batch.column(0).slice(start, len(texts)), texts
+                start, texts, size = i + 1, [], 0
+
+
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     n, v, words, counts, bloom, least = shared.value
     number = {w: i for i, w in enumerate(words)}
@@ -214,8 +226,8 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     sums = bloom.low(mass + 1.0)
     weight = np.where(mass > 0, DISCOUNT * np.minimum(1, bloom.low(mass) / counts), 0.0) if len(words) else np.zeros(1)
     floor = -math.log10(n + v + 1)
-    for batch in batches:
-        texts = [_tokens(t.as_py()) for t in batch.column(1)]
+    for doc_ids, some in _short_batches(batches):
+        texts = [_tokens(t) for t in some]
         sizes = np.array([len(t) for t in texts], np.int64)
         ids, doc = _ids(texts, number), np.repeat(np.arange(len(texts)), sizes)
         before = np.concatenate(([end], ids[:-1]))[:len(ids)]
@@ -235,7 +247,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         rare = [[w for w, known_word in zip(t, frequent[e - s:e].tolist()) if not known_word]
                 for t, s, e in zip(texts, sizes.tolist(), np.cumsum(sizes).tolist())]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), pa.array(np.bincount(doc, frequent, len(texts)).astype(np.int64)),
+            [doc_ids, pa.array(sizes), pa.array(np.bincount(doc, frequent, len(texts)).astype(np.int64)),
              pa.array(np.bincount(doc, base, len(texts))), pa.array(np.bincount(doc, gain, len(texts))),
              pa.array(rare, pa.list_(pa.string()))],
             names=["doc_id", "n_tokens", "n_known", "base", "gain", "rare"])
