@@ -31,7 +31,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of documents, by recipes of chunks."""
-    return chunks.dedup(_table(spark, sf_dir, "documents"))
+    return chunks.dedup(_table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
 def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,4 +119,88 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_chunk_dedup, op2_repair_tokens, op3_best_fit_packing, op4_adaptive_quality, op5_pu_toxicity, op6_warc_archives,
     op7_bloom_lm, op8_token_rollups, op9_source_mix, op10_setsketch_near_dedup)}
 
-ORACLES: dict[str, str] = {}
+# Words, lines and their counts of a text, for the check SQL.
+_COUNTED = rf"""
+words as (select doc_id, lang, source, coalesce(text, '') as t, {WORDS} as w from documents),
+grams as (select doc_id, unnest(range(1, len(w) - 3)) as i, w from words where len(w) >= 5),
+marked as (select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) as n from grams),
+again as (select doc_id, count(distinct i + j) as n from marked, (select unnest(range(5)) as j) where marked.n > 1 group by doc_id),
+lines as (select *, [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as l from words),
+measured as (
+  select doc_id, lang, source, len(w) as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+         length(t) - length(translate(t, '#*$%&|<>', '')) as n_symbols, len(l) as n_lines,
+         len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(again.n, 0) as n_repeat_words
+  from lines left join again using (doc_id)),
+judged as (select *, n_words < {quality.LEAST_WORDS} or 100 * n_repeat_words > {quality.MOST_REPEAT_PERCENT} * n_words as base_failed
+           from measured)"""
+
+
+def _quality_sql() -> str:
+    ratios = {name: f"{above}::double / greatest({below}, 1)" for name, (above, below) in quality.RATIOS.items()}
+    values = " union all ".join(f"select lang, source, '{n}' as ratio, {v} as value, {quality.SPREAD[n]} as spread from passed" for n, v in ratios.items())
+    quartiles = ", ".join(f"min(case when 4 * upto >= {k} * docs then value end) as q{k}" for k in (1, 3))
+
+    def level(name: str, keys: str) -> str:
+        by = f"{keys}, " if keys else ""
+        return f"""{name}_b as (select {by}ratio, spread, bucket, sum(n) as n from sketch group by all),
+{name}_r as (select {by}ratio, spread, case when bucket is null then 0 else 2 * pow({quality.GAMMA}, bucket) / ({quality.GAMMA} + 1) end as value,
+  sum(n) over (partition by {by}ratio order by bucket nulls first) as upto, sum(n) over (partition by {by}ratio) as docs from {name}_b),
+{name} as (select {by}ratio, spread, max(docs) as docs, {quartiles} from {name}_r group by all)"""
+
+    def pick(q: str) -> str:
+        return (f"case when own.docs >= {quality.LEAST_DOCS} then own.{q} when of_lang.docs >= {quality.LEAST_DOCS} then of_lang.{q} "
+                f"else of_all.{q} end")
+
+    beyond = " or ".join([f"coalesce({v} > (select high from limits m where m.ratio = '{n}' and m.lang is not distinct from j.lang "
+                          f"and m.source is not distinct from j.source), false)" for n, v in ratios.items()]
+                         + [f"coalesce({ratios[n]} < (select low from limits m where m.ratio = '{n}' and m.lang is not distinct from j.lang "
+                            f"and m.source is not distinct from j.source), false)" for n in quality.BELOW])
+    return f"""with {_COUNTED}, passed as (select * from judged where not base_failed), vals as ({values}),
+sketch as (select lang, source, ratio, spread, case when value > 0 then ceil(ln(value) / ln({quality.GAMMA})) end as bucket, count(*) as n
+  from vals group by all),
+{level("own", "lang, source")}, {level("of_lang", "lang")}, {level("of_all", "")},
+chosen as (select own.lang, own.source, own.ratio, own.spread, {pick("q1")} as q1, {pick("q3")} as q3 from own
+  join of_lang on own.lang is not distinct from of_lang.lang and own.ratio = of_lang.ratio join of_all on own.ratio = of_all.ratio),
+limits as (select lang, source, ratio, q3 + {quality.FENCE} * greatest(q3 - q1, spread) as high,
+  q1 - {quality.FENCE} * greatest(q3 - q1, spread) as low from chosen)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not ({beyond}) as kept
+from judged j"""
+
+
+# Base32 of a SHA-1: its 160 bits in 32 groups of five.
+_BASE32 = "list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + " + " + ".join(
+    f"{16 >> k} * cast(substr(bits, (5 * i + {k + 1})::int, 1) as int)" for k in range(5)) + ", 1) for i in range(32)], 'string_agg', '')"
+
+ORACLES: dict[str, str] = {
+    "op1_chunk_dedup": f"""
+select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+       doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
+from (select doc_id, {LOWER} as t from documents)""",
+    "op4_adaptive_quality": _quality_sql(),
+    "op6_warc_archives": f"""
+select page_id, payload_bytes, {_BASE32} as payload_digest, case when page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id <> first_id then first_id end as refers_to
+from (select page_id, strlen(h) as payload_bytes, cast(cast(unhex(sha1(h)) as bit) as varchar) as bits,
+             min(page_id) over (partition by h) as first_id
+      from (select page_id, coalesce(html, '') as h from pages))""",
+    "op8_token_rollups": rf"""
+with counted as (select source, lang, len({WORDS}) as words,
+  len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[0-9]|[^A-Za-z0-9\x20\x09-\x0D]')) as pieces from documents)
+select source, lang, v.tokenizer, count(*) as n_docs, cast(sum(case when v.tokenizer = 'words-1' then words else pieces end) as bigint) as n_tokens
+from counted, (values ('words-1'), ('pieces-2')) v(tokenizer) where words >= 10 group by all""",
+    "op9_source_mix": f"""
+with recursive sized as (select doc_id, source, len({WORDS}) as size from documents),
+per as (select source, sum(size)::double as source_size, (row_number() over (order by source nulls last) - 1) % {mixing.CYCLE} + 1 as weight
+        from sized group by source),
+ordered as (select *, {mixing.MOST_REPEATS} * source_size as cap,
+  row_number() over (order by {mixing.MOST_REPEATS} * source_size / weight, source nulls last) as k from per),
+before as (select a.k, a.cap, a.weight, (select sum(source_size) from per) - coalesce(sum(b.cap), 0) as rest,
+  (select sum(weight) from per) - coalesce(sum(b.weight), 0) as weights from ordered a left join ordered b on b.k < a.k group by all),
+level as (select rest / weights as level from before where cap > rest / weights * weight order by k limit 1),
+rated as (select source, source_size, coalesce(least(cap, (select level from level) * weight), cap) as target from ordered),
+joined as (select s.doc_id, s.size, r.source_size, r.target, case when r.source_size > 0 then r.target / r.source_size else 0 end as rate,
+  ('0x' || substr(md5('{mixing.SEED}/' || s.doc_id), 1, 13))::bigint / {16 ** 13}.0::double as draw
+  from sized s join rated r on s.source is not distinct from r.source),
+copied as (select *, cast(floor(rate) + case when draw < rate - floor(rate) then 1 else 0 end as bigint) as n_copies from joined)
+select doc_id, size, cast(source_size as bigint) as source_size, target, n_copies * size as taken, n_copies from copied""",
+}
