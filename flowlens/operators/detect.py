@@ -257,7 +257,8 @@ def detect_windows(flows: DataFrame, as_of=None, syn_floor: int = settings.SYN_F
     """
     cuts = window_thresholds(flows)
     same = F.col("window_start").eqNullSafe(F.col("_w"))
-    with_cuts = flows.join(bounded(cuts.withColumnRenamed("window_start", "_w")), same)
+    rates = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in ("packet_rate", "byte_rate")}
+    with_cuts = flows.withColumns(rates).join(bounded(cuts.withColumnRenamed("window_start", "_w")), same)
     src, dst, when, key = _host(flows, "src_ip"), _host(flows, "dst_ip"), moment(as_of), _key(flows)
     tests = [
         ("high_packet_rate", F.col("packet_rate") > F.col("packet_rate_cut"),

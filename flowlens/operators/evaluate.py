@@ -34,7 +34,10 @@ def confusion(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.array("y_true", "y_pred")))).alias("labels"))
     grid = labels.select(*keys, "labels", F.explode("labels").alias("y_true")).select(
         *keys, "y_true", F.explode("labels").alias("y_pred"))
-    return grid.join(pairs, [*keys, "y_true", "y_pred"], "left").na.fill(0, ["n"])
+    # A missing label is a label of its own.
+    counts = pairs.select(*[F.col(c).alias(f"_{c}") for c in [*keys, "y_true", "y_pred"]], "n")
+    same = [grid[c].eqNullSafe(counts[f"_{c}"]) for c in [*keys, "y_true", "y_pred"]]
+    return grid.join(counts, same, "left").select(*keys, "y_true", "y_pred", "n").na.fill(0, ["n"])
 
 
 def _ratio(a: Column, b: Column) -> Column:

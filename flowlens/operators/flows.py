@@ -73,12 +73,12 @@ def session_flows(packets: DataFrame, gap_seconds: float) -> DataFrame:
     are reduced to one row first; only those rows are put in order, at most one per stretch.
     """
     gap = int(gap_seconds * MICROS)
-    size = F.col("packet_size").cast("double")
+    size = F.col("packet_size").cast("bigint")
     pieces = (packets.where(F.col("protocol_type").isNotNull())
               .groupBy(*FLOW_KEYS, F.floor(F.col("ts_us") / gap).alias("stretch"))
               .agg(F.count("*").alias("n"), F.sum("packet_size").cast("bigint").alias("bytes"),
                    F.min("ts_us").alias("lo"), F.max("ts_us").alias("hi"),
-                   (F.var_pop(size) * F.count("*")).alias("m2"),
+                   F.sum(size * size).alias("squares"),
                    F.min("packet_size").alias("least"), F.max("packet_size").alias("most"),
                    *[_flag_count(letter).alias(c) for c, letter in FLAG_COUNTS.items()]))
     order = Window.partitionBy(*FLOW_KEYS).orderBy("stretch")
@@ -87,17 +87,17 @@ def session_flows(packets: DataFrame, gap_seconds: float) -> DataFrame:
         "opens", F.when(before.isNull() | (F.col("lo") - before > gap), 1).otherwise(0))
     numbered = opened.withColumn("session", F.sum("opens").over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    mean = F.col("bytes") / F.col("n")
     totals = numbered.groupBy(*FLOW_KEYS, "session").agg(
         F.sum("n").alias("packet_count"), F.sum("bytes").alias("byte_count"),
         F.min("lo").alias("first_us"), F.max("hi").alias("last_us"),
-        F.sum("m2").alias("m2"),
-        F.sum(F.col("n") * mean * mean).alias("square"),
+        F.sum(F.col("squares").cast("decimal(28,0)")).cast("decimal(38,0)").alias("squares"),
         F.min("least").alias("min_packet_size"), F.max("most").alias("max_packet_size"),
         *[F.sum(c).alias(c) for c in FLAG_COUNTS])
     n = F.col("packet_count")
     average = F.col("byte_count") / n
-    spread = F.greatest(F.col("m2") + F.col("square") - n * average * average, F.lit(0.0))
+    # Whole numbers up to the last division, so nothing cancels.
+    whole = "cast(packet_count * squares - cast(byte_count as decimal(19,0)) * byte_count as double)"
+    spread = F.expr(whole) / n
     return totals.select(
         _key().alias("flow_key"), *FLOW_KEYS, F.col("first_us").alias("session_start_us"),
         F.col("last_us").alias("session_last_us"), "packet_count", "byte_count",

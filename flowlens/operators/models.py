@@ -148,6 +148,9 @@ def estimator_stages(name: str, classes: int, rows: int, train: DataFrame | None
     known = settings.MODEL_PARAMS
     if name not in known:
         raise ValueError(f"unknown model: {name}")
+    unknown = set(params or {}) - set(known[name])
+    if unknown:
+        raise ValueError(f"unknown parameters of {name}: {sorted(unknown)}")
     p = {**known[name], **(params or {})}
     columns = {"labelCol": "label_index", "featuresCol": "features"}
     if name == "random_forest":

@@ -54,7 +54,7 @@ select concat('10.1.', cast(l_orderkey % 200 as string), '.1') as orig_h,
        case when l_partkey % 2 = 0 then 'A' else 'AAAA' end as qtype_name,
        cast(l_partkey % 4 as int) as rcode,
        case when l_linenumber = 1 then '-' else cast(l_linenumber as string) end as rtt
-from lineitem where l_orderkey % 3 = 0 and l_linenumber <= 2""",
+from lineitem where l_orderkey % 3 = 0""",
     "http_log": """
 select concat('10.1.', cast(l_orderkey % 200 as string), '.1') as orig_h,
        1024 + cast(l_orderkey % 50000 as int) as orig_p,
@@ -65,7 +65,7 @@ select concat('10.1.', cast(l_orderkey % 200 as string), '.1') as orig_h,
        case when l_linenumber = 3 then '-' else cast(l_partkey % 700 as string) end as request_body_len,
        cast(l_partkey % 9000 as string) as response_body_len,
        case when l_partkey % 9 = 0 then '404' else '200' end as status_code
-from lineitem where l_orderkey % 3 = 1 and l_linenumber <= 3""",
+from lineitem where l_orderkey % 3 = 1""",
     "conn_events": """
 select event_id,
        concat('10.2.0.', cast(user_id % 20 as string)) as src_ip,

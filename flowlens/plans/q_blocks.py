@@ -10,22 +10,21 @@ from flowlens.plans.fixtures import table, view
 from flowlens.plans.q_detect import statistical
 from flowlens.plans.registry import DERIVED, query
 
-# A ledger made of every tenth order: an ip, a block time 0 to 699 s after the start.
+# A ledger made of the orders: each one an ip and a block time 0 to 699 s after the start.
 START_US = 1_704_067_200_000_000
 DERIVED["ledger"] = """
-select concat('10.0.', o_orderkey // 10 // 250, '.', o_orderkey // 10 % 250) as ip,
+select concat('10.', o_orderkey // 62500, '.', o_orderkey // 250 % 250, '.', o_orderkey % 250) as ip,
        1704067200000000 + (o_orderkey * 2 % 700) * 1000000 as block_us,
        case when o_orderstatus = 'F' then 'syn_flood' else 'port_scan' end as reason, 300 as duration
-from orders where o_orderkey % 10 = 0"""
+from orders"""
 LEDGER_AS_OF = "2024-01-01T00:06:40Z"  # 400 s after the start
 
 
 def order_ledger(spark, sf):
-    rows = table(spark, sf, "orders").where(F.col("o_orderkey") % 10 == 0)
-    no = F.floor(F.col("o_orderkey") / 10)
+    rows, no = table(spark, sf, "orders"), F.col("o_orderkey")
     return rows.select(
-        F.concat(F.lit("10.0."), F.floor(no / 250).cast("string"), F.lit("."),
-                 (no % 250).cast("string")).alias("ip"),
+        F.concat(F.lit("10."), F.floor(no / 62500).cast("string"), F.lit("."), (F.floor(no / 250) % 250).cast("string"),
+                 F.lit("."), (no % 250).cast("string")).alias("ip"),
         from_micros(F.lit(START_US) + (F.col("o_orderkey") * 2 % 700) * MICROS).alias("block_time"),
         F.when(F.col("o_orderstatus") == "F", "syn_flood").otherwise("port_scan").alias("reason"),
         F.lit(300).alias("duration"))

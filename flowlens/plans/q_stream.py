@@ -133,12 +133,12 @@ def stream_late_rows(spark, sf):
 @query("stream_detection_log", """
 select event_type as type, 0.8::double as confidence, concat('10.2.0.', user_id % 20) as src_ip,
        '192.168.2.1' as dst_ip, epoch_us(ts) as ts_us, concat('event ', event_id) as details
-from events where event_type = 'error'""")
+from events""")
 def stream_detection_log(spark, sf):
     rows = event_history(spark, sf)
     stream = sp.table_stream(tune(spark), landed(spark, rows), rows.schema)
     path = new_path(spark, "history")
-    log = stream.where(F.col("type") == "error").select(*DETECTION_COLUMNS)
+    log = stream.select(*DETECTION_COLUMNS)
     sinks.detection_log(log, path, new_path(spark, "checkpoint"), available_now=True).awaitTermination()
     out = spark.read.parquet(path)
     return out.withColumn("ts_us", F.unix_micros("timestamp")).drop("timestamp")

@@ -12,24 +12,55 @@ TYPES = {"port": "int", "count": "bigint", "int": "bigint", "double": "double",
          "interval": "double", "time": "double"}
 
 
-def log_header(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """(names, types) from the ``#fields`` and ``#types`` lines; types may be missing."""
-    def line(tag: str) -> list[str]:
-        found = spark.read.text(path).where(F.col("value").startswith(f"#{tag}\t")).limit(1).collect()
-        return found[0]["value"].split("\t")[1:] if found else []
-    names = line("fields")
-    return names, line("types") if names else []
+Paths = str | list[str]
 
 
-def read_log(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
-    """A log file, or a folder of files of one type, with the columns of its header.
+def log_headers(spark: SparkSession, path: Paths) -> dict[tuple[tuple[str, ...], tuple[str, ...]], list[str]]:
+    """(names, types) of the ``#fields`` and ``#types`` lines, with the files that have them; types may be missing."""
+    text = spark.read.text(path)
+    lines = (text.where(F.col("value").rlike("^#(fields|types)\t"))
+             .groupBy(F.col("_metadata.file_path").alias("file"))
+             .agg(F.min(F.when(F.col("value").startswith("#fields"), F.col("value"))).alias("names"),
+                  F.min(F.when(F.col("value").startswith("#types"), F.col("value"))).alias("types")))
+    found: dict = {}
+    for row in lines.where("names is not null").orderBy("file").collect():
+        key = tuple(row["names"].split("\t")[1:]), tuple((row["types"] or "").split("\t")[1:])
+        found.setdefault(key, []).append(row["file"])
+    return found
+
+
+def log_header(spark: SparkSession, path: Paths) -> tuple[list[str], list[str]]:
+    """(names, types) of the first file with a header."""
+    names, types = next(iter(log_headers(spark, path)), ((), ()))
+    return list(names), list(types)
+
+
+def read_log(spark: SparkSession, path: Paths, typed: bool = False) -> DataFrame:
+    """A log file, or a folder or list of files of one type, with the columns of their headers.
 
     Only lines that start with ``#`` are left out. Cells are text, unset ones included; with
     ``typed`` the columns that the header calls numbers are cast, and cells that are none are NULL.
+    Files with other columns are read by their own header and united by name. Files without a
+    header belong to the header of the others, if these have only one.
     """
-    names, types = log_header(spark, path)
-    if not names:
+    headers = log_headers(spark, path)
+    if not headers:
         raise ValueError(f"no #fields line in {path}")
+    if len(headers) == 1:
+        return _read_with(spark, path, *next(iter(headers)), typed)
+    bare = spark.read.text(path).select(F.col("_metadata.file_path").alias("file")).distinct() \
+        .where(~F.col("file").isin([f for files in headers.values() for f in files]))
+    if not bare.isEmpty():
+        raise ValueError(f"files without a #fields line next to different headers in {path}")
+    every = [_read_with(spark, files, names, types, typed) for (names, types), files in headers.items()]
+    united = every[0]
+    for one in every[1:]:
+        united = united.unionByName(one, allowMissingColumns=True)
+    return united
+
+
+def _read_with(spark: SparkSession, path: Paths, names: tuple[str, ...], types: tuple[str, ...],
+               typed: bool) -> DataFrame:
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
     rows = (spark.read.schema(schema).option("sep", "\t").option("comment", "#").option("quote", "")
             .option("emptyValue", "").csv(path))
@@ -42,13 +73,16 @@ def read_log(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
     return rows
 
 
-def log_files(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Log type to path: the standard types first, in their order, then the others by name.
+def log_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Log type to its paths, of any depth: the standard types first, in their order, then the others by name.
 
-    Files of length 0 are not listed."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.log")
-               .load(folder).select("path").collect())
-    found = {r["path"].rsplit("/", 1)[1].removesuffix(".log"): r["path"] for r in listing}
+    The type is the name up to the first dot, so ``conn.2024-01-01.log`` is a ``conn`` log. Files of length 0
+    are not listed."""
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.log").option("recursiveFileLookup", True)
+               .load(folder).where("length > 0").select("path").collect())
+    found: dict[str, list[str]] = {}
+    for path in sorted(r["path"] for r in listing):
+        found.setdefault(path.rsplit("/", 1)[1].split(".")[0], []).append(path)
     others = sorted(set(found) - set(STANDARD_LOGS))
     return {kind: found[kind] for kind in [*STANDARD_LOGS, *others] if kind in found}
 
@@ -66,11 +100,12 @@ def read_log_or_empty(spark: SparkSession, path: str, schema: str, typed: bool =
     return read_log(spark, path, typed)
 
 
-def read_logs(spark: SparkSession, files: dict[str, str], typed: bool = False) -> dict[str, DataFrame]:
+def read_logs(spark: SparkSession, files: dict[str, Paths], typed: bool = False) -> dict[str, DataFrame]:
     """The logs that exist and have rows, by type, in the given order."""
     logs = {}
     for kind, path in files.items():
-        if not _exists(spark, path) or not log_header(spark, path)[0]:
+        path = [p for p in ([path] if isinstance(path, str) else path) if _exists(spark, p)]
+        if not path or not log_headers(spark, path):
             continue
         log = read_log(spark, path, typed)
         if not log.isEmpty():

@@ -8,7 +8,6 @@ ends exactly where the next range starts, so a wrong guess is an error and never
 
 from __future__ import annotations
 
-import os
 import struct
 from collections.abc import Iterator
 from typing import BinaryIO
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flowlens.functions.packets import dotted, flag_letters, protocol_class
 from flowlens.functions.timing import from_micros
+from flowlens.sources.files import locate, open_input
 
 SPLIT_BYTES = 256 * 1024 * 1024
 BATCH_ROWS = 50_000
@@ -51,20 +51,14 @@ def open_stream(path: str) -> BinaryIO:
         return open("/" + path[5:].lstrip("/"), "rb", buffering=BLOCK_BYTES)
     if "://" not in path:
         return open(path, "rb", buffering=BLOCK_BYTES)
-    from pyarrow import fs
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner)
+    return open_input(path)
 
 
 def open_target(path: str) -> BinaryIO:
     """A new file of any file system Arrow knows; folders are made."""
-    if "://" in path:
-        from pyarrow import fs
-        system, inner = fs.FileSystem.from_uri(path)
-        system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-        return system.open_output_stream(inner)
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    return open(path, "wb")
+    system, inner = locate(path)
+    system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    return system.open_output_stream(inner)
 
 
 class _Classic:

@@ -132,3 +132,16 @@ def test_thresholds_of_windows_when_split(spark, sf):
     a = detect.window_thresholds(table).orderBy("window_start").collect()
     b = detect.window_thresholds(table, rows_per_bucket=50).orderBy("window_start").collect()
     assert a == b and len(a) > 3
+
+
+def test_confusion_counts_missing_labels(spark):
+    from flowlens.operators import evaluate
+    scored = spark.createDataFrame([("m", t, p) for t in ("a", None) for p in ("a", None)], "model_name string, y_true string, y_pred string")
+    got = {(r.y_true, r.y_pred): r.n for r in evaluate.confusion(scored).collect()}
+    assert got == {(t, p): 1 for t in ("a", None) for p in ("a", None)}
+
+
+def test_unknown_parameters_are_refused(spark):
+    from flowlens.operators import models
+    with pytest.raises(ValueError, match="unknown parameters"):
+        models.estimator_stages("decision_tree", 2, 10, params={"leaves": 3})

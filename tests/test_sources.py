@@ -178,6 +178,17 @@ def test_log_discovery_and_empty_logs(spark, tmp_path):
     assert logs.read_log_or_empty(spark, str(tmp_path / "gone.log"), "uid string").count() == 0
 
 
+def test_log_folders_rotate_and_change_columns(spark, tmp_path):
+    for folder, name, text in (("d1", "conn", "#fields\tx\ty\n1\t2\n"), ("d2", "conn", "#fields\ty\tx\n20\t10\n"),
+                               ("d2", "conn.2024-01-01", "#fields\tx\tz\n5\t7\n")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        put(tmp_path / folder, text.encode(), f"{name}.log")
+    files = logs.log_files(spark, str(tmp_path))
+    assert {k: len(v) for k, v in files.items()} == {"conn": 3}
+    rows = logs.read_logs(spark, files)["conn"].select("x", "y", "z").collect()
+    assert sorted(map(tuple, rows)) == [("1", "2", None), ("10", "20", None), ("5", None, "7")]
+
+
 def test_csv(spark, tmp_path):
     path = str(tmp_path / "csv")
     df = spark.createDataFrame([(1, 2.5, "x"), (2, None, None)], "a int, b double, c string")
