@@ -21,6 +21,7 @@ from flowlens.session import stage
 
 WINDOW = 4096
 GROUP_PIECES = 8192  # pieces packed together, about
+MOST_KEPT = 300_000  # pieces in a generation of the encoder; other steps' workers need the memory too
 
 
 class OpenWindows:
@@ -75,7 +76,7 @@ def best_fit(lengths: list[int], capacity: int = WINDOW) -> tuple[list[int], lis
 
 
 def _cut(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    encode, end = encoder(vocabulary).encode, np.array([end_id], "<u4").tobytes()
+    encode, end = encoder(vocabulary, MOST_KEPT).encode, np.array([end_id], "<u4").tobytes()
     for batch in batches:
         out: dict[str, list] = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):

@@ -30,7 +30,7 @@ REGISTERS = BANDS * ROWS
 B, A, Q = 1.001, 20.0, (1 << 16) - 2  # base, rate and largest exponent of the registers
 ERRORS = 4.5  # standard errors below the limit up to which a pair is verified
 BASE_BLOCK, QUERY_BLOCK = 2048, 512  # members of a bucket compared in one task
-MOST_KEPT = 300_000  # words a worker remembers
+MOST_KEPT = 100_000  # words a task remembers
 
 _RNG = np.random.Generator(np.random.PCG64(811))
 _FACTOR = _RNG.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -136,6 +136,7 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())],
             names=["doc_id", "n_shingles", "key", "sketch"])
+    _hashes.clear()  # workers are used again by other steps, which need the memory
 
 
 def _band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,6 +205,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
                 sets.append(found)
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(sets, pa.binary())],
                                          names=["cls", "found"])
+    _hashes.clear()
 
 
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:

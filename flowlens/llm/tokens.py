@@ -18,7 +18,7 @@ _OTHER_SPACE = re.compile(
 # either case), then some stops. Pre-tokenizers part it into exactly these three.
 _PLAIN = re.compile("([ \n]?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]*)").fullmatch
 LONGEST_KEPT = 48  # characters of a piece that is remembered
-MOST_KEPT = 600_000  # pieces in each of the two generations a worker remembers
+MOST_KEPT = 600_000  # pieces in each of the two generations a worker remembers, if not told otherwise
 
 
 def _byte_letters() -> dict[int, str]:
@@ -32,7 +32,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Encodes texts to ids, remembering the pieces it has met; one per worker and vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most_kept: int = MOST_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -41,6 +41,7 @@ class Encoder:
         self._model, self._letters = self._tokenizer.model, _byte_letters()
         # Vocabularies with word ends drop white space and case; the others keep both.
         self._drops = bool(self._model.end_of_word_suffix)
+        self._most_kept = most_kept
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -57,7 +58,7 @@ class Encoder:
 
     def _keep(self, piece: str, ids: bytes) -> bytes:
         if len(piece) <= LONGEST_KEPT:
-            if len(self._new) >= MOST_KEPT:
+            if len(self._new) >= self._most_kept:
                 self._old, self._new = self._new, {}
             self._new[piece] = ids
         return ids
@@ -88,6 +89,6 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, most_kept: int = MOST_KEPT) -> Encoder:
     """The worker's encoder for a vocabulary file; workers are used again, so are the pieces."""
-    return Encoder(path)
+    return Encoder(path, most_kept)

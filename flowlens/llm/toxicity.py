@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,7 +25,7 @@ LEAST_TEXTS = 3  # toxic texts a feature must be in
 LEAST_PART = 0.3  # part of the texts with a feature that must be toxic, by the class prior
 STEPS, RATE, DECAY = 1500, 0.1, 1e-6
 SEED = 11
-MOST_KEPT = 300_000  # words a worker remembers
+MOST_KEPT = 100_000  # words a task remembers
 
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -148,15 +149,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(parsed[True], parsed[False], prior)
 
 
-_kept: dict = {}
-
-
 def _score_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    weights, bias, number = shared.value
-    if _kept.get("model") != number:
-        _kept.update(model=number, words={})
+    weights, bias = shared.value
     # A feature counts once in a text, as in training. Words alone would count a stem as often as it has words.
-    known: dict[str, tuple[tuple[int, float], ...]] = _kept["words"]
+    # The words end with the task: workers are used again by other steps, which need the memory.
+    known: dict[str, tuple[tuple[int, float], ...]] = {}
     for batch in batches:
         out = np.empty(batch.num_rows)
         for i, text in enumerate(batch.column(1)):
@@ -180,25 +177,25 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text"))
     # 2 ** DIM_BITS weights of 4 bytes: 4 MB, whatever the input.
-    number = int(xxhash.xxh3_64_intdigest(model.weights.tobytes() + np.float64(model.bias).tobytes()))
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, number))
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     return plain.mapInArrow(lambda batches: _score_batches(batches, shared), f"doc_id {kind}, score double")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``docs``, all columns, without the rows that score at least ``threshold``."""
-    weighed = docs.withColumn("_toxic_text", text_of(docs, text_col))
-    names = weighed.columns
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model.weights, model.bias, int(xxhash.xxh3_64_intdigest(model.weights.tobytes()))))
+    place = docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def texts(batches: Iterator[pa.RecordBatch], held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column(names.index("_toxic_text"))
-            pair = pa.RecordBatch.from_arrays([text, text], names=["doc_id", "text"])
-            scored = next(_score_batches(iter([pair]), shared))
-            keep = pa.array(np.asarray(scored.column(1)) < threshold)
-            yield batch.select(names[:-1]).filter(keep)
+            held.append(batch)
+            text = pc.fill_null(batch.column(place).cast(pa.string()), "")
+            yield pa.RecordBatch.from_arrays([text, text], names=["doc_id", "text"])
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for scored in _score_batches(texts(batches, held), shared):
+            yield held.pop().filter(pa.array(np.asarray(scored.column(1)) < threshold))
 
-    return weighed.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(clean, docs.schema)
