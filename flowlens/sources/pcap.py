@@ -1,9 +1,8 @@
 """Packet capture files as a packet table, in batch and as files land.
 
 Files are listed by Spark, decoded in Arrow batches on the executors and read as streams, so
-memory stays flat whatever their size. A large classic capture is cut into byte ranges: a first
-pass finds a record start near each cut, and the decoder of a range checks that its last record
-ends exactly where the next range starts, so a wrong guess is an error and never a wrong row.
+memory stays flat whatever their size. A large classic capture is cut into byte ranges at proven
+record starts; decoding searches on after a damaged record, and finds the same ones in any range.
 """
 
 from __future__ import annotations
@@ -24,8 +23,9 @@ SPLIT_BYTES = 256 * 1024 * 1024
 BATCH_ROWS = 50_000
 BLOCK_BYTES = 4 * 1024 * 1024
 HEAD_BYTES = 160          # link header, tags, longest IPv4 header and the transport fields
-PROOF_RECORDS = 64        # plausible records in a row that make a cut believable
-SEARCH_BYTES = 2 * 1024 * 1024
+PROOF_RECORDS = 64        # believable records in a row that prove a start
+SEARCH_BYTES = 2 * 1024 * 1024  # read at a time while searching
+MOST_CAPTURED = 16 * 1024 * 1024  # bytes of a record, whatever the file header says
 
 # Fixed values of the two container formats.
 MAGIC_MICRO, MAGIC_NANO = 0xA1B2C3D4, 0xA1B23C4D
@@ -71,6 +71,28 @@ class _Classic:
         self.per_second = 1_000_000_000 if magic == MAGIC_NANO else 1_000_000
         self.link = link & 0x0FFFFFFF
         self.record = struct.Struct(self.order + "IIII")
+        self.largest = max(self.snap or 262144, 65535)
+
+    def believable(self, head: bytes) -> bool:
+        """Whether 16 bytes can be the header of a record."""
+        if len(head) < 16:
+            return False
+        _, frac, size, original = self.record.unpack(head)
+        return 0 < size <= min(self.largest, MOST_CAPTURED) and size <= original <= 0x40000 + self.largest \
+            and frac < self.per_second
+
+    def candidates(self, data: bytes) -> np.ndarray:
+        """Offsets in ``data`` at which a believable header lies."""
+        out = []
+        for shift in range(4):
+            words = np.frombuffer(data, self.order + "u4", (len(data) - shift) // 4 if len(data) > shift else 0, shift).astype(np.int64)
+            if len(words) < 4:
+                continue
+            frac, size, original = words[1:-2], words[2:-1], words[3:]
+            good = (size > 0) & (size <= min(self.largest, MOST_CAPTURED)) & (size <= original) \
+                & (original <= 0x40000 + self.largest) & (frac < self.per_second)
+            out.append(np.flatnonzero(good) * 4 + shift)
+        return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
 def _container(head: bytes) -> str | None:
@@ -87,28 +109,43 @@ Record = tuple[int, int, bytes, int, bool]
 
 
 def classic_records(f: BinaryIO, start: int, end: int | None) -> Iterator[Record]:
-    """Records that start in [start, end); an ``end`` must be the start of a record."""
+    """Records that start in [start, end); both are starts of believable records, or the ends of the file.
+
+    A damaged record gives one incomplete record, and reading goes on at the next believable one. Whether a record is
+    damaged depends on the file alone, so the ranges of a file give what the whole file gives. No read is longer
+    than a record may be.
+    """
     f.seek(0)
     about = _Classic(f.read(_Classic.size))
+    length = f.seek(0, 2)
     at = max(start, _Classic.size)
+    end = length if end is None else end
     f.seek(at)
-    while end is None or at < end:
-        head = f.read(16)
-        if len(head) < 16:
-            if head:
-                yield 0, about.link, b"", len(head), False
-            if end is not None:
-                raise ValueError("capture range ends inside a record: read with split_bytes=None")
-            return
-        sec, frac, size, _ = about.record.unpack(head)
-        data = f.read(size)
-        at += 16 + size
-        yield (sec * 1_000_000 + frac * 1_000_000 // about.per_second, about.link,
-               data[:HEAD_BYTES], len(data), len(data) == size)
-        if len(data) < size:
+    head = f.read(16)
+    while at < end:
+        if not about.believable(head):
+            yield 0, about.link, b"", len(head), False
+            found = find_record(f, about, at + 1, length)
+        else:
+            sec, frac, size, _ = about.record.unpack(head)
+            following = at + 16 + size
+            rest = f.read(size + 16)
+            data, head = rest[:size], rest[size:]
+            time = sec * 1_000_000 + frac * 1_000_000 // about.per_second
+            found = None
+            if following != length and not about.believable(head):
+                found = find_record(f, about, at + 16, length)
+                f.seek(min(following + 16, length))
+            if found is None or found >= following:  # this record is whole, or cut off by the end of the file
+                yield time, about.link, data[:HEAD_BYTES], len(data), len(data) == size
+                at = following
+                continue
+            yield time, about.link, b"", 0, False  # its length leads past the next record
+        if found is None:
             return
-    if end is not None and at != end:
-        raise ValueError("capture range ends inside a record: read with split_bytes=None")
+        at = found
+        f.seek(at)
+        head = f.read(16)
 
 
 def block_records(f: BinaryIO) -> Iterator[Record]:
@@ -131,7 +168,7 @@ def block_records(f: BinaryIO) -> Iterator[Record]:
             links = []
             continue
         size = struct.unpack(order + "I", head[4:])[0]
-        if size < 12:
+        if not 12 <= size <= MOST_CAPTURED:
             yield 0, 1, b"", 0, False
             return
         body = f.read(size - 8)
@@ -178,36 +215,37 @@ def _interface(body: bytes, order: str) -> tuple[int, int, int, int]:
     return link, per_second, shift, snap
 
 
-def find_cut(f: BinaryIO, about: _Classic, near: int, length: int) -> int | None:
-    """The first offset from ``near`` on at which a long run of plausible records starts."""
-    f.seek(near)
-    data = f.read(SEARCH_BYTES)
-    at_end = near + len(data) >= length
-    largest = max(about.snap or 262144, 65535)
-    for offset in range(0, max(0, len(data) - 16)):
-        at, seen, last = offset, 0, None
-        while seen < PROOF_RECORDS:
-            if at_end and at == len(data) and seen:
+def find_record(f: BinaryIO, about: _Classic, near: int, length: int) -> int | None:
+    """The first offset from ``near`` on at which a long run of believable records starts, or one up to the end."""
+    while near + 16 <= length:
+        f.seek(near)
+        data = f.read(min(SEARCH_BYTES + 15, length - near))
+        for offset in about.candidates(data).tolist():
+            if _proven(f, about, near + offset, length):
                 return near + offset
-            if at + 16 > len(data):
-                break
-            sec, frac, size, original = about.record.unpack_from(data, at)
-            if not (0 < size <= largest and size <= original <= 0x40000 + largest
-                    and frac < about.per_second and (last is None or abs(sec - last) <= 86_400)):
-                break
-            at, seen, last = at + 16 + size, seen + 1, sec
-        if seen >= PROOF_RECORDS:
-            return near + offset
+        near += max(1, len(data) - 15)
     return None
 
 
+def _proven(f: BinaryIO, about: _Classic, at: int, length: int) -> bool:
+    for _ in range(PROOF_RECORDS):
+        if at == length:
+            return True
+        f.seek(at)
+        head = f.read(16)
+        if not about.believable(head):
+            return False
+        at += 16 + about.record.unpack(head)[2]
+    return at <= length
+
+
 def range_start(path: str, length: int, near: int) -> int | None:
     """Where the range that begins near ``near`` starts; None if it has no start of its own."""
     if near == 0:
         return 0
     with open_stream(path) as f:
         head = f.read(24)
-        return find_cut(f, _Classic(head), near, length) if _container(head) == "classic" else None
+        return find_record(f, _Classic(head), near, length) if _container(head) == "classic" else None
 
 
 def _decode(file: str, records: list[Record]) -> pa.RecordBatch:

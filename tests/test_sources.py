@@ -133,10 +133,28 @@ def test_ranges_give_the_same_rows(spark, tmp_path):
     assert len(starts) == 10
 
 
-def test_a_range_has_to_end_at_a_record(tmp_path):
-    path = put(tmp_path, classic(FRAMES))
-    with open(path, "rb") as f, pytest.raises(ValueError, match="inside a record"):
-        list(pcap.classic_records(f, 0, 100))
+@pytest.mark.parametrize("at,length", [(2000, 7), (2000, 100_000), (2000, 2 ** 31 - 1), (0, 30), (2999, 9), (None, 0)])
+def test_a_damaged_length_costs_one_record_in_any_ranges(spark, tmp_path, at, length):
+    many = [ether(0x0800, ipv4(6, tcp(i % 60000, 80)) + b"x" * (i % 900)) for i in range(3000)]
+    data = bytearray(classic(many))
+    if at is not None:
+        place = 24 + sum(16 + len(m) for m in many[:at])
+        struct.pack_into("<I", data, place + 8, min(len(many[at]) + length, 2 ** 31 - 1))
+        struct.pack_into("<I", data, place + 12, min(len(many[at]) + length, 2 ** 31 - 1))
+    path = put(tmp_path, bytes(data))
+    key = ["ts_us", "src_port", "packet_size", "corrupt"]
+    found = [sorted(map(tuple, pcap.read_pcap(spark, path, split_bytes=n, keep_corrupt=True).select(key).collect()))
+             for n in (None, 65_536, 1 << 20)]
+    assert found[0] == found[1] == found[2]
+    assert len(found[0]) == 3000 and sum(r[3] for r in found[0]) == (at is not None)
+
+
+def test_records_above_the_usual_size_are_cut_too(spark, tmp_path):
+    many = [ether(0x0800, ipv4(6, tcp(i, 80)) + b"x" * 50_000) for i in range(200)]
+    path = put(tmp_path, classic(many))
+    size = os.path.getsize(path)
+    assert len({pcap.range_start(path, size, n) for n in range(0, size, size // 4)} - {None}) >= 4
+    assert pcap.read_pcap(spark, path, split_bytes=size // 4).count() == 200
 
 
 def test_written_frames_read_back(spark, tmp_path):
