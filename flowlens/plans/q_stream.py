@@ -85,12 +85,14 @@ def stream_flow_sessions(spark, sf):
     return out.select("flow_key", F.unix_micros("session_start").alias("session_us"), "packet_count", "byte_count")
 
 
-@query("stream_rate_limit", CHECKS["rate_limit_trailing"])
+@query("stream_rate_limit", f"select r.* from ({CHECKS['rate_limit_trailing']}) r, mark where r.ts_us < mark_us")
 def stream_rate_limit(spark, sf):
     return drained(spark, state.stream_rate_limited(packet_stream(spark, sf), threshold=10))
 
 
-@query("stream_block_timeline", CHECKS["block_timeline"])
+@query("stream_block_timeline", f"""
+select b.* from ({CHECKS['block_timeline']}) b
+where ts_us < (select (max(epoch_us(ts)) // 1000 - 10000) * 1000 from events)""")
 def stream_block_timeline(spark, sf):
     rows = view(spark, sf, "conn_events").withColumnRenamed("ts", "timestamp")
     stream = sp.table_stream(tune(spark), landed(spark, rows), rows.schema)

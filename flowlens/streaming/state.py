@@ -28,8 +28,21 @@ def _merge(t1, n1, t2, n2) -> tuple[np.ndarray, np.ndarray]:
     return times, counts
 
 
+def _held(state) -> tuple[np.ndarray, np.ndarray]:
+    rows = list(state.get()) if state.exists() else []
+    none = np.array([], dtype=np.int64)
+    return _merge(none, none, np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64))
+
+
+def _due(ts_us: int) -> int:
+    """The first watermark in milliseconds that has passed an instant."""
+    return int(ts_us) // 1000 + 1
+
+
 class TrailingCount(StatefulProcessor):
-    """Keeps the instants of a key that a coming event can still count."""
+    """Adds instants to the state as they come; counts them once the watermark has passed them, so that their order
+    of arrival does not matter. Instants stay until no later one can count them.
+    """
 
     def __init__(self, window_us: int, threshold: int):
         self.window_us, self.threshold = window_us, threshold
@@ -37,36 +50,42 @@ class TrailingCount(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.seen = handle.getListState("seen", "ts_us bigint, events bigint")
+        self.done = handle.getValueState("done", "mark_us bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new, events = _instants(rows)
-        old = list(self.seen.get()) if self.seen.exists() else []
-        times, counts = _merge(np.array([r[0] for r in old], dtype=np.int64),
-                               np.array([r[1] for r in old], dtype=np.int64), new, events)
-        upto = np.cumsum(counts)
-        gone = np.searchsorted(times, new - self.window_us, side="right")
-        recent = upto[np.searchsorted(times, new)] - np.where(gone > 0, upto[gone - 1], 0)
-        over = recent > self.threshold
+        times, events = _instants(rows)
+        if len(times):
+            self.seen.appendList([(int(t), int(n)) for t, n in zip(times, events)])
+            self.handle.registerTimer(_due(times[0]))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
+        done = self.done.get()[0] if self.done.exists() else None
+        if done == mark:
+            return iter([])  # another timer of this batch has done it
+        times, counts = _held(self.seen)
+        upto = np.cumsum(counts)
+        closed = np.flatnonzero((times < mark) & (done is None or times >= done))
+        gone = np.searchsorted(times, times[closed] - self.window_us, side="right")
+        recent = upto[closed] - np.where(gone > 0, upto[gone - 1], 0)
         alive = times > mark - self.window_us
         if alive.any():
             self.seen.put([(int(t), int(n)) for t, n in zip(times[alive], counts[alive])])
+            self.done.update((int(mark),))
+            pending = times[times >= mark]
+            self.handle.registerTimer(_due(pending[0]) if len(pending) else _due(times[-1] + self.window_us))
         else:
             self.seen.clear()
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int((times[-1] + self.window_us) // 1000 + 1))
-        if not over.any():
+            self.done.clear()
+        hits = closed[recent > self.threshold]
+        if not len(hits):
             return iter([])
-        out = pd.DataFrame({"ts_us": new[over], "events": events[over], "recent": recent[over]})
+        out = pd.DataFrame({"ts_us": times[hits], "events": counts[hits], "recent": recent[recent > self.threshold]})
         for i, name in enumerate(("src_ip", "dst_ip", "dst_port")):
             out.insert(i, name, key[i])
         return iter([out])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        return iter([])
-
     def close(self) -> None:
         pass
 
@@ -74,7 +93,7 @@ class TrailingCount(StatefulProcessor):
 def stream_rate_limited(packets: DataFrame, threshold: int = settings.RATE_LIMIT,
                         window_us: int = settings.RATE_WINDOW_SECONDS * MICROS,
                         delay: str = "10 seconds") -> DataFrame:
-    """Instants with more than ``threshold`` events of a (src, dst, port) in the trailing window."""
+    """Instants with more than ``threshold`` events of a (src, dst, port) in the trailing window, once the watermark passed them."""
     rows = packets.withWatermark("timestamp", delay).select(
         "src_ip", "dst_ip", "dst_port", "timestamp", "ts_us")
     return rows.groupBy("src_ip", "dst_ip", "dst_port").transformWithStateInPandas(
@@ -85,35 +104,47 @@ def stream_rate_limited(packets: DataFrame, threshold: int = settings.RATE_LIMIT
 
 
 class BlockList(StatefulProcessor):
-    """Keeps the time of the running block of an ip; a timer drops it when the block is over."""
+    """Adds events to the state as they come and replays them once the watermark has passed them. The time of the running
+    block of an ip is kept until the block is over.
+    """
 
     def __init__(self, duration_us: int):
         self.duration_us = duration_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.waiting = handle.getListState("waiting", "ts_us bigint, events bigint")
         self.last = handle.getValueState("last", "ts_us bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        times, _ = _instants(rows)
+        times, events = _instants(rows)
+        if len(times):
+            self.waiting.appendList([(int(t), int(n)) for t, n in zip(times, events)])
+            self.handle.registerTimer(_due(times[0]))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        times, counts = _held(self.waiting)
+        closed, pending = times[times < mark], times >= mark
         last = self.last.get()[0] if self.last.exists() else None
         opened = []
-        at = 0 if last is None else int(np.searchsorted(times, last + self.duration_us, side="right"))
-        while at < len(times):
-            last = int(times[at])
+        at = 0 if last is None else int(np.searchsorted(closed, last + self.duration_us, side="right"))
+        while at < len(closed):
+            last = int(closed[at])
             opened.append(last)
-            at = int(np.searchsorted(times, last + self.duration_us, side="right"))
-        if not opened:
-            return iter([])
-        self.last.update((last,))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer((last + self.duration_us) // 1000 + 1)
-        return iter([pd.DataFrame({"ip": key[0], "ts_us": opened})])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        return iter([])
+            at = int(np.searchsorted(closed, last + self.duration_us, side="right"))
+        if pending.any():
+            self.waiting.put([(int(t), int(n)) for t, n in zip(times[pending], counts[pending])])
+            self.handle.registerTimer(_due(times[pending][0]))
+        else:
+            self.waiting.clear()
+        if last is not None and last + self.duration_us >= mark:
+            self.last.update((last,))
+            self.handle.registerTimer(_due(last + self.duration_us))
+        else:
+            self.last.clear()
+        return iter([pd.DataFrame({"ip": key[0], "ts_us": opened})]) if opened else iter([])
 
     def close(self) -> None:
         pass
@@ -121,7 +152,7 @@ class BlockList(StatefulProcessor):
 
 def stream_block_timeline(events: DataFrame, ip: str = "src_ip",
                           duration: int = settings.BLOCK_SECONDS, delay: str = "10 seconds") -> DataFrame:
-    """Blocks as they open. An event older than the running block of its ip opens nothing."""
+    """Blocks, in whatever order events arrive, once the watermark has passed their opening."""
     rows = events.withWatermark("timestamp", delay).select(
         F.col(ip).alias("ip"), "timestamp", micros(F.col("timestamp")).alias("ts_us"))
     return rows.where(F.col("ip").isNotNull()).groupBy("ip").transformWithStateInPandas(
