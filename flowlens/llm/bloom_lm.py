@@ -1,13 +1,14 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Pairs of words are counted over the whole training text. The filter holds, for each pair with at least a share
-``SHARE`` of all tokens, its quantised log count: the pair is put in under the levels 1, 2, ... up to its own, and
-is read back by asking for level after level until one is missing. There are at most 1 / ``SHARE`` such pairs, and at most as many words with that share, so
-the filter and the word list that tasks get have a size bound that does not depend on the input. Counts of
-single words are exact: those of frequent words come with the word list, all others by a join.
-
-p(w | u) = m(u) f(u w) + (1 - m(u)) p(w), where p(w) is the add-one share of w, m(u) the discounted share of
-u's successors that the filter holds and f(u w) the part of w in them.
+Pairs of words are counted over the whole training text, and every pair counts. The filter holds, for each pair with at
+least a share ``SHARE`` of all tokens, its quantised log count: the pair is put in under the levels 1, 2, ... up to its
+own, and is read back by asking for level after level until one is missing. There are at most 1 / ``SHARE`` such pairs,
+and at most as many words with that share, so the filter and the word list that tasks get have a size bound that does not
+depend on the input. All other words and pairs are exact and joined: words by name, pairs by a 64-bit key in buckets
+whose number grows with the training text.
+
+p(w | u) = m(u) c(u w) / c(u) + (1 - m(u)) p(w), where p(w) is the add-one share of w and m(u) is ``DISCOUNT`` for
+words u of the training text, else 0.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from flowlens.llm.common import find_words, lower_ascii, text_of
 from flowlens.session import stage
@@ -30,6 +33,8 @@ SEGMENTS = 64
 DISCOUNT = 0.95  # of the successor mass
 END = ""  # the token after the last word of a text
 FLUSH = 500_000  # entries a task counts before it gives them out
+BUCKET = 1 << 19  # tokens of the training text per bucket of pairs, and pairs asked for at once in one
+PACKED = 512  # entries in a row of a bucket
 SCORED_CHARS = 1 << 20  # characters scored at once; a longer text is scored alone
 
 
@@ -121,52 +126,124 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def _ids(texts: list[list[str]], number: dict[str, int]) -> np.ndarray:
-    return np.array([number.get(w, -1) for words in texts for w in words], np.int64)
+class _Codes(dict):
+    """The number of a frequent word; of any other word a negative hash."""
 
+    def __missing__(self, word: str) -> int:
+        return -1 - (xxhash.xxh3_64_intdigest(word) >> 1)
 
-def _count_pairs(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    number = {w: i for i, w in enumerate(shared.value[0])}
-    end, held, size = number.get(END, -1), [], 0
 
-    def out() -> pa.RecordBatch:
+def _ids(texts: list[list[str]], number: _Codes) -> np.ndarray:
+    return np.fromiter((i for words in texts for i in map(number.__getitem__, words)), np.int64, sum(map(len, texts)))
+
+
+def _keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Pairs as 64 bits: both numbers, or negative and hashed if a word is not frequent."""
+    mixed = _mix(before.view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + _mix(after.view(np.uint64)))
+    return np.where((before >= 0) & (after >= 0), before << 20 | after, (mixed | np.uint64(1 << 63)).view(np.int64))
+
+
+def _deal(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (_mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _bucket(before: np.ndarray, keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Pairs that begin with the same rare word share a bucket; those of a frequent word are dealt one by one."""
+    return _deal(np.where(before >= 0, keys, before), buckets)
+
+
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def _packed(bucket: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """Rows of up to ``PACKED`` entries of one bucket. Of the 64 bits of each entry the lowest bytes come first, then
+    the next ones, which compress well; the last column is held as differences."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    starts = np.concatenate([np.zeros(0, np.int64), *[np.arange(a, b, PACKED) for a, b in zip(first, np.append(first[1:], len(bucket)))]])
+    ends = np.append(starts[1:], len(bucket)).tolist() if len(starts) else []
+    out = [pa.array(bucket[starts], pa.int64())]
+    for k, column in enumerate(columns):
+        value = column[order]
+        if k == len(columns) - 1 and len(value):
+            value = np.diff(value, prepend=0)
+            value[starts] = column[order[starts]]
+        planes = value.astype("<i8").view(np.uint8).reshape(-1, 8)
+        out.append(pa.array([_ZSTD.compress(planes[a:b].T.tobytes(), asbytes=True) + (b - a).to_bytes(4, "little")
+                             for a, b in zip(starts.tolist(), ends)], pa.binary()))
+    return out
+
+
+def _entries(column: pa.Array | pa.ChunkedArray, differences: bool = False) -> np.ndarray:
+    """The entries of a packed column; ``differences`` for the last one."""
+    parts = []
+    for x in column.to_pylist():
+        planes = _ZSTD.decompress(x[:-4], 8 * int.from_bytes(x[-4:], "little"), asbytes=True)
+        parts.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<i8").ravel())
+    return np.concatenate([np.zeros(0, np.int64), *[np.cumsum(x) if differences else x for x in parts]])
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed pairs with their counts; those with a rare second word by that word, all others by their own bucket."""
+    number = _Codes(zip(shared.value[0], range(len(shared.value[0]))))
+    end, held, size = number[END], [], 0
+
+    def out() -> Iterator[pa.RecordBatch]:
         nonlocal held, size
-        pairs, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64),) * 2
+        before, after = (np.concatenate([pair[k] for pair in held]) for k in (0, 1))
         held, size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(counts, pa.int64())], names=["pair", "c"])
+        keys, first, counts = np.unique(_keys(before, after), return_index=True, return_counts=True)
+        before, after = before[first], after[first]
+        for rare in (False, True):
+            some = (after < 0) == rare
+            bucket = _deal(after[some], buckets) if rare else _bucket(before[some], keys[some], buckets)
+            columns = _packed(bucket, before[some], counts[some].astype(np.int64), after[some])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([rare] * len(columns[0]), pa.bool_())],
+                                             names=["bucket", "before", "c", "after", "by_after"])
 
     for batch in batches:
         for text in batch.column(0):
             ids = _ids([_tokens(text.as_py())], number)
-            before = np.concatenate(([end], ids[:-1]))  # a text begins where another one ended
-            both = (ids >= 0) & (before >= 0)
-            held.append(before[both] << 20 | ids[both])
-            size += len(held[-1])
-            if size >= 8 * FLUSH:
-                yield out()
-    yield out()
+            held.append((np.concatenate(([end], ids[:-1])), ids))  # a text begins where another one ended
+            size += len(ids)
+            if size >= 4 * FLUSH:
+                yield from out()
+    if held:
+        yield from out()
+
+
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, first and second words and counts of the distinct pairs of a bucket, and where each was first."""
+    before, after = _entries(table["before"]), _entries(table["after"], True)
+    keys, first, back = np.unique(_keys(before, after), return_index=True, return_inverse=True)
+    return keys, before[first], after[first], np.bincount(back, _entries(table["c"]), len(keys)).astype(np.int64), first
+
+
+def _sums(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Per entry the count of its word, all of whose pairs are here."""
+    distinct, back = np.unique(words, return_inverse=True)
+    return np.bincount(back, counts, len(distinct)).astype(np.int64)[back]
 
 
 class Model:
-    """What scoring needs: exact totals and counts, the frequent words and the filter, by size bound."""
+    """What scoring needs: exact totals and counts, all pairs by bucket, and by size bound the frequent words and the filter."""
 
-    def __init__(self, unigrams: DataFrame, n: int, v: int, words: list[str], counts: np.ndarray, bloom: LogBloom, least: float):
-        self.unigrams, self.n, self.v, self.words, self.counts, self.bloom, self.least = unigrams, n, v, words, counts, bloom, least
+    def __init__(self, unigrams: DataFrame, pairs: DataFrame, buckets: int, n: int, v: int, words: list[str], counts: np.ndarray,
+                 bloom: LogBloom, least: float):
+        self.unigrams, self.pairs, self.buckets, self.n, self.v = unigrams, pairs, buckets, n, v
+        self.words, self.counts, self.bloom, self.least = words, counts, bloom, least
 
 
 def _pair_key(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return _mix((before.astype(np.uint64) << np.uint64(20) | after.astype(np.uint64)) + np.uint64(1))
 
 
-def _context_key(word: np.ndarray) -> np.ndarray:
-    return _mix(word.astype(np.uint64) | np.uint64(1 << 62))
-
-
 def _segments(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        item, c = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-        is_pair = np.asarray(batch.column(2).cast(pa.int8())) == 1
-        keys = np.where(is_pair, _pair_key(item >> 20, item & 0xFFFFF), _context_key(item))
+        keys, c = _entries(batch.column(0), True), _entries(batch.column(1))
+        keys, c = keys[c >= least], c[c >= least]  # of frequent words only
+        keys = _pair_key(keys >> 20, keys & 0xFFFFF)
         yield pa.RecordBatch.from_arrays(
             [pa.array(LogBloom.segment(keys), pa.int64()), pa.array(keys.view(np.int64), pa.int64()),
              pa.array(levels_of(c, least), pa.int64())], names=["segment", "key", "level"])
@@ -184,13 +261,35 @@ def fit(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col:
     top = unigrams.where(F.col("c") >= least).orderBy(F.desc("c"), "token").toArrow()
     words, counts = top["token"].to_pylist(), np.asarray(top["c"], np.int64)
     shared = spark.sparkContext.broadcast((words,))
-    pairs = text.mapInArrow(lambda batches: _count_pairs(batches, shared), "pair long, c long") \
-        .groupBy("pair").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-    pairs = stage(pairs, "pairs")
-    contexts = pairs.groupBy(F.shiftright("pair", 20).alias("item")).agg(F.sum("c").alias("c"))
-    items = pairs.select(F.col("pair").alias("item"), "c", F.lit(True).alias("is_pair")) \
-        .unionAll(contexts.select("item", "c", F.lit(False)))
-    keyed = stage(items.mapInArrow(lambda batches: _segments(batches, least), "segment long, key long, level long"), "keys")
+    buckets = -(-n // BUCKET) or 1
+    raw = stage(text.mapInArrow(lambda batches: _count_pairs(batches, shared, buckets),
+                                "bucket long, before binary, c binary, after binary, by_after boolean"), "raw_pairs")
+    held = spark.sparkContext.broadcast(counts)
+
+    def count_after(table: pa.Table) -> pa.Table:
+        """Every token follows one word, so the pairs of a rare second word give its count."""
+        keys, before, after, c, _ = _merged(table)
+        return pa.table(_packed(_bucket(before, keys, buckets), before, c, _sums(after, c), after),
+                        names=["bucket", "before", "c", "after_c", "after"])
+
+    def complete(table: pa.Table) -> pa.Table:
+        """The pairs of a bucket with their counts and those of both words."""
+        keys, before, after, c, first = _merged(table)
+        of_after = _entries(table["after_c"])[first]
+        some = after >= 0
+        of_after = np.where(some, held.value[after * some], of_after) if some.any() else of_after
+        some = before >= 0
+        of_before = _sums(before, c)
+        of_before = np.where(some, held.value[before * some], of_before) if some.any() else of_before
+        return pa.table(_packed(_bucket(before, keys, buckets), c, of_before, of_after, keys),
+                        names=["bucket", "c", "before_c", "after_c", "key"])
+
+    packed = "bucket long, before binary, c binary, after_c binary, after binary"
+    joined = raw.where("not by_after").select("bucket", "before", "c", F.col("c").alias("after_c"), "after") \
+        .unionAll(raw.where("by_after").select("bucket", "before", "after", "c").groupBy("bucket").applyInArrow(count_after, packed))
+    pairs = stage(joined.groupBy("bucket").applyInArrow(complete, "bucket long, c binary, before_c binary, after_c binary, key binary"), "pairs")
+    keyed = stage(pairs.select("key", "c").mapInArrow(lambda batches: _segments(batches, least), "segment long, key long, level long"),
+                  "keys")
     entries = keyed.groupBy("segment").agg(F.sum("level").alias("n")).agg(F.max("n")).first()[0] or 0
     size = -(-BITS * entries // 64) * 64
 
@@ -201,32 +300,49 @@ def fit(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col:
     built = keyed.groupBy("segment").applyInArrow(build, "segment long, bits binary").toArrow() if size else None
     found = dict(zip(built["segment"].to_pylist(), built["bits"].to_pylist())) if size else {}
     bloom = LogBloom([found.get(i, bytes(size // 8)) for i in range(SEGMENTS)], least)
-    return Model(unigrams, n, v, words, counts, bloom, least)
+    return Model(unigrams, pairs, buckets, n, v, words, counts, bloom, least)
 
 
-def _short_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Ids and texts in slices of about ``SCORED_CHARS`` characters."""
+def _short_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str], pa.Array]]:
+    """Ids, texts and row numbers in slices of about ``SCORED_CHARS`` characters."""
     for batch in batches:
         start, texts, size = 0, [], 0
         for i, text in enumerate(batch.column(1)):
             texts.append(text.as_py())
             size += len(texts[-1])
             if size >= SCORED_CHARS or i == batch.num_rows - 1:
-                yield batch.column(0).slice(start, len(texts)), texts
+                yield batch.column(0).slice(start, len(texts)), texts, batch.column(2).slice(start, len(texts))
                 start, texts, size = i + 1, [], 0
 
 
-def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    n, v, words, counts, bloom, least = shared.value
-    number = {w: i for i, w in enumerate(words)}
-    end, known = number.get(END, -1), np.arange(len(words))
-    part = np.log10((counts + 1.0) / (n + v + 1)) if len(words) else np.zeros(1)
-    mass = bloom.levels(_context_key(known)) if len(words) else np.zeros(1, np.int64)
-    # The upper end of the level, so the parts of a context do not sum to more than it.
-    sums = bloom.low(mass + 1.0)
-    weight = np.where(mass > 0, DISCOUNT * np.minimum(1, bloom.low(mass) / counts), 0.0) if len(words) else np.zeros(1)
-    floor = -math.log10(n + v + 1)
-    for doc_ids, some in _short_batches(batches):
+SCORED = ["doc_id", "n_tokens", "n_known", "base", "gain", "rare", "row", "bucket", "keys", "times", "rows"]
+RARE = pa.map_(pa.string(), pa.int64())
+UNSEEN = math.log10(1 - DISCOUNT)  # gain of a pair that was not seen after a known word
+
+
+def _score(batches: Iterator[pa.RecordBatch], shared, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """A row per text, and between them packed rows of the pairs that are not in the filter."""
+    n, v, buckets, words, counts, bloom = shared.value
+    number = _Codes(zip(words, range(len(words))))
+    end = number[END]
+    counts = counts if len(words) else np.ones(1, np.int64)
+    part = np.log10((counts + 1.0) / (n + v + 1))
+    types = [kind, pa.int64(), pa.int64(), pa.float64(), pa.float64(), RARE, pa.int64(), pa.int64(),
+             pa.binary(), pa.binary(), pa.binary()]
+    asked, size = [], 0
+
+    def out(columns: list[pa.Array], first: int) -> pa.RecordBatch:
+        rows = len(columns[0])
+        return pa.RecordBatch.from_arrays(
+            [columns[k - first] if first <= k < first + len(columns) else pa.nulls(rows, t) for k, t in enumerate(types)], names=SCORED)
+
+    def ask() -> pa.RecordBatch:
+        nonlocal asked, size
+        columns = [np.concatenate(x) for x in zip(*asked)]
+        asked, size = [], 0
+        return out(_packed(*columns), 7)
+
+    for doc_ids, some, rows in _short_batches(batches):
         texts = [_tokens(t) for t in some]
         sizes = np.array([len(t) for t in texts], np.int64)
         ids, doc = _ids(texts, number), np.repeat(np.arange(len(texts)), sizes)
@@ -234,23 +350,48 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         before[np.cumsum(sizes) - sizes] = end
         frequent, both = ids >= 0, (ids >= 0) & (before >= 0)
         base = np.where(frequent, part[np.maximum(ids, 0)], 0.0)
-        share = np.where(before >= 0, weight[np.maximum(before, 0)], 0.0)
-        level = np.zeros(len(ids), np.int64)
+        keys, level = _keys(before, ids), np.zeros(len(ids), np.int64)
         if both.any():
-            pairs, back = np.unique(before[both] << 20 | ids[both], return_inverse=True)
+            pairs, back = np.unique(keys[both], return_inverse=True)
             level[both] = bloom.levels(_pair_key(pairs >> 20, pairs & 0xFFFFF))[back]
         seen = level > 0
-        # Without a pair only the single word speaks: its exact log10 is added here or by the join.
-        gain = np.log10(np.maximum(1 - share, 1e-12))
-        fraction = np.minimum(1, bloom.low(level[seen]) / sums[before[seen]])
-        gain[seen] = np.log10(share[seen] * fraction + (1 - share[seen]) * 10 ** base[seen]) - base[seen]
-        rare = [[w for w, known_word in zip(t, frequent[e - s:e].tolist()) if not known_word]
+        # Other pairs start as not seen; the joins add what rare words and pairs gain, and the exact log10 of rare words.
+        gain = np.where(before >= 0, UNSEEN, 0.0)
+        fraction = np.minimum(1, bloom.low(level[seen]) / counts[before[seen]])
+        gain[seen] = np.log10(DISCOUNT * fraction + (1 - DISCOUNT) * 10 ** base[seen]) - base[seen]
+        rare = [list(Counter(w for w, known_word in zip(t, frequent[e - s:e].tolist()) if not known_word).items())
                 for t, s, e in zip(texts, sizes.tolist(), np.cumsum(sizes).tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [doc_ids, pa.array(sizes), pa.array(np.bincount(doc, frequent, len(texts)).astype(np.int64)),
-             pa.array(np.bincount(doc, base, len(texts))), pa.array(np.bincount(doc, gain, len(texts))),
-             pa.array(rare, pa.list_(pa.string()))],
-            names=["doc_id", "n_tokens", "n_known", "base", "gain", "rare"])
+        yield out([doc_ids, pa.array(sizes), pa.array(np.bincount(doc, frequent, len(texts)).astype(np.int64)),
+                   pa.array(np.bincount(doc, base, len(texts))), pa.array(np.bincount(doc, gain, len(texts))),
+                   pa.array(rare, RARE), rows], 0)
+        bucket, keys, doc = _bucket(before, keys, buckets)[~seen], keys[~seen], doc[~seen]
+        if len(keys):
+            order = np.lexsort((keys, doc))
+            bucket, keys, doc = bucket[order], keys[order], doc[order]
+            first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])))
+            asked.append((bucket[first], keys[first], np.diff(np.append(first, len(keys))), np.asarray(rows)[doc[first]]))
+            size += len(first)
+            if size >= 2 * FLUSH:
+                yield ask()
+    if asked:
+        yield ask()
+
+
+def _found(asked: pa.Table, pairs: pa.Table, n: int, v: int) -> pa.Table:
+    """What the pairs of a bucket add to the rows that ask for them, next to pairs not seen after the same words."""
+    keys = _entries(pairs["key"], True)
+    wanted, times, rows = _entries(asked["keys"]), _entries(asked["times"]), _entries(asked["rows"], True)
+    order = np.argsort(keys)
+    keys = keys[order]
+    place = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    hit = keys[place] == wanted if len(keys) else np.zeros(len(wanted), bool)
+    at = order[place[hit]] if len(keys) else np.zeros(0, np.int64)
+    c, before_c, after_c = (_entries(pairs[name])[at] for name in ("c", "before_c", "after_c"))
+    floor = (1 - DISCOUNT) * (after_c + 1.0) / (n + v + 1)
+    gain = np.log10(DISCOUNT * c / before_c + floor) - np.log10(floor)
+    distinct, back = np.unique(rows[hit], return_inverse=True)
+    return pa.table({"row": pa.array(distinct, pa.int64()),
+                     "gain": pa.array(np.bincount(back, times[hit] * gain, len(distinct)), pa.float64())})
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,20 +402,36 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    plain = docs.select(docs[id_col].alias("doc_id"), lower_ascii(text_of(docs, text_col)).alias("text"))
-    shared = spark.sparkContext.broadcast((model.n, model.v, model.words, model.counts, model.bloom, model.least))
-    scored = stage(plain.mapInArrow(
-        lambda batches: _score(batches, shared),
-        f"doc_id {kind}, n_tokens long, n_known long, base double, gain double, rare array<string>")
-        .withColumn("row", F.monotonically_increasing_id()), "scored")
+    plain = docs.select(docs[id_col].alias("doc_id"), lower_ascii(text_of(docs, text_col)).alias("text"),
+                        F.monotonically_increasing_id().alias("row"))
+    arrow = to_arrow_type(docs.schema[id_col].dataType)
+    shared = spark.sparkContext.broadcast((model.n, model.v, model.buckets, model.words, model.counts, model.bloom))
+    every = stage(plain.mapInArrow(
+        lambda batches: _score(batches, shared, arrow),
+        f"doc_id {kind}, n_tokens long, n_known long, base double, gain double, rare map<string, long>, row long, bucket long, "
+        "keys binary, times binary, rows binary"), "scored")
+    scored = every.where("row is not null")
     # Each rare word is one row per text. No word here is frequent, so no key of the join is hot.
-    rare = scored.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count("*").alias("tf"))
+    rare = scored.select("row", F.explode("rare").alias("token", "tf"))
     counted = rare.join(model.unigrams.where(F.col("c") < model.least), "token", "left")
     part = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.n + model.v + 1)))
     rest = counted.select("row", F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"),
                           F.when(F.col("c") > 0, F.col("tf")).otherwise(0).alias("n_known"),
-                          (F.col("tf") * part).alias("base"), F.lit(0.0).alias("gain"))
-    every = scored.select("row", "doc_id", "n_tokens", "n_known", "base", "gain").unionAll(rest)
+                          (F.col("tf") * part).alias("base"),
+                          # Each token is once the word before another one; the end is before the first.
+                          F.when(F.col("c") > 0, F.col("tf") * UNSEEN).otherwise(0.0).alias("gain"))
+    # A bucket that many rows ask is dealt to parts, each of which gets its pairs.
+    asked = every.where("bucket is not null").select("bucket", "keys", "times", "rows")
+    parts = stage(asked.groupBy("bucket").agg(F.ceil(F.count("*") * PACKED / BUCKET).cast("int").alias("parts")), "parts")
+    asked = asked.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("keys", "rows"), F.col("parts")).cast("int")).drop("parts")
+    pairs = model.pairs.join(parts, "bucket").select(
+        "bucket", "c", "before_c", "after_c", "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    n, v = model.n, model.v
+    found = asked.groupBy("bucket", "part").cogroup(pairs.groupBy("bucket", "part")).applyInArrow(
+        lambda left, right: _found(left, right, n, v), "row long, gain double")
+    more = found.select("row", F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"),
+                        F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base"), "gain")
+    every = scored.select("row", "doc_id", "n_tokens", "n_known", "base", "gain").unionAll(rest).unionAll(more)
     return every.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
         F.sum("base").alias("base_score"), F.sum("gain").alias("gain")).select(

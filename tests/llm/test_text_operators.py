@@ -211,3 +211,29 @@ def test_mix_odd_rows(odd, none):
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({k: v for k, v in sum(
         (Counter({r.doc_id: r.n_copies}) for r in rows), Counter()).items() if v})
     assert mixing.plan(none).count() == mixing.mix(none).count() == 0
+
+
+@pytest.mark.parametrize("share", [1.0, 2.0 ** -9])
+def test_every_pair_counts_whatever_its_share(spark, documents, texts, share, monkeypatch):
+    """Pairs below the share are exact; those above it are read from the filter, which rounds their counts down."""
+    monkeypatch.setattr(bloom_lm, "BUCKET", 5000)  # many buckets
+    monkeypatch.setattr(bloom_lm, "PACKED", 7)
+    c, pairs = Counter(), Counter()
+    for i, text in texts.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            words = find(lower(text)) + [""]
+            c.update(words)
+            pairs.update(zip(["", *words], words))
+    n, v = sum(c.values()), len(c)
+
+    def wanted(text):
+        words, total = find(lower(text)) + [""], 0.0
+        for u, w in zip(["", *words], words):
+            p = (c[w] + 1) / (n + v + 1)
+            total += math.log10(0.95 * pairs[u, w] / c[u] + 0.05 * p if c[u] else p)
+        return total
+
+    got = {r.doc_id: (r.score, r.n_tokens) for r in bloom_lm.score(documents, bloom_lm.fit(documents, share)).collect()}
+    assert len(got) == len(texts)
+    for i, (score, size) in got.items():
+        assert score == pytest.approx(wanted(texts[i]), abs=1e-6 if share == 1.0 else 0.02 * size + 0.2)
