@@ -134,8 +134,8 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
             keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
             sketches.append(registers(found).tobytes() if len(found) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())],
-            names=["doc_id", "n_shingles", "key", "sketch"])
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()), *batch.columns[2:]],
+            names=["doc_id", "n_shingles", "key", "sketch", *batch.schema.names[2:]])
     _hashes.clear()  # workers are used again by other steps, which need the memory
 
 
@@ -223,13 +223,15 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 class NearDuplicates:
     """One run over a table; the steps are written tables."""
 
-    def __init__(self, docs: DataFrame, width: int, percent: int, id_col: str, text_col: str):
+    def __init__(self, docs: DataFrame, width: int, percent: int, id_col: str, text_col: str, by_text: bool = False):
         self._width, self._percent, self._kind = width, percent, docs.schema[id_col].dataType.simpleString()
         self._docs = docs.select(docs[id_col].alias("doc_id"), lower_ascii(text_of(docs, text_col)).alias("text"))
         self._least = _least_estimate(percent)
-        self.signatures = stage(self._docs.mapInArrow(
+        # A row is named by id and text where ids alone do not do.
+        signed = self._docs.withColumn("sha", F.sha2("text", 256)) if by_text else self._docs
+        self.signatures = stage(signed.mapInArrow(
             lambda batches: _sign(batches, width),
-            f"doc_id {self._kind}, n_shingles long, key binary, sketch binary"), "signatures")
+            f"doc_id {self._kind}, n_shingles long, key binary, sketch binary" + ", sha string" * by_text), "signatures")
         # Copies are one class from here on.
         self.classes = stage(self.signatures.where("key is not null").groupBy("key").agg(
             F.min("doc_id").alias("smallest"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
@@ -317,19 +319,36 @@ class NearDuplicates:
         return as_base.unionAll(as_query).repartition(*block).sortWithinPartitions(*block) \
             .mapInArrow(lambda batches: _meet(batches, least, percent), "a long, b long").distinct()
 
-    def result(self) -> DataFrame:
-        """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
+    def _components(self) -> DataFrame:
+        """``key``, ``cls``, ``label`` and ``component_id`` of each class; staged."""
         named = self.classes.select("cls", "key", "smallest").join(
             self.labels().withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
         named = stage(named, "named")
-        smallest = stage(named.groupBy("label").agg(F.min("smallest").alias("component_id"), F.count("*").alias("n_classes")),
-                         "components")
-        by_key = stage(named.join(smallest, "label").select("key", "component_id"), "by_key")
-        joined = self.signatures.join(by_key, "key", "left")
+        smallest = stage(named.groupBy("label").agg(
+            F.min("smallest").alias("component_id"),
+            # The class of the row that stays: the smallest id, and of several classes with it the least key.
+            F.min(F.struct(F.col("smallest").isNull().alias("none"), "smallest", "key")).alias("first")), "components")
+        return stage(named.join(smallest, "label").select("key", "component_id", (F.col("key") == F.col("first.key")).alias("chosen")),
+                     "by_key")
+
+    def result(self) -> DataFrame:
+        """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
+        joined = self.signatures.join(self._components().drop("chosen"), "key", "left")
         component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         return joined.select("doc_id", "n_shingles", component.alias("component_id"),
                              F.col("doc_id").eqNullSafe(component).alias("kept"))
 
+    def odd(self) -> DataFrame:
+        """``_id``, ``_sha``, ``_kept`` and ``_rows`` of the texts that go, and of those that stay once but have more rows."""
+        texts = self.signatures.where("key is not null").groupBy("key", "doc_id", "sha").agg(F.count("*").alias("_rows"))
+        chosen = self._components().where("chosen").select("key")
+        best = self.signatures.join(chosen, "key").groupBy("key").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")).alias("best"))
+        return texts.join(best, "key", "left").select(
+            F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), "_rows",
+            F.coalesce(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("sha") == F.col("best.sha")), F.lit(False)).alias("_kept")) \
+            .where("not _kept or _rows > 1")
+
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
@@ -345,7 +364,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
 def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with one document of each group of near-duplicates: the one with the smallest id."""
-    gone = stage(near_duplicates(docs, width, percent, id_col, text_col).where("not kept")
-                 .select(F.col("doc_id").alias("_id")).distinct(), "gone")
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]), "left_anti")
+    """``docs``, all columns, with one row of each group of near-duplicates: one with the smallest id, null if there is no other.
+
+    Rows are told apart by id and text, so rows that share an id stand for themselves. Texts without a set all stay.
+    """
+    odd = stage(NearDuplicates(docs, width, percent, id_col, text_col, by_text=True).odd(), "odd")
+    tagged = docs.withColumn("_text_sha", F.sha2(lower_ascii(text_of(docs, text_col)), 256))
+
+    def joined(some: DataFrame, how: str) -> DataFrame:
+        return tagged.join(some, tagged[id_col].eqNullSafe(some["_id"]) & (tagged["_text_sha"] == some["_sha"]), how)
+
+    one_each = joined(odd.where("_kept"), "left_semi").dropDuplicates([id_col, "_text_sha"])
+    return joined(odd, "left_anti").unionByName(one_each).drop("_text_sha")

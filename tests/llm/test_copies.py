@@ -128,3 +128,21 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40) if i != 20] + [(50, 50)], "a long, b long")
     got = {r.node: r.label for r in components.components(edges).collect()}
     assert got == {i: 0 if i <= 20 else 21 for i in range(41)}
+
+
+def test_drop_near_copies_decides_per_row(spark):
+    """Null and repeated ids with different texts: of each group of near copies one row stays, whatever the ids."""
+    def text(k, tail=""):
+        return " ".join(f"g{k}w{i}" for i in range(200)) + tail
+
+    rows = [(1, text(0)), (None, text(0, " x")), (None, text(1)), (None, text(1, " y")), (None, text(2)),  # no id
+            (2, text(3)), (2, text(4)), (3, text(4, " z")), (0, text(3, " z")),  # one id, two texts
+            (4, text(5)), (4, text(5)), (4, text(5).upper()), (5, text(6)), (5, text(6, " x")),  # repeated rows
+            (6, None), (6, ""), (None, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = setsketch.drop_near_copies(docs).collect()
+    stay = defaultdict(list)
+    for r in kept:
+        stay[r.text.split("w")[0].lower() if r.text else ""].append(r.doc_id)
+    assert {k: v for k, v in stay.items() if k} == {"g0": [1], "g1": [None], "g2": [None], "g3": [0], "g4": [2], "g5": [4], "g6": [5]}
+    assert sorted(stay[""], key=str) == [6, 6, None, None]
