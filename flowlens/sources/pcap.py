@@ -25,6 +25,7 @@ BLOCK_BYTES = 4 * 1024 * 1024
 HEAD_BYTES = 160          # link header, tags, longest IPv4 header and the transport fields
 PROOF_RECORDS = 64        # believable records in a row that prove a start
 SEARCH_BYTES = 2 * 1024 * 1024  # read at a time while searching
+NEAR_SECONDS = 86_400     # between the times of neighbours
 MOST_CAPTURED = 16 * 1024 * 1024  # bytes of a record, whatever the file header says
 
 # Fixed values of the two container formats.
@@ -81,6 +82,28 @@ class _Classic:
         return 0 < size <= min(self.largest, MOST_CAPTURED) and size <= original <= 0x40000 + self.largest \
             and frac < self.per_second
 
+    def possible(self, head: bytes, sec: int | None) -> bool:
+        """Whether 16 bytes can be the header of a neighbour of a record of that second, whatever its lengths say."""
+        if len(head) < 16 or sec is None:
+            return False
+        own, frac, size, original = self.record.unpack(head)
+        return abs(own - sec) <= NEAR_SECONDS and frac < self.per_second and (size > 0 or original > 0)
+
+    def odd(self, f: BinaryIO, at: int, head: bytes, sec: int | None, length: int) -> bool:
+        """Whether a header that is not believable belongs to a whole record: its length leads to a neighbour, or to the end."""
+        if len(head) < 16:
+            return False
+        own, frac, size, original = self.record.unpack(head)
+        following = at + 16 + size
+        if size > MOST_CAPTURED or frac >= self.per_second or following > length or size == original == 0 \
+                or (sec is not None and abs(own - sec) > NEAR_SECONDS):
+            return False
+        if following == length:
+            return sec is not None
+        f.seek(following)
+        head = f.read(16)
+        return self.possible(head, own) and self.record.unpack(head)[2] <= MOST_CAPTURED
+
     def candidates(self, data: bytes) -> np.ndarray:
         """Offsets in ``data`` at which a believable header lies."""
         out = []
@@ -121,24 +144,25 @@ def classic_records(f: BinaryIO, start: int, end: int | None) -> Iterator[Record
     at = max(start, _Classic.size)
     end = length if end is None else end
     f.seek(at)
-    head = f.read(16)
+    head, last = f.read(16), None
     while at < end:
-        if not about.believable(head):
+        if not about.believable(head) and not about.odd(f, at, head, last, length):
             yield 0, about.link, b"", len(head), False
-            found = find_record(f, about, at + 1, length)
+            found = find_record(f, about, at + 1, length, last, True)
         else:
             sec, frac, size, _ = about.record.unpack(head)
             following = at + 16 + size
+            f.seek(at + 16)
             rest = f.read(size + 16)
             data, head = rest[:size], rest[size:]
             time = sec * 1_000_000 + frac * 1_000_000 // about.per_second
             found = None
-            if following != length and not about.believable(head):
-                found = find_record(f, about, at + 16, length)
+            if following != length and not about.possible(head, sec):
+                found = find_record(f, about, at + 16, length, sec, True)
                 f.seek(min(following + 16, length))
             if found is None or found >= following:  # this record is whole, or cut off by the end of the file
                 yield time, about.link, data[:HEAD_BYTES], len(data), len(data) == size
-                at = following
+                at, last = following, sec
                 continue
             yield time, about.link, b"", 0, False  # its length leads past the next record
         if found is None:
@@ -215,18 +239,34 @@ def _interface(body: bytes, order: str) -> tuple[int, int, int, int]:
     return link, per_second, shift, snap
 
 
-def find_record(f: BinaryIO, about: _Classic, near: int, length: int) -> int | None:
-    """The first offset from ``near`` on at which a long run of believable records starts, or one up to the end."""
+def find_record(f: BinaryIO, about: _Classic, near: int, length: int, sec: int | None = None,
+                short: bool = False) -> int | None:
+    """The first offset from ``near`` on at which a long run of believable records starts, or one up to the end.
+
+    With ``short`` a believable record will do whose length leads to a neighbour, if it is near the second ``sec`` or, without
+    one, if the neighbour is believable too.
+    """
     while near + 16 <= length:
         f.seek(near)
         data = f.read(min(SEARCH_BYTES + 15, length - near))
         for offset in about.candidates(data).tolist():
-            if _proven(f, about, near + offset, length):
+            if short and _linked(f, about, near + offset, sec) or _proven(f, about, near + offset, length):
                 return near + offset
         near += max(1, len(data) - 15)
     return None
 
 
+def _linked(f: BinaryIO, about: _Classic, at: int, sec: int | None) -> bool:
+    f.seek(at)
+    head = f.read(16)
+    own, _, size, _ = about.record.unpack(head)
+    if sec is not None and not about.possible(head, sec):
+        return False
+    f.seek(at + 16 + size)
+    head = f.read(16)
+    return about.possible(head, own) and (sec is not None or about.believable(head))
+
+
 def _proven(f: BinaryIO, about: _Classic, at: int, length: int) -> bool:
     for _ in range(PROOF_RECORDS):
         if at == length:

@@ -229,3 +229,42 @@ def test_detect_and_block_run_keeps_history(spark, sf, tmp_path):
     assert saved.schema.simpleString() == spark.createDataFrame([], DETECTIONS).schema.simpleString()
     assert alarm.ledger.join(alarm.opened.select("ip"), "ip", "left_semi").count() == alarm.opened.count()
     assert alarm.detections.where(F.col("timestamp") != F.lit(LEDGER_AS_OF).cast("timestamp")).count() == 0
+
+
+def odd_capture(n=400, every=10, snap=65535, damage=None, head=None, body=b""):
+    """Records of which each ``every``-th is damaged or has an odd header; the others' ports in order."""
+    out, good = bytearray(struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, snap, 1)), []
+    for i in range(n):
+        frame = ether(0x0800, ipv4(6, tcp(i + 1, 80)) + b"x" * (i * 37 % 300))
+        odd = i % every == every - 1
+        frame += body if odd else b""
+        sec, size, original = 1_700_000_000 + i, len(frame), len(frame)
+        if odd and head:
+            size, original = head(size)
+            frame = frame[:size]
+        record = struct.pack("<IIII", sec, 5, size, original)
+        if odd and damage:
+            record = damage(record)
+        else:
+            good += [i + 1] if size else []
+        out += record + frame
+    return bytes(out), good
+
+
+@pytest.mark.parametrize("options,marks", [
+    (dict(every=10, damage=lambda r: r[:8] + b"\xff\xff\xff\x7f" * 2), 40),
+    (dict(every=2, damage=lambda r: r[:8] + b"\xff\xff\xff\x7f" * 2), 200),
+    (dict(every=10, damage=lambda r: b"\xff" * 16), 40),
+    (dict(every=10, damage=lambda r: r[:8] + struct.pack("<II", 5000, 5000)), 40),
+    (dict(every=1, head=lambda n: (n, 0)), 0),
+    (dict(every=10, head=lambda n: (n, 0)), 0),
+    (dict(every=10, head=lambda n: (n, n - 20)), 0),
+    (dict(every=5, head=lambda n: (0, n)), 0),
+    (dict(every=100, snap=96, body=b"y" * 70_000, head=lambda n: (n, n)), 0)])
+def test_records_between_damaged_or_odd_ones_are_kept(spark, tmp_path, options, marks):
+    data, good = odd_capture(**options)
+    path = put(tmp_path, data)
+    for split in (None, 16_384):
+        got = pcap.read_pcap(spark, path, split_bytes=split, keep_corrupt=True).select("src_port", "corrupt").collect()
+        assert sorted(r.src_port for r in got if not r.corrupt) == good
+        assert sum(r.corrupt for r in got) == marks
