@@ -173,53 +173,84 @@ def classic_records(f: BinaryIO, start: int, end: int | None) -> Iterator[Record
 
 
 def block_records(f: BinaryIO) -> Iterator[Record]:
-    """Records of a block-structured capture, over all its sections and interfaces."""
-    f.seek(0)
-    order, links = "<", []
-    while True:
-        head = f.read(8)
-        if not head:
-            return
-        if len(head) < 8:
-            yield 0, 1, b"", len(head), False
-            return
-        kind = struct.unpack(order + "I", head[:4])[0]
+    """Records of a block-structured capture, over all its sections and interfaces.
+
+    Blocks of other kinds are stepped over, whatever their size; of packets only the first bytes are read. A damaged length
+    gives one incomplete record, and reading goes on at the next block whose lengths agree.
+    """
+    length = f.seek(0, 2)
+    at, order, links = 0, "<", []
+    while at < length:
+        kind, size, order, agreed = _block(f, at, order, length)
+        if not agreed:
+            found = _find_block(f, at + 4, order, length)
+            if found is not None or not 12 <= size:
+                yield 0, 1, b"", 0, False
+                if found is None:
+                    return
+                at = found
+                continue
+            # The end of the file cuts this block off.
+        room = min(size, length - at) - (12 if agreed else 8)  # of the body
+        f.seek(at + 8)
         if kind == SECTION:
-            mark = f.read(4)
-            order = "<" if len(mark) == 4 and struct.unpack("<I", mark)[0] == BYTE_ORDER_MARK else ">"
-            size = struct.unpack(order + "I", head[4:])[0]
-            f.read(size - 12)
             links = []
-            continue
-        size = struct.unpack(order + "I", head[4:])[0]
-        if not 12 <= size <= MOST_CAPTURED:
-            yield 0, 1, b"", 0, False
-            return
-        body = f.read(size - 8)
-        short = len(body) < size - 8
-        if kind == INTERFACE and not short:
-            links.append(_interface(body, order))
+        elif kind == INTERFACE and agreed:
+            links.append(_interface(f.read(room) + bytes(4), order))
         elif kind in (ENHANCED_PACKET, OLD_PACKET):
+            body = f.read(min(room, 20 + HEAD_BYTES))
             if len(body) < 20:
                 yield 0, 1, b"", len(body), False
-                return
-            if kind == ENHANCED_PACKET:
-                which, high, low, captured, _ = struct.unpack(order + "IIIII", body[:20])
             else:
-                which, _, high, low, captured, _ = struct.unpack(order + "HHIIII", body[:20])
-            link, per_second, shift, _ = links[which] if which < len(links) else (1, 1_000_000, 0, 0)
-            data = body[20:20 + captured]
-            ticks = (high << 32) | low
-            yield (shift * 1_000_000 + ticks * 1_000_000 // per_second, link, data[:HEAD_BYTES],
-                   len(data), len(data) == captured)
-        elif kind == SIMPLE_PACKET and len(body) >= 4:
+                if kind == ENHANCED_PACKET:
+                    which, high, low, captured, _ = struct.unpack(order + "IIIII", body[:20])
+                else:
+                    which, _, high, low, captured, _ = struct.unpack(order + "HHIIII", body[:20])
+                link, per_second, shift, _ = links[which] if which < len(links) else (1, 1_000_000, 0, 0)
+                ticks, held = (high << 32) | low, min(captured, room - 20)
+                yield (shift * 1_000_000 + ticks * 1_000_000 // per_second, link, body[20:20 + min(held, HEAD_BYTES)],
+                       held, held == captured)
+        elif kind == SIMPLE_PACKET and room >= 4:
             link, _, _, snap = links[0] if links else (1, 1_000_000, 0, 0)
+            body = f.read(min(room, 4 + HEAD_BYTES))
             original = struct.unpack(order + "I", body[:4])[0]
             captured = min(original, snap or original)
-            data = body[4:4 + captured]
-            yield 0, link, data[:HEAD_BYTES], len(data), len(data) == captured
-        if short:
-            return
+            held = min(captured, room - 4)
+            yield 0, link, body[4:4 + min(held, HEAD_BYTES)], held, held == captured
+        elif kind is None:  # less than a header
+            yield 0, 1, b"", length - at, False
+        at += size
+
+
+def _block(f: BinaryIO, at: int, order: str, length: int) -> tuple[int | None, int, str, bool]:
+    """Kind, size and byte order of the block at ``at``, and whether the size at its end is the same."""
+    f.seek(at)
+    head = f.read(12)
+    if len(head) < 8:
+        return None, 12, order, False
+    if struct.unpack("<I", head[:4])[0] == SECTION:  # the same in both orders
+        order = "<" if head[8:] == struct.pack("<I", BYTE_ORDER_MARK) else ">"
+    kind, size = struct.unpack(order + "II", head[:8])
+    if not 12 <= size <= length - at:
+        return kind, size, order, False
+    f.seek(at + size - 4)
+    return kind, size, order, f.read(4) == head[4:8]
+
+
+def _find_block(f: BinaryIO, near: int, order: str, length: int) -> int | None:
+    """The first offset from ``near`` on of a section, interface or packet whose lengths agree."""
+    while near + 12 <= length:
+        f.seek(near)
+        data = f.read(min(SEARCH_BYTES + 7, length - near))
+        out = []
+        for shift in range(4):
+            words = np.frombuffer(data, order + "u4", max(0, len(data) - shift) // 4, min(shift, len(data)))
+            out.append(np.flatnonzero(np.isin(words[:-1], (SECTION, INTERFACE, OLD_PACKET, SIMPLE_PACKET, ENHANCED_PACKET))) * 4 + shift)
+        for offset in np.sort(np.concatenate(out)).tolist():
+            if _block(f, near + offset, order, length)[3]:
+                return near + offset
+        near += max(1, len(data) - 7)
+    return None
 
 
 def _interface(body: bytes, order: str) -> tuple[int, int, int, int]:

@@ -268,3 +268,16 @@ def test_records_between_damaged_or_odd_ones_are_kept(spark, tmp_path, options,
         got = pcap.read_pcap(spark, path, split_bytes=split, keep_corrupt=True).select("src_port", "corrupt").collect()
         assert sorted(r.src_port for r in got if not r.corrupt) == good
         assert sum(r.corrupt for r in got) == marks
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_large_and_damaged_blocks_do_not_end_a_file(spark, tmp_path, order):
+    head, *rest = (block_capture(FRAMES[:k], order) for k in range(4))
+    large = block(0xBAD, b"z" * (17 << 20), order)
+    first, second, third = (rest[k][len(([head] + rest)[k]):] for k in range(3))
+    path = put(tmp_path, head + first + large + second + third)
+    assert rows(pcap.read_pcap(spark, path)) == WANT[:3]
+    for size in (7, 100, 1 << 30):
+        damaged = second[:4] + struct.pack(order + "I", size) + second[8:]
+        got = pcap.read_pcap(spark, put(tmp_path, head + first + damaged + third, f"{size}.pcap"), keep_corrupt=True)
+        assert sorted((r.corrupt, r.src_port) for r in got.collect()) == [(False, 0), (False, 1000), (True, 0)]
