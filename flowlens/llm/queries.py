@@ -8,7 +8,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlens.llm import (bloom_lm, chunks, grammar, mixing, packing, quality, rollups, setsketch, toxicity, warc)
+from flowlens.llm import (bloom_lm, chunks, covertree, grammar, mixing, packing, phrases, quality, rollups, runs, setsketch, toxicity,
+                          warc)
+from flowlens.llm.common import words_of
 from flowlens.session import new_path, stage
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -115,9 +117,46 @@ def op10_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op11_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has another label."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return covertree.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words that passages of documents with smaller ids cover."""
+    found = phrases.drop_repeats(_table(spark, sf_dir, "documents"))
+    covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", covered.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words, in documents of which a tenth are made periodic from some word on."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", words_of(F.coalesce("text", F.lit(""))).alias("w"), hashed.alias("h")) \
+        .select("*", F.size("w").alias("n"), F.floor(F.col("h") / 10).alias("g")) \
+        .select("*", F.expr("cast(if(h % 10 = 0 and n > 0, g % n, 0) as int)").alias("a")) \
+        .select("*", F.expr("cast(1 + floor((n - a) / (3 + g % 8)) as int)").alias("p"))
+    # The words before a, then the p words from there again and again.
+    made = F.expr("array_join(concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), "
+                  "cast(ceil((n - a) / p) as int))), 1, n - a)), ' ')")
+    planted = docs.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), made).otherwise(F.col("text")).alias("text"))
+    found = runs.periodic_runs(planted)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chunk_dedup, op2_repair_tokens, op3_best_fit_packing, op4_adaptive_quality, op5_pu_toxicity, op6_warc_archives,
-    op7_bloom_lm, op8_token_rollups, op9_source_mix, op10_setsketch_near_dedup)}
+    op7_bloom_lm, op8_token_rollups, op9_source_mix, op10_setsketch_near_dedup, op11_cover_tree_negatives, op12_phrase_automata,
+    op13_maximal_pair_runs)}
 
 # Words, lines and their counts of a text, for the check SQL.
 _COUNTED = rf"""
@@ -203,4 +242,24 @@ joined as (select s.doc_id, s.size, r.source_size, r.target, case when r.source_
   from sized s join rated r on s.source is not distinct from r.source),
 copied as (select *, cast(floor(rate) + case when draw < rate - floor(rate) then 1 else 0 end as bigint) as n_copies from joined)
 select doc_id, size, cast(source_size as bigint) as source_size, target, n_copies * size as taken, n_copies from copied""",
+    "op11_cover_tree_negatives": """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (
+  select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id, b.label,
+         cast(list_sum([p[1] * p[2] for p in [[x, b.v[i]] for x, i in a.v]]) as bigint) as score
+  from vectors a, vectors b where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, anchor_label, vec_id as positive_id, score as positive_score from scored
+  where label = anchor_label and vec_id <> anchor_id
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+fitting as (
+  select p.anchor_id, p.positive_id, p.positive_score, s.vec_id as negative_id, s.score as negative_score,
+         row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as rank
+  from positives p join scored s on s.anchor_id = p.anchor_id and s.label <> p.anchor_label
+   and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from fitting where rank <= 10""",
 }
