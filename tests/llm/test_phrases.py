@@ -92,15 +92,36 @@ def test_stretches_depend_on_content_only():
     assert many.sum() == 351 and (first == np.cumsum(many) - many).all()
     moved = phrases.stretches(codes[20:])
     assert set(key[first >= first[first > 20].min()][1:]) <= set(moved[1])
+    parts = [codes[:120], codes[:30], codes[:0], codes[200:]]
+    alone = [phrases.stretches(p) for p in parts]
+    whole = phrases.stretches(np.concatenate(parts), [len(p) for p in parts])
+    assert (whole[1] == np.concatenate([x[1] for x in alone])).all() and (whole[3] == np.concatenate([x[3] for x in alone])).all()
 
 
 def test_automata_find_overlaps():
-    passages = [(["a", "b", "c"], 1), (["b", "c", "d"], 2), (["c"], 3)]
-    for most in (1, 100):
-        found = phrases.PhraseAutomata(passages, most).occurrences("x a b c d c".split())
+    passages = [(phrases.word_codes(t), n) for t, n in ((b"a b c", 1), (b"b c d", 2), (b"c", 3))]
+    for most in (1, 4, 100):
+        found = phrases.PhraseAutomata(passages, most).occurrences(phrases.word_codes(b"x a b c d c"))
         assert sorted(found) == [(1, 4, 1), (2, 5, 2), (3, 4, 3), (5, 6, 3)]
 
 
+def test_word_codes():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abé\x1c ß0", k=rng.randint(1, 9))).encode() for _ in range(3000)]
+    words += [b"x" * (phrases.BLOCK - 1), b"x" * phrases.BLOCK, b"x" * (phrases.BLOCK + 1), b"y" * (3 * phrases.BLOCK)] + words[:100]
+    words = [w for x in words for w in x.split()]
+    codes = phrases.word_codes(b" ".join(words)).tolist()
+    assert len(codes) == len(words) and len(set(zip(words, codes))) == len(set(words)) == len(set(codes))
+    assert phrases.word_codes(words[7]).tolist() == [codes[7]]
+
+
+def test_leftmost_least():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 6, 500)
+    for size in (1, 2, 7, 16, 35, 500):
+        assert (phrases.leftmost_least(values, size) == [k + values[k:k + size].argmin() for k in range(501 - size)]).all()
+
+
 def test_pieces_beside_a_table(spark, tmp_path):
     spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
     place = beside.Located(spark.read.parquet(str(tmp_path / "t")))
