@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlens import settings
 from flowlens.functions.timing import MICROS, expired, from_micros, moment, remaining_seconds
 from flowlens.operators.detect import REPORT_ORDER
+from flowlens.operators.scale import bounded
 from flowlens.session import stage
 
 LEDGER = ["ip", "block_time", "reason", "duration"]
@@ -90,44 +93,40 @@ def block_timeline(events: DataFrame, ip: str = "src_ip", time: str = "ts_us",
 
     Returns (ip, block_time, ts_us), one row per opened block.
 
-    The distinct instants are range-partitioned by (ip, time) and written, so every part has
-    about ``rows_per_part`` rows and a busy ip spans several parts. Within a part the blocks of an
-    ip follow from its sorted instants and from the last block before the part. That entry
-    block is settled on the driver from two instants per part, see ``_settle``; an ip inside
-    one part, the usual case, needs none.
+    The distinct instants are range-partitioned by (ip, time) and written, so every part has about ``rows_per_part`` rows and a
+    busy ip spans several parts. What a part does to the running block is a map, from the last block before the part to the last one
+    after it, see ``_part_map``. The maps of an ip, one after another, give the block that runs when each of its parts begins;
+    then all parts are replayed at once.
     """
     span = duration * MICROS
     hits = events.where(F.col(ip).isNotNull() & F.col(time).isNotNull()).select(
         F.col(ip).alias("ip"), F.col(time).alias("t"))
     parts = max(1, math.ceil(hits.count() / rows_per_part))
-    entries: dict[tuple[str, int], int] = {}
     if parts == 1:
-        held = hits.distinct().withColumn("part", F.lit(0))
+        held, entries = hits.distinct().withColumn("part", F.lit(0)), None
     else:
         held = stage(hits.distinct().repartitionByRange(parts, "ip", "t").withColumn(
             "part", F.spark_partition_id()), "instants")
-        entries = _settle(held, span)
+        entries = _entries(held, span)
     opened = _open_blocks(held, entries, span)
     return opened.select("ip", from_micros(F.col("t")).alias("block_time"), F.col("t").alias("ts_us"))
 
 
-def _open_blocks(held: DataFrame, entries: dict[tuple[str, int], int], span: int) -> DataFrame:
-    """Opened blocks as rows (ip, t), one task per part.
-
-    ``entries`` holds the last block before the part, for at most two ips per part.
-    """
-    known = held.sparkSession.sparkContext.broadcast(entries)
+def _open_blocks(held: DataFrame, entries: DataFrame | None, span: int) -> DataFrame:
+    """Opened blocks as rows (ip, t), one task per part. ``entries`` hold the last block before a part (ip, part, t)."""
+    rows = held.select("ip", "t", "part", F.lit(False).alias("before"))
+    if entries is not None:
+        rows = rows.unionByName(entries.select("ip", "t", "part", F.lit(True).alias("before")))
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ip", "t"], kind="stable")
-        ips, times, part = pdf["ip"].to_numpy(), pdf["t"].to_numpy(), int(pdf["part"].iat[0])
+        pdf = pdf.sort_values(["ip", "t"], kind="stable")  # what lies before a part is less than all of it
+        ips, times, before = pdf["ip"].to_numpy(), pdf["t"].to_numpy(), pdf["before"].to_numpy()
         edges = np.flatnonzero(np.r_[True, ips[1:] != ips[:-1], True])
         kept = []
         for start, end in zip(edges[:-1], edges[1:]):
-            last = known.value.get((ips[start], part))
             at = start
-            if last is not None:
-                at += int(np.searchsorted(times[start:end], last + span, side="right"))
+            if before[start]:
+                at += max(1, int(np.searchsorted(times[start:end], times[start] + span, side="right")))
             while at < end:
                 kept.append(at)
                 at += 1
@@ -135,66 +134,75 @@ def _open_blocks(held: DataFrame, entries: dict[tuple[str, int], int], span: int
                     at += int(np.searchsorted(times[at:end], times[kept[-1]] + span, side="right"))
         return pd.DataFrame({"ip": ips[kept], "t": times[kept]})
 
-    return held.groupBy("part").applyInPandas(replay, "ip string, t bigint")
+    return rows.groupBy("part").applyInPandas(replay, "ip string, t bigint")
+
 
+FRESH = -(1 << 63)  # no block before
 
-def _settle(held: DataFrame, span: int) -> dict[tuple[str, int], int]:
-    """The last block before each part of an ip that spans several parts.
 
-    A part holds at most two such ips, its first and its last, so the table of their first and
-    last instants has at most two rows per part. Walking the parts of an ip in order, the entry of
-    the next part is known at once if the running block outlasts this part, or if it was over
-    before the part began and the outcome of a fresh start is known. Otherwise the part has to
-    be looked at with that entry. All open questions of all ips, guessed ones included, are
-    answered together by one job per round, and answers are kept.
+def _part_map(key: tuple, rows: pa.Table, span: int) -> pa.Table:
+    """What a part of an ip does to the block that runs before it, as pieces: a block that opened at ``upto`` - 1 or earlier (and
+    not in an earlier piece) leads to ``t`` as the last block of the part. One that opened later outlasts the part.
+
+    The block before opened before the part began, so only instants in the first ``span`` of the part begin a piece.
     """
-    pieces = held.groupBy("ip", "part").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
-    wide = pieces.groupBy("ip").agg(
-        F.sort_array(F.collect_list(F.struct("part", "lo", "hi"))).alias("parts"),
-        F.count("*").alias("n")).where(F.col("n") > 1)
-    ips = {row["ip"]: [(p["part"], p["lo"], p["hi"]) for p in row["parts"]]
-           for row in wide.select("ip", "parts").collect()}
-    if not ips:
-        return {}
-    spark = held.sparkSession
-    keys = spark.createDataFrame([(i, p) for i, ps in ips.items() for p, _, _ in ps],
-                                 "ip string, part int")
-    busy = stage(held.join(F.broadcast(keys), ["ip", "part"], "left_semi"), "busy")
-    exits: dict[tuple[str, int, int | None], int] = {}
+    times = np.sort(np.asarray(rows["t"]))
+    after = np.searchsorted(times, times + span, side="right")
+    # The last block of the chain that begins at each instant, by doubling the steps.
+    last = np.where(after < len(times), after, np.arange(len(times)))
     while True:
-        asked: set[tuple[str, int, int | None]] = set()
-        entries: dict[tuple[str, int], int] = {}
-        for ip, ps in ips.items():
-            last: int | None = None
-            for part, lo, hi in ps:
-                if last is not None:
-                    entries[(ip, part)] = last
-                if last is not None and last + span >= hi:
-                    continue
-                start = None if last is None or last + span < lo else last
-                question = (ip, part, start)
-                if question in exits:
-                    last = exits[question]
-                else:
-                    # Guess a fresh start here and go on, so that later parts are asked too.
-                    asked.add(question)
-                    asked.add((ip, part, None))
-                    last = exits.get((ip, part, None), lo)
-        unknown = asked - exits.keys()
-        if not unknown:
-            return entries
-        exits.update(_answer(busy, unknown, span))
-
-
-def _answer(busy: DataFrame, questions: set, span: int) -> dict:
-    """The last block of (ip, part) when the block ``start`` precedes it."""
-    asked = busy.sparkSession.createDataFrame(list(questions), "ip string, part int, start bigint")
-    grouped = busy.groupBy("ip", "part").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-
-    def step(last: Column, t: Column) -> Column:
-        return F.when(last.isNull() | (t - last > span), t).otherwise(last)
-
-    # At most three questions per part are open in a round.
-    found = grouped.join(F.broadcast(asked), ["ip", "part"]).select(
-        "ip", "part", "start", F.aggregate("ts", F.col("start"), step).alias("last"))
-    return {(r["ip"], r["part"], r["start"]): r["last"] for r in found.collect()}
+        further = last[last]
+        if (further == last).all():
+            break
+        last = further
+    size = min(len(times), int(np.searchsorted(times, times[0] - 1 + span, side="right")) + 1)
+    upto, ends = times[:size] - span, times[last[:size]]
+    keep = np.r_[ends[1:] != ends[:-1], True]
+    n = int(keep.sum())
+    return pa.table({"ip": pa.array([key[0].as_py()] * n, pa.string()), "part": pa.array(np.full(n, key[1].as_py(), np.int32)),
+                     "upto": upto[keep], "t": ends[keep]})
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last block before each part but the first, from the pieces of the maps in the order of ip, part and ``upto``."""
+    now, last, settled = None, FRESH, False
+    for batch in batches:
+        ips, parts = batch.column(0).to_pylist(), np.asarray(batch.column(1))
+        upto, ends = np.asarray(batch.column(2)), np.asarray(batch.column(3))
+        codes = np.asarray(batch.column(0).dictionary_encode().indices)
+        edges = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (parts[1:] != parts[:-1]), True])[:-1] if len(ips) else []
+        out: list[tuple[str, int, int]] = []
+        for start, end in zip(edges, [*edges[1:], len(ips)]):
+            here = (ips[start], int(parts[start]))
+            if here != now:
+                if now is not None:
+                    out.append((now[0], last, now[1] + 1))
+                    if now[0] != here[0]:
+                        last = FRESH
+                now, settled = here, False
+            if not settled:
+                k = int(np.searchsorted(upto[start:end], last, side="right"))
+                if k < end - start:
+                    last, settled = int(ends[start + k]), True
+        yield _entry_batch(out)
+    if now is not None:
+        yield _entry_batch([(now[0], last, now[1] + 1)])
+
+
+def _entry_batch(out: list[tuple[str, int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*out)) if out else [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32())],
+                                      names=["ip", "t", "part"])
+
+
+def _entries(held: DataFrame, span: int) -> DataFrame:
+    """(ip, t, part): the last block before each part of an ip that spans several, except its first.
+
+    The maps are made by all parts at once. They are then walked in order, piece by piece and in constant memory; an ip brings
+    the pieces of its parts, not their instants: those in the first ``span`` of a part at most.
+    """
+    spread = held.groupBy("ip").agg(F.min("part").alias("first_part"), F.max("part").alias("last_part")) \
+        .where("first_part < last_part")  # two ips a part at most
+    rows = held.join(bounded(spread), "ip").where("part < last_part").select("ip", "part", "t")
+    maps = rows.groupBy("ip", "part").applyInArrow(lambda key, found: _part_map(key, found, span), "ip string, part int, upto bigint, t bigint")
+    return stage(maps.repartition("ip").sortWithinPartitions("ip", "part", "upto").mapInArrow(_walk, "ip string, t bigint, part int"), "entries")

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowlens import settings
 from flowlens.functions.timing import MICROS, moment
 from flowlens.functions.values import named
-from flowlens.operators.scale import DIRECT_ROWS, bounded, exact_quantiles, running_total, split_total
+from flowlens.operators.ports import distinct_ports
+from flowlens.operators.ranks import DIRECT_ROWS, quantiles
+from flowlens.operators.scale import bounded, exact_quantiles, running_total
 from flowlens.session import stage
 
 # Rule names and confidences, in report order.
@@ -79,11 +81,9 @@ def flow_rule_hits(flows: DataFrame, thresholds: dict[str, float | None], as_of=
 def port_scans(flows: DataFrame, as_of=None, ports: int = settings.SCAN_PORTS) -> DataFrame:
     """Sources with more than ``ports`` distinct destination ports, one row each.
 
-    The (source, port) pairs are made distinct before they meet at their source, so a source
-    brings at most 65,536 rows to one task.
+    Ports are counted from mergeable bitmaps, see ``ports``.
     """
-    counted = (flows.where(F.col("src_ip").isNotNull()).groupBy("src_ip")
-               .agg(F.count_distinct("dst_port").alias("ports")).where(F.col("ports") > ports))
+    counted = distinct_ports(flows.where(F.col("src_ip").isNotNull()), ["src_ip"]).where(F.col("ports") > ports)
     return counted.select(F.inline(F.array(_detection(
         "port_scan", F.col("src_ip"), F.lit("multiple"), moment(as_of),
         F.format_string("Unique ports: %d", F.col("ports")), F.lit(None).cast("string")))))
@@ -252,8 +252,8 @@ def detect_windows(flows: DataFrame, as_of=None, syn_floor: int = settings.SYN_F
                    ports: int = settings.SCAN_PORTS) -> DataFrame:
     """The rules applied to each window of ``window_flows`` on its own.
 
-    Thresholds of many windows come from one aggregate over ranks that are split by value, so
-    a window with most of the flows is no single task.
+    Thresholds of all windows are selected together from rank sketches, and ports are counted from bitmaps, so a window with most of
+    the flows is no single task. Pass a written or cached table.
     """
     cuts = window_thresholds(flows)
     same = F.col("window_start").eqNullSafe(F.col("_w"))
@@ -271,8 +271,7 @@ def detect_windows(flows: DataFrame, as_of=None, syn_floor: int = settings.SYN_F
     hits = with_cuts.select("window_start", F.inline(F.array_compact(F.array(*[
         F.when(test, _detection(rule, src, dst, when, details, key))
         for rule, test, details in tests]))))
-    scans = (flows.where(F.col("src_ip").isNotNull()).groupBy("window_start", "src_ip")
-             .agg(F.count_distinct("dst_port").alias("ports")).where(F.col("ports") > ports)
+    scans = (distinct_ports(flows.where(F.col("src_ip").isNotNull()), ["window_start", "src_ip"]).where(F.col("ports") > ports)
              .select("window_start", F.inline(F.array(_detection(
                  "port_scan", F.col("src_ip"), F.lit("multiple"), when,
                  F.format_string("Unique ports: %d", F.col("ports")), F.lit(None).cast("string"))))))
@@ -280,27 +279,12 @@ def detect_windows(flows: DataFrame, as_of=None, syn_floor: int = settings.SYN_F
 
 
 def window_thresholds(flows: DataFrame, rows_per_bucket: int = DIRECT_ROWS) -> DataFrame:
-    """Quantile thresholds per window, interpolated between exact ranks."""
+    """Quantile thresholds per window, interpolated between exact ranks; ``rows_per_bucket`` are the most rows one task ranks."""
     shares = {"packet_rate": settings.PACKET_RATE_QUANTILE, "byte_rate": settings.BYTE_RATE_QUANTILE,
               "syn_count": settings.SYN_QUANTILE}
     long = flows.select("window_start", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), named(c).cast("double").alias("value"))
-        for c in shares]))).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    keys = ["window_start", "feature"]
-    held = stage(long.groupBy(*keys, "value").agg(F.count("*").alias("n")), "values")
-    ranked = split_total(held, keys, "value", {"upto": "n"}, rows_per_bucket=rows_per_bucket)
-    q = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("feature")]
-    sizes = held.groupBy(*keys).agg(F.sum("n").alias("size")).withColumn(
-        "position", (F.col("size") - 1) * q)
-    joined = ranked.join(bounded(sizes), keys)
-    low, share = F.floor("position"), F.col("position") - F.floor("position")
-    high = F.least(low + 1, F.col("size") - 1)
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("value")))
-
-    picked = joined.groupBy(*keys).agg(
-        at(low).alias("lo"), at(high).alias("hi"), F.max(share).alias("share"))
-    value = (1 - F.col("share")) * F.col("lo") + F.col("share") * F.col("hi")
-    return picked.groupBy("window_start").agg(*[
-        F.max(F.when(F.col("feature") == c, value)).alias(f"{c}_cut") for c in shares])
+        F.struct(F.lit(c).alias("feature"), named(c).cast("double").alias("value")) for c in shares])))
+    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("feature")]
+    found = quantiles(long, ["window_start", "feature"], "value", share, rows_per_bucket)
+    return found.groupBy("window_start").agg(*[
+        F.max(F.when(F.col("feature") == c, F.col("value"))).alias(f"{c}_cut") for c in shares])

@@ -22,76 +22,29 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, float], direct_rows: int = DIRECT_ROWS,
-                    accuracy: int = 10_000) -> dict[str, float | None]:
+                    accuracy: int = 4096) -> dict[str, float | None]:
     """Exact quantiles with linear interpolation; NULL and NaN do not count.
 
-    Columns with up to ``direct_rows`` values use the built-in ``percentile``, all in one
-    aggregate. Larger ones are narrowed: a mergeable sketch brackets the wanted ranks, a count
-    says how many values lie below and inside, and the open bracket is cut again until what
-    is left fits. Each cut keeps about ``6 / accuracy`` of the rows, so two or three passes do.
-    Only scalars reach the driver.
+    A table with up to ``direct_rows`` rows uses the built-in ``percentile``, all columns in one aggregate. In a larger
+    one the ranks of all columns are selected together, see ``ranks``: the number of scans does not
+    depend on the number of columns. ``accuracy`` is the number of parts a bracket is cut into. Only scalars
+    reach the driver.
     """
+    from flowlens.operators.ranks import quantiles
+
     if not wanted:
         return {}
-    names = {f"c{i}": c for i, c in enumerate(wanted)}
-    values = df.select(*[F.nanvl(named(c).cast("double"), F.lit(None).cast("double")).alias(k)
-                         for k, c in names.items()])
     result: dict[str, float | None] = {c: None for c in wanted}
-    large = {}
-    if df.count() > direct_rows:
-        counts = values.agg(*[F.count(k).alias(k) for k in names]).first()
-        large = {k: counts[k] for k in names if counts[k] > direct_rows}
-    small = [k for k in names if k not in large]
-    if small:
-        row = values.agg(*[F.percentile(k, F.lit(float(wanted[names[k]]))).alias(k)
-                           for k in small]).first()
-        result.update({names[k]: row[k] for k in small})
-    for k, n in large.items():
-        result[names[k]] = _narrowed(values, k, wanted[names[k]], n, direct_rows, accuracy)
-    return result
-
-
-def _narrowed(values: DataFrame, col: str, q: float, n: int, direct_rows: int,
-              accuracy: int) -> float:
-    position = (n - 1) * q
-    lower = math.floor(position)
-    upper = min(lower + 1, n - 1)
-    found: dict[int, float] = {}
-    c = F.col(col)
-    inside: Column = c.isNotNull()
-    below, size, slack = 0, n, 2.0 / accuracy
-    while True:
-        open_ranks = [r for r in {lower, upper} if r not in found]
-        if not open_ranks:
-            break
-        if size <= direct_rows:
-            kept = values.where(inside).agg(F.sort_array(F.collect_list(c)).alias("v"))
-            row = kept.select(*[F.get("v", F.lit(r - below)).alias(str(r))
-                                for r in open_ranks]).first()
-            found.update({r: row[str(r)] for r in open_ranks})
-            break
-        first = max(0.0, (min(open_ranks) - below) / size - slack)
-        last = min(1.0, (max(open_ranks) + 1 - below) / size + slack)
-        a, b = values.where(inside).agg(
-            F.percentile_approx(c, [first, last], accuracy).alias("p")).first()["p"]
-        seen = values.where(inside).agg(
-            F.count_if(c < a).alias("lt"), F.count_if(c == a).alias("at_a"),
-            F.count_if((c > a) & (c < b)).alias("mid"),
-            F.count_if((c == b) & (c > a)).alias("at_b")).first()
-        start_mid = below + seen["lt"] + seen["at_a"]
-        end_mid = start_mid + seen["mid"]
-        for r in open_ranks:
-            if below + seen["lt"] <= r < start_mid:
-                found[r] = a
-            elif end_mid <= r < end_mid + seen["at_b"]:
-                found[r] = b
-        left = [r for r in open_ranks if r not in found]
-        if left and all(start_mid <= r < end_mid for r in left):
-            inside, below, size = (c > a) & (c < b), start_mid, seen["mid"]
-        elif left:
-            slack *= 4  # the sketch missed the rank: bracket it more widely
-    share = position - lower
-    return (1 - share) * found[lower] + share * found[upper]
+    names = {f"c{i}": c for i, c in enumerate(wanted)}
+    if df.count() <= direct_rows:
+        values = df.select(*[F.nanvl(named(c).cast("double"), F.lit(None).cast("double")).alias(k) for k, c in names.items()])
+        row = values.agg(*[F.percentile(k, F.lit(float(wanted[c]))).alias(k) for k, c in names.items()]).first()
+        return result | {c: row[k] for k, c in names.items()}
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("column"), named(c).cast("double").alias("value"))
+                                        for k, c in names.items()])))
+    share = F.create_map(*[F.lit(x) for k, c in names.items() for x in (k, float(wanted[c]))])[F.col("column")]
+    found = quantiles(long, ["column"], "value", share, direct_rows, accuracy).collect()
+    return result | {names[r["column"]]: r["value"] for r in found}
 
 
 def cut_points(df: DataFrame, order: str, rows_per_bucket: int = DIRECT_ROWS,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowlens.functions import timing
-from flowlens.operators import detect, history
+from flowlens.operators import detect, history, ports, ranks
 from flowlens.operators.flows import flow_features, window_flows
 from flowlens.operators.scale import exact_quantiles
 from flowlens.plans.fixtures import table, view
@@ -114,22 +114,57 @@ def detect_zscore(spark, sf):
 @query("detect_per_window", """
 with wflows as (
   select ts_us // 600000000 * 600000000 as window_us, src_ip, dst_ip, src_port, dst_port, protocol_type,
-         count(*) as packet_count, cast(max(ts_us) - min(ts_us) as double) / 1000000 as d,
+         count(*) as packet_count, cast(sum(packet_size) as double) as byte_count,
+         cast(max(ts_us) - min(ts_us) as double) / 1000000 as d,
          cast(count(*) filter (protocol_type = 'tcp' and contains(flags, 'S')) as double) as syn_count
   from packets group by all),
-rated as (select *, case when d > 0 then packet_count / d else cast(packet_count as double) end as packet_rate
+rated as (select *, case when d > 0 then packet_count / d else cast(packet_count as double) end as packet_rate,
+                 case when d > 0 then byte_count / d else byte_count end as byte_rate
           from wflows),
-cuts as (select window_us, quantile_cont(packet_rate, 0.95) as p, quantile_cont(syn_count, 0.90) as s
+cuts as (select window_us, quantile_cont(packet_rate, 0.95) as p, quantile_cont(byte_rate, 0.95) as b, quantile_cont(syn_count, 0.90) as s
          from rated group by window_us)
-select window_us, 'high_packet_rate' as type, count(*) as detections from rated join cuts using (window_us)
+select window_us, 'high_packet_rate' as type, src_ip, dst_ip, count(*) as detections from rated join cuts using (window_us)
 where packet_rate > p group by all
 union all
-select window_us, 'syn_flood', count(*) from rated join cuts using (window_us)
-where syn_count > s and syn_count > 10 group by all""")
+select window_us, 'high_byte_rate', src_ip, dst_ip, count(*) from rated join cuts using (window_us)
+where byte_rate > b group by all
+union all
+select window_us, 'syn_flood', src_ip, dst_ip, count(*) from rated join cuts using (window_us)
+where syn_count > s and syn_count > 10 group by all
+union all
+select window_us, 'port_scan', src_ip, 'multiple', 1 from wflows group by window_us, src_ip having count(distinct dst_port) > 50""")
 def detect_per_window(spark, sf):
     table = stage(window_flows(view(spark, sf, "packets"), "10 minutes"), "windows")
-    return detect.detect_windows(table, AS_OF).where(F.col("type").isin("high_packet_rate", "syn_flood")).groupBy(
-        F.unix_micros("window_start").alias("window_us"), "type").agg(F.count("*").alias("detections"))
+    return by_window(detect.detect_windows(table, AS_OF))
+
+
+def by_window(detections):
+    """Detections of each window, rule and pair of hosts."""
+    return detections.groupBy(F.unix_micros("window_start").alias("window_us"), "type", "src_ip", "dst_ip").agg(
+        F.count("*").alias("detections"))
+
+
+@query("distinct_ports", """
+select src_ip, dst_ip, count(distinct dst_port) as ports from packets group by all""")
+def distinct_ports(spark, sf):
+    return ports.distinct_ports(view(spark, sf, "packets"), ["src_ip", "dst_ip"])
+
+
+@query("flow_rank_quantiles", """
+with long as (
+  select protocol_type, unnest(['packet_rate', 'byte_rate', 'flow_duration', 'avg_packet_size']) as feature,
+         unnest([packet_rate, byte_rate, flow_duration, avg_packet_size]) as value from flows)
+select protocol_type, feature, round(case feature when 'packet_rate' then quantile_cont(value, 0.95)
+         when 'byte_rate' then quantile_cont(value, 0.95) else quantile_cont(value, 0.5) end, 6) as value
+from long group by protocol_type, feature""")
+def flow_rank_quantiles(spark, sf):
+    """Quantiles of four columns of each protocol, selected together; brackets of over 100 rows are cut, so several rounds run."""
+    columns = {"packet_rate": 0.95, "byte_rate": 0.95, "flow_duration": 0.5, "avg_packet_size": 0.5}
+    long = flows(spark, sf).select("protocol_type", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns])))
+    share = F.create_map(*[F.lit(x) for pair in columns.items() for x in pair])[F.col("feature")]
+    found = ranks.quantiles(long, ["protocol_type", "feature"], "value", share, direct_rows=100, parts=16)
+    return found.withColumn("value", F.round("value", 6))
 
 
 @query("rate_limit_trailing", """

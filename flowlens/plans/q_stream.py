@@ -12,7 +12,7 @@ from flowlens.functions.timing import from_micros
 from flowlens.operators.detect import DETECTION_COLUMNS
 from flowlens.operators.flows import FLOW_KEYS
 from flowlens.plans.fixtures import view
-from flowlens.plans.q_detect import event_history
+from flowlens.plans.q_detect import by_window, event_history
 from flowlens.plans.q_sources import PACKET_SQL, capture_files
 from flowlens.plans.registry import CHECKS, DERIVED, query
 from flowlens.session import new_path, tune
@@ -106,8 +106,15 @@ def stream_detect(spark, sf):
     flows = sp.stream_window_flows(packet_stream(spark, sf), "10 minutes")
     sinks.detect_closed_windows(flows, path, new_path(spark, "checkpoint"), "2024-01-01T02:00:00Z",
                                 available_now=True).awaitTermination()
-    return spark.read.parquet(path).where(F.col("type").isin("high_packet_rate", "syn_flood")).groupBy(
-        F.unix_micros("window_start").alias("window_us"), "type").agg(F.count("*").alias("detections"))
+    return by_window(spark.read.parquet(path))
+
+
+@query("stream_port_counts", """
+select ts_us // 600000000 * 600000000 as window_us, src_ip, count(distinct dst_port) as ports
+from packets, mark where ts_us // 600000000 * 600000000 + 600000000 <= mark_us group by 1, 2""")
+def stream_port_counts(spark, sf):
+    counts = sp.stream_port_counts(packet_stream(spark, sf), "10 minutes")
+    return drained(spark, counts).select(F.unix_micros("window_start").alias("window_us"), "src_ip", "ports")
 
 
 @query("stream_dedup", "select distinct src_ip, dst_ip, src_port, dst_port, protocol, packet_size, flags, ts_us from packets")

@@ -8,6 +8,7 @@ from flowlens.functions.packets import protocol_class
 from flowlens.functions.timing import capture_time, micros
 from flowlens.functions.values import named
 from flowlens.operators.flows import FLOW_COLUMNS, flow_features, window_flows
+from flowlens.operators.ports import count_ports, port_words
 from flowlens.schemas import LIVE_FIELDS
 
 
@@ -54,3 +55,14 @@ def stream_session_flows(packets: DataFrame, gap: str, delay: str = "10 seconds"
 def without_repeats(packets: DataFrame, keys: list[str], delay: str = "10 seconds") -> DataFrame:
     """Each key once within the watermark delay."""
     return packets.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(keys)
+
+
+def stream_port_counts(packets: DataFrame, width: str, delay: str = "10 seconds") -> DataFrame:
+    """Distinct destination ports of each source and window, once the watermark has passed the window.
+
+    The state is a bitmap per source and window, merged from batch to batch, so it does not grow with packets or flows.
+    """
+    late = packets.withWatermark("timestamp", delay).where(F.col("src_ip").isNotNull())
+    words = port_words(late, [F.window("timestamp", width), F.col("src_ip")])
+    counted = count_ports(words, [F.col("window"), F.col("src_ip")])
+    return counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "src_ip", "ports")

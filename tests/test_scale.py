@@ -102,6 +102,17 @@ def test_block_timeline_with_a_fixed_beat(spark, seed):
     assert sorted(map(tuple, got.collect())) == brute_blocks(rows, 10_000_000)
 
 
+@pytest.mark.parametrize("gap,span", [(1, 10), (3, 10), (7, 2), (1, 5_000)])
+def test_block_timeline_of_one_key(spark, gap, span):
+    """All events have one key: parts shorter and longer than a block, and gaps."""
+    rng = np.random.default_rng(gap + span)
+    times = np.cumsum(rng.integers(1, 2 * gap * 1_000_000, size=2000)) + (np.arange(2000) > 1200) * 50_000_000
+    rows = [("hot", int(t)) for t in times] + [("hot", int(times[7]))]
+    df = spark.createDataFrame(rows, "src_ip string, ts_us bigint")
+    got = blocks.block_timeline(df, duration=span, rows_per_part=100).select("ip", "ts_us")
+    assert sorted(map(tuple, got.collect())) == brute_blocks(rows, span * 1_000_000)
+
+
 def test_hot_join_keys(spark):
     left = spark.createDataFrame([(k, i) for i, k in enumerate(["a", "a", "b", "c", None])], "k string, l int")
     right = spark.createDataFrame([("a", i) for i in range(40)] + [("b", 1), (None, 2), ("z", 3)], "k string, r int")
