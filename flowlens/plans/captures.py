@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import struct
 from collections.abc import Iterator
 
@@ -10,13 +11,36 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from flowlens.functions.packets import FLAG_LETTERS
-from flowlens.sources.pcap import IPV4, MAGIC_MICRO, MAGIC_NANO, open_target
+from flowlens.sources.pcap import (BYTE_ORDER_MARK, ENHANCED_PACKET, INTERFACE, IPV4, MAGIC_MICRO, MAGIC_NANO, SECTION,
+                                   open_target)
 
 WRITTEN = pa.schema([("file", pa.string()), ("packets", pa.int64())])
 
 
-def write_captures(packets: DataFrame, path: str, nanos: bool = False, short: bool = False) -> DataFrame:
-    """One classic capture file per partition below ``path``; returns the files with their counts.
+def block(kind: int, body: bytes) -> bytes:
+    """A block of a block-structured capture, its body filled up to whole words."""
+    body += bytes(-len(body) % 4)
+    return struct.pack("<II", kind, len(body) + 12) + body + struct.pack("<I", len(body) + 12)
+
+
+def packet_block(record: bytes, interface: int, ticks: int) -> bytes:
+    """The packet of a classic record as a block of an interface with ``ticks`` a second."""
+    sec, micro, size, original = struct.unpack("<IIII", record[:16])
+    at = (sec * 1_000_000 + micro) * (ticks // 1_000_000)
+    return block(ENHANCED_PACKET, struct.pack("<IIIII", interface, at >> 32, at & 0xFFFFFFFF, size, original) + record[16:])
+
+
+# Two interfaces: microseconds, and nanoseconds with the option that says so.
+SECTION_HEAD = block(SECTION, struct.pack("<IHHq", BYTE_ORDER_MARK, 1, 0, -1)) + block(INTERFACE, struct.pack("<HHI", 1, 0, 65535)) + block(
+    INTERFACE, struct.pack("<HHIHHBBBBHH", 1, 0, 65535, 9, 1, 9, 0, 0, 0, 0, 0))
+
+
+def write_captures(packets: DataFrame, path: str, nanos: bool = False, short: bool = False, blocks: bool = False,
+                   zipped: bool = False, section_packets: int = 500) -> DataFrame:
+    """One capture file per partition below ``path``; returns the files with their counts.
+
+    Files are classic, or block-structured with a new section every ``section_packets`` packets, which alternate between two
+    interfaces; ``zipped`` puts either into gzip.
 
     Headers are rebuilt from the packet columns, the rest of a packet is zeros. A repeated task
     writes the same file again. With ``short`` a packet of size 0 is cut inside its IP header.
@@ -24,14 +48,21 @@ def write_captures(packets: DataFrame, path: str, nanos: bool = False, short: bo
     magic = MAGIC_NANO if nanos else MAGIC_MICRO
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target = f"{path}/part-{TaskContext.get().partitionId():05d}.pcap"
+        target = f"{path}/part-{TaskContext.get().partitionId():05d}.pcap" + ".gz" * zipped
         count = 0
-        with open_target(target) as f:
-            f.write(struct.pack("<IHHiIII", magic, 2, 4, 0, 0, 65535, 1))
+        with open_target(target) as out:
+            f = gzip.GzipFile(fileobj=out, mode="wb", mtime=0) if zipped else out
+            if not blocks:
+                f.write(struct.pack("<IHHiIII", magic, 2, 4, 0, 0, 65535, 1))
             for batch in batches:
                 for row in batch.to_pylist():
-                    f.write(frame(row, nanos, short))
+                    if blocks and count % section_packets == 0:
+                        f.write(SECTION_HEAD)
+                    record = frame(row, nanos, short)
+                    f.write(packet_block(record, count % 2, 1_000_000 if count % 2 == 0 else 1_000_000_000) if blocks else record)
                     count += 1
+            if zipped:
+                f.close()
         yield pa.RecordBatch.from_pylist([{"file": target, "packets": count}], schema=WRITTEN)
 
     columns = ["src_ip", "dst_ip", "protocol", "packet_size", "src_port", "dst_port", "flags", "ts_us"]

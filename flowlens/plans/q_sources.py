@@ -22,13 +22,18 @@ select src_ip, dst_ip, protocol, packet_size, src_port, dst_port, flags, protoco
 CONN_TYPES = {"id.orig_p": "port", "id.resp_p": "port"}
 
 
-def capture_files(spark, sf, parts=4):
+def capture_files(spark, sf, parts=4, **how):
     """The packet view as capture files; returns their folder."""
     path = new_path(spark, "captures")
-    write_captures(view(spark, sf, "packets").repartition(parts, "src_ip"), path).collect()
+    write_captures(view(spark, sf, "packets").repartition(parts, "src_ip"), path, **how).collect()
     return path
 
 
+def many_ranges(spark, sf):
+    """Bytes of a range, so that the captures are cut into some dozens."""
+    return max(4096, table(spark, sf, "lineitem").count() * 20)
+
+
 @query("src_pcap_roundtrip", PACKET_SQL)
 def src_pcap_roundtrip(spark, sf):
     return pcap.read_pcap(spark, capture_files(spark, sf)).drop("timestamp")
@@ -41,6 +46,20 @@ def src_pcap_split(spark, sf):
     return pcap.read_pcap(spark, capture_files(spark, sf, 1), split_bytes=max(4096, size)).drop("timestamp")
 
 
+@query("src_pcap_blocks", PACKET_SQL)
+def src_pcap_blocks(spark, sf):
+    """Block-structured captures with many sections and two interfaces, each read in many ranges."""
+    return pcap.read_pcap(spark, capture_files(spark, sf, 2, blocks=True), split_bytes=many_ranges(spark, sf)).drop("timestamp")
+
+
+@query("src_pcap_gzip", f"{PACKET_SQL} union all {PACKET_SQL}")
+def src_pcap_gzip(spark, sf):
+    """Captures of both kinds in gzip; what is inflated is cut into ranges."""
+    size = many_ranges(spark, sf)
+    paths = [capture_files(spark, sf, 2, blocks=b, zipped=True) for b in (False, True)]
+    return pcap.read_pcap(spark, paths, split_bytes=size).drop("timestamp")
+
+
 @query("src_pcap_corrupt", """
 select packet_size < 200 and protocol = 6 as corrupt, count(*) as packets from packets group by all""")
 def src_pcap_corrupt(spark, sf):

@@ -70,6 +70,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{_work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def work_path(spark: SparkSession, name: str) -> str:
+    """The path of this name below the application's folder; the same whenever it is asked for."""
+    return f"{_work_dir(spark)}/{name}"
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged. Call it once no table built on it is read any more."""
     jvm = spark.sparkContext._jvm

@@ -27,6 +27,11 @@ def open_input(path: str) -> BinaryIO:
     return system.open_input_file(inner)
 
 
+def exists(path: str) -> bool:
+    system, inner = locate(path)
+    return system.get_file_info(inner).type != fs.FileType.NotFound
+
+
 def publish(path: str, write: Callable[[BinaryIO], None]) -> None:
     """Write a file under a name of this attempt and move it to ``path``.
 

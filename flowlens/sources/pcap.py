@@ -3,25 +3,33 @@
 Files are listed by Spark, decoded in Arrow batches on the executors and read as streams, so
 memory stays flat whatever their size. A large classic capture is cut into byte ranges at proven
 record starts; decoding searches on after a damaged record, and finds the same ones in any range.
+A block-structured one is walked by all its ranges at once, each from a block found near its start; a range whose
+start is not where the one before ends is walked again from there. Interfaces are handed from range to range. A gzip
+capture is inflated once, to the shared folder, and then cut like any other.
 """
 
 from __future__ import annotations
 
+import hashlib
 import struct
+import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flowlens.functions.packets import dotted, flag_letters, protocol_class
 from flowlens.functions.timing import from_micros
-from flowlens.sources.files import locate, open_input
+from flowlens.session import stage, work_path
+from flowlens.sources.files import exists, locate, open_input, publish
 
 SPLIT_BYTES = 256 * 1024 * 1024
 BATCH_ROWS = 50_000
 BLOCK_BYTES = 4 * 1024 * 1024
+WIDTH = 200               # bytes of a packet that are gathered: HEAD_BYTES and zeros
 HEAD_BYTES = 160          # link header, tags, longest IPv4 header and the transport fields
 PROOF_RECORDS = 64        # believable records in a row that prove a start
 SEARCH_BYTES = 2 * 1024 * 1024  # read at a time while searching
@@ -89,6 +97,45 @@ class _Classic:
         own, frac, size, original = self.record.unpack(head)
         return abs(own - sec) <= NEAR_SECONDS and frac < self.per_second and (size > 0 or original > 0)
 
+    def time(self, sec, frac):
+        return sec * 1_000_000 + frac * 1_000_000 // self.per_second
+
+    def follow(self, data: bytes, end: int, length: int) -> tuple[list[int], bool]:
+        """Offsets of the records in a row whose headers are believable and lead to a possible neighbour, or to the end of the
+        file, ``length``; they start before ``end``. And whether they only stop because the data does."""
+        read, most, held = self.record.unpack_from, min(self.largest, MOST_CAPTURED), len(data)
+        longest, per_second = 0x40000 + self.largest, self.per_second
+        out, at = [], 0
+        if held < 16:
+            return out, False
+        sec, frac, size, original = read(data, 0)
+        while 0 < size <= most and size <= original <= longest and frac < per_second:
+            following = at + 16 + size
+            if following == length:
+                out.append(at)
+                return out, True
+            if following + 16 > held:
+                return out, held < length and at > 0
+            own, frac, size, original = read(data, following)
+            if not -NEAR_SECONDS <= own - sec <= NEAR_SECONDS or frac >= per_second or size == original == 0:
+                return out, False
+            out.append(at)
+            at, sec = following, own
+            if at >= end:
+                return out, True
+        return out, False
+
+    def heads(self, data: bytes, offsets: list[int]) -> tuple[Heads, int]:
+        """The records at these offsets, and the second of the last."""
+        at = np.array(offsets, np.int64)
+        raw = np.frombuffer(data + bytes(WIDTH + 16), np.uint8)
+        fields = np.ascontiguousarray(sliding_window_view(raw, 16)[at]).view(self.order + "u4").astype(np.int64)
+        sec, frac, size = fields[:, 0], fields[:, 1], fields[:, 2]
+        grid = sliding_window_view(raw, WIDTH)[at + 16]
+        grid[np.arange(WIDTH) >= np.minimum(size, HEAD_BYTES)[:, None]] = 0
+        link = np.full(len(at), self.link, np.int64)
+        return Heads(self.time(sec, frac), link, size, np.ones(len(at), bool), grid), int(sec[-1])
+
     def odd(self, f: BinaryIO, at: int, head: bytes, sec: int | None, length: int) -> bool:
         """Whether a header that is not believable belongs to a whole record: its length leads to a neighbour, or to the end."""
         if len(head) < 16:
@@ -131,69 +178,122 @@ def _container(head: bytes) -> str | None:
 Record = tuple[int, int, bytes, int, bool]
 
 
-def classic_records(f: BinaryIO, start: int, end: int | None) -> Iterator[Record]:
+class Heads:
+    """First bytes of records, gathered: times, link types, captured lengths, whether they are whole, and a row of bytes each."""
+
+    def __init__(self, times, links, sizes, whole, grid):
+        self.times, self.links, self.sizes, self.whole, self.grid = times, links, sizes, whole, grid
+
+    @classmethod
+    def of(cls, records: list[Record]) -> Heads:
+        grid = np.frombuffer(b"".join([r[2].ljust(WIDTH, b"\0") for r in records]), np.uint8).reshape(len(records), WIDTH)
+        return cls(*(np.array([r[k] for r in records], kind) for k, kind in ((0, np.int64), (1, np.int64), (3, np.int64), (4, bool))), grid)
+
+
+def classic_heads(f: BinaryIO, start: int, end: int | None) -> Iterator[Heads]:
     """Records that start in [start, end); both are starts of believable records, or the ends of the file.
 
-    A damaged record gives one incomplete record, and reading goes on at the next believable one. Whether a record is
-    damaged depends on the file alone, so the ranges of a file give what the whole file gives. No read is longer
-    than a record may be.
+    Records are followed inside blocks of bytes, and the heads of a block are gathered at once; where a header is odd, one step
+    looks closer. A damaged record gives one incomplete record, and reading goes on at the next believable one. Whether a
+    record is damaged depends on the file alone, so the ranges of a file give what the whole file gives.
     """
     f.seek(0)
     about = _Classic(f.read(_Classic.size))
     length = f.seek(0, 2)
-    at = max(start, _Classic.size)
+    at, last = max(start, _Classic.size), None
     end = length if end is None else end
-    f.seek(at)
-    head, last = f.read(16), None
+    single: list[Record] = []
     while at < end:
-        if not about.believable(head) and not about.odd(f, at, head, last, length):
-            yield 0, about.link, b"", len(head), False
-            found = find_record(f, about, at + 1, length, last, True)
-        else:
-            sec, frac, size, _ = about.record.unpack(head)
-            following = at + 16 + size
-            f.seek(at + 16)
-            rest = f.read(size + 16)
-            data, head = rest[:size], rest[size:]
-            time = sec * 1_000_000 + frac * 1_000_000 // about.per_second
-            found = None
-            if following != length and not about.possible(head, sec):
-                found = find_record(f, about, at + 16, length, sec, True)
-                f.seek(min(following + 16, length))
-            if found is None or found >= following:  # this record is whole, or cut off by the end of the file
-                yield time, about.link, data[:HEAD_BYTES], len(data), len(data) == size
-                at, last = following, sec
-                continue
-            yield time, about.link, b"", 0, False  # its length leads past the next record
-        if found is None:
-            return
-        at = found
         f.seek(at)
-        head = f.read(16)
+        data = f.read(min(BLOCK_BYTES, length - at))
+        offsets, more = about.follow(data, end - at, length - at)
+        if offsets:
+            if single:
+                yield Heads.of(single)
+                single = []
+            heads, last = about.heads(data, offsets)
+            yield heads
+            at += offsets[-1] + 16 + int(heads.sizes[-1])
+            if more or at >= end:
+                continue
+        record, following, last = _classic_step(f, about, at, last, length)
+        single.append(record)
+        if len(single) == BATCH_ROWS:
+            yield Heads.of(single)
+            single = []
+        if following is None:
+            break
+        at = following
+    if single:
+        yield Heads.of(single)
 
 
-def block_records(f: BinaryIO) -> Iterator[Record]:
-    """Records of a block-structured capture, over all its sections and interfaces.
+def _classic_step(f: BinaryIO, about: _Classic, at: int, last: int | None, length: int) -> tuple[Record, int | None, int | None]:
+    """The record at ``at``, where the next one starts (None: there is none) and the second of this one."""
+    f.seek(at)
+    head = f.read(16)
+    if not about.believable(head) and not about.odd(f, at, head, last, length):
+        return (0, about.link, b"", len(head), False), find_record(f, about, at + 1, length, last, True), last
+    sec, frac, size, _ = about.record.unpack(head)
+    following = at + 16 + size
+    f.seek(at + 16)
+    data = f.read(min(size, HEAD_BYTES))
+    held = min(size, length - at - 16)
+    f.seek(min(following, length))
+    if following != length and not about.possible(f.read(16), sec):
+        found = find_record(f, about, at + 16, length, sec, True)
+        if found is not None and found < following:
+            return (0, about.link, b"", 0, False), found, last  # its length leads past the next record
+    # This record is whole, or cut off by the end of the file.
+    return (about.time(sec, frac), about.link, data, held, held == size), following, sec
+
+
+Interface = tuple[int, int, int, int]  # link type, ticks per second, seconds to add, snap length
 
-    Blocks of other kinds are stepped over, whatever their size; of packets only the first bytes are read. A damaged length
-    gives one incomplete record, and reading goes on at the next block whose lengths agree.
+
+def _blocks(f: BinaryIO, at: int, order: str, stop: int, length: int) -> Iterator[tuple[int, int | None, int, str, bool, int]]:
+    """Blocks that start in [at, stop): offset, kind, size, byte order, whether the lengths agree, and where the next one starts.
+
+    A damaged length gives kind -1, and reading goes on at the next block whose lengths agree.
     """
-    length = f.seek(0, 2)
-    at, order, links = 0, "<", []
-    while at < length:
+    while at < min(stop, length):
         kind, size, order, agreed = _block(f, at, order, length)
+        following = at + size
         if not agreed:
             found = _find_block(f, at + 4, order, length)
             if found is not None or not 12 <= size:
-                yield 0, 1, b"", 0, False
-                if found is None:
-                    return
-                at = found
-                continue
-            # The end of the file cuts this block off.
+                kind, following = -1, length if found is None else found
+            # Else the end of the file cuts this block off.
+        yield at, kind, size, order, agreed, following
+        at = following
+
+
+def walk_blocks(f: BinaryIO, at: int, order: str, stop: int) -> tuple[int, str, bool, list[Interface]]:
+    """Where the walk from ``at`` leaves the range that ends at ``stop``, in which byte order, whether a section begins on the
+    way, and the interfaces since then."""
+    length, began, links = f.seek(0, 2), False, []
+    for here, kind, size, order, agreed, at in _blocks(f, at, order, stop, length):
+        if kind == SECTION:
+            began, links = True, []
+        elif kind == INTERFACE and agreed:
+            f.seek(here + 8)
+            links.append(_interface(f.read(size - 12) + bytes(4), order))
+    return at, order, began, links
+
+
+def block_records(f: BinaryIO, start: int = 0, stop: int | None = None, order: str = "<", links: list[Interface] | None = None) -> Iterator[Record]:
+    """Records of a block-structured capture, over all its sections and interfaces, or of the blocks that start in [start, stop).
+
+    ``order`` and ``links`` are the byte order and the interfaces known at the start. Blocks of other kinds are stepped over,
+    whatever their size; of packets only the first bytes are read. A damaged length gives one incomplete record.
+    """
+    length, links = f.seek(0, 2), list(links or [])
+    for at, kind, size, order, agreed, _ in _blocks(f, start, order, length if stop is None else stop, length):
         room = min(size, length - at) - (12 if agreed else 8)  # of the body
         f.seek(at + 8)
-        if kind == SECTION:
+        if kind == -1:
+            yield 0, 1, b"", 0, False
+        elif kind == SECTION:
             links = []
         elif kind == INTERFACE and agreed:
             links.append(_interface(f.read(room) + bytes(4), order))
@@ -219,7 +319,6 @@ def block_records(f: BinaryIO) -> Iterator[Record]:
             yield 0, link, body[4:4 + min(held, HEAD_BYTES)], held, held == captured
         elif kind is None:  # less than a header
             yield 0, 1, b"", length - at, False
-        at += size
 
 
 def _block(f: BinaryIO, at: int, order: str, length: int) -> tuple[int | None, int, str, bool]:
@@ -319,20 +418,15 @@ def range_start(path: str, length: int, near: int) -> int | None:
         return find_record(f, _Classic(head), near, length) if _container(head) == "classic" else None
 
 
-def _decode(file: str, records: list[Record]) -> pa.RecordBatch:
+def _decode(file: str, heads: Heads) -> pa.RecordBatch:
     """IPv4 rows of a batch of records: fields are gathered by numpy, one pass per field."""
-    n = len(records)
-    times = np.array([r[0] for r in records], dtype=np.int64)
-    sizes = np.array([r[3] for r in records], dtype=np.int64)
-    whole = np.array([r[4] for r in records], dtype=bool)
-    links = np.array([r[1] for r in records], dtype=np.int64)
-    held = np.array([len(r[2]) for r in records], dtype=np.int64)
-    grid = np.frombuffer(b"".join(r[2].ljust(HEAD_BYTES + 40, b"\0") for r in records),
-                         dtype=np.uint8).reshape(n, HEAD_BYTES + 40).astype(np.int64)
+    times, sizes, whole, links, grid = heads.times, heads.sizes, heads.whole, heads.links, heads.grid
+    n = len(times)
+    held = np.minimum(sizes, HEAD_BYTES)
     rows = np.arange(n)
 
     def byte(at: np.ndarray) -> np.ndarray:
-        return grid[rows, np.minimum(at, HEAD_BYTES + 39)]
+        return grid[rows, np.minimum(at, WIDTH - 1)].astype(np.int64)
 
     def word(at: np.ndarray) -> np.ndarray:
         return (byte(at) << 8) | byte(at + 1)
@@ -382,28 +476,74 @@ def _decode(file: str, records: list[Record]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=ARROW)
 
 
-def decode_range(path: str, start: int, end: int | None) -> Iterator[pa.RecordBatch]:
+def decode_range(path: str, start: int, end: int | None, order: str | None = None, links: list[Interface] | None = None) -> Iterator[pa.RecordBatch]:
+    """The packets of the records that start in [start, end); of a block-structured capture with the byte order and interfaces there."""
     with open_stream(path) as f:
-        kind = _container(f.read(24))
+        head = f.read(24)
+        kind = _container(head)
         if kind is None:
             raise ValueError(f"not a packet capture: {path}")
-        records = classic_records(f, start, end) if kind == "classic" else block_records(f)
+        if kind == "classic":
+            for heads in classic_heads(f, start, end):
+                yield _decode(path, heads)
+            return
         batch: list[Record] = []
-        for record in records:
+        for record in block_records(f, start, end, order or "<", links):
             batch.append(record)
             if len(batch) == BATCH_ROWS:
-                yield _decode(path, batch)
+                yield _decode(path, Heads.of(batch))
                 batch = []
         if batch:
-            yield _decode(path, batch)
+            yield _decode(path, Heads.of(batch))
 
 
 def _listing(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
-    """Path and length per file. Contents are not read: the content column is never selected."""
+    """Path, length and time of change per file. Contents are not read: the content column is never selected."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", "length")
+    return reader.load(path).select("path", "length", F.unix_micros("modificationTime").alias("changed"))
+
+
+GZIP = b"\x1f\x8b"
+CAPTURE = pa.schema([("path", pa.string()), ("length", pa.int64()), ("kind", pa.string())])
+
+
+def inflate(source: BinaryIO, out: BinaryIO) -> int:
+    """All members of a gzip file, block by block; bytes written. What follows damage, or the last member, is left out."""
+    written, inner = 0, zlib.decompressobj(31)
+    data = source.read(BLOCK_BYTES)
+    while data:
+        try:
+            block = inner.decompress(data, BLOCK_BYTES)
+        except zlib.error:
+            break
+        written += out.write(block)
+        data = inner.unconsumed_tail
+        if inner.eof:
+            data, inner = inner.unused_data, zlib.decompressobj(31)
+        data = data or source.read(BLOCK_BYTES)
+    return written + out.write(inner.flush())
+
+
+def _opened(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Container of each file; a gzip file is inflated to ``folder``, unless it was before, and its content takes its place."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            path, length = row["path"], row["length"]
+            with open_stream(path) as f:
+                head = f.read(24)
+                if head[:2] == GZIP:
+                    name = hashlib.md5(f"{path} {length} {row['changed']}".encode()).hexdigest()
+                    plain = f"{folder}/{name}.pcap"
+                    if not exists(plain):
+                        f.seek(0)
+                        publish(plain, lambda out: inflate(f, out))
+                    path = plain
+            if path != row["path"]:
+                with open_stream(path) as f:
+                    head, length = f.read(24), f.seek(0, 2)
+            yield pa.RecordBatch.from_pylist([{"path": path, "length": length, "kind": _container(head)}], schema=CAPTURE)
 
 
 def _packets(raw: DataFrame, keep_corrupt: bool) -> DataFrame:
@@ -422,18 +562,88 @@ def _packets(raw: DataFrame, keep_corrupt: bool) -> DataFrame:
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            yield from decode_range(row["path"], row["start"], row["end"])
+            links = row.get("links")
+            yield from decode_range(row["path"], row["start"], row["end"], row.get("order"),
+                                    [(x["link"], x["ticks"], x["shift"], x["snap"]) for x in links] if links else None)
+
+
+LINK = "struct<link: int, ticks: bigint, shift: bigint, snap: bigint>"
+WALKED = f"path string, near bigint, stop bigint, start bigint, order string, left bigint, left_order string, began boolean, links array<{LINK}>"
+PART = f"path string, start bigint, end bigint, order string, links array<{LINK}>"
+
+
+def _link_rows(links: list[Interface]) -> list[dict]:
+    return [dict(zip(("link", "ticks", "shift", "snap"), x)) for x in links]
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each range, walked from its start, or from a block found near its beginning if no start is given."""
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            with open_stream(row["path"]) as f:
+                length = f.seek(0, 2)
+                start, order = row["start"], row["order"] or "<"
+                if start is None and row["near"] == 0:
+                    start = 0
+                elif start is None:
+                    order = _block(f, 0, "<", length)[2]  # that of the first section
+                    start = _find_block(f, row["near"], order, length)
+                    start = length if start is None else start
+                left, left_order, began, links = walk_blocks(f, start, order, row["stop"])
+            out.append({"path": row["path"], "near": row["near"], "stop": row["stop"], "start": start, "order": order,
+                        "left": left, "left_order": left_order, "began": began, "links": _link_rows(links)})
+        yield pa.RecordBatch.from_pylist(out, schema=WALKED_ARROW)
+
+
+_LINK_ARROW = pa.list_(pa.struct([("link", pa.int32()), ("ticks", pa.int64()), ("shift", pa.int64()), ("snap", pa.int64())]))
+WALKED_ARROW = pa.schema([("path", pa.string()), ("near", pa.int64()), ("stop", pa.int64()), ("start", pa.int64()), ("order", pa.string()),
+                          ("left", pa.int64()), ("left_order", pa.string()), ("began", pa.bool_()), ("links", _LINK_ARROW)])
+
+
+def _hand_on(key: tuple, walked: pa.Table) -> pa.Table:
+    """The interfaces each range of a file begins with, handed from range to range."""
+    out, links = [], []
+    for row in sorted(walked.to_pylist(), key=lambda r: r["near"]):
+        if row["start"] < row["stop"]:
+            out.append({"path": row["path"], "start": row["start"], "end": row["stop"], "order": row["order"], "links": links})
+        links = row["links"] if row["began"] else links + row["links"]
+    return pa.Table.from_pylist(out, schema=pa.schema([("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
+                                                       ("order", pa.string()), ("links", _LINK_ARROW)]))
+
+
+def block_ranges(places: DataFrame) -> DataFrame:
+    """Ranges of block-structured captures (``path``, ``near``, ``stop``) as ``path``, ``start``, ``end``, ``order``, ``links``.
+
+    All ranges are walked at once. A range has to start where those before it end; one that does not, because what was found near
+    its beginning only looked like a block, is walked again from there, until all agree. The first range of a file is
+    right, so the ranges together read what one walk over the file reads.
+    """
+    nothing = [F.lit(None).cast("bigint").alias("start"), F.lit(None).cast("string").alias("order")]
+    walked = stage(places.select("path", "near", "stop", *nothing).mapInArrow(_walk, WALKED), "ranges")
+    before = Window.partitionBy("path").orderBy("near").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        due = walked.withColumn("due", F.max(F.struct("left", "left_order")).over(before))
+        off = F.col("due").isNotNull() & ((F.col("start") != F.col("due.left")) | (F.col("order") != F.col("due.left_order")))
+        wrong = stage(due.where(off).select("path", "near", "stop", F.col("due.left").alias("start"), F.col("due.left_order").alias("order")), "again")
+        if wrong.isEmpty():
+            return walked.groupBy("path").applyInArrow(_hand_on, PART)
+        redone = wrong.repartition(max(1, wrong.count())).mapInArrow(_walk, WALKED)
+        walked = stage(walked.join(wrong.select("path", "near"), ["path", "near"], "left_anti").unionByName(redone), "ranges")
 
 
 def read_pcap(spark: SparkSession, path: str | list[str], split_bytes: int | None = SPLIT_BYTES,
               keep_corrupt: bool = False, glob: str | None = None) -> DataFrame:
-    """IPv4 packets of capture files or folders, in both container formats.
+    """IPv4 packets of capture files or folders, in both container formats, plain or in gzip.
 
     A packet that cannot be decoded is left out, or kept and marked with ``keep_corrupt``.
     """
+    folder = work_path(spark, "inflated")
     files = _listing(spark, path, glob)
+    files = stage(files.repartition(max(1, files.count()), "path").mapInArrow(
+        lambda batches: _opened(batches, folder), "path string, length bigint, kind string"), "captures")
     size = F.lit(split_bytes) if split_bytes else F.col("length") + 1
-    places = files.select("path", "length", F.explode(F.sequence(
+    places = files.select("path", "length", "kind", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.col("length"), size.cast("bigint"))).alias("near"))
     tasks = max(1, places.count())
 
@@ -445,24 +655,49 @@ def read_pcap(spark: SparkSession, path: str | list[str], split_bytes: int | Non
                 [r for r in found if r["start"] is not None],
                 schema=pa.schema([("path", pa.string()), ("start", pa.int64())]))
 
-    known = places.repartition(tasks).mapInArrow(starts, "path string, start bigint").distinct()
+    classic = places.where("kind is null or kind <> 'blocks'")
+    known = classic.repartition(tasks).mapInArrow(starts, "path string, start bigint").distinct()
     following = Window.partitionBy("path").orderBy("start")
-    parts = known.withColumn("end", F.lead("start").over(following)).repartition(tasks)
-    return _packets(parts.mapInArrow(_decode_batches, RAW), keep_corrupt)
+    parts = known.withColumn("end", F.lead("start").over(following)).select(
+        "path", "start", "end", F.lit(None).cast("string").alias("order"), F.lit(None).cast(f"array<{LINK}>").alias("links"))
+    if not files.where("kind = 'blocks'").isEmpty():
+        reach = F.col("near") + (F.lit(split_bytes) if split_bytes else F.col("length") + 1)
+        blocks = places.where("kind = 'blocks'").select("path", "near", reach.cast("bigint").alias("stop"))
+        parts = parts.unionByName(block_ranges(blocks.repartition(tasks)))
+    return _packets(parts.repartition(tasks).mapInArrow(_decode_batches, RAW), keep_corrupt)
 
 
 def stream_pcap(spark: SparkSession, path: str, keep_corrupt: bool = False, glob: str | None = None,
-                max_files: int | None = None) -> DataFrame:
-    """Packets of capture files as they land in a folder; each file is decoded once."""
+                max_files: int | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Packets of capture files as they land in a folder, plain or in gzip; each file is decoded once."""
     reader = spark.readStream.format("binaryFile").schema(
         "path string, modificationTime timestamp, length bigint, content binary")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    files = reader.load(path).select("path", F.lit(0).cast("bigint").alias("start"),
-                                     F.lit(None).cast("bigint").alias("end"))
-    return _packets(files.mapInArrow(_decode_batches, RAW), keep_corrupt)
+    folder = work_path(spark, "inflated")
+    files = reader.load(path).select("path", "length", F.unix_micros("modificationTime").alias("changed")).mapInArrow(
+        lambda batches: _opened(batches, folder), "path string, length bigint, kind string")
+    # A classic capture is decoded by a task per range, any other one by one task.
+    step = F.when(F.col("kind") == "blocks", F.col("length") + 1).otherwise(split_bytes).cast("bigint")
+    ranges = files.select("path", "length", step.alias("step"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length"), step)).alias("near"))
+    return _packets(ranges.repartition(4 * spark.sparkContext.defaultParallelism).mapInArrow(_decode_landed, RAW), keep_corrupt)
+
+
+def _decode_landed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranges of landed files, each up to where the next one with a start of its own begins."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            path, length, step = row["path"], row["length"], row["step"]
+            start, near = range_start(path, length, row["near"]), row["near"] + step
+            if start is None or start >= near and range_start(path, length, near) == start:
+                continue  # the range that begins later has this start too
+            end = None
+            while end is None and near <= length:
+                end = range_start(path, length, near)
+                near += step
+            yield from decode_range(path, start, end)
 
 
 def corrupt_packets(spark: SparkSession, path: str | list[str], **options) -> DataFrame:

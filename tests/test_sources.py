@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import os
 import struct
 
@@ -281,3 +282,66 @@ def test_large_and_damaged_blocks_do_not_end_a_file(spark, tmp_path, order):
         damaged = second[:4] + struct.pack(order + "I", size) + second[8:]
         got = pcap.read_pcap(spark, put(tmp_path, head + first + damaged + third, f"{size}.pcap"), keep_corrupt=True)
         assert sorted((r.corrupt, r.src_port) for r in got.collect()) == [(False, 0), (False, 1000), (True, 0)]
+
+
+@pytest.mark.parametrize("split", [200, 333, 5000])
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_ranges_of_blocks_equal_the_whole(spark, tmp_path, order, split):
+    """Several sections, interfaces that later packets name, large foreign blocks, damaged lengths and a cut end."""
+    parts = []
+    for k in range(6):
+        own = order if k != 3 else {"<": ">", ">": "<"}[order]
+        data = block_capture(FRAMES * 3, own, 9 if k % 2 else None)
+        parts += [data, block(0xBAD, bytes(900 * (k == 2) + 8), own)]
+        # A whole capture as the body of a foreign block looks like blocks from inside.
+        parts += [block(0xBAD, block_capture(FRAMES, own), own)]
+    data = b"".join(parts)
+    for name, bad in (("whole", data), ("cut", data[:-7]), ("hurt", data[:2000] + b"\xff" * 9 + data[2009:]),
+                      ("size", data[:-900] + struct.pack(order + "I", 50) * 3 + data[-888:])):
+        path = put(tmp_path, bad, f"{name}.pcapng")
+        want = pcap.read_pcap(spark, path, split_bytes=None, keep_corrupt=True).drop("timestamp").collect()
+        got = pcap.read_pcap(spark, path, split_bytes=split, keep_corrupt=True).drop("timestamp").collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) > 100
+
+
+def test_gzip_captures(spark, tmp_path):
+    """Members one after another, a cut end and a second read of the same file."""
+    plain = classic(FRAMES * 40)
+    members = gzip.compress(plain[:3000]) + gzip.compress(plain[3000:])
+    whole = rows(pcap.read_pcap(spark, put(tmp_path, plain)))
+    for data in (gzip.compress(plain), members, members + bytes(64)):
+        path = put(tmp_path, data, f"{len(data)}.pcap.gz")
+        for _ in range(2):
+            assert sorted(rows(pcap.read_pcap(spark, path, split_bytes=4096))) == sorted(whole)
+    cut = put(tmp_path, gzip.compress(plain)[:-40], "cut.pcap.gz")
+    assert 0 < pcap.read_pcap(spark, cut).count() < len(whole)
+    blocks = put(tmp_path, gzip.compress(block_capture(FRAMES)), "b.pcapng.gz")
+    assert rows(pcap.read_pcap(spark, blocks, split_bytes=100)) == WANT
+    with pytest.raises(Exception, match="not a packet capture"):
+        pcap.read_pcap(spark, put(tmp_path, gzip.compress(b"x" * 100), "no.gz")).count()
+
+
+def test_landed_captures_are_read_in_ranges(spark, tmp_path):
+    folder = tmp_path / "landed"
+    folder.mkdir()
+    data, good = odd_capture(n=300, every=20, damage=lambda r: b"\xff" * 16)
+    put(folder, data)
+    put(folder, gzip.compress(classic(FRAMES)), "b.pcap.gz")
+    put(folder, block_capture(FRAMES), "c.pcapng")
+    for split in (1000, 1 << 20):
+        out, mark = str(tmp_path / f"out-{split}"), str(tmp_path / f"mark-{split}")
+        stream = pcap.stream_pcap(spark, str(folder), split_bytes=split)
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+        got = [r.src_port for r in spark.read.parquet(out).collect()]
+        assert sorted(got) == sorted(good + 2 * [w[1] for w in WANT])
+
+
+def test_records_in_blocks_of_bytes(spark, tmp_path, monkeypatch):
+    """Records across the blocks that are read at once, and longer than one."""
+    frames = [f + bytes(200 * (i % 7)) for i, f in enumerate(FRAMES * 20)]
+    path = put(tmp_path, classic(frames))
+    whole = list(pcap.decode_range(path, 0, None))
+    for size in (64, 100, 700, 5000):
+        monkeypatch.setattr(pcap, "BLOCK_BYTES", size)
+        some = list(pcap.decode_range(path, 0, None))
+        assert [r for b in some for r in b.to_pylist()] == [r for b in whole for r in b.to_pylist()]
