@@ -42,7 +42,7 @@ def publish(path: str, write: Callable[[BinaryIO], None]) -> None:
     system.create_dir(folder, recursive=True)
     draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
     try:
-        with system.open_output_stream(draft) as out:
+        with system.open_output_stream(draft, compression=None) as out:
             write(out)
         system.move(draft, inner)
     except BaseException:

@@ -67,7 +67,7 @@ def open_target(path: str) -> BinaryIO:
     """A new file of any file system Arrow knows; folders are made."""
     system, inner = locate(path)
     system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    return system.open_output_stream(inner)
+    return system.open_output_stream(inner, compression=None)  # else a name that ends with .gz would compress again
 
 
 class _Classic:
