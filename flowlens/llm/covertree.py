@@ -35,7 +35,7 @@ BLOCK_ROWS = 32_768  # candidates of a tree on average, if they are many
 LEAST_ROWS = 8_192  # fewer candidates are not worth a tree of their own
 QUESTIONS = 128  # questions a task answers from one tree, on average
 MOST_TASKS = 20_000  # more pairs of a tree and a group share a task
-LEAF = 64  # points of a leaf
+LEAF = 512  # points of a leaf; their products are one call
 EXACT_FLOAT = 2 ** 53
 
 POSITIVES, NEGATIVES = 5, 10
@@ -65,10 +65,24 @@ class CoverTree:
         self.centre: list[int] = []  # a point, per node
         self.radius: list[float] = []  # farthest descendant
         self.children: list[list[int]] = []
-        self.below: list[np.ndarray | None] = []  # points of a leaf
+        self.below: list = []  # points of a leaf
         if len(plain):
             self._grow(np.arange(len(plain)), 0)
         self._child_ids = [np.array(c, np.int64) for c in self.children]
+        # Points in the order of the leaves, so each leaf is a slice.
+        order = np.concatenate([b for b in self.below if b is not None]) if self.centre else np.zeros(0, np.int64)
+        end = 0
+        for node, some in enumerate(self.below):
+            if some is not None:
+                self.below[node] = slice(end, end + len(some))
+                end += len(some)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.centre = place[self.centre].tolist()
+        self.points, self.single, self.mixed = self.points[order], self.single[order], self.mixed[order]
+        self.members = [self.members[i] for i in order.tolist()]
+        self._first = np.array([m[0] for m in self.members], np.int64)
+        self._plain = plain = plain[order]
         self.centre_rows = plain[self.centre] if self.centre else np.zeros((0, vectors.shape[1] if vectors.ndim > 1 else 0))
         # Distances in one more dimension bound inner products of a question whose added component is 0 as they do there.
         self.radii = np.array(self.radius)
@@ -108,18 +122,20 @@ class CoverTree:
                 nearest[closer] = some[k]
                 centres.append(int(some[k]))
                 # Vectors without structure need a centre each; such a node is cut by the centres it has.
-                if len(centres) * self._leaf >= 4 * len(some):
+                if len(centres) * self._leaf >= 2 * len(some):
                     break
             for c in centres:
                 mine = nearest == c
                 waiting.append((some[mine], c, node, near[mine]))
 
     def search(self, question: np.ndarray, k: int, label: int, same: bool, skip: int = -1,
-               window: tuple[int, int] | None = None, products: np.ndarray | None = None) -> list[tuple[int, int]]:
+               window: tuple[int, int] | None = None, products: np.ndarray | None = None,
+               reached: dict[int, np.ndarray] | None = None) -> list[tuple[int, int]]:
         """The first ``k`` (``score``, row number) by falling score, then row number, of rows whose label is (``same``) or is not ``label``.
 
         ``skip`` is a row that does not count, ``window`` the least and largest score. ``products`` are those of the question with
-        all centres, if they are at hand.
+        all centres, if they are at hand; ``reached`` keeps the scores of the leaves that were reached, for the same question in
+        another window.
         """
         if not self.centre or k <= 0:
             return []
@@ -149,14 +165,21 @@ class CoverTree:
                 for child in ids[worth].tolist():
                     heapq.heappush(waiting, (-upper[child], child))
                 continue
-            found = self.points[some]
-            scores = (found.astype(np.float64) @ plain).astype(np.int64) if exact else exact_products(found, question)
+            scores = None if reached is None else reached.get(node)
+            if scores is None:
+                scores = (self._plain[some] @ plain).astype(np.int64) if exact else exact_products(self.points[some], question)
+                if reached is not None:
+                    reached[node] = scores
             fit = (scores >= low) & (scores <= high)
             fit &= self.mixed[some] | ((self.single[some] == label) == same)
             if len(best) == k:
                 fit &= scores >= best[0][0]
-            for j in np.flatnonzero(fit).tolist():
-                score, rows = int(scores[j]), self.members[some[j]]
+            at = np.flatnonzero(fit)
+            at = at[np.lexsort((self._first[some][at], -scores[at]))] if len(at) > 1 else at
+            for j in at.tolist():
+                score, rows = int(scores[j]), self.members[some.start + j]
+                if len(best) == k and score < best[0][0]:
+                    break
                 rows = rows[((self.labels[rows] == label) == same) & (rows != skip)][:k]
                 for row in rows.tolist():
                     entry = (score, -row)
@@ -231,7 +254,7 @@ def _answer(batches: Iterator[pa.RecordBatch], folder: str, k: int, same: bool)
                 continue  # no question fell into this group
             tree, ids, numbers = _tree(path)
             with open_input(asked) as file:
-                rows = pa.ipc.open_stream(file.read()).read_all()
+                rows = pa.ipc.open_stream(file.read()).read_all().sort_by("row")
             width = tree.points.shape[1]
             vectors = _matrix(rows["vector"])
             # Components that only one side has are zeros of the other.
@@ -241,10 +264,13 @@ def _answer(batches: Iterator[pa.RecordBatch], folder: str, k: int, same: bool)
             products = vectors.astype(np.float64) @ tree.centre_rows.T
             place = {int(n): i for i, n in enumerate(numbers.tolist())}
             out: list[tuple[int, int, int, int]] = []
+            before, reached = None, {}
             windows = zip(rows["low"].to_pylist(), rows["high"].to_pylist())
             for i, (ask, row, label, (low, high)) in enumerate(zip(
                     rows["ask"].to_pylist(), rows["row"].to_pylist(), rows["label"].to_pylist(), windows)):
-                found = tree.search(vectors[i], k, label, same, place.get(row, -1), None if low is None else (low, high), products[i])
+                if row != before:  # else it is the same vector in another window
+                    before, reached = row, {}
+                found = tree.search(vectors[i], k, label, same, place.get(row, -1), None if low is None else (low, high), products[i], reached)
                 out += [(ask, score, int(ids[j]), int(numbers[j])) for score, j in found]
             columns = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["ask", "score", "vec_id", "row"])

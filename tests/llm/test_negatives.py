@@ -55,7 +55,8 @@ def test_tree_covers_and_passes_over_nodes():
     lift = np.c_[plain, np.sqrt(np.maximum(tree.norm ** 2 - (plain ** 2).sum(1), 0))]
 
     def below(node):
-        return tree.below[node] if tree.below[node] is not None else np.concatenate([below(c) for c in tree.children[node]])
+        some = tree.below[node]
+        return np.arange(len(plain))[some] if some is not None else np.concatenate([below(c) for c in tree.children[node]])
 
     assert sorted(below(0).tolist()) == list(range(len(plain)))
     for node in range(len(tree.centre)):
