@@ -336,6 +336,27 @@ def cross_validate(name: str, prepared: Prepared, k: int = settings.FOLDS,
     return spark.createDataFrame(scores, "model_name string, fold int, accuracy double")
 
 
+def cross_validate_all(prepared: Prepared, names: Iterable[str] | None = None, k: int = settings.FOLDS,
+                       params: dict[str, dict] | None = None, seed: int = settings.SEED) -> DataFrame:
+    """``cross_validate`` of several models, side by side."""
+    wanted = list(names or settings.MODEL_NAMES)
+    with ThreadPoolExecutor(max_workers=len(wanted)) as pool:
+        done = list(pool.map(lambda n: cross_validate(n, prepared, k, (params or {}).get(n), seed), wanted))
+    out = done[0]
+    for one in done[1:]:
+        out = out.unionByName(one)
+    return out
+
+
+def score_each(models: dict[str, TrainedModel], raw: DataFrame) -> DataFrame:
+    """``score`` of every model, one below the other, with ``model_name``."""
+    parts = [score(m, raw).withColumn("model_name", F.lit(n)) for n, m in models.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def save_model(model: TrainedModel, path: str) -> None:
     """The pipeline and its description below ``path``."""
     spark = SparkSession.active()

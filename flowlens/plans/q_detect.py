@@ -80,6 +80,18 @@ def detect_all(spark, sf):
     return statistical(spark, sf).select(*SHOWN, "flow_key")
 
 
+@query("detect_details", """
+select type, flow_key, src_ip, case type when 'high_packet_rate' then 'Packet rate: ' || printf('%.2f', packet_rate)
+         when 'high_byte_rate' then 'Byte rate: ' || printf('%.2f', byte_rate) else 'SYN count: ' || syn_count end as details,
+       1704074400000000 as ts_us
+from detections join flows using (flow_key, src_ip)
+union all
+select 'port_scan', null, src_ip, 'Unique ports: ' || count(distinct dst_port), 1704074400000000
+from flows group by src_ip having count(distinct dst_port) > 50""")
+def detect_details(spark, sf):
+    return statistical(spark, sf).select("type", "flow_key", "src_ip", "details", F.unix_micros("timestamp").alias("ts_us"))
+
+
 @query("detect_first_n", """
 select type, confidence, src_ip, dst_ip from detections
 order by rule_no, flow_key nulls first, src_ip limit 5""")
@@ -226,14 +238,17 @@ def detection_recent(spark, sf):
 @query("detection_stats", """
 select count(*) as detections_in_all, least(count(*), 1000) as total_detections,
        count(*) filter (event_type = 'error') as errors,
-       (select count(*) from orders where o_orderkey * 2 % 700 >= 100) as blocked_ips_count
+       (select count(*) from orders where o_orderkey * 2 % 700 >= 100) as blocked_ips_count,
+       (select string_agg(event_id, ' ' order by ts desc, event_id desc)
+        from (select ts, event_id from events order by ts desc, event_id desc limit 10)) as last_ten
 from events""")
 def detection_stats(spark, sf):
     from flowlens.plans.q_blocks import order_ledger
     stats = history.detection_stats(event_history(spark, sf), order_ledger(spark, sf),
-                                    "2024-01-01T00:06:40Z")
-    return stats.select("detections_in_all", "total_detections",
-                        F.col("attack_counts")["error"].alias("errors"), "blocked_ips_count")
+                                    "2024-01-01T00:06:40Z", ties=["event_id"])
+    ids = F.transform("recent_detections", lambda r: r["event_id"].cast("string"))
+    return stats.select("detections_in_all", "total_detections", F.col("attack_counts")["error"].alias("errors"),
+                        "blocked_ips_count", F.array_join(ids, " ").alias("last_ten"))
 
 
 @query("iso_time_roundtrip", """

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from flowlens import settings
 from flowlens.operators import evaluate as ev
 from flowlens.plans import runs
 from flowlens.plans.fixtures import view
@@ -15,7 +18,7 @@ from flowlens.plans.q_sources import CONN_TYPES, capture_files
 from flowlens.plans.registry import CHECKS, query
 from flowlens.session import new_path, stage, tune
 from flowlens.operators.flows import FLOW_KEYS, flow_features
-from flowlens.sources import logs
+from flowlens.sources import logs, tables
 
 
 def log_paths(spark, sf):
@@ -55,12 +58,18 @@ def pipe_detect_block(spark, sf):
 @query("pipe_full_summary", f"""
 select (select count(*) from conn_dns_http) as log_rows, 36 as log_columns, (select count(*) from flows) as flows,
        19 as flow_columns, (select count(*) from detections) as detections,
-       (select count(*) from ({CHECKS['block_new_candidates']})) as blocked_ips,
-       '2024-01-01T00:06:40.000000' as finished""")
+       (select count(*) from ({CHECKS['block_new_candidates']})) as blocked_ips, 5::bigint as trained_models, true as best_is_known,
+       5::bigint as saved_models, '2024-01-01T00:06:40.000000' as finished""")
 def pipe_full_summary(spark, sf):
+    """The whole run, training of small models and their saving included."""
     tune(spark)  # the finishing time is shown in UTC
-    return runs.full_run(spark, capture_files(spark, sf), log_paths(spark, sf), order_ledger(spark, sf),
-                         as_of=LEDGER_AS_OF)
+    small = {"random_forest": {"trees": 10, "depth": 5}, "xgboost": {"rounds": 3, "depth": 3}, "svm": {"features": 20},
+             "decision_tree": {"depth": 5}, "logistic_regression": {"max_iter": 50}}
+    path, at = new_path(spark, "models"), dt.datetime(2024, 1, 1, 0, 6, 40)
+    out = runs.full_run(spark, capture_files(spark, sf), log_paths(spark, sf), order_ledger(spark, sf), view(spark, sf, "training"),
+                        LEDGER_AS_OF, small, path, at)
+    saved = spark.read.text(f"{path}/*_20240101_000640/about", wholetext=True).agg(F.count("*").alias("saved_models"))
+    return out.withColumn("best_is_known", F.col("best_model").isin(*settings.MODEL_NAMES)).drop("best_model").join(saved, F.lit(True))
 
 
 @query("pipe_train_evaluate")
@@ -70,3 +79,17 @@ def pipe_train_evaluate(spark, sf):
     chosen = best.select(F.col("model_name").alias("best"))
     return ev.comparison(results).join(chosen, F.col("model_name") == F.col("best"), "left").select(
         "model_name", *ev.METRICS, "roc_auc", F.col("best").isNotNull().alias("is_best"))
+
+
+@query("pipe_train_evaluate_hold", """
+select 5::bigint as models, 1::bigint as best, true as best_is_first, 5::bigint as saved""")
+def pipe_train_evaluate_hold(spark, sf):
+    """One model is chosen, none has a larger F1, and the saved evaluation holds all of them."""
+    prepared, models, _, _ = trained(spark, sf)
+    path = new_path(spark, "evaluation")
+    results, best = runs.evaluate_models(prepared, models, path)
+    top = results.agg(F.max("f1_score").alias("top"), F.count("*").alias("models"))
+    chosen = results.join(best.select("model_name"), "model_name").agg(F.count("*").alias("best"), F.max("f1_score").alias("f1"))
+    saved = tables.load_evaluation(spark, path).agg(F.count("*").alias("saved"))
+    return top.join(chosen, F.lit(True)).join(saved, F.lit(True)).select(
+        "models", "best", (F.col("f1") == F.col("top")).alias("best_is_first"), "saved")

@@ -126,6 +126,45 @@ def src_log_many(spark, sf):
     return out
 
 
+@query("src_log_discovery", """
+select 'conn' as kind, 0 as place, 3 as files, count(*) as "rows" from conn_log union all
+select 'dns', 1, 2, count(*) from dns_log union all select 'http', 2, 2, count(*) from http_log union all
+select 'custom', 3, 1, count(*) from conn_log where conn_state = 'REJ'""")
+def src_log_discovery(spark, sf):
+    """Rotated logs in a tree of folders, found by their names: standard types first, then the others."""
+    base = new_path(spark, "logs")
+    conn = view(spark, sf, "conn_log")
+    made = {"custom": (conn.where(F.col("conn_state") == "REJ"), 1, "x/y"), "http": (view(spark, sf, "http_log"), 2, "x"),
+            "dns": (view(spark, sf, "dns_log"), 2, "z"), "conn": (conn, 3, "")}
+    for kind, (df, parts, folder) in made.items():
+        logs.write_log_files(df.repartition(parts), f"{base}/{folder}".rstrip("/"), kind, CONN_TYPES).collect()
+    out = None
+    for place, (kind, paths) in enumerate(logs.log_files(spark, base).items()):
+        part = logs.read_log(spark, paths).agg(
+            F.lit(kind).alias("kind"), F.lit(place).alias("place"), F.lit(len(paths)).alias("files"), F.count("*").alias("rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("src_log_containers", """
+select l_orderkey as uid, l_returnflag = 'A' as local, l_partkey % 3 as parts, case when l_partkey % 3 > 0 then l_suppkey end as first_port,
+       case when l_partkey % 3 = 2 then 7::bigint end as last_size from lineitem""")
+def src_log_containers(spark, sf):
+    """Truth values, sets and vectors, with a separator and words for empty and unset of the log's own."""
+    path, n = new_path(spark, "logs"), F.col("l_partkey") % 3
+    cells = [F.col("l_orderkey").cast("string"), F.when(F.col("l_returnflag") == "A", "T").otherwise("F"),
+             F.when(n == 0, "none").when(n == 1, F.col("l_suppkey").cast("string")).otherwise(F.concat("l_suppkey", F.lit(";0"))),
+             F.when(n == 0, "none").when(n == 1, "?").otherwise("5;?;7")]
+    lines = table(spark, sf, "lineitem").select(F.concat_ws("|", *cells).alias("value"))
+    head = ["#separator \\x7c", "#set_separator|;", "#empty_field|none", "#unset_field|?", "#fields|uid|local|ports|sizes",
+            "#types|count|bool|set[port]|vector[count]"]
+    spark.createDataFrame([("\n".join(head),)], "value string").coalesce(1).write.text(path)
+    lines.write.mode("append").text(path)
+    return logs.read_log(spark, path, typed=True).select(
+        "uid", "local", F.size("ports").cast("bigint").alias("parts"), F.get("ports", F.lit(0)).cast("bigint").alias("first_port"),
+        F.get("sizes", F.lit(2)).alias("last_size"))
+
+
 @query("src_csv_typed", """
 select packet_count, syn_count, byte_rate, conn_state, proto, constant_col, label from training""")
 def src_csv_typed(spark, sf):

@@ -5,6 +5,7 @@ Every step is a plan; a run writes one table per step and the later steps read t
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,14 +28,19 @@ def _kept(df: DataFrame, label: str, path: str | None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def log_features(spark: SparkSession, files: dict[str, str], output: str | None = None) -> DataFrame:
-    """Log files by type to one merged feature table."""
-    return _kept(merge_logs(log_source.read_logs(spark, files)), "log-features", output)
+def _at(output: str | None, at: dt.datetime | None) -> str | None:
+    """The path with the time of the run, if one is given, so that runs do not meet."""
+    return output if output is None or at is None else tables.stamped(output, at)
 
 
-def capture_flows(spark: SparkSession, path: str | list[str], output: str | None = None) -> DataFrame:
-    """Capture files to the flow table."""
-    return _kept(flow_features(read_pcap(spark, path)), "flows", output)
+def log_features(spark: SparkSession, files: dict[str, str], output: str | None = None, at: dt.datetime | None = None) -> DataFrame:
+    """Log files by type to one merged feature table; ``at`` stamps its path."""
+    return _kept(merge_logs(log_source.read_logs(spark, files)), "log-features", _at(output, at))
+
+
+def capture_flows(spark: SparkSession, path: str | list[str], output: str | None = None, at: dt.datetime | None = None) -> DataFrame:
+    """Capture files to the flow table; ``at`` stamps its path."""
+    return _kept(flow_features(read_pcap(spark, path)), "flows", _at(output, at))
 
 
 @dataclass
@@ -60,13 +66,14 @@ def detect_and_block(flows: DataFrame, ledger: DataFrame, as_of=None, model: ml.
 
 
 def train(raw: DataFrame, target: str = "label", output: str | None = None,
-          params: dict[str, dict] | None = None) -> tuple[ml.Prepared, dict[str, ml.TrainedModel], DataFrame]:
-    """Preparation, the trained models and the status table; models saved below ``output``."""
+          params: dict[str, dict] | None = None, at: dt.datetime | None = None,
+          ) -> tuple[ml.Prepared, dict[str, ml.TrainedModel], DataFrame]:
+    """Preparation, the trained models and the status table; models saved below ``output``, with ``at`` in their names."""
     prepared = ml.prepare(raw, target)
     models, status = ml.train_all(prepared, params=params)
     if output is not None:
         for name, model in models.items():
-            ml.save_model(model, f"{output}/{name}")
+            ml.save_model(model, _at(f"{output}/{name}", at))
     return prepared, models, status
 
 
@@ -81,14 +88,18 @@ def evaluate_models(prepared: ml.Prepared, models: dict[str, ml.TrainedModel],
 
 
 def full_run(spark: SparkSession, captures: str | list[str], logs: dict[str, str], ledger: DataFrame,
-             training: DataFrame | None = None, as_of=None, params: dict[str, dict] | None = None) -> DataFrame:
-    """Everything in order; one row that sums the run up."""
+             training: DataFrame | None = None, as_of=None, params: dict[str, dict] | None = None,
+             models_path: str | None = None, at: dt.datetime | None = None) -> DataFrame:
+    """Everything in order, with the training step if there is a table for it; one row that sums the run up.
+
+    Trained models are saved below ``models_path``, stamped with ``at``.
+    """
     merged = log_features(spark, logs)
     flows = capture_flows(spark, captures)
     alarm = detect_and_block(flows, ledger, as_of)
     best = None
     if training is not None:
-        prepared, models, _ = train(training, params=params)
+        prepared, models, status = train(training, params=params, output=models_path, at=at)
         best = evaluate_models(prepared, models)[1].select(F.col("model_name").alias("best_model"))
     sums = [
         merged.agg(F.count("*").alias("log_rows")).withColumn("log_columns", F.lit(len(merged.columns))),
@@ -97,7 +108,7 @@ def full_run(spark: SparkSession, captures: str | list[str], logs: dict[str, str
         alarm.opened.agg(F.count("*").alias("blocked_ips")),
     ]
     if best is not None:
-        sums.append(best)
+        sums += [status.agg(F.count_if("trained").alias("trained_models")), best]
     out = sums[0]
     for one in sums[1:]:
         out = out.join(one, F.lit(True))  # one row each

@@ -11,7 +11,8 @@ from tools.check_queries import compare, oracle_connection
 # These train five models with the full settings; test_training.py trains smaller ones.
 TRAINING = {"model_status", "model_scores", "model_proba", "score_confidence", "detect_ml",
             "feature_importance", "model_roundtrip", "cross_validation", "model_comparison",
-            "pipe_train_evaluate"}
+            "pipe_train_evaluate", "model_scores_hold", "model_proba_hold", "detect_ml_hold", "feature_importance_hold",
+            "cross_validation_hold", "model_comparison_hold", "pipe_train_evaluate_hold"}
 
 
 @pytest.fixture(scope="module")

@@ -345,3 +345,19 @@ def test_records_in_blocks_of_bytes(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(pcap, "BLOCK_BYTES", size)
         some = list(pcap.decode_range(path, 0, None))
         assert [r for b in some for r in b.to_pylist()] == [r for b in whole for r in b.to_pylist()]
+
+
+def test_log_headers_with_their_own_separators(spark, tmp_path):
+    text = ("#separator \\x2c\n#set_separator,;\n#empty_field,E\n#unset_field,U\n#path,x\n#fields,a,b,c,d\n#types,count,bool,set[int],vector[string]\n"
+            "1,T,1;2,x;U\nU,F,E,E\n3,U,U,y\n#close,now\n")
+    (tmp_path / "x.log").write_text(text)
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "x.log.gz").write_bytes(gzip.compress(text.encode()))
+    want = [(1, True, [1, 2], ["x", None]), (3, None, None, ["y"]), (None, False, [], [])]
+    for path in (tmp_path / "x.log", tmp_path / "z"):
+        got = logs.read_log(spark, str(path), typed=True)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert logs.read_log(spark, str(tmp_path / "x.log")).where("a = 'U'").first()[2] == "E"
+    header = logs.parse_header(text)
+    assert (header.separator, header.set_separator, header.empty, header.unset) == (",", ";", "E", "U")
+    assert logs.parse_header("#separator \\x09\nno header\n") is None
