@@ -57,7 +57,7 @@ def put(rows: DataFrame, label: str, chunk_rows: int = CHUNK_ROWS) -> str:
     return path
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _piece(folder: str, file: str, chunk: int) -> pa.Table | None:
     system, inner = locate(f"{folder}/of_file={_name(file)}/chunk={chunk}")
     if system.get_file_info(inner).type == fs.FileType.NotFound:
@@ -85,3 +85,23 @@ def by_file(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
     for end, file in zip(ends.run_ends.to_pylist(), ends.values.to_pylist()):
         yield file, batch.slice(start, end - start)
         start = end
+
+
+def _without(batches: Iterator[pa.RecordBatch], folder: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for file, rows in by_file(batch):
+            at = rows.column(1)
+            gone = read(folder, file, pc.min(at).as_py(), pc.max(at).as_py())
+            if gone:
+                out = pa.concat_tables(gone)[AT].combine_chunks()
+                rows = rows.filter(pc.invert(pc.is_in(at, value_set=out)))
+            yield pa.RecordBatch.from_arrays(rows.columns[2:], names=names)
+
+
+def without(place: Located, gone: DataFrame) -> DataFrame:
+    """The table, all columns, without the rows that ``gone`` names (``file``, ``at``)."""
+    folder = put(gone.select(FILE, AT), "gone")
+    names, schema = place.docs.columns, place.docs.schema
+    # Names of the table may clash with those of the place, so columns go by position.
+    columns = [place.docs[name].alias(f"c{i}") for i, name in enumerate(names)]
+    return place.rows(*columns).mapInArrow(lambda batches: _without(batches, folder, names), schema)

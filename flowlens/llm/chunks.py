@@ -16,7 +16,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from flowlens.llm.common import lower_ascii, text_of, utf8_slices
+from flowlens.llm import beside
+from flowlens.llm.common import text_of, utf8_slices
 from flowlens.session import stage
 
 WINDOW = 32  # bytes the rolling hash looks at
@@ -143,17 +144,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", id_bi
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all columns, without the rows that ``dedup`` does not keep.
 
-    Of rows that share id and text one arbitrary row stays, if any does.
+    Of rows that share id and text one stays, if any does. Decisions are read beside the rows, so no text is shuffled; names of
+    other columns do not matter.
     """
-    keys = stage(dedup(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-                 .agg(F.max("kept").alias("_kept"), F.count("*").alias("_rows"))
-                 .where("not _kept or _rows > 1"), "odd_keys")
-    tagged = docs.withColumn("_text_sha", F.sha2(lower_ascii(text_of(docs, text_col)), 256))
-
-    def joined(some: DataFrame, how: str) -> DataFrame:
-        return tagged.join(some, tagged[id_col].eqNullSafe(some["_id"]) & (tagged["_text_sha"] == some["_sha"]), how)
-
-    same = Window.partitionBy(id_col, "_text_sha").orderBy(F.lit(1))
-    one_each = joined(keys.where("_kept"), "left_semi").withColumn("_copy", F.row_number().over(same)) \
-        .where("_copy = 1").drop("_copy")
-    return joined(keys, "left_anti").unionByName(one_each).drop("_text_sha")
+    place = beside.Located(docs)
+    # A row is its id and place, so each decision is about one row.
+    named = place.rows(place.docs[id_col].alias("doc_id"), text_of(place.docs, text_col).alias("text")) \
+        .select(F.struct("doc_id", beside.FILE, beside.AT).alias("id"), "text")
+    gone = dedup(named, "id", "text").where("not kept").select("doc_id.file", "doc_id.at")
+    return beside.without(place, gone)

@@ -8,7 +8,9 @@ equal ones, given both set sizes) and, unless far below the limit, verified on t
 
 Equal sets are one class, so copies cost nothing. Within a bucket the pairs with its least class are looked at first; links
 found make components, and only pairs of different components are looked at further. So a large group of near
-copies needs one pair per member, and still no link that meets in a bucket is lost.
+copies needs one pair per member, and still no link that meets in a bucket is lost. Members that stay apart are verified
+against each other inside blocks of their buckets, which only give out links between components: what is written grows with the
+members, not with their pairs.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from flowlens.llm import beside
 from flowlens.llm.common import find_words, lower_ascii, text_of
 from flowlens.llm.components import components, relabel
 from flowlens.session import stage
@@ -30,6 +33,8 @@ REGISTERS = BANDS * ROWS
 B, A, Q = 1.001, 20.0, (1 << 16) - 2  # base, rate and largest exponent of the registers
 ERRORS = 4.5  # standard errors below the limit up to which a pair is verified
 BASE_BLOCK, QUERY_BLOCK = 2048, 512  # members of a bucket compared in one task
+BASE_ELEMENTS, QUERY_ELEMENTS = 1 << 20, 1 << 18  # and elements of their sets, on average
+VERIFIED_AT_ONCE = 64  # sets compared with one other in a call
 MOST_KEPT = 100_000  # words a task remembers
 
 _RNG = np.random.Generator(np.random.PCG64(811))
@@ -156,23 +161,49 @@ def _estimated(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.R
             names=["a", "b", "similarity"])
 
 
+def shared_sizes(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements an ascending set shares with each of others (none of them empty)."""
+    ends = np.cumsum([len(x) for x in others])
+    whole = np.concatenate(others)
+    hit = one[np.minimum(np.searchsorted(one, whole), len(one) - 1)] == whole
+    return np.add.reduceat(hit, np.r_[0, ends[:-1]], dtype=np.int64)
+
+
 def _meet(batches: Iterator[pa.RecordBatch], least: float, percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different labels in blocks of buckets; the rows of a block come one after another."""
+    """Links between components in blocks of buckets; the rows of a block come one after another.
+
+    Pairs of different components are looked at by falling estimate and verified on the full sets on the spot. A link joins two
+    components for the rest of the block, so at most one link less than there are components comes out of it, however many
+    pairs it holds.
+    """
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         sketch, n = _matrix(rows["sketch"]), np.asarray(rows["n"])
-        cls, label, query = np.asarray(rows["cls"]), np.asarray(rows["label"]), np.asarray(rows["query"])
+        names, label = np.unique(np.asarray(rows["label"]), return_inverse=True)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["found"]]
+        query = np.asarray(rows["query"])
         base = np.flatnonzero(query == 0)
+        joined = np.arange(len(names))  # component of each label, as far as this block knows
+        # A pair that shares several buckets is looked at in the first of them only: there it is, or it is settled.
+        own, here = buckets(sketch), np.uint64(np.int64(rows["bucket"][0].as_py()).view(np.uint64))
         left, right = [], []
-        for q in np.flatnonzero(query == 1):
-            fit = base[(label[base] != label[q]) & (100 * np.minimum(n[base], n[q]) >= percent * np.maximum(n[base], n[q]))]
-            if len(fit):
-                near = fit[estimate(np.broadcast_to(sketch[q], (len(fit), REGISTERS)), sketch[fit],
-                                    np.full(len(fit), n[q]), n[fit]) >= least]
-                left.append(np.minimum(cls[q], cls[near]))
-                right.append(np.maximum(cls[q], cls[near]))
-        none = np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *left])), pa.array(np.concatenate([none, *right]))],
-                                          names=["a", "b"])
+        for q in np.flatnonzero(query == 1).tolist():
+            near = base[(joined[label[base]] != joined[label[q]]) & (100 * np.minimum(n[base], n[q]) >= percent * np.maximum(n[base], n[q]))]
+            if len(near):
+                near = near[own[q][(own[near] == own[q]).argmax(1)] == here]
+            if len(near):
+                value = estimate(np.broadcast_to(sketch[q], (len(near), REGISTERS)), sketch[near], np.full(len(near), n[q]), n[near])
+                near = near[np.argsort(-value, kind="stable")[:int((value >= least).sum())]]
+            while len(near):
+                some, near = near[:VERIFIED_AT_ONCE], near[VERIFIED_AT_ONCE:]
+                both = shared_sizes(sets[q], [sets[i] for i in some.tolist()])
+                for i in some[100 * both >= percent * (n[q] + n[some] - both)].tolist():
+                    one, other = joined[label[q]], joined[label[i]]
+                    if one != other:
+                        left.append(names[label[q]])
+                        right.append(names[label[i]])
+                        joined[joined == other] = one
+                near = near[joined[label[near]] != joined[label[q]]]
+        return pa.RecordBatch.from_arrays([pa.array(np.array(left, np.int64)), pa.array(np.array(right, np.int64))], names=["a", "b"])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -195,16 +226,18 @@ def _meet(batches: Iterator[pa.RecordBatch], least: float, percent: int) -> Iter
         yield pairs(pa.Table.from_batches(held))
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _full_sets(batches: Iterator[pa.RecordBatch], folder: str, width: int) -> Iterator[pa.RecordBatch]:
+    """The sets of the rows that are wanted, found where they lie."""
     for batch in batches:
-        keep, sets = [], []
-        for i, (key, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2))):
-            found = shingles(text.as_py(), width).tobytes()
-            if xxhash.xxh3_128_digest(found) == key:
-                keep.append(i)
-                sets.append(found)
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(sets, pa.binary())],
-                                         names=["cls", "found"])
+        for file, rows in beside.by_file(batch):
+            at = np.asarray(rows.column(1))
+            for wanted in beside.read(folder, file, int(at.min()), int(at.max())):
+                places = np.asarray(wanted["at"])
+                where = np.flatnonzero(np.isin(at, places))
+                order = np.searchsorted(places, at[where])
+                sets = [shingles(rows.column(2)[i].as_py(), width).tobytes() for i in where.tolist()]
+                yield pa.RecordBatch.from_arrays([wanted["cls"].combine_chunks().take(pa.array(order)), pa.array(sets, pa.binary())],
+                                                 names=["cls", "found"])
     _hashes.clear()
 
 
@@ -213,8 +246,7 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         keep = []
         for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            place = np.searchsorted(y, x)
-            both = int((y[np.minimum(place, len(y) - 1)] == x).sum())
+            both = int(shared_sizes(y, [x])[0])
             if 100 * both >= percent * (len(x) + len(y) - both):
                 keep.append(i)
         yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
@@ -223,18 +255,24 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 class NearDuplicates:
     """One run over a table; the steps are written tables."""
 
-    def __init__(self, docs: DataFrame, width: int, percent: int, id_col: str, text_col: str, by_text: bool = False):
-        self._width, self._percent, self._kind = width, percent, docs.schema[id_col].dataType.simpleString()
-        self._docs = docs.select(docs[id_col].alias("doc_id"), lower_ascii(text_of(docs, text_col)).alias("text"))
+    def __init__(self, docs: DataFrame, width: int, percent: int, id_col: str, text_col: str, by_row: bool = False):
+        self._width, self._percent = width, percent
+        self.place = beside.Located(docs)
+        doc_id = self.place.docs[id_col]
+        self._text = lower_ascii(text_of(self.place.docs, text_col)).alias("text")
         self._least = _least_estimate(percent)
-        # A row is named by id and text where ids alone do not do.
-        signed = self._docs.withColumn("sha", F.sha2("text", 256)) if by_text else self._docs
-        self.signatures = stage(signed.mapInArrow(
+        rows = self.place.rows(doc_id.alias("doc_id"), self._text)
+        # Where ids alone do not do, a row is named by id and place; null ids come last.
+        name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "file", "at") if by_row else F.col("doc_id")
+        named = rows.select(name.alias("doc_id"), "text", "file", "at")
+        kind = named.schema["doc_id"].dataType.simpleString()
+        self.signatures = stage(named.mapInArrow(
             lambda batches: _sign(batches, width),
-            f"doc_id {self._kind}, n_shingles long, key binary, sketch binary" + ", sha string" * by_text), "signatures")
-        # Copies are one class from here on.
+            f"doc_id {kind}, n_shingles long, key binary, sketch binary, file string, at long"), "signatures")
+        # Copies are one class from here on; one of its rows stands for it.
         self.classes = stage(self.signatures.where("key is not null").groupBy("key").agg(
-            F.min("doc_id").alias("smallest"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+            F.min("doc_id").alias("smallest"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"),
+            F.min(F.struct("file", "at")).alias("row"))
             .withColumn("cls", F.monotonically_increasing_id()), "classes")
 
     def _sketched(self, pairs: DataFrame) -> DataFrame:
@@ -252,13 +290,10 @@ class NearDuplicates:
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
-        width, percent = self._width, self._percent
+        percent = self._percent
         pairs = stage(pairs.select("a", "b"), "pairs")
         used = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
-        needed = stage(self.classes.join(used, "cls", "left_semi").select("cls", "smallest", "key"), "needed")
-        sets = self._docs.join(needed, self._docs["doc_id"].eqNullSafe(needed["smallest"])).select("cls", "key", "text") \
-            .mapInArrow(lambda batches: _full_sets(batches, width), "cls long, found binary")
-        sets = stage(sets.dropDuplicates(["cls"]), "sets")
+        sets = self._sets(used)
         return pairs.join(sets.select(F.col("cls").alias("a"), F.col("found").alias("fa")), "a") \
             .join(sets.select(F.col("cls").alias("b"), F.col("found").alias("fb")), "b") \
             .select("a", "b", "fa", "fb").mapInArrow(lambda batches: _verify(batches, percent), "a long, b long")
@@ -281,74 +316,73 @@ class NearDuplicates:
         shared = stage(bands.groupBy("bucket").agg(F.min("cls").alias("pivot"), F.count("*").alias("n"))
                        .where("n > 1"), "buckets")
         members = stage(bands.join(shared, "bucket").where("cls <> pivot").select("bucket", "cls", "pivot", "n"), "members")
-        star = stage(self._sketched(members.select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()), "star")
-        # First the likeliest pivot of each class, of at most one per band; then the others that are still apart.
-        likeliest = Window.partitionBy("b").orderBy(F.desc("similarity"), "a")
-        first = star.withColumn("k", F.row_number().over(likeliest)).where("k = 1")
-        labels = components(self._verified(first))
-        labels = self._joined(self._labelled(star, labels), labels)
-        return self._joined(self._apart(members, labels), labels)
+        # Bands that a class shares with a pivot say without a sketch which pivot is likeliest: it is asked first, then the
+        # others that are still apart.
+        star = stage(members.groupBy(F.col("pivot").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("shared")), "star")
+        first = star.groupBy("b").agg(F.max_by("a", F.struct("shared", (-F.col("a")).alias("low"))).alias("a"))
+        labels = components(self._verified(self._sketched(first)))
+        open_pairs = stage(self._labelled(star, labels).select("a", "b"), "open")
+        labels = self._joined(self._sketched(open_pairs), labels)
+        return relabel(labels, components(self._apart(members, labels)))
+
+    def _sets(self, classes: DataFrame) -> DataFrame:
+        """``cls`` and ``found``, the full sets of the given classes, read where their texts lie; staged."""
+        width = self._width
+        wanted = beside.put(self.classes.join(classes, "cls", "left_semi").select("row.file", "row.at", "cls"), "wanted")
+        return stage(self.place.rows(self._text).mapInArrow(
+            lambda batches: _full_sets(batches, wanted, width), "cls long, found binary"), "sets")
 
     def _apart(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Met pairs of different components that do not hold the pivot of the bucket (all of its pairs are settled).
+        """Verified links (``a``, ``b``) between components that still share a bucket.
 
-        Per bucket the members of one component are only compared with the others. A large bucket is dealt to blocks, each
-        of them one unit of work, so neither its size nor a bound on it matters.
+        Pairs with the pivot of a bucket are settled. Per bucket the members of one component are only compared with the others. A
+        large bucket is dealt to blocks, each of them one unit of work of bounded size, so neither its size nor a bound on it matters.
         """
         least, percent = self._least, self._percent
         named = members.where("n > 2").join(labels.withColumnRenamed("node", "cls"), "cls", "left") \
-            .select("bucket", "cls", F.coalesce("label", "cls").alias("label"))
+            .select("bucket", "cls", F.coalesce("label", "cls").alias("label")).join(self.classes.select("cls", F.col("n").alias("size")), "cls")
         named = stage(named, "labelled")
         # The component with the least label is the base; of several components there must be another.
-        mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")) \
-            .where("low <> high").select("bucket", "low", "n")
+        mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"),
+                                            F.sum("size").alias("elements")) \
+            .where("low <> high").select("bucket", "low", "n", "elements")
         mixed = stage(mixed, "mixed")
-        asked = stage(named.join(mixed, "bucket").where("label <> low").groupBy("bucket").agg(F.count("*").alias("asks")), "asked")
+        asked = stage(named.join(mixed.select("bucket", "low"), "bucket").where("label <> low").groupBy("bucket").agg(
+            F.count("*").alias("asks"), F.sum("size").alias("asked")), "asked")
         blocks = stage(mixed.join(asked, "bucket").select(
-            "bucket", "low", F.ceil(F.col("n") / BASE_BLOCK).cast("int").alias("bases"),
-            F.ceil(F.col("asks") / QUERY_BLOCK).cast("int").alias("queries")), "blocks")
-        open_members = named.join(blocks, "bucket").join(self.classes.select("cls", "n", "sketch"), "cls")
+            "bucket", "low",
+            F.ceil(F.greatest(F.col("n") / BASE_BLOCK, F.col("elements") / BASE_ELEMENTS)).cast("int").alias("bases"),
+            F.ceil(F.greatest(F.col("asks") / QUERY_BLOCK, F.col("asked") / QUERY_ELEMENTS)).cast("int").alias("queries")), "blocks")
+        open_members = stage(named.join(blocks, "bucket").select("bucket", "low", "bases", "queries", "cls", "label"), "open")
+        sets = self._sets(open_members.select("cls").distinct())
+        open_members = open_members.join(self.classes.select("cls", "n", "sketch"), "cls").join(sets, "cls")
         hashed = F.xxhash64("cls")
+        rest = ["cls", "label", "n", "sketch", "found"]
         as_base = open_members.select(
             "bucket", F.pmod(hashed, F.col("bases")).cast("int").alias("base_no"),
-            F.explode(F.sequence(F.lit(0), F.col("queries") - 1)).alias("query_no"), F.lit(0).alias("query"), "cls", "label", "n", "sketch")
+            F.explode(F.sequence(F.lit(0), F.col("queries") - 1)).alias("query_no"), F.lit(0).alias("query"), *rest)
         as_query = open_members.where("label <> low").select(
             "bucket", F.explode(F.sequence(F.lit(0), F.col("bases") - 1)).alias("base_no"),
-            F.pmod(hashed, F.col("queries")).cast("int").alias("query_no"), F.lit(1).alias("query"), "cls", "label", "n", "sketch")
+            F.pmod(hashed, F.col("queries")).cast("int").alias("query_no"), F.lit(1).alias("query"), *rest)
         block = ["bucket", "base_no", "query_no"]
-        return as_base.unionAll(as_query).repartition(*block).sortWithinPartitions(*block) \
-            .mapInArrow(lambda batches: _meet(batches, least, percent), "a long, b long").distinct()
+        return stage(as_base.unionAll(as_query).repartition(*block).sortWithinPartitions(*block)
+                     .mapInArrow(lambda batches: _meet(batches, least, percent), "a long, b long").distinct(), "links")
 
     def _components(self) -> DataFrame:
-        """``key``, ``cls``, ``label`` and ``component_id`` of each class; staged."""
+        """``key`` and ``component_id`` of each class; staged."""
         named = self.classes.select("cls", "key", "smallest").join(
             self.labels().withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
         named = stage(named, "named")
-        smallest = stage(named.groupBy("label").agg(
-            F.min("smallest").alias("component_id"),
-            # The class of the row that stays: the smallest id, and of several classes with it the least key.
-            F.min(F.struct(F.col("smallest").isNull().alias("none"), "smallest", "key")).alias("first")), "components")
-        return stage(named.join(smallest, "label").select("key", "component_id", (F.col("key") == F.col("first.key")).alias("chosen")),
-                     "by_key")
+        smallest = stage(named.groupBy("label").agg(F.min("smallest").alias("component_id")), "components")
+        return stage(named.join(smallest, "label").select("key", "component_id"), "by_key")
 
     def result(self) -> DataFrame:
         """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
-        joined = self.signatures.join(self._components().drop("chosen"), "key", "left")
+        joined = self.signatures.join(self._components(), "key", "left")
         component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         return joined.select("doc_id", "n_shingles", component.alias("component_id"),
                              F.col("doc_id").eqNullSafe(component).alias("kept"))
 
-    def odd(self) -> DataFrame:
-        """``_id``, ``_sha``, ``_kept`` and ``_rows`` of the texts that go, and of those that stay once but have more rows."""
-        texts = self.signatures.where("key is not null").groupBy("key", "doc_id", "sha").agg(F.count("*").alias("_rows"))
-        chosen = self._components().where("chosen").select("key")
-        best = self.signatures.join(chosen, "key").groupBy("key").agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")).alias("best"))
-        return texts.join(best, "key", "left").select(
-            F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), "_rows",
-            F.coalesce(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("sha") == F.col("best.sha")), F.lit(False)).alias("_kept")) \
-            .where("not _kept or _rows > 1")
-
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
@@ -366,13 +400,8 @@ def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
                      text_col: str = "text") -> DataFrame:
     """``docs``, all columns, with one row of each group of near-duplicates: one with the smallest id, null if there is no other.
 
-    Rows are told apart by id and text, so rows that share an id stand for themselves. Texts without a set all stay.
+    Decisions are about rows, so rows that share an id stand for themselves. Texts without a set all stay. Texts are read where they
+    lie and never shuffled; names of other columns do not matter.
     """
-    odd = stage(NearDuplicates(docs, width, percent, id_col, text_col, by_text=True).odd(), "odd")
-    tagged = docs.withColumn("_text_sha", F.sha2(lower_ascii(text_of(docs, text_col)), 256))
-
-    def joined(some: DataFrame, how: str) -> DataFrame:
-        return tagged.join(some, tagged[id_col].eqNullSafe(some["_id"]) & (tagged["_text_sha"] == some["_sha"]), how)
-
-    one_each = joined(odd.where("_kept"), "left_semi").dropDuplicates([id_col, "_text_sha"])
-    return joined(odd, "left_anti").unionByName(one_each).drop("_text_sha")
+    found = NearDuplicates(docs, width, percent, id_col, text_col, by_row=True)
+    return beside.without(found.place, found.result().where("not kept").select("doc_id.file", "doc_id.at"))
