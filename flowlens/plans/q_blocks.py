@@ -9,6 +9,8 @@ from flowlens.operators import blocks
 from flowlens.plans.fixtures import table, view
 from flowlens.plans.q_detect import statistical
 from flowlens.plans.registry import DERIVED, query
+from flowlens.session import new_path
+from flowlens.sources.ledger import LedgerTable
 
 # A ledger made of the orders: each one an ip and a block time 0 to 699 s after the start.
 START_US = 1_704_067_200_000_000
@@ -67,6 +69,33 @@ def block_upsert(spark, sf):
     return _plain(blocks.upsert(order_ledger(spark, sf), added))
 
 
+@query("ledger_batches", """
+with added as (
+  select concat('10.0.', n // 256, '.', n % 256) as ip, 1704067600000000 as block_us, 'rate' as reason, 300 as duration
+  from (select distinct s_suppkey as n from supplier)),
+both_ as (select * from added union all select * from ledger where ip not in (select ip from added))
+select ip, block_us, reason, duration from both_
+where 1704067600000000 - block_us <= 300000000
+  and ip not in (select concat('10.0.', n // 256, '.', n % 256) from (select s_suppkey as n from supplier where s_suppkey % 3 = 0))""")
+def ledger_batches(spark, sf):
+    """The ledger in batches: blocks, newer blocks, ips that are freed, blocks that are over; compacted in between, one sent again."""
+    no = F.col("s_suppkey")
+    ip = F.concat(F.lit("10.0."), F.floor(no / 256).cast("string"), F.lit("."), (no % 256).cast("string")).alias("ip")
+    suppliers = table(spark, sf, "supplier")
+    added = suppliers.select(ip, F.lit(LEDGER_AS_OF).cast("timestamp").alias("block_time"), F.lit("rate").alias("reason"),
+                             F.lit(300).alias("duration"))
+    held = LedgerTable(spark, new_path(spark, "ledger"), buckets=8)
+    held.commit(0, order_ledger(spark, sf))
+    held.commit(1, added)
+    held.compact()
+    held.commit(2, removed=suppliers.where(no % 3 == 0).select(ip))
+    held.commit(1, added)
+    held.clean(3, LEDGER_AS_OF)
+    held.compact()
+    held.retire()
+    return _plain(held.read())
+
+
 @query("block_membership", """
 select src_ip, count(*) as packets from packets
 where src_ip in (select ip from ledger where 1704067600000000 - block_us <= 300000000) group by src_ip""")
