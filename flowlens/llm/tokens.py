@@ -37,7 +37,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # A text that holds the string of an added token, in any case, is encoded in one call.
+        added = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(added), re.IGNORECASE).search if added else lambda text: None
         self._model, self._letters = self._tokenizer.model, _byte_letters()
         # Vocabularies with word ends drop white space and case; the others keep both.
         self._drops = bool(self._model.end_of_word_suffix)
@@ -79,7 +81,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if _OTHER_SPACE(text):
+        if _OTHER_SPACE(text) or self._added(text):
             return self._whole(text)
         out = []
         for piece in _PIECES(text):

@@ -19,18 +19,22 @@ BYTES, WORDS = vocabulary("byte_bpe_50k.json"), vocabulary("word_bpe_49k.json")
 
 def library(path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_encoder_equals_library(path, texts):
     encode, plain = tokens.Encoder(path).encode, library(path)
-    odd = [t for _, t, *_ in ROWS if t] + ["<|endoftext|>", " a  b ", "x\x0by \x1cz", "é café", "日本 語", "a\r\nb", "q" * 5000]
+    odd = [t for _, t, *_ in ROWS if t] + ["<|endoftext|>", "a <|endoftext|> b", "x<|ENDOFTEXT|>y <|startoftext|>", "<|end oftext|>", " a  b ", "x\x0by \x1cz", "é café", "日本 語", "a\r\nb", "q" * 5000]
     for text in [*texts.values(), *odd]:
         assert np.frombuffer(encode(text), "<u4").tolist() == plain(text)
 
 
+def test_strings_of_added_tokens_are_their_ids():
+    assert 50256 in np.frombuffer(tokens.encoder(BYTES).encode("a <|endoftext|> b"), "<u4")
+    assert 49407 in np.frombuffer(tokens.encoder(WORDS).encode("a <|endoftext|> b"), "<u4")
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="abéÉ \n\t\r.,'0 ́\x1c<|ſß", max_size=30))
 def test_encoder_equals_library_on_any_text(text):
