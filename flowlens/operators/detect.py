@@ -279,9 +279,16 @@ def detect_windows(flows: DataFrame, as_of=None, syn_floor: int = settings.SYN_F
 
 
 def window_thresholds(flows: DataFrame, rows_per_bucket: int = DIRECT_ROWS) -> DataFrame:
-    """Quantile thresholds per window, interpolated between exact ranks; ``rows_per_bucket`` are the most rows one task ranks."""
+    """Quantile thresholds per window, interpolated between exact ranks.
+
+    Up to ``rows_per_bucket`` flows in all take the built-in ``percentile``; else that is the most rows one task ranks.
+    """
     shares = {"packet_rate": settings.PACKET_RATE_QUANTILE, "byte_rate": settings.BYTE_RATE_QUANTILE,
               "syn_count": settings.SYN_QUANTILE}
+    if flows.count() <= rows_per_bucket:
+        values = [F.nanvl(named(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in shares]
+        return flows.select("window_start", *values).groupBy("window_start").agg(*[
+            F.percentile(c, F.lit(q)).alias(f"{c}_cut") for c, q in shares.items()])
     long = flows.select("window_start", F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), named(c).cast("double").alias("value")) for c in shares])))
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("feature")]
