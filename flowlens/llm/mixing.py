@@ -80,9 +80,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         seed: str = SEED) -> DataFrame:
-    """The mixed table: each row of ``docs``, all columns, as often as ``plan`` says."""
-    rates = stage(targets(docs.select(docs[source_col].alias("source"), sized(docs, text_col).alias("size"))), "targets") \
-        .select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"))
-    joined = docs.join(rates, docs[source_col].eqNullSafe(rates["_mix_source"]))
-    times = F.array_repeat(F.lit(0), copies(F.col("_mix_rate"), docs[id_col], seed).cast("int"))
-    return joined.withColumn("_mix_copy", F.explode(times)).drop("_mix_source", "_mix_rate", "_mix_copy")
+    """The mixed table: each row of ``docs``, all columns, whatever their names, as often as ``plan`` says."""
+    rates = stage(targets(docs.select(docs[source_col].alias("source"), sized(docs, text_col).alias("size"))), "targets")
+    joined = docs.join(rates, docs[source_col].eqNullSafe(rates["source"]))
+    times = F.array_repeat(F.lit(0), copies(rates["rate"], docs[id_col], seed).cast("int"))
+    return joined.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.explode(times).alias("copy")).select("row.*")
