@@ -12,7 +12,6 @@ from flowlens.functions.values import named
 from flowlens.operators.ports import distinct_ports
 from flowlens.operators.ranks import DIRECT_ROWS, quantiles
 from flowlens.operators.scale import bounded, exact_quantiles, running_total
-from flowlens.session import stage
 
 # Rule names and confidences, in report order.
 RULES = {"high_packet_rate": 0.8, "high_byte_rate": 0.75, "syn_flood": 0.85, "port_scan": 0.9}
