@@ -3,7 +3,8 @@
 Vectors are whole numbers: each component is ``floor(256 x)``. For a search by inner product all candidates of a block get one more
 component that makes their norms equal, so nearest means largest inner product. A cover tree over them has centres at
 levels with radii that shrink by half: each centre covers what lies below it, centres of a level are apart by more than its radius,
-and each node keeps how far its farthest descendant really is. With that radius ``r``, centre ``c`` and question ``q``, the product of
+and each node keeps how far its farthest descendant really is; vectors without structure would need a centre each, so a node has at
+most twice as many as leaves fit into it. With that radius ``r``, centre ``c`` and question ``q``, the product of
 ``q`` with all below lies within ``q c - |q| r`` and ``q c + |q| r``. A search goes down best first, passes over nodes that lie wholly
 outside of the asked window of scores, and multiplies the vectors of the leaves it reaches exactly, in whole numbers.
 
@@ -104,7 +105,7 @@ class CoverTree:
             self.below.append(None)
             if parent >= 0:
                 self.children[parent].append(node)
-            if len(some) <= self._leaf:
+            if len(some) <= self._leaf or not far.max() > 0:  # components so large that floats do not part the points
                 self.below[node] = some
                 continue
             # Centres of the next level: the node's own, then what no centre covers yet. All lie more than ``cover`` apart.

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
