@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import string
+import sys
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,6 +31,13 @@ def words_of(column: Column) -> Column:
     return F.array_remove(F.split(column, rf"[{SPACE_CLASS}]+"), "")
 
 
+def forget_pieces() -> None:
+    """Let go of the pieces that an earlier step of this worker encoded; workers are used again by steps that need the memory."""
+    tokens = sys.modules.get("flowlens.llm.tokens")
+    if tokens is not None:
+        tokens.encoder.cache_clear()
+
+
 def parallel(df: DataFrame) -> int:
     """Partitions for work over few but heavy rows (file names, filter segments)."""
     return 4 * df.sparkSession.sparkContext.defaultParallelism

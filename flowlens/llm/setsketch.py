@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from flowlens.llm import beside
-from flowlens.llm.common import find_words, lower_ascii, text_of
+from flowlens.llm.common import find_words, forget_pieces, lower_ascii, text_of
 from flowlens.llm.components import components, relabel
 from flowlens.session import stage
 
@@ -131,6 +131,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    forget_pieces()
     for batch in batches:
         sizes, keys, sketches = [], [], []
         for text in batch.column(1):
