@@ -1,41 +1,53 @@
-"""Language-model scores from a log-frequency Bloom filter.
+"""Language-model scores from a log-frequency Bloom filter in segments.
 
-Pairs of words are counted over the whole training text, and every pair counts. The filter holds, for each pair with at
-least a share ``SHARE`` of all tokens, its quantised log count: the pair is put in under the levels 1, 2, ... up to its
-own, and is read back by asking for level after level until one is missing. There are at most 1 / ``SHARE`` such pairs,
-and at most as many words with that share, so the filter and the word list that tasks get have a size bound that does not
-depend on the input. All other words and pairs are exact and joined: words by name, pairs by a 64-bit key in buckets
-whose number grows with the training text.
+Pairs of words are counted over the whole training text, and every pair is held by the filter, which keeps its quantised log count:
+the pair is put in under the levels 1, 2, ... up to its own, and is read back by asking for level after level until one is missing.
+Levels are exact up to 7 occurrences and then a factor ``BASE`` apart. A pair belongs to one of many segments, whose number grows
+with the training text, so that a segment has a bounded size. Scoring sends the pairs of the texts to the segments; a task loads one
+segment at a time and streams past it all that ask for it. Pairs with a share of ``SHARE`` and more are also held by a filter that
+all tasks get; there are at most 1 / ``SHARE`` of them, whatever the input, and no other pair is asked for often.
 
-p(w | u) = m(u) c(u w) / c(u) + (1 - m(u)) p(w), where p(w) is the add-one share of w and m(u) is ``DISCOUNT`` for
-words u of the training text, else 0.
+Word counts are exact. Words are known by 64-bit codes. The counts of the words of a range of rows are written beside the rows, so
+the task that scores a text knows all its words. Words with that share go to all tasks instead.
+
+p(w | u) = m(u) c(u w) / c(u) + (1 - m(u)) p(w), where p(w) is the add-one share of w, m(u) is ``DISCOUNT`` for words u of the
+training text, else 0, and c(u w) is what the filter gives, at most c(u) and c(w).
 """
 
 from __future__ import annotations
 
+import functools
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from flowlens.llm.common import find_words, lower_ascii, text_of
-from flowlens.session import stage
+from flowlens.llm import beside
+from flowlens.llm.common import text_of, utf8_slices
+from flowlens.llm.phrases import word_codes
+from flowlens.session import new_path
+from flowlens.sources.files import locate
 
-SHARE = 2.0 ** -20
-BASE = 1.15  # of the quantisation: a level is this factor of the count
-PROBES, BITS = 7, 12  # hash functions, and bits per stored level
-SEGMENTS = 64
+SHARE = 2.0 ** -21  # of all characters and texts, which are at least as many as tokens
+BASE = 1.15  # of the quantisation: the factor between levels
+PROBES, BITS = 7, 20  # hash functions, and bits per stored level; twice as many in the filter that all tasks get
 DISCOUNT = 0.95  # of the successor mass
-END = ""  # the token after the last word of a text
-FLUSH = 500_000  # entries a task counts before it gives them out
-BUCKET = 1 << 19  # tokens of the training text per bucket of pairs, and pairs asked for at once in one
+END = 0x5851F42D4C957F2D  # code of the token after the last word of a text
+FLUSH = 2_000_000  # tokens a task counts, or pairs it asks for, before it gives them out
+BUCKET = 3 << 20  # characters of the training text per segment
+KEY_BITS = 38  # of a pair inside its segment
+READ_BUCKETS = 4  # segments in a file
+VOCABULARY_ROWS = 4096  # rows whose word counts are read together
 PACKED = 512  # entries in a row of a bucket
-SCORED_CHARS = 1 << 20  # characters scored at once; a longer text is scored alone
+SCORED_BYTES = 1 << 20  # bytes scored at once; a longer text is scored alone
+FIXED = float(1 << 20)  # log10 values are summed as whole multiples of its inverse, in any order
+UNSEEN = math.log10(1 - DISCOUNT)  # gain of a pair that was not seen after a known word
 
 
 def held_out(key: Column) -> Column:
@@ -51,390 +63,375 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def levels_of(counts: np.ndarray, least: float) -> np.ndarray:
-    """The level of each count: 1 for ``least``, one more for every factor ``BASE``."""
-    return 1 + np.floor(np.log(np.maximum(counts / least, 1)) / math.log(BASE) + 1e-9).astype(np.int64)
+def _grid() -> np.ndarray:
+    """The least count of each level from 1 on."""
+    counts = [1]
+    while counts[-1] < 1 << 50:
+        counts.append(max(counts[-1] + 1, int(counts[-1] * BASE)))
+    return np.array(counts, np.int64)
+
+
+LEAST_OF = _grid()
+
+
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """The level of each count, 0 for none."""
+    return np.searchsorted(LEAST_OF, counts, "right")
 
 
 class LogBloom:
-    """Quantised log counts of 64-bit keys. Each key belongs to one of ``SEGMENTS`` equal segments of bits."""
+    """Quantised log counts of 64-bit keys: membership of (key, level)."""
 
-    def __init__(self, segments: list[bytes], least: float):
-        self._bits = np.frombuffer(b"".join(segments), np.uint8)
-        self._size = 8 * len(self._bits) // SEGMENTS  # bits of a segment
-        self._least = least
+    def __init__(self, bits: bytes):
+        self._bits, self._size = np.frombuffer(bits, np.uint8), 8 * len(bits)
 
     @staticmethod
     def places(keys: np.ndarray, level: np.ndarray, size: int) -> np.ndarray:
-        """Bits inside the segment of (key, level), a row per pair, by double hashing."""
-        mixed = _mix(keys ^ _mix(level.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
+        """Bits of (key, level), a row per pair, by double hashing."""
+        mixed = _mix(keys.astype(np.uint64) ^ _mix(level.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
         a, b = mixed >> np.uint64(32), (mixed & np.uint64(0xFFFFFFFF)) | np.uint64(1)
         return ((a[:, None] + np.arange(PROBES, dtype=np.uint64) * b[:, None]) % np.uint64(size)).astype(np.int64)
 
     @staticmethod
-    def segment(keys: np.ndarray) -> np.ndarray:
-        return (_mix(keys) % np.uint64(SEGMENTS)).astype(np.int64)
-
-    @staticmethod
-    def build(keys: np.ndarray, levels: np.ndarray, size: int) -> bytes:
-        """The bits of one segment."""
+    def build(keys: np.ndarray, levels: np.ndarray, bits_per_level: int) -> bytes:
+        size = -(-bits_per_level * int(levels.sum()) // 64) * 64
         bits = np.zeros(size, bool)
         for level in range(1, int(levels.max(initial=0)) + 1):
-            some = keys[levels >= level]
-            bits[LogBloom.places(some, np.full(len(some), level), size).ravel()] = True
+            keys, levels = keys[levels >= level], levels[levels >= level]
+            bits[LogBloom.places(keys, np.full(len(keys), level), size).ravel()] = True
         return np.packbits(bits, bitorder="little").tobytes()
 
-    def levels(self, keys: np.ndarray) -> np.ndarray:
-        """The level of each key, 0 if it is not held: membership probes until one fails."""
+    def levels(self, keys: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """The level of each key, at most ``most``, 0 if it is not held: membership probes until one fails."""
         found = np.zeros(len(keys), np.int64)
-        if not self._size:
-            return found
-        at, base, level = np.arange(len(keys)), self.segment(keys) * self._size, 1
-        while len(at):
-            bit = self.places(keys[at], np.full(len(at), level), self._size) + base[at, None]
-            hit = ((self._bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).all(axis=1)
-            at = at[hit]
+        at, level = np.flatnonzero(most >= 1), 1
+        while len(at) and self._size:
+            bit = self.places(keys[at], np.full(len(at), level), self._size)
+            at = at[((self._bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).all(axis=1)]
             found[at] = level
             level += 1
+            at = at[most[at] >= level]
         return found
 
-    def low(self, levels: np.ndarray) -> np.ndarray:
-        """The least count of a level."""
-        return self._least * BASE ** (levels - 1.0)
-
 
-def _tokens(text: str) -> list[str]:
-    words = find_words(text)
-    words.append(END)
-    return words
+def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the tokens of texts, one text after another, and the number of each text's. A-Z is lower-cased; bytes part at the
+    six ASCII white spaces."""
+    words = [t.lower().split() for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    codes = word_codes(b" ".join([b" ".join(w) for w in words if w]))
+    return np.insert(codes, np.cumsum(sizes), np.uint64(END)), sizes + 1
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[str] = Counter()
+def _before(ids: np.ndarray) -> np.ndarray:
+    """The token before each one; a text begins where another one ended."""
+    return np.concatenate((np.array([END], np.uint64), ids[:-1]))[:len(ids)]
 
-    def out() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                                           names=["token", "c"])
-        counts.clear()
-        return batch
-
-    for batch in batches:
-        for text in batch.column(0):
-            counts.update(_tokens(text.as_py()))
-            if len(counts) >= FLUSH:
-                yield out()
-    yield out()
 
-
-class _Codes(dict):
-    """The number of a frequent word; of any other word a negative hash."""
-
-    def __missing__(self, word: str) -> int:
-        return -1 - (xxhash.xxh3_64_intdigest(word) >> 1)
-
-
-def _ids(texts: list[list[str]], number: _Codes) -> np.ndarray:
-    return np.fromiter((i for words in texts for i in map(number.__getitem__, words)), np.int64, sum(map(len, texts)))
-
-
-def _keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """Pairs as 64 bits: both numbers, or negative and hashed if a word is not frequent."""
-    mixed = _mix(before.view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + _mix(after.view(np.uint64)))
-    return np.where((before >= 0) & (after >= 0), before << 20 | after, (mixed | np.uint64(1 << 63)).view(np.int64))
-
-
-def _deal(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (_mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-
-
-def _bucket(before: np.ndarray, keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Pairs that begin with the same rare word share a bucket; those of a frequent word are dealt one by one."""
-    return _deal(np.where(before >= 0, keys, before), buckets)
+def pair_keys(before: np.ndarray, after: np.ndarray, buckets: int) -> np.ndarray:
+    """Segment and, in the lowest ``KEY_BITS`` bits, key of pairs."""
+    mixed = _mix(before * np.uint64(0x9FB21C651E98DF25) + _mix(after))
+    return (mixed % np.uint64(buckets) << np.uint64(KEY_BITS) | mixed >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
+_KEY = (1 << KEY_BITS) - 1
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 
-def _packed(bucket: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
-    """Rows of up to ``PACKED`` entries of one bucket. Of the 64 bits of each entry the lowest bytes come first, then
-    the next ones, which compress well; the last column is held as differences."""
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+def _packed(bucket: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Rows of up to ``PACKED`` entries of one bucket; entries are given in order of their buckets. Of the 64 bits of each entry the
+    lowest bytes come first, then the next ones, which compress well; the last column is held as differences."""
+    first = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1))
     starts = np.concatenate([np.zeros(0, np.int64), *[np.arange(a, b, PACKED) for a, b in zip(first, np.append(first[1:], len(bucket)))]])
+    last = columns[-1].astype(np.int64)
+    steps = np.diff(last, prepend=0)
+    steps[starts] = last[starts]
+    planes = np.stack([c.astype("<i8") for c in (*columns[:-1], steps)], axis=1).view(np.uint8).reshape(len(bucket), -1)
     ends = np.append(starts[1:], len(bucket)).tolist() if len(starts) else []
-    out = [pa.array(bucket[starts], pa.int64())]
-    for k, column in enumerate(columns):
-        value = column[order]
-        if k == len(columns) - 1 and len(value):
-            value = np.diff(value, prepend=0)
-            value[starts] = column[order[starts]]
-        planes = value.astype("<i8").view(np.uint8).reshape(-1, 8)
-        out.append(pa.array([_ZSTD.compress(planes[a:b].T.tobytes(), asbytes=True) + (b - a).to_bytes(4, "little")
-                             for a, b in zip(starts.tolist(), ends)], pa.binary()))
-    return out
-
-
-def _entries(column: pa.Array | pa.ChunkedArray, differences: bool = False) -> np.ndarray:
-    """The entries of a packed column; ``differences`` for the last one."""
-    parts = []
-    for x in column.to_pylist():
-        planes = _ZSTD.decompress(x[:-4], 8 * int.from_bytes(x[-4:], "little"), asbytes=True)
-        parts.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<i8").ravel())
-    return np.concatenate([np.zeros(0, np.int64), *[np.cumsum(x) if differences else x for x in parts]])
+    return bucket[starts], pa.array([_ZSTD.compress(planes[a:b].T.tobytes(), asbytes=True) + (b - a).to_bytes(4, "little")
+                                     for a, b in zip(starts.tolist(), ends)], pa.binary())
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packed pairs with their counts; those with a rare second word by that word, all others by their own bucket."""
-    number = _Codes(zip(shared.value[0], range(len(shared.value[0]))))
-    end, held, size = number[END], [], 0
+def _entries(packed: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The columns of packed rows, and the number of entries of each row."""
+    sizes = [int.from_bytes(x[-4:], "little") for x in packed]
+    parts = []
+    for x, size in zip(packed, sizes):
+        planes = np.frombuffer(_ZSTD.decompress(x[:-4], 8 * width * size, asbytes=True), np.uint8).reshape(8 * width, size)
+        part = planes.T.copy().view("<i8")
+        np.cumsum(part[:, -1], out=part[:, -1])
+        parts.append(part)
+    whole = np.concatenate(parts) if parts else np.zeros((0, width), np.int64)
+    return list(whole.T), np.array(sizes, np.int64)
+
+
+def _pieces(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts of about ``SCORED_BYTES`` together, with the place of the first."""
+    start, texts, size = 0, [], 0
+    for i, raw in enumerate(utf8_slices(column)):
+        texts.append(bytes(raw))
+        size += len(raw)
+        if size >= SCORED_BYTES or i == len(column) - 1:
+            yield start, texts
+            start, texts, size = i + 1, [], 0
+
+
+def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed counts of words and of pairs by bucket."""
+    held, size = [], 0
 
     def out() -> Iterator[pa.RecordBatch]:
         nonlocal held, size
-        before, after = (np.concatenate([pair[k] for pair in held]) for k in (0, 1))
+        ids = np.concatenate(held)
         held, size = [], 0
-        keys, first, counts = np.unique(_keys(before, after), return_index=True, return_counts=True)
-        before, after = before[first], after[first]
-        for rare in (False, True):
-            some = (after < 0) == rare
-            bucket = _deal(after[some], buckets) if rare else _bucket(before[some], keys[some], buckets)
-            columns = _packed(bucket, before[some], counts[some].astype(np.int64), after[some])
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([rare] * len(columns[0]), pa.bool_())],
-                                             names=["bucket", "before", "c", "after", "by_after"])
+        keys, c = np.unique(pair_keys(_before(ids), ids, buckets), return_counts=True)
+        words, times = np.unique(ids, return_counts=True)
+        of = (words % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        for pairs, (at, data) in ((True, _packed(keys >> KEY_BITS, c, keys & _KEY)),
+                                  (False, _packed(of[order], times[order], words[order].view(np.int64)))):
+            yield pa.RecordBatch.from_arrays([pa.array(at), data, pa.array([pairs] * len(at), pa.bool_())], names=["bucket", "data", "pairs"])
 
     for batch in batches:
-        for text in batch.column(0):
-            ids = _ids([_tokens(text.as_py())], number)
-            held.append((np.concatenate(([end], ids[:-1])), ids))  # a text begins where another one ended
-            size += len(ids)
-            if size >= 4 * FLUSH:
+        for _, texts in _pieces(batch.column(0)):
+            held.append(tokens_of(texts)[0])
+            size += len(held[-1])
+            if size >= FLUSH:
                 yield from out()
     if held:
         yield from out()
 
 
-def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, first and second words and counts of the distinct pairs of a bucket, and where each was first."""
-    before, after = _entries(table["before"]), _entries(table["after"], True)
-    keys, first, back = np.unique(_keys(before, after), return_index=True, return_inverse=True)
-    return keys, before[first], after[first], np.bincount(back, _entries(table["c"]), len(keys)).astype(np.int64), first
-
-
-def _sums(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Per entry the count of its word, all of whose pairs are here."""
-    distinct, back = np.unique(words, return_inverse=True)
-    return np.bincount(back, counts, len(distinct)).astype(np.int64)[back]
+def _merged(table: pa.Table, pairs: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their counts."""
+    kinds = np.asarray(table["pairs"])
+    (c, keys), _ = _entries([x for x, k in zip(table["data"].to_pylist(), kinds.tolist()) if k == pairs], 2)
+    keys, back = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(back, c, len(keys)).astype(np.int64)
 
 
-class Model:
-    """What scoring needs: exact totals and counts, all pairs by bucket, and by size bound the frequent words and the filter."""
+SEGMENT = "at long, bits binary, top array<long>, levels array<long>, words array<long>, counts array<long>"
 
-    def __init__(self, unigrams: DataFrame, pairs: DataFrame, buckets: int, n: int, v: int, words: list[str], counts: np.ndarray,
-                 bloom: LogBloom, least: float):
-        self.unigrams, self.pairs, self.buckets, self.n, self.v = unigrams, pairs, buckets, n, v
-        self.words, self.counts, self.bloom, self.least = words, counts, bloom, least
 
+def _segment(table: pa.Table, top_level: int, bits: int) -> pa.Table:
+    """The filter of a bucket, its frequent pairs, and the counts of its words."""
+    at = table["bucket"][0].as_py()
+    keys, c = _merged(table, True)
+    level = levels_of(c)
+    top = level >= top_level
+    words, counts = _merged(table, False)
+    lists = pa.list_(pa.int64())
+    return pa.table({"at": pa.array([at], pa.int64()), "bits": pa.array([LogBloom.build(keys, level, bits)], pa.binary()),
+                     "top": pa.array([at << KEY_BITS | keys[top]], lists), "levels": pa.array([level[top]], lists),
+                     "words": pa.array([words], lists), "counts": pa.array([counts], lists)})
 
-def _pair_key(before: np.ndarray, after: np.ndarray) -> np.ndarray:
-    return _mix((before.astype(np.uint64) << np.uint64(20) | after.astype(np.uint64)) + np.uint64(1))
 
+class Model:
+    """Exact totals, the table of word counts and the folder of segments; by size bound the frequent words and pairs."""
 
-def _segments(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys, c = _entries(batch.column(0), True), _entries(batch.column(1))
-        keys, c = keys[c >= least], c[c >= least]  # of frequent words only
-        keys = _pair_key(keys >> 20, keys & 0xFFFFF)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(LogBloom.segment(keys), pa.int64()), pa.array(keys.view(np.int64), pa.int64()),
-             pa.array(levels_of(c, least), pa.int64())], names=["segment", "key", "level"])
+    def __init__(self, folder: str, words: DataFrame, buckets: int, n: int, v: int, least: int, frequent: tuple[np.ndarray, np.ndarray],
+                 shared: bytes, top_level: int):
+        self.folder, self.words, self.buckets, self.n, self.v, self.least = folder, words, buckets, n, v, least
+        self.frequent, self.shared, self.top_level = frequent, shared, top_level
 
 
-def fit(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, share: float = SHARE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Count the texts that are not held out and build the filter. Null text has no words, only its end."""
     spark = docs.sparkSession
-    text = docs.where(~held_out(docs[id_col])).select(lower_ascii(text_of(docs, text_col)).alias("text"))
-    unigrams = stage(text.mapInArrow(_count_words, "token string, c long").groupBy("token").agg(F.sum("c").alias("c")),
-                     "unigrams")
-    n, v = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    least = max(1.0, n * share)
-    # Fewer than 1 / share words can have that share.
-    top = unigrams.where(F.col("c") >= least).orderBy(F.desc("c"), "token").toArrow()
-    words, counts = top["token"].to_pylist(), np.asarray(top["c"], np.int64)
-    shared = spark.sparkContext.broadcast((words,))
-    buckets = -(-n // BUCKET) or 1
-    raw = stage(text.mapInArrow(lambda batches: _count_pairs(batches, shared, buckets),
-                                "bucket long, before binary, c binary, after binary, by_after boolean"), "raw_pairs")
-    held = spark.sparkContext.broadcast(counts)
-
-    def count_after(table: pa.Table) -> pa.Table:
-        """Every token follows one word, so the pairs of a rare second word give its count."""
-        keys, before, after, c, _ = _merged(table)
-        return pa.table(_packed(_bucket(before, keys, buckets), before, c, _sums(after, c), after),
-                        names=["bucket", "before", "c", "after_c", "after"])
-
-    def complete(table: pa.Table) -> pa.Table:
-        """The pairs of a bucket with their counts and those of both words."""
-        keys, before, after, c, first = _merged(table)
-        of_after = _entries(table["after_c"])[first]
-        some = after >= 0
-        of_after = np.where(some, held.value[after * some], of_after) if some.any() else of_after
-        some = before >= 0
-        of_before = _sums(before, c)
-        of_before = np.where(some, held.value[before * some], of_before) if some.any() else of_before
-        return pa.table(_packed(_bucket(before, keys, buckets), c, of_before, of_after, keys),
-                        names=["bucket", "c", "before_c", "after_c", "key"])
-
-    packed = "bucket long, before binary, c binary, after_c binary, after binary"
-    joined = raw.where("not by_after").select("bucket", "before", "c", F.col("c").alias("after_c"), "after") \
-        .unionAll(raw.where("by_after").select("bucket", "before", "after", "c").groupBy("bucket").applyInArrow(count_after, packed))
-    pairs = stage(joined.groupBy("bucket").applyInArrow(complete, "bucket long, c binary, before_c binary, after_c binary, key binary"), "pairs")
-    keyed = stage(pairs.select("key", "c").mapInArrow(lambda batches: _segments(batches, least), "segment long, key long, level long"),
-                  "keys")
-    entries = keyed.groupBy("segment").agg(F.sum("level").alias("n")).agg(F.max("n")).first()[0] or 0
-    size = -(-BITS * entries // 64) * 64
-
-    def build(table: pa.Table) -> pa.Table:
-        raw = LogBloom.build(np.asarray(table["key"]).view(np.uint64), np.asarray(table["level"]), size)
-        return pa.table({"segment": table["segment"].slice(0, 1), "bits": pa.array([raw], pa.binary())})
-
-    built = keyed.groupBy("segment").applyInArrow(build, "segment long, bits binary").toArrow() if size else None
-    found = dict(zip(built["segment"].to_pylist(), built["bits"].to_pylist())) if size else {}
-    bloom = LogBloom([found.get(i, bytes(size // 8)) for i in range(SEGMENTS)], least)
-    return Model(unigrams, pairs, buckets, n, v, words, counts, bloom, least)
-
-
-def _short_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str], pa.Array]]:
-    """Ids, texts and row numbers in slices of about ``SCORED_CHARS`` characters."""
+    text = docs.where(~held_out(docs[id_col])).select(text_of(docs, text_col).alias("text"))
+    # A token has a character or ends a text, so there are at most this many, and fewer than 1 / share have the least count.
+    size = text.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)) + F.count("*")).first()[0]
+    top_level = int(np.searchsorted(LEAST_OF, size * share, "left")) + 1
+    least, buckets = int(LEAST_OF[top_level - 1]), -(-size // BUCKET) or 1
+    folder = new_path(spark, "segments")
+    text.mapInArrow(lambda batches: _count(batches, buckets), "bucket long, data binary, pairs boolean") \
+        .groupBy("bucket").applyInArrow(lambda table: _segment(table, top_level, bits), SEGMENT) \
+        .withColumn("file", F.floor(F.col("at") / READ_BUCKETS)).write.partitionBy("file").parquet(folder)
+    segments = spark.read.schema(f"{SEGMENT}, file long").parquet(folder)
+    words = segments.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
+        F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
+    n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    top = words.where(F.col("c") >= least).toArrow()
+    codes, counts = np.asarray(top["word"], np.int64).view(np.uint64), np.asarray(top["c"], np.int64)
+    order = np.argsort(codes)
+    pairs = segments.select(F.explode(F.arrays_zip("top", "levels")).alias("x")).select(
+        F.col("x.top").alias("key"), F.col("x.levels").alias("level")).toArrow()
+    shared = LogBloom.build(np.asarray(pairs["key"], np.int64), np.asarray(pairs["level"], np.int64) - (top_level - 1), 2 * bits)
+    return Model(folder, words, buckets, n, v, least, (codes[order], counts[order]), shared, top_level)
+
+
+def _look_up(words: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Counts of words, 0 for those that are not among the ascending codes."""
+    if not len(codes):
+        return np.zeros(len(words), np.int64)
+    at = np.minimum(np.searchsorted(codes, words), len(codes) - 1)
+    return np.where(codes[at] == words, counts[at], 0)
+
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.RecordBatch]]:
+    """The rows of each batch by file and range of rows."""
     for batch in batches:
-        start, texts, size = 0, [], 0
-        for i, text in enumerate(batch.column(1)):
-            texts.append(text.as_py())
-            size += len(texts[-1])
-            if size >= SCORED_CHARS or i == batch.num_rows - 1:
-                yield batch.column(0).slice(start, len(texts)), texts, batch.column(2).slice(start, len(texts))
-                start, texts, size = i + 1, [], 0
+        for file, rows in beside.by_file(batch):
+            chunk = np.asarray(rows.column(1)) // VOCABULARY_ROWS
+            edges = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
+            for a, b in zip(edges, edges[1:]):
+                yield file, int(chunk[a]), rows.slice(a, b - a)
 
 
-SCORED = ["doc_id", "n_tokens", "n_known", "base", "gain", "rare", "row", "bucket", "keys", "times", "rows"]
-RARE = pa.map_(pa.string(), pa.int64())
-UNSEEN = math.log10(1 - DISCOUNT)  # gain of a pair that was not seen after a known word
+def _vocabulary(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """The words of each range of rows that are not frequent."""
+    frequent = shared.value[0]
+    place, held = None, []
+
+    def out() -> pa.RecordBatch:
+        words = np.unique(np.concatenate(held))
+        words = words[_look_up(words, frequent, np.ones(len(frequent), np.int64)) == 0]
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array([place[0]]), pa.array([place[1] * VOCABULARY_ROWS], pa.int64()),
+                                           pa.array([words.view(np.int64)], pa.list_(pa.int64()))], names=["file", "at", "words"])
+
+    for file, chunk, rows in _ranges(batches):
+        if (file, chunk) != place and held:
+            yield out()
+        place = (file, chunk)
+        for _, texts in _pieces(rows.column(2)):
+            held.append(np.unique(tokens_of(texts)[0]))
+    if held:
+        yield out()
+
+
+ASKED = ["bucket", "block", "data", "row", "doc_id", "n_tokens", "n_known", "base", "gain"]
 
 
-def _score(batches: Iterator[pa.RecordBatch], shared, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """A row per text, and between them packed rows of the pairs that are not in the filter."""
-    n, v, buckets, words, counts, bloom = shared.value
-    number = _Codes(zip(words, range(len(words))))
-    end = number[END]
-    counts = counts if len(words) else np.ones(1, np.int64)
-    part = np.log10((counts + 1.0) / (n + v + 1))
-    types = [kind, pa.int64(), pa.int64(), pa.float64(), pa.float64(), RARE, pa.int64(), pa.int64(),
-             pa.binary(), pa.binary(), pa.binary()]
-    asked, size = [], 0
-
-    def out(columns: list[pa.Array], first: int) -> pa.RecordBatch:
-        rows = len(columns[0])
-        return pa.RecordBatch.from_arrays(
-            [columns[k - first] if first <= k < first + len(columns) else pa.nulls(rows, t) for k, t in enumerate(types)], names=SCORED)
-
-    def ask() -> pa.RecordBatch:
-        nonlocal asked, size
-        columns = [np.concatenate(x) for x in zip(*asked)]
-        asked, size = [], 0
-        return out(_packed(*columns), 7)
-
-    for doc_ids, some, rows in _short_batches(batches):
-        texts = [_tokens(t) for t in some]
-        sizes = np.array([len(t) for t in texts], np.int64)
-        ids, doc = _ids(texts, number), np.repeat(np.arange(len(texts)), sizes)
-        before = np.concatenate(([end], ids[:-1]))[:len(ids)]
-        before[np.cumsum(sizes) - sizes] = end
-        frequent, both = ids >= 0, (ids >= 0) & (before >= 0)
-        base = np.where(frequent, part[np.maximum(ids, 0)], 0.0)
-        keys, level = _keys(before, ids), np.zeros(len(ids), np.int64)
-        if both.any():
-            pairs, back = np.unique(keys[both], return_inverse=True)
-            level[both] = bloom.levels(_pair_key(pairs >> 20, pairs & 0xFFFFF))[back]
-        seen = level > 0
-        # Other pairs start as not seen; the joins add what rare words and pairs gain, and the exact log10 of rare words.
-        gain = np.where(before >= 0, UNSEEN, 0.0)
-        fraction = np.minimum(1, bloom.low(level[seen]) / counts[before[seen]])
-        gain[seen] = np.log10(DISCOUNT * fraction + (1 - DISCOUNT) * 10 ** base[seen]) - base[seen]
-        rare = [list(Counter(w for w, known_word in zip(t, frequent[e - s:e].tolist()) if not known_word).items())
-                for t, s, e in zip(texts, sizes.tolist(), np.cumsum(sizes).tolist())]
-        yield out([doc_ids, pa.array(sizes), pa.array(np.bincount(doc, frequent, len(texts)).astype(np.int64)),
-                   pa.array(np.bincount(doc, base, len(texts))), pa.array(np.bincount(doc, gain, len(texts))),
-                   pa.array(rare, RARE), rows], 0)
-        bucket, keys, doc = _bucket(before, keys, buckets)[~seen], keys[~seen], doc[~seen]
-        if len(keys):
-            order = np.lexsort((keys, doc))
-            bucket, keys, doc = bucket[order], keys[order], doc[order]
-            first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])))
-            asked.append((bucket[first], keys[first], np.diff(np.append(first, len(keys))), np.asarray(rows)[doc[first]]))
-            size += len(first)
-            if size >= 2 * FLUSH:
-                yield ask()
-    if asked:
-        yield ask()
-
-
-def _found(asked: pa.Table, pairs: pa.Table, n: int, v: int) -> pa.Table:
-    """What the pairs of a bucket add to the rows that ask for them, next to pairs not seen after the same words."""
-    keys = _entries(pairs["key"], True)
-    wanted, times, rows = _entries(asked["keys"]), _entries(asked["times"]), _entries(asked["rows"], True)
-    order = np.argsort(keys)
-    keys = keys[order]
-    place = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-    hit = keys[place] == wanted if len(keys) else np.zeros(len(wanted), bool)
-    at = order[place[hit]] if len(keys) else np.zeros(0, np.int64)
-    c, before_c, after_c = (_entries(pairs[name])[at] for name in ("c", "before_c", "after_c"))
-    floor = (1 - DISCOUNT) * (after_c + 1.0) / (n + v + 1)
-    gain = np.log10(DISCOUNT * c / before_c + floor) - np.log10(floor)
-    distinct, back = np.unique(rows[hit], return_inverse=True)
-    return pa.table({"row": pa.array(distinct, pa.int64()),
-                     "gain": pa.array(np.bincount(back, times[hit] * gain, len(distinct)), pa.float64())})
+def _ask(batches: Iterator[pa.RecordBatch], shared, folder: str, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Blocks of texts: packed rows of the pairs to ask for by segment, and a row per text, dealt to any segment below 0."""
+    codes, counts, (n, v, buckets, top_level, bits) = shared.value
+    bloom = LogBloom(bits)
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), kind, pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+    asked, texts_of, size, place, known = [], [], 0, None, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+    def out() -> Iterator[pa.RecordBatch]:
+        nonlocal asked, texts_of, size
+        block = texts_of[0][0][0].as_py()
+        for row, doc_id, n_tokens, n_known, base, gain in texts_of:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), -1 - READ_BUCKETS * (block % (1 << 31)))), pa.array(np.full(len(row), block)),
+                                              pa.nulls(len(row), pa.binary()), row, doc_id, *map(pa.array, (n_tokens, n_known, base, gain))], names=ASKED)
+        if size:
+            keys, ratio, most, times, rows = map(np.concatenate, zip(*asked))
+            order = np.argsort(keys >> KEY_BITS, kind="stable")
+            at, data = _packed((keys >> KEY_BITS)[order], (keys & _KEY)[order], ratio[order], most[order], times[order], rows[order])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.full(len(at), block)), data,
+                                              *[pa.nulls(len(at), t) for t in types[3:]]], names=ASKED)
+        asked, texts_of, size = [], [], 0
+
+    for file, chunk, part in _ranges(batches):
+        if (file, chunk) != place:
+            place, at = (file, chunk), chunk * VOCABULARY_ROWS
+            tables = beside.read(folder, file, at, at, VOCABULARY_ROWS)
+            words = np.concatenate([np.zeros(0, np.int64), *[np.asarray(t["word"]) for t in tables]]).view(np.uint64)
+            order = np.argsort(words)
+            known = words[order], np.concatenate([np.zeros(0, np.int64), *[np.asarray(t["c"]) for t in tables]])[order]
+        for start, texts in _pieces(part.column(2)):
+            rows, doc_id = part.column(4).slice(start, len(texts)), part.column(3).slice(start, len(texts))
+            ids, sizes = tokens_of(texts)
+            words, back = np.unique(ids, return_inverse=True)
+            c = np.maximum(_look_up(words, codes, counts), _look_up(words, *known))[back]
+            doc, last = np.repeat(np.arange(len(texts)), sizes), np.cumsum(sizes) - 1
+            base = np.log10((c + 1.0) / (n + v + 1))
+            c_before = np.concatenate((c[last[:1]], c[:-1]))
+            gain = np.where(c_before > 0, round(UNSEEN * FIXED), 0)
+            some = np.flatnonzero((c_before > 0) & (c > 0))
+            key = pair_keys(_before(ids)[some], ids[some], buckets)
+            # Each pair once per text.
+            order = np.lexsort((key, doc[some]))
+            some, key = some[order], key[order]
+            first = np.flatnonzero(np.append(True, (np.diff(key) != 0) | (np.diff(doc[some]) != 0))[:len(some)])
+            times = np.diff(np.append(first, len(some)))
+            some, key = some[first], key[first]
+            most = levels_of(np.minimum(c_before[some], c[some]))
+            ratio = np.rint((math.log10(DISCOUNT) - UNSEEN - np.log10(c_before[some]) - base[some]) * FIXED).astype(np.int64)
+            level = bloom.levels(key, most - (top_level - 1))
+            seen = level > 0
+            texts_gain = np.bincount(doc, gain, len(texts)) + np.bincount(
+                doc[some[seen]], times[seen] * gain_of(ratio[seen], level[seen] + top_level - 1), len(texts))
+            texts_of.append((rows, doc_id, sizes, np.bincount(doc, c > 0, len(texts)).astype(np.int64),
+                             np.bincount(doc, base, len(texts)), texts_gain.astype(np.int64)))
+            asked.append([x[~seen] for x in (key, ratio, most, times, np.asarray(rows)[doc[some]])])
+            size += len(asked[-1][0])
+            if size >= FLUSH:
+                yield from out()
+    if texts_of:
+        yield from out()
+
+
+def gain_of(ratio: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """What a seen pair gains over one that was not seen, in units of 1 / ``FIXED``."""
+    return np.rint(np.log10(1 + LEAST_OF[level - 1] * 10 ** (ratio / FIXED)) * FIXED).astype(np.int64)
+
+
+@functools.lru_cache(maxsize=1)
+def _file(folder: str, file: int) -> dict[int, bytes]:
+    """The filters of the segments in a file."""
+    system, inner = locate(f"{folder}/file={file}")
+    if system.get_file_info(inner).type == fs.FileType.NotFound:
+        return {}
+    table = pq.read_table(inner, columns=["at", "bits"], filesystem=system, partitioning=None)
+    return dict(zip(table["at"].to_pylist(), table["bits"].to_pylist()))
+
+
+def _answer(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """What the pairs of each packed row gain, by text; rows of texts go on as they are. Rows come segment by segment."""
+    for batch in batches:
+        bucket = np.asarray(batch.column(0))
+        edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+        for a, b in zip(edges, edges[1:]):
+            part = batch.slice(a, b - a)
+            if bucket[a] < 0:
+                yield part
+                continue
+            (key, ratio, most, times, rows), sizes = _entries(part.column(2).to_pylist(), 5)
+            level = LogBloom(_file(folder, int(bucket[a]) // READ_BUCKETS).get(int(bucket[a]), b"")).levels(key, most)
+            seen = level > 0
+            of = np.repeat(np.arange(len(sizes)), sizes)[seen]
+            rows, gain = rows[seen], times[seen] * gain_of(ratio[seen], level[seen])
+            first = np.flatnonzero(np.append(True, (np.diff(rows) != 0) | (np.diff(of) != 0))[:len(rows)])
+            if len(first):
+                at, data = _packed(of[first], np.add.reduceat(gain, first), rows[first])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at)), part.column(1).take(pa.array(at)), data,
+                                                  *[pa.nulls(len(at), x.type) for x in part.columns[3:]]], names=ASKED)
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """The rows of the texts of a block with all they gain."""
+    packed = [x for x in table["data"].to_pylist() if x is not None]
+    texts = table.filter(pc.is_null(table["data"])).sort_by("row")
+    (gain, rows), _ = _entries(packed, 2)
+    at = np.searchsorted(np.asarray(texts["row"]), rows)
+    total = np.asarray(texts["gain"]) / FIXED + np.bincount(at, gain, texts.num_rows) / FIXED
+    return texts.select(["doc_id", "n_tokens", "n_known", "base"]).append_column("gain", pa.array(total, pa.float64()))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
-    Null text is empty text: its only token is the end. Repeated rows are scored one by one. With nothing to learn from
-    each token has the probability 1 of a model without words.
+    Null text is empty text: its only token is the end. Repeated rows are scored one by one, and so is each text as a whole, whatever
+    its length. With nothing to learn from each token has the probability 1 of a model without words. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
-    plain = docs.select(docs[id_col].alias("doc_id"), lower_ascii(text_of(docs, text_col)).alias("text"),
-                        F.monotonically_increasing_id().alias("row"))
-    arrow = to_arrow_type(docs.schema[id_col].dataType)
-    shared = spark.sparkContext.broadcast((model.n, model.v, model.buckets, model.words, model.counts, model.bloom))
-    every = stage(plain.mapInArrow(
-        lambda batches: _score(batches, shared, arrow),
-        f"doc_id {kind}, n_tokens long, n_known long, base double, gain double, rare map<string, long>, row long, bucket long, "
-        "keys binary, times binary, rows binary"), "scored")
-    scored = every.where("row is not null")
-    # Each rare word is one row per text. No word here is frequent, so no key of the join is hot.
-    rare = scored.select("row", F.explode("rare").alias("token", "tf"))
-    counted = rare.join(model.unigrams.where(F.col("c") < model.least), "token", "left")
-    part = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.n + model.v + 1)))
-    rest = counted.select("row", F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"),
-                          F.when(F.col("c") > 0, F.col("tf")).otherwise(0).alias("n_known"),
-                          (F.col("tf") * part).alias("base"),
-                          # Each token is once the word before another one; the end is before the first.
-                          F.when(F.col("c") > 0, F.col("tf") * UNSEEN).otherwise(0.0).alias("gain"))
-    # A bucket that many rows ask is dealt to parts, each of which gets its pairs.
-    asked = every.where("bucket is not null").select("bucket", "keys", "times", "rows")
-    parts = stage(asked.groupBy("bucket").agg(F.ceil(F.count("*") * PACKED / BUCKET).cast("int").alias("parts")), "parts")
-    asked = asked.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("keys", "rows"), F.col("parts")).cast("int")).drop("parts")
-    pairs = model.pairs.join(parts, "bucket").select(
-        "bucket", "c", "before_c", "after_c", "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    n, v = model.n, model.v
-    found = asked.groupBy("bucket", "part").cogroup(pairs.groupBy("bucket", "part")).applyInArrow(
-        lambda left, right: _found(left, right, n, v), "row long, gain double")
-    more = found.select("row", F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"),
-                        F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base"), "gain")
-    every = scored.select("row", "doc_id", "n_tokens", "n_known", "base", "gain").unionAll(rest).unionAll(more)
-    return every.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-        F.sum("base").alias("base_score"), F.sum("gain").alias("gain")).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
-        F.lit(model.n).cast("long").alias("train_tokens"), "base_score",
-        (F.col("base_score") + F.col("gain")).alias("score"))
+    place = beside.Located(docs)
+    kind = place.docs.schema[id_col].dataType
+    text, doc_id = text_of(place.docs, text_col).alias("text"), place.docs[id_col].alias("doc_id")
+    shared = spark.sparkContext.broadcast((*model.frequent, (model.n, model.v, model.buckets, model.top_level, model.shared)))
+    words = place.rows(text).mapInArrow(lambda batches: _vocabulary(batches, shared), "file string, at long, words array<long>") \
+        .select("file", "at", F.explode("words").alias("word"))
+    vocabulary = beside.put(words.join(model.words.where(F.col("c") < model.least), "word"), "vocabulary", VOCABULARY_ROWS)
+    arrow, folder = to_arrow_type(kind), model.folder
+    schema = f"bucket long, block long, data binary, row long, doc_id {kind.simpleString()}, n_tokens long, n_known long, base double, gain long"
+    asked = place.rows(text, doc_id, F.monotonically_increasing_id().alias("row")).mapInArrow(
+        lambda batches: _ask(batches, shared, vocabulary, arrow), schema)
+    answered = asked.repartition(F.floor(F.col("bucket") / READ_BUCKETS)).sortWithinPartitions("bucket") \
+        .mapInArrow(lambda batches: _answer(batches, folder), schema)
+    every = answered.groupBy("block").applyInArrow(_totals, f"doc_id {kind.simpleString()}, n_tokens long, n_known long, base double, gain double")
+    return every.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"), (F.col("base") + F.col("gain")).alias("score"))
