@@ -39,7 +39,7 @@ BASE = 1.15  # of the quantisation: the factor between levels
 PROBES, BITS = 7, 20  # hash functions, and bits per stored level; twice as many in the filter that all tasks get
 DISCOUNT = 0.95  # of the successor mass
 END = 0x5851F42D4C957F2D  # code of the token after the last word of a text
-FLUSH = 2_000_000  # tokens a task counts, or pairs it asks for, before it gives them out
+COUNTED, ASKED_FOR = 1_000_000, 500_000  # tokens a task counts, and pairs it asks for, before it gives them out
 BUCKET = 3 << 20  # characters of the training text per segment
 KEY_BITS = 38  # of a pair inside its segment
 READ_BUCKETS = 4  # segments in a file
@@ -196,7 +196,7 @@ def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
         for _, texts in _pieces(batch.column(0)):
             held.append(tokens_of(texts)[0])
             size += len(held[-1])
-            if size >= FLUSH:
+            if size >= COUNTED:
                 yield from out()
     if held:
         yield from out()
@@ -358,7 +358,7 @@ def _ask(batches: Iterator[pa.RecordBatch], shared, folder: str, kind: pa.DataTy
                              np.bincount(doc, base, len(texts)), texts_gain.astype(np.int64)))
             asked.append([x[~seen] for x in (key, ratio, most, times, np.asarray(rows)[doc[some]])])
             size += len(asked[-1][0])
-            if size >= FLUSH:
+            if size >= ASKED_FOR:
                 yield from out()
     if texts_of:
         yield from out()
