@@ -313,8 +313,10 @@ def _ask(batches: Iterator[pa.RecordBatch], shared, folder: str, kind: pa.DataTy
     def out() -> Iterator[pa.RecordBatch]:
         nonlocal asked, texts_of, size
         block = texts_of[0][0][0].as_py()
+        # Blocks begin at multiples of high powers of two, so their numbers are mixed to spread them.
+        dealt = -1 - READ_BUCKETS * int(_mix(np.array([block]))[0] % np.uint64(1 << 31))
         for row, doc_id, n_tokens, n_known, base, gain in texts_of:
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), -1 - READ_BUCKETS * (block % (1 << 31)))), pa.array(np.full(len(row), block)),
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), dealt)), pa.array(np.full(len(row), block)),
                                               pa.nulls(len(row), pa.binary()), row, doc_id, *map(pa.array, (n_tokens, n_known, base, gain))], names=ASKED)
         if size:
             keys, ratio, most, times, rows = map(np.concatenate, zip(*asked))
