@@ -78,6 +78,52 @@ def test_toxicity_odd_rows(spark, odd, none):
         assert toxicity.drop_toxic(odd, model).columns == odd.columns
 
 
+def dense_training(positive, unlabelled, prior):
+    """The estimator over 0/1 matrices, and its risk."""
+    size = 1 << toxicity.DIM_BITS
+    wide = [np.array([np.bincount(t, minlength=size).astype(np.int8) for t in texts]) for texts in (positive, unlabelled)]
+    n_p, n_u = map(len, wide)
+    in_p, in_u = (m.sum(axis=0, dtype=np.int64) for m in wide)
+    usual = n_p * (in_u + 1) / n_u
+    used = np.flatnonzero((in_p >= 3) & (in_p > usual + 4 * np.sqrt(usual) + 2) & (prior * in_p / n_p >= 0.3 * (in_u + 1) / n_u))
+    x_p, x_u = (np.c_[m[:, used].astype(float), np.ones(len(m))] for m in wide)
+
+    def loss(z, sign):
+        return np.logaddexp(0, -sign * z).mean()
+
+    def risk(theta):
+        return prior * loss(x_p @ theta, 1) + max(0, loss(x_u @ theta, -1) - prior * loss(x_p @ theta, -1))
+
+    theta = np.r_[np.zeros(len(used)), np.log(prior / (1 - prior))]
+    start, m, v = risk(theta), 0, 0
+    for step in range(1, toxicity.STEPS + 1):
+        s_p, s_u = (1 / (1 + np.exp(-x @ theta)) for x in (x_p, x_u))
+        clean = x_u.T @ s_u / n_u - prior * x_p.T @ s_p / n_p
+        over = loss(x_u @ theta, -1) < prior * loss(x_p @ theta, -1)
+        grad = -clean if over else prior * x_p.T @ (s_p - 1) / n_p + clean
+        grad[:-1] += toxicity.DECAY * theta[:-1]
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
+        theta = theta - toxicity.RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        theta[:-1] = np.maximum(theta[:-1], 0)
+    return used, theta, start, risk(theta)
+
+
+def test_toxicity_equals_dense_training(spark):
+    rng = np.random.default_rng(8)
+    words = ["".join(chr(97 + int(d)) for d in str(1000 + k)) for k in range(60)]
+    texts = [(i, " ".join([*rng.choice(words, 12), *(["grubby"] * (i % 6 == 0)), *(["slimy"] * (i % 12 == 0))]), int(i % 6 == 0)) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, docs.select("doc_id", "toxic"))
+    learnt = [t for t in texts if zlib.crc32(str(t[0]).encode()) % 3 != 1]
+    features = {i: toxicity.text_features(text) for i, text, _ in texts}
+    prior = sum(t for _, _, t in learnt) / len(learnt)
+    used, theta, start, end = dense_training([features[i] for i, _, t in learnt if t], [features[i] for i, _, _ in learnt], prior)
+    assert len(used) and set(np.flatnonzero(model.weights)) <= set(used.tolist()) and end < start
+    for r in toxicity.score(docs, model).collect():
+        z = theta[:-1][np.isin(used, features[r.doc_id])].sum() + theta[-1]
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-3)
+
+
 PAGES = [(1, "http://a/ä b", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u\r\nv", None), (4, "u", ""), (None, "u", "<p>x</p>"),
          (5, "u", "y" * 3_000_000), (6, "u", "\r\n\r\nWARC/1.1\r\n"), (6, "u", "\r\n\r\nWARC/1.1\r\n"), (None, "n", "only")]
 
