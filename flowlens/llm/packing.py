@@ -76,11 +76,11 @@ def best_fit(lengths: list[int], capacity: int = WINDOW) -> tuple[list[int], lis
 
 
 def _cut(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    encode, end = encoder(vocabulary, MOST_KEPT).encode, np.array([end_id], "<u4").tobytes()
+    encode_all, end = encoder(vocabulary, MOST_KEPT).encode_all, np.array([end_id], "<u4").tobytes()
     for batch in batches:
         out: dict[str, list] = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            raw = encode(text.as_py()) + end
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encode_all(batch.column(1))):
+            raw = ids + end
             total = len(raw) // 4
             for start in range(0, total, capacity):
                 piece = raw[4 * start:4 * (start + capacity)]

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
+import string
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Runs of these four characters are white space to every pre-tokenizer in use, and none of them joins what
 # stands before such a run with the run, so the ids of a text are the ids of these pieces one after another.
@@ -14,11 +19,15 @@ _PIECES = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+").findall
 # Other white space and separators may join such a run; texts that hold any are encoded in one call.
 _OTHER_SPACE = re.compile(
     "[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]").search
+_BEYOND_LATIN = re.compile("[^\x00-\xff]").search
 # A plain word: at most one space or line end, Latin-1 letters (all of one class, composed, and of one length in
-# either case), then some stops. Pre-tokenizers part it into exactly these three.
-_PLAIN = re.compile("([ \n]?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]*)").fullmatch
+# either case), then ASCII punctuation without the apostrophe. Pre-tokenizers part it into exactly these three.
+_STOPS = "".join(c for c in string.punctuation if c != "'")
+_MARK = "\x0b"  # between pieces; one of the other white spaces, so no text that is cut into pieces holds it
 LONGEST_KEPT = 48  # characters of a piece that is remembered
 MOST_KEPT = 600_000  # pieces in each of the two generations a worker remembers, if not told otherwise
+AT_ONCE = 1 << 21  # characters of texts that are encoded together; a longer text is taken alone
+PIECES_AT_ONCE = 1 << 18  # pieces that are looked up together
 
 
 def _byte_letters() -> dict[int, str]:
@@ -50,44 +59,102 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _part(self, part: str) -> bytes:
-        """The ids of one pre-token."""
-        found = self._new.get(part) or self._old.get(part)
-        if found is None:
-            letters = "".join([self._letters[b] for b in part.encode()])
-            found = self._keep(part, np.array([t.id for t in self._model.tokenize(letters)], "<u4").tobytes())
+    def _marked(self, text: str) -> str:
+        """A text with a mark before each piece but the first, or as it is, if pieces end at any white space."""
+        if self._drops:
+            return text if _BEYOND_LATIN(text) else text.lower()
+        if any(x in f" {text} " for x in ("  ", "\n\n", " \n", "\n ", "\t", "\r")):
+            return _MARK.join(_PIECES(text))
+        # Each space or line end stands alone before a piece.
+        return text.replace(" ", _MARK + " ").replace("\n", _MARK + "\n")
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of new pieces. Pre-tokens of plain words go to the model, as the library gives it each pre-token; each is a piece too."""
+        parted, parts, learnt = [], {}, {"": b""}
+        wide = _BEYOND_LATIN("".join(pieces))
+        for piece in pieces:
+            word = piece.rstrip(_STOPS)
+            letters = word[1:] if word[:1] in (" ", "\n") else word
+            if not letters.isalpha() or wide and _BEYOND_LATIN(letters):
+                learnt[piece] = self._whole(piece)
+                continue
+            stops = piece[len(word):]
+            if self._drops:
+                word = letters.lower()
+            some = ("\n", letters, stops) if word[0] == "\n" else (word, stops)
+            parts.update(dict.fromkeys(some))
+            if some[0] != piece:
+                parted.append((piece, some))
+        parts = [part for part in parts if part and part not in self._new]
+        tokenize = self._model.tokenize
+        letters = "\0".join(parts).encode().decode("latin-1").translate(self._letters).split(self._letters[0]) if parts else []
+        ids = [[t.id for t in tokenize(part)] for part in letters]
+        raw = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
+        ends = (4 * np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))).tolist()
+        learnt.update((part, raw[start:end]) for part, start, end in zip(parts, [0, *ends], ends))
+        for piece, some in parted:
+            learnt[piece] = b"".join([learnt[part] if part in learnt else self._new[part] for part in some])
+        return learnt
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces."""
+        if len(self._new) >= self._most_kept:
+            self._old, self._new = self._new, {}
+        found = list(map(self._new.get, pieces))
+        at = [i for i, ids in enumerate(found) if ids is None]
+        for i in at:
+            ids = self._old.get(pieces[i])
+            if ids is not None:
+                self._new[pieces[i]] = found[i] = ids
+        at = [i for i in at if found[i] is None]
+        learnt = self._learn([pieces[i] for i in at])
+        for i in at:
+            found[i] = learnt[pieces[i]]
+        self._new.update((piece, ids) for piece, ids in learnt.items() if len(piece) <= LONGEST_KEPT)
         return found
 
-    def _keep(self, piece: str, ids: bytes) -> bytes:
-        if len(piece) <= LONGEST_KEPT:
-            if len(self._new) >= self._most_kept:
-                self._old, self._new = self._new, {}
-            self._new[piece] = ids
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        known = self._old.get(piece)
-        if known is not None:
-            return self._keep(piece, known)
-        plain = _PLAIN(piece)
-        if not plain:
-            return self._keep(piece, self._whole(piece))
-        space, word, stops = plain.groups()
-        if self._drops:
-            parts = [word.lower(), stops]
-        else:
-            parts = [space, word, stops] if space == "\n" else [space + word, stops]
-        return self._keep(piece, b"".join([self._part(p) for p in parts if p]))
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after another, and how many each piece has."""
+        coded = pieces.dictionary_encode()
+        found = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = np.asarray(coded.indices)
+        counts = sizes[which]
+        shift = (np.cumsum(sizes) - sizes)[which] - (np.cumsum(counts) - counts)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        return ids[np.arange(counts.sum()) + np.repeat(shift, counts)], counts
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts without other white space and added tokens."""
+        marked = pa.array([self._marked(text) for text in texts], pa.large_string())
+        lists = pc.ascii_split_whitespace(marked) if self._drops else pc.split_pattern(marked, _MARK)
+        pieces = lists.flatten()
+        some = [self._ids(pieces.slice(i, PIECES_AT_ONCE)) for i in range(0, len(pieces), PIECES_AT_ONCE)]
+        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *[counts for _, counts in some]]))[np.asarray(lists.offsets)] * 4
+        raw = b"".join([ids.tobytes() for ids, _ in some])
+        return [raw[a:b] for a, b in itertools.pairwise(ends.tolist())]
+
+    def _some(self, texts: list[str]) -> Iterator[bytes]:
+        whole = [bool(_OTHER_SPACE(text) or self._added(text)) for text in texts]
+        known = iter(self._together([text for text, alone in zip(texts, whole) if not alone]))
+        for text, alone in zip(texts, whole):
+            yield self._whole(text) if alone else next(known)
+
+    def encode_all(self, texts: Iterable[str] | pa.Array) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers. Few texts are held at a time."""
+        held, size = [], 0
+        for text in texts:
+            text = text.as_py() if isinstance(text, pa.Scalar) else text
+            if held and size + len(text) > AT_ONCE:
+                yield from self._some(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        yield from self._some(held)
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        if _OTHER_SPACE(text) or self._added(text):
-            return self._whole(text)
-        out = []
-        for piece in _PIECES(text):
-            ids = self._new.get(piece)
-            out.append(self._piece(piece) if ids is None else ids)
-        return b"".join(out)
+        """The ids of one text."""
+        return next(self.encode_all([text]))
 
 
 @functools.lru_cache(maxsize=4)

@@ -42,6 +42,33 @@ def test_encoder_equals_library_on_any_text(text):
         assert np.frombuffer(tokens.encoder(path).encode(text), "<u4").tolist() == library_of(path)(text)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_texts_encoded_together_equal_library(path, monkeypatch):
+    many = ["", " ", "\n", "a", " a", "a ", "Foo,\nbar. Foo", "x  y", "x\t y", "it's 1foo 's (foo) foo!? ***", "ÀÉ Àé, àé", "ª º µ × ÷ ß.", "日本 Foo Foo,", "ΑΣ ΑΣ.", "x\x0by",
+            "a <|endoftext|> b", "q" * 200 + ", " + "q" * 200, *[f"Foo{i} foo{i}. FOO," for i in "abcdef"]]
+    monkeypatch.setattr(tokens, "AT_ONCE", 60)
+    monkeypatch.setattr(tokens, "PIECES_AT_ONCE", 3)
+    encode = tokens.Encoder(path, most_kept=4)
+    for _ in range(2):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encode.encode_all(many)] == [library_of(path)(t) for t in many]
+    assert max(map(len, [*encode._new, *encode._old])) <= tokens.LONGEST_KEPT
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abÉªµ \n\t.,'*#_(1", max_size=14), max_size=8))
+def test_any_texts_encoded_together_equal_library(many):
+    for path in (BYTES, WORDS):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in tokens.encoder(path).encode_all(many)] == [library_of(path)(t) for t in many]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_with_punctuation_are_not_encoded_one_by_one(path, monkeypatch):
+    encode, alone = tokens.Encoder(path), []
+    monkeypatch.setattr(encode, "_whole", lambda piece: alone.append(piece) or b"")
+    list(encode.encode_all(["foo foo! foo*** (foo Foo, été.)\nfoo-- Foo;", "foo bar-- FOO##"]))
+    assert alone in (["(foo"], [" (foo"])
+
+
 _libraries: dict = {}
 
 
