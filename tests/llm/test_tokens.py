@@ -114,6 +114,20 @@ def test_rules_shorten_and_damage_is_seen():
         grammar.Shard(bytes(raw))
 
 
+@pytest.mark.parametrize("highest", [40, 65529, 65535, 70000])
+def test_shards_of_narrow_and_wide_symbols(highest):
+    ids = (highest - np.random.default_rng(0).zipf(1.5, 20000) % 40).astype("<u4")
+    shard = grammar.Shard(grammar.shard_bytes([1], [ids.tobytes()]))
+    assert (shard.document(0) == ids).all() and len(shard.symbols) < 0.8 * len(ids)
+
+
+def test_pairs_of_16_bit_symbols_are_sorted_as_32_bits(monkeypatch):
+    kinds, sort = [], np.sort
+    monkeypatch.setattr(grammar.np, "sort", lambda x: kinds.append(x.dtype.itemsize) or sort(x))
+    grammar.compress(np.tile(np.arange(50), 400).astype("<u4"))
+    assert set(kinds) == {4}
+
+
 def test_odd_rows_of_both(odd, none):
     rows = grammar.encode_documents(odd, BYTES).collect()
     assert len(rows) == len(ROWS) and sum(r.doc_id is None for r in rows) == 2
