@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from flowlens.llm import beside
 from flowlens.llm.common import text_of, utf8_slices
 from flowlens.llm.phrases import word_codes
-from flowlens.session import new_path
+from flowlens.session import new_path, shuffles_freed
 from flowlens.sources.files import locate
 
 SHARE = 2.0 ** -21  # of all characters and texts, which are at least as many as tokens
@@ -244,9 +244,10 @@ def fit(docs: DataFrame, share: float = SHARE, bits: int = BITS, id_col: str = "
     top_level = int(np.searchsorted(LEAST_OF, size * share, "left")) + 1
     least, buckets = int(LEAST_OF[top_level - 1]), -(-size // BUCKET) or 1
     folder = new_path(spark, "segments")
-    text.mapInArrow(lambda batches: _count(batches, buckets), "bucket long, data binary, pairs boolean") \
-        .groupBy("bucket").applyInArrow(lambda table: _segment(table, top_level, bits), SEGMENT) \
-        .withColumn("file", F.floor(F.col("at") / READ_BUCKETS)).write.partitionBy("file").parquet(folder)
+    with shuffles_freed(spark):
+        text.mapInArrow(lambda batches: _count(batches, buckets), "bucket long, data binary, pairs boolean") \
+            .groupBy("bucket").applyInArrow(lambda table: _segment(table, top_level, bits), SEGMENT) \
+            .withColumn("file", F.floor(F.col("at") / READ_BUCKETS)).write.partitionBy("file").parquet(folder)
     segments = spark.read.schema(f"{SEGMENT}, file long").parquet(folder)
     words = segments.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
         F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
@@ -426,7 +427,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = spark.sparkContext.broadcast((*model.frequent, (model.n, model.v, model.buckets, model.top_level, model.shared)))
     words = place.rows(text).mapInArrow(lambda batches: _vocabulary(batches, shared), "file string, at long, words array<long>") \
         .select("file", "at", F.explode("words").alias("word"))
-    vocabulary = beside.put(words.join(model.words.where(F.col("c") < model.least), "word"), "vocabulary", VOCABULARY_ROWS)
+    with shuffles_freed(spark):
+        vocabulary = beside.put(words.join(model.words.where(F.col("c") < model.least), "word"), "vocabulary", VOCABULARY_ROWS)
     arrow, folder = to_arrow_type(kind), model.folder
     schema = f"bucket long, block long, data binary, row long, doc_id {kind.simpleString()}, n_tokens long, n_known long, base double, gain long"
     asked = place.rows(text, doc_id, F.monotonically_increasing_id().alias("row")).mapInArrow(

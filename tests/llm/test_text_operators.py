@@ -6,6 +6,7 @@ import base64
 import hashlib
 import io
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,6 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from flowlens import session
 from flowlens.llm import bloom_lm, mixing, quality, rollups, toxicity, warc
 from flowlens.llm.queries import ORACLES, QUERIES
 from flowlens.session import new_path
@@ -190,6 +192,29 @@ def test_language_model_odd_rows(odd, none):
     assert bloom_lm.score(none, bloom_lm.fit(odd)).count() == 0
 
 
+def test_writes_let_go_of_their_shuffle_files(spark, tmp_path):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left(write, seconds=0):
+        before = {f.getName() for f in (disk.getAllFiles().apply(i) for i in range(disk.getAllFiles().size()))}
+        write()
+        until = time.monotonic() + seconds  # files go in the background
+        while True:
+            after = disk.getAllFiles()
+            names = [n for n in (after.apply(i).getName() for i in range(after.size())) if n.endswith(".data") and n not in before]
+            if not names or time.monotonic() >= until:
+                return names
+            time.sleep(0.2)
+
+    dealt = spark.range(20000).repartition(3, "id")
+    assert left(lambda: dealt.write.parquet(str(tmp_path / "kept")))
+    with session.shuffles_freed(spark):
+        assert not left(lambda: dealt.write.parquet(str(tmp_path / "freed")), seconds=10)
+    assert spark.conf.get(session.FREE_SHUFFLES) == "false"
+    assert spark.read.parquet(str(tmp_path / "freed")).count() == 20000
+
+
+
 def test_filter_levels():
     keys = np.random.default_rng(2).integers(0, 1 << 62, 4000)
     counts = np.random.default_rng(3).zipf(1.3, 4000).clip(1, 10 ** 6)
