@@ -6,22 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowlens.llm import chunks, mixing, packing, setsketch, toxicity
 from flowlens.llm.queries import vocabulary
-from flowlens.session import stage
+from flowlens.session import bound_batches, stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.7; the classifier is fitted on the labels that are not held out."""
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.fit(docs, labels))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the document with the largest id."""
+    bound_batches(spark)
     return chunks.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    bound_batches(spark)
     return setsketch.drop_near_copies(docs)
 
 
@@ -32,6 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in windows of 4096 tokens."""
+    bound_batches(spark)
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 

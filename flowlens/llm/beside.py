@@ -17,6 +17,7 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
+from flowlens.llm.common import lean
 from flowlens.session import new_path, stage
 from flowlens.sources.files import locate
 
@@ -87,6 +88,7 @@ def by_file(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
         start = end
 
 
+@lean
 def _without(batches: Iterator[pa.RecordBatch], folder: str, names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for file, rows in by_file(batch):

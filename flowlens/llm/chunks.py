@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlens.llm import beside
-from flowlens.llm.common import text_of, utf8_slices
+from flowlens.llm.common import lean, text_of, utf8_slices
 from flowlens.session import stage
 
 WINDOW = 32  # bytes the rolling hash looks at
@@ -66,6 +66,7 @@ def cuts(data: memoryview) -> list[int]:
     return ends
 
 
+@lean
 def _recipe_batches(batches: Iterator[pa.RecordBatch], id_bits: int) -> Iterator[pa.RecordBatch]:
     mask = (1 << id_bits) - 1
     for batch in batches:

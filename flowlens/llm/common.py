@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import string
 import sys
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -38,6 +41,27 @@ def forget_pieces() -> None:
         tokens.encoder.cache_clear()
 
 
+def give_back(trim: bool = True) -> None:
+    """Give memory that this worker's allocators keep for nothing back to the system."""
+    pa.default_memory_pool().release_unused()
+    trimmed = getattr(ctypes.CDLL(None), "malloc_trim", None) if trim else None
+    if trimmed is not None:
+        trimmed(0)
+
+
+def lean(step: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A step over batches that leaves no freed memory with its worker; workers are used again, beside the JVM and each other."""
+    @functools.wraps(step)
+    def run(*args, **named) -> Iterator[pa.RecordBatch]:
+        give_back()
+        for batch in step(*args, **named):
+            yield batch
+            del batch
+            give_back(trim=False)
+        give_back()
+    return run
+
+
 def parallel(df: DataFrame) -> int:
     """Partitions for work over few but heavy rows (file names, filter segments)."""
     return 4 * df.sparkSession.sparkContext.defaultParallelism

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flowlens.llm.common import text_of
+from flowlens.llm.common import lean, text_of
 from flowlens.llm.tokens import encoder
 from flowlens.session import stage
 
@@ -75,6 +75,7 @@ def best_fit(lengths: list[int], capacity: int = WINDOW) -> tuple[list[int], lis
     return windows, offsets
 
 
+@lean
 def _cut(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
     encode_all, end = encoder(vocabulary, MOST_KEPT).encode_all, np.array([end_id], "<u4").tobytes()
     for batch in batches:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from flowlens.llm import beside
-from flowlens.llm.common import find_words, forget_pieces, lower_ascii, text_of
+from flowlens.llm.common import find_words, forget_pieces, lean, lower_ascii, text_of
 from flowlens.llm.components import components, relabel
 from flowlens.session import stage
 
@@ -130,6 +130,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, REGISTERS)
 
 
+@lean
 def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     forget_pieces()
     for batch in batches:
@@ -145,6 +146,7 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
     _hashes.clear()  # workers are used again by other steps, which need the memory
 
 
+@lean
 def _band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = buckets(_matrix(batch.column(1)))
@@ -153,6 +155,7 @@ def _band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["bucket", "cls"])
 
 
+@lean
 def _estimated(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         value = estimate(_matrix(batch.column(2)), _matrix(batch.column(3)), np.asarray(batch.column(4)), np.asarray(batch.column(5)))
@@ -170,6 +173,7 @@ def shared_sizes(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.add.reduceat(hit, np.r_[0, ends[:-1]], dtype=np.int64)
 
 
+@lean
 def _meet(batches: Iterator[pa.RecordBatch], least: float, percent: int) -> Iterator[pa.RecordBatch]:
     """Links between components in blocks of buckets; the rows of a block come one after another.
 
@@ -227,6 +231,7 @@ def _meet(batches: Iterator[pa.RecordBatch], least: float, percent: int) -> Iter
         yield pairs(pa.Table.from_batches(held))
 
 
+@lean
 def _full_sets(batches: Iterator[pa.RecordBatch], folder: str, width: int) -> Iterator[pa.RecordBatch]:
     """The sets of the rows that are wanted, found where they lie."""
     for batch in batches:
@@ -242,6 +247,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch], folder: str, width: int) -> It
     _hashes.clear()
 
 
+@lean
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowlens.llm.common import text_of
+from flowlens.llm.common import lean, text_of
 
 DIM_BITS = 20  # hashed features
 STEMS = (4, 5)  # besides whole words, their first letters
@@ -44,6 +44,7 @@ def text_features(text: str) -> np.ndarray:
     return np.array(sorted(found), np.int32)
 
 
+@lean
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [text_features(t.as_py()).tobytes() for t in batch.column(1)]
@@ -149,6 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(parsed[True], parsed[False], prior)
 
 
+@lean
 def _score_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     weights, bias = shared.value
     # A feature counts once in a text, as in training. Words alone would count a stem as often as it has words.
