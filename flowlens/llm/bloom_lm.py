@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import math
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,31 +139,70 @@ _KEY = (1 << KEY_BITS) - 1
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 
+@functools.lru_cache
+def _head(width: int) -> struct.Struct:
+    """The end of a packed row: the bytes of each column, the first value of the last column, entries."""
+    return struct.Struct(f"<{width}BqH")
+
+
 def _packed(bucket: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """Rows of up to ``PACKED`` entries of one bucket; entries are given in order of their buckets. Of the 64 bits of each entry the
-    lowest bytes come first, then the next ones, which compress well; the last column is held as differences."""
+    """Rows of up to ``PACKED`` entries of one bucket; entries are given in order of their buckets. Of each entry the lowest bytes come
+    first, then the next ones, which compress well, as many as the column needs; the last column is held as differences."""
     first = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1))
     starts = np.concatenate([np.zeros(0, np.int64), *[np.arange(a, b, PACKED) for a, b in zip(first, np.append(first[1:], len(bucket)))]])
     last = columns[-1].astype(np.int64)
     steps = np.diff(last, prepend=0)
-    steps[starts] = last[starts]
-    planes = np.stack([c.astype("<i8") for c in (*columns[:-1], steps)], axis=1).view(np.uint8).reshape(len(bucket), -1)
+    steps[starts] = 0
+    planes, sizes = [], []
+    for column in (*columns[:-1], steps):
+        column = column.astype(np.int64)
+        column = (column << 1 ^ column >> 63).view(np.uint64)  # the sign is the lowest bit
+        sizes.append(max(1, -(-int(column.max(initial=0)).bit_length() // 8)))
+        planes.append(column.astype("<u8").view(np.uint8).reshape(len(column), 8)[:, :sizes[-1]])
+    planes, pack = np.concatenate(planes, axis=1), _head(len(columns)).pack
     ends = np.append(starts[1:], len(bucket)).tolist() if len(starts) else []
-    return bucket[starts], pa.array([_ZSTD.compress(planes[a:b].T.tobytes(), asbytes=True) + (b - a).to_bytes(4, "little")
-                                     for a, b in zip(starts.tolist(), ends)], pa.binary())
+    return bucket[starts], pa.array([_ZSTD.compress(planes[a:b].T.tobytes(), asbytes=True) + pack(*sizes, x, b - a)
+                                     for a, b, x in zip(starts.tolist(), ends, last[starts].tolist())], pa.binary())
 
 
 def _entries(packed: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The columns of packed rows, and the number of entries of each row."""
-    sizes = [int.from_bytes(x[-4:], "little") for x in packed]
-    parts = []
-    for x, size in zip(packed, sizes):
-        planes = np.frombuffer(_ZSTD.decompress(x[:-4], 8 * width * size, asbytes=True), np.uint8).reshape(8 * width, size)
-        part = planes.T.copy().view("<i8")
-        np.cumsum(part[:, -1], out=part[:, -1])
-        parts.append(part)
-    whole = np.concatenate(parts) if parts else np.zeros((0, width), np.int64)
-    return list(whole.T), np.array(sizes, np.int64)
+    head = _head(width)
+    heads = [head.unpack(x[-head.size:]) for x in packed]
+    counts = np.array([x[-1] for x in heads], np.int64)
+    ends = np.cumsum(counts).tolist()
+    whole = np.zeros((width, int(counts.sum()), 8), np.uint8)
+    for x, (*sizes, _, count), end in zip(packed, heads, ends):
+        at = 0
+        planes = np.frombuffer(_ZSTD.decompress(x[:-head.size], sum(sizes) * count, asbytes=True), np.uint8).reshape(-1, count)
+        for k, size in enumerate(sizes):
+            whole[k, end - count:end, :size] = planes[at:at + size].T
+            at += size
+    coded = whole.view("<u8")[:, :, 0]
+    columns = (coded >> np.uint64(1)).view(np.int64) ^ -(coded & np.uint64(1)).view(np.int64)
+    for (*_, start, count), end in zip(heads, ends):
+        some = columns[-1, end - count:end]
+        some[0] = start
+        np.cumsum(some, out=some)
+    return list(columns), counts
+
+
+def _by_bucket(bucket: np.ndarray, buckets: int) -> np.ndarray:
+    """Entries in order of their buckets; entries of one stay in order. Numbers of 16 bits sort much faster."""
+    return np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+
+
+def _once(key: np.ndarray, doc: np.ndarray, docs: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal pairs of a text the first, and how many there are, by text and key."""
+    bits = KEY_BITS + (buckets - 1).bit_length()
+    if (docs - 1).bit_length() + bits > 64:
+        order = np.lexsort((key, doc))
+        first = np.flatnonzero(np.append(True, (np.diff(key[order]) != 0) | (np.diff(doc[order]) != 0))[:len(order)])
+    else:  # as one number, which sorts faster
+        both = doc.astype(np.uint64) << np.uint64(bits) | key.astype(np.uint64)
+        order = np.argsort(both)
+        first = np.flatnonzero(np.append(True, np.diff(both[order]) != 0)[:len(order)])
+    return np.minimum.reduceat(order, first) if len(order) else order, np.diff(np.append(first, len(order)))
 
 
 def _pieces(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
@@ -187,7 +227,7 @@ def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
         keys, c = np.unique(pair_keys(_before(ids), ids, buckets), return_counts=True)
         words, times = np.unique(ids, return_counts=True)
         of = (words % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(of, kind="stable")
+        order = _by_bucket(of, buckets)
         for pairs, (at, data) in ((True, _packed(keys >> KEY_BITS, c, keys & _KEY)),
                                   (False, _packed(of[order], times[order], words[order].view(np.int64)))):
             yield pa.RecordBatch.from_arrays([pa.array(at), data, pa.array([pairs] * len(at), pa.bool_())], names=["bucket", "data", "pairs"])
@@ -321,7 +361,7 @@ def _ask(batches: Iterator[pa.RecordBatch], shared, folder: str, kind: pa.DataTy
                                               pa.nulls(len(row), pa.binary()), row, doc_id, *map(pa.array, (n_tokens, n_known, base, gain))], names=ASKED)
         if size:
             keys, ratio, most, times, rows = map(np.concatenate, zip(*asked))
-            order = np.argsort(keys >> KEY_BITS, kind="stable")
+            order = _by_bucket(keys >> KEY_BITS, buckets)
             at, data = _packed((keys >> KEY_BITS)[order], (keys & _KEY)[order], ratio[order], most[order], times[order], rows[order])
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.full(len(at), block)), data,
                                               *[pa.nulls(len(at), t) for t in types[3:]]], names=ASKED)
@@ -338,21 +378,22 @@ def _ask(batches: Iterator[pa.RecordBatch], shared, folder: str, kind: pa.DataTy
             rows, doc_id = part.column(4).slice(start, len(texts)), part.column(3).slice(start, len(texts))
             ids, sizes = tokens_of(texts)
             words, back = np.unique(ids, return_inverse=True)
-            c = np.maximum(_look_up(words, codes, counts), _look_up(words, *known))[back]
+            c_word = np.maximum(_look_up(words, codes, counts), _look_up(words, *known))
+            # Of each word once, then of each token.
+            logs, level_word = np.log10(np.maximum(c_word, 1)), levels_of(c_word)
+            c = c_word[back]
             doc, last = np.repeat(np.arange(len(texts)), sizes), np.cumsum(sizes) - 1
-            base = np.log10((c + 1.0) / (n + v + 1))
-            c_before = np.concatenate((c[last[:1]], c[:-1]))
+            base = np.log10((c_word + 1.0) / (n + v + 1))[back]
+            back_before = np.concatenate((back[last[:1]], back[:-1]))
+            c_before = c_word[back_before]
             gain = np.where(c_before > 0, round(UNSEEN * FIXED), 0)
             some = np.flatnonzero((c_before > 0) & (c > 0))
             key = pair_keys(_before(ids)[some], ids[some], buckets)
             # Each pair once per text.
-            order = np.lexsort((key, doc[some]))
-            some, key = some[order], key[order]
-            first = np.flatnonzero(np.append(True, (np.diff(key) != 0) | (np.diff(doc[some]) != 0))[:len(some)])
-            times = np.diff(np.append(first, len(some)))
-            some, key = some[first], key[first]
-            most = levels_of(np.minimum(c_before[some], c[some]))
-            ratio = np.rint((math.log10(DISCOUNT) - UNSEEN - np.log10(c_before[some]) - base[some]) * FIXED).astype(np.int64)
+            which, times = _once(key, doc[some], len(texts), buckets)
+            some, key = some[which], key[which]
+            most = np.minimum(level_word[back_before[some]], level_word[back[some]])
+            ratio = np.rint((math.log10(DISCOUNT) - UNSEEN - logs[back_before[some]] - base[some]) * FIXED).astype(np.int64)
             level = bloom.levels(key, most - (top_level - 1))
             seen = level > 0
             texts_gain = np.bincount(doc, gain, len(texts)) + np.bincount(
