@@ -71,7 +71,7 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of new pieces. Pre-tokens of plain words go to the model, as the library gives it each pre-token; each is a piece too."""
         parted, parts, learnt = [], {}, {"": b""}
-        wide = _BEYOND_LATIN("".join(pieces))
+        wide, drops = _BEYOND_LATIN("".join(pieces)), self._drops
         for piece in pieces:
             word = piece.rstrip(_STOPS)
             letters = word[1:] if word[:1] in (" ", "\n") else word
@@ -79,21 +79,27 @@ class Encoder:
                 learnt[piece] = self._whole(piece)
                 continue
             stops = piece[len(word):]
-            if self._drops:
+            if drops:
                 word = letters.lower()
-            some = ("\n", letters, stops) if word[0] == "\n" else (word, stops)
-            parts.update(dict.fromkeys(some))
-            if some[0] != piece:
-                parted.append((piece, some))
-        parts = [part for part in parts if part and part not in self._new]
-        tokenize = self._model.tokenize
+            elif word[0] == "\n":
+                parts["\n"] = parts[letters] = parts[stops] = None
+                parted.append((piece, ("\n", letters, stops)))
+                continue
+            parts[word] = None
+            if word != piece:
+                parts[stops] = None
+                parted.append((piece, (word, stops)))
+        known, tokenize = self._new, self._model.tokenize
+        parts = [part for part in parts if part and part not in known]
         letters = "\0".join(parts).encode().decode("latin-1").translate(self._letters).split(self._letters[0]) if parts else []
-        ids = [[t.id for t in tokenize(part)] for part in letters]
-        raw = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
-        ends = (4 * np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))).tolist()
+        ids, ends = [], []
+        for part in letters:
+            ids += [t.id for t in tokenize(part)]
+            ends.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
         learnt.update((part, raw[start:end]) for part, start, end in zip(parts, [0, *ends], ends))
         for piece, some in parted:
-            learnt[piece] = b"".join([learnt[part] if part in learnt else self._new[part] for part in some])
+            learnt[piece] = b"".join([learnt[part] if part in learnt else known[part] for part in some])
         return learnt
 
     def _known(self, pieces: list[str]) -> list[bytes]:
@@ -102,15 +108,18 @@ class Encoder:
             self._old, self._new = self._new, {}
         found = list(map(self._new.get, pieces))
         at = [i for i, ids in enumerate(found) if ids is None]
-        for i in at:
-            ids = self._old.get(pieces[i])
-            if ids is not None:
-                self._new[pieces[i]] = found[i] = ids
-        at = [i for i in at if found[i] is None]
-        learnt = self._learn([pieces[i] for i in at])
-        for i in at:
-            found[i] = learnt[pieces[i]]
-        self._new.update((piece, ids) for piece, ids in learnt.items() if len(piece) <= LONGEST_KEPT)
+        if self._old:
+            for i, ids in zip(at, map(self._old.get, [pieces[i] for i in at])):
+                if ids is not None:
+                    self._new[pieces[i]] = found[i] = ids
+            at = [i for i in at if found[i] is None]
+        missing = [pieces[i] for i in at]
+        learnt = self._learn(missing)
+        for i, ids in zip(at, map(learnt.__getitem__, missing)):
+            found[i] = ids
+        for piece in [piece for piece in learnt if len(piece) > LONGEST_KEPT]:
+            del learnt[piece]
+        self._new.update(learnt)
         return found
 
     def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
