@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from flowlens.session import BATCH_BYTES
 
-# Peak and rest of a fresh process that signs 40 MB of texts, as a worker does.
+# Peak and rest of a fresh process that signs 53 MB of texts, as a worker does.
 SIGN = """
 import re
 import pyarrow as pa
