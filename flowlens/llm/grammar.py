@@ -45,15 +45,16 @@ def compress(ids: np.ndarray, least_count: int = LEAST_COUNT) -> tuple[int, np.n
         kind, width = (np.uint32, 16) if first + n_rules <= 1 << 16 else (np.uint64, 32)
         right_part = kind((1 << width) - 1)
         pairs = symbols[:-1].astype(kind) << kind(width) | symbols[1:]
-        ordered = np.sort(pairs)
-        edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        count = np.diff(np.append(edge, len(ordered)))
-        often = np.flatnonzero(count >= least_count)
+        ordered, more = np.sort(pairs), least_count - 1
+        # What equals the one so many places on; a pair that occurs that often is left once for each further time.
+        often = ordered[:max(len(ordered) - more, 0)]
+        often = often[often == ordered[more:]]
         if not len(often):
             break
-        often = often[np.lexsort((edge[often], -count[often]))][:ROUND_PAIRS]
+        edge = np.flatnonzero(np.concatenate(([True], often[1:] != often[:-1])))
+        often = often[edge[np.argsort(-np.diff(np.append(edge, len(often))), kind="stable")]][:ROUND_PAIRS].tolist()
         begins, ends, chosen = set(), set(), []
-        for pair in ordered[edge[often]].tolist():
+        for pair in often:
             left, right = pair >> width, pair & int(right_part)
             if left not in ends and right not in begins and left != right:
                 begins.add(left)
@@ -61,15 +62,23 @@ def compress(ids: np.ndarray, least_count: int = LEAST_COUNT) -> tuple[int, np.n
                 chosen.append(pair)
         doubled = not chosen  # only pairs of one symbol are left
         if doubled:
-            chosen = [int(ordered[edge[often[0]]])]
+            chosen = often[:1]
         picked = np.sort(np.array(chosen, kind))
         lefts, rights = picked >> kind(width), picked & right_part
-        is_first, is_second = np.zeros((2, first + n_rules + 1), bool)
-        is_first[lefts], is_second[rights] = True, True
-        may = np.flatnonzero(is_first[symbols[:-1]] & is_second[symbols[1:]])
-        place = np.searchsorted(picked, pairs[may])
-        hit = picked[np.minimum(place, len(picked) - 1)] == pairs[may]
-        at, rule = may[hit], place[hit]
+        # The chosen pairs as a table of their left and right symbols.
+        (left_ones, row), (right_ones, column) = (np.unique(x, return_inverse=True) for x in (lefts, rights))
+        rule_of = np.full((len(left_ones), len(right_ones)), -1, np.int32)
+        rule_of[row, column] = np.arange(len(picked))
+        row_of, column_of = np.zeros((2, first + n_rules + 1), np.int32)
+        row_of[left_ones], column_of[right_ones] = np.arange(len(left_ones)), np.arange(len(right_ones))
+        sides = np.zeros(first + n_rules + 1, np.uint8)  # 1: the left one of a pair, 2: the right one, 3: both
+        sides[left_ones] |= 1
+        sides[right_ones] |= 2
+        sides = sides[symbols]
+        may = np.flatnonzero((sides[:-1] & sides[1:] >> 1).view(bool))
+        rule = rule_of[row_of[symbols[may]], column_of[symbols[may + 1]]]
+        hit = rule >= 0
+        at, rule = may[hit], rule[hit]
         if doubled:  # in a run, every other occurrence
             run = np.concatenate(([0], np.cumsum(np.diff(at) != 1)))
             begin = np.concatenate(([True], run[1:] != run[:-1]))

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import functools
-import itertools
 import os
 import re
 import string
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,19 +14,18 @@ import pyarrow.compute as pc
 
 # Runs of these four characters are white space to every pre-tokenizer in use, and none of them joins what
 # stands before such a run with the run, so the ids of a text are the ids of these pieces one after another.
-_PIECES = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+").findall
+_WHITE = " \t\n\r"
 # Other white space and separators may join such a run; texts that hold any are encoded in one call.
-_OTHER_SPACE = re.compile(
-    "[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]").search
-_BEYOND_LATIN = re.compile("[^\x00-\xff]").search
+_OTHER_SPACE = "[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]"
+_NOT_LATIN = "[^\x00-\xff]"
 # A plain word: at most one space or line end, Latin-1 letters (all of one class, composed, and of one length in
 # either case), then ASCII punctuation without the apostrophe. Pre-tokenizers part it into exactly these three.
 _STOPS = "".join(c for c in string.punctuation if c != "'")
-_MARK = "\x0b"  # between pieces; one of the other white spaces, so no text that is cut into pieces holds it
+_PLAIN = r"\A[ \n]?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+\z"  # a plain word without the punctuation
 LONGEST_KEPT = 48  # characters of a piece that is remembered
 MOST_KEPT = 600_000  # pieces in each of the two generations a worker remembers, if not told otherwise
-AT_ONCE = 1 << 21  # characters of texts that are encoded together; a longer text is taken alone
-PIECES_AT_ONCE = 1 << 18  # pieces that are looked up together
+AT_ONCE = 1 << 22  # bytes of texts that are encoded together; a longer text is taken alone
+PIECES_AT_ONCE = 1 << 20  # pieces that are looked up together
 
 
 def _byte_letters() -> dict[int, str]:
@@ -38,6 +36,13 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
 
 
+def _cut(raw: bytes | np.ndarray | pa.Buffer | memoryview | None, ends: np.ndarray) -> list[bytes]:
+    """The bytes between one end and the next."""
+    data = pa.py_buffer(b"" if raw is None else raw)
+    cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64, "C")), data])
+    return cut.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Encodes texts to ids, remembering the pieces it has met; one per worker and vocabulary file."""
 
@@ -48,7 +53,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         # A text that holds the string of an added token, in any case, is encoded in one call.
         added = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._added = re.compile("|".join(added), re.IGNORECASE).search if added else lambda text: None
+        self._alone = "|".join([_OTHER_SPACE, *(f"(?i:{content})" for content in added)])
         self._model, self._letters = self._tokenizer.model, _byte_letters()
         # Vocabularies with word ends drop white space and case; the others keep both.
         self._drops = bool(self._model.end_of_word_suffix)
@@ -59,107 +64,129 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _marked(self, text: str) -> str:
-        """A text with a mark before each piece but the first, or as it is, if pieces end at any white space."""
+    def _pieces(self, texts: pa.LargeStringArray) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of texts one after another, and for each text how many lie before it, and then how many there are."""
         if self._drops:
-            return text if _BEYOND_LATIN(text) else text.lower()
-        if any(x in f" {text} " for x in ("  ", "\n\n", " \n", "\n ", "\t", "\r")):
-            return _MARK.join(_PIECES(text))
-        # Each space or line end stands alone before a piece.
-        return text.replace(" ", _MARK + " ").replace("\n", _MARK + "\n")
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of new pieces. Pre-tokens of plain words go to the model, as the library gives it each pre-token; each is a piece too."""
-        parted, parts, learnt = [], {}, {"": b""}
-        wide, drops = _BEYOND_LATIN("".join(pieces)), self._drops
-        for piece in pieces:
-            word = piece.rstrip(_STOPS)
-            letters = word[1:] if word[:1] in (" ", "\n") else word
-            if not letters.isalpha() or wide and _BEYOND_LATIN(letters):
-                learnt[piece] = self._whole(piece)
-                continue
-            stops = piece[len(word):]
-            if drops:
-                word = letters.lower()
-            elif word[0] == "\n":
-                parts["\n"] = parts[letters] = parts[stops] = None
-                parted.append((piece, ("\n", letters, stops)))
-                continue
-            parts[word] = None
-            if word != piece:
-                parts[stops] = None
-                parted.append((piece, (word, stops)))
-        known, tokenize = self._new, self._model.tokenize
-        parts = [part for part in parts if part and part not in known]
-        letters = "\0".join(parts).encode().decode("latin-1").translate(self._letters).split(self._letters[0]) if parts else []
-        ids, ends = [], []
+            texts = pc.if_else(pc.match_substring_regex(texts, _NOT_LATIN), texts, pc.utf8_lower(texts))
+        _, edges, data = texts.buffers()
+        edges = np.frombuffer(edges, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        low, high = edges[[0, -1]]
+        raw = np.frombuffer(data or b"", np.uint8)[low:high]
+        white = (raw == 32) | (raw == 10) | (raw == 9) | (raw == 13)
+        begins = white.copy()
+        begins[1:] &= ~white[:-1]
+        begins[edges[:-1][edges[:-1] < edges[1:]] - low] = True
+        starts = np.flatnonzero(begins) + low
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, high)), data)
+        return pc.ascii_ltrim(pieces, _WHITE) if self._drops else pieces, np.searchsorted(starts, edges)
+
+    def _remembered(self, pieces: list[str]) -> list[bytes | None]:
+        """The ids of pieces, None for those that are not remembered."""
+        found = list(map(self._new.get, pieces))
+        if self._old and None in found:
+            at = [i for i, ids in enumerate(found) if ids is None]
+            for i, ids in zip(at, map(self._old.get, [pieces[i] for i in at])):
+                if ids is not None:
+                    self._new[pieces[i]] = found[i] = ids
+        return found
+
+    def _remember(self, pieces: list[str], learnt: list[bytes]) -> None:
+        self._new.update(zip(pieces, learnt))
+        for piece in [piece for piece in pieces if len(piece) > LONGEST_KEPT]:
+            del self._new[piece]
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct pre-tokens. New ones go to the model, as the library gives it each pre-token; each is a piece too."""
+        found = self._remembered(parts)
+        at = [i for i, ids in enumerate(found) if ids is None]
+        if not at:
+            return found
+        new, tokenize = [parts[i] for i in at], self._model.tokenize
+        letters = "\0".join(new).encode().decode("latin-1").translate(self._letters).split(self._letters[0])
+        ids, ends = [], [0]
         for part in letters:
             ids += [t.id for t in tokenize(part)]
             ends.append(4 * len(ids))
-        raw = np.array(ids, "<u4").tobytes()
-        learnt.update((part, raw[start:end]) for part, start, end in zip(parts, [0, *ends], ends))
-        for piece, some in parted:
-            learnt[piece] = b"".join([learnt[part] if part in learnt else known[part] for part in some])
-        return learnt
+        learnt = _cut(np.array(ids, "<u4"), np.array(ends))
+        self._remember(new, learnt)
+        for i, some in zip(at, learnt):
+            found[i] = some
+        return found
+
+    def _parted(self, texts: pa.Array, words: pa.Array) -> list[bytes]:
+        """The ids of plain words with the punctuation behind them, given the words also without it. A line end, the word and the
+        punctuation are pre-tokens; all are slices of the texts, one after another."""
+        if not len(texts):
+            return []
+        if self._drops:  # lower case has the same length
+            texts = pc.utf8_lower(texts)
+        _, starts, data = texts.buffers()
+        starts = np.frombuffer(starts, np.int64)[:len(texts) + 1]
+        bounds = np.repeat(starts[:-1, None], 3, axis=1)
+        bounds[:, 1] += pc.starts_with(texts, "\n").to_numpy(zero_copy_only=False)
+        bounds[:, 2] += pc.binary_length(words).to_numpy()
+        parts = pa.LargeStringArray.from_buffers(bounds.size, pa.py_buffer(np.append(bounds, starts[-1])), data).dictionary_encode()
+        found = self._parts(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        _, ends, raw = pa.array(found, pa.large_binary()).take(parts.indices).buffers()
+        return _cut(raw, np.frombuffer(ends, np.int64)[:bounds.size + 1:3])
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """The ids of new pieces."""
+        texts = pa.array(pieces, pa.large_string())
+        words = pc.ascii_rtrim(texts, _STOPS)
+        plain = pc.match_substring_regex(words, _PLAIN)
+        parted = iter(self._parted(texts.filter(plain), words.filter(plain)))
+        return [next(parted) if one else self._whole(piece) for piece, one in zip(pieces, plain.to_numpy(zero_copy_only=False).tolist())]
 
     def _known(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces."""
         if len(self._new) >= self._most_kept:
             self._old, self._new = self._new, {}
-        found = list(map(self._new.get, pieces))
+        found = self._remembered(pieces)
         at = [i for i, ids in enumerate(found) if ids is None]
-        if self._old:
-            for i, ids in zip(at, map(self._old.get, [pieces[i] for i in at])):
-                if ids is not None:
-                    self._new[pieces[i]] = found[i] = ids
-            at = [i for i in at if found[i] is None]
-        missing = [pieces[i] for i in at]
-        learnt = self._learn(missing)
-        for i, ids in zip(at, map(learnt.__getitem__, missing)):
-            found[i] = ids
-        for piece in [piece for piece in learnt if len(piece) > LONGEST_KEPT]:
-            del learnt[piece]
-        self._new.update(learnt)
+        if at:
+            missing = [pieces[i] for i in at]
+            learnt = self._learn(missing)
+            self._remember(missing, learnt)
+            for i, ids in zip(at, learnt):
+                found[i] = ids
         return found
 
-    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of pieces one after another, and how many each piece has."""
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, memoryview]:
+        """Where the ids of each piece end, in bytes, and the ids of all pieces one after another."""
         coded = pieces.dictionary_encode()
-        found = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        which = np.asarray(coded.indices)
-        counts = sizes[which]
-        shift = (np.cumsum(sizes) - sizes)[which] - (np.cumsum(counts) - counts)
-        ids = np.frombuffer(b"".join(found), "<u4")
-        return ids[np.arange(counts.sum()) + np.repeat(shift, counts)], counts
-
-    def _together(self, texts: list[str]) -> list[bytes]:
+        found = pa.array(self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        _, ends, raw = found.take(coded.indices).buffers()
+        return np.frombuffer(ends, np.int64)[1:len(pieces) + 1], memoryview(raw or b"")
+
+    def _together(self, texts: pa.LargeStringArray) -> list[bytes]:
         """The ids of texts without other white space and added tokens."""
-        marked = pa.array([self._marked(text) for text in texts], pa.large_string())
-        lists = pc.ascii_split_whitespace(marked) if self._drops else pc.split_pattern(marked, _MARK)
-        pieces = lists.flatten()
-        some = [self._ids(pieces.slice(i, PIECES_AT_ONCE)) for i in range(0, len(pieces), PIECES_AT_ONCE)]
-        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *[counts for _, counts in some]]))[np.asarray(lists.offsets)] * 4
-        raw = b"".join([ids.tobytes() for ids, _ in some])
-        return [raw[a:b] for a, b in itertools.pairwise(ends.tolist())]
-
-    def _some(self, texts: list[str]) -> Iterator[bytes]:
-        whole = [bool(_OTHER_SPACE(text) or self._added(text)) for text in texts]
-        known = iter(self._together([text for text, alone in zip(texts, whole) if not alone]))
-        for text, alone in zip(texts, whole):
-            yield self._whole(text) if alone else next(known)
-
-    def encode_all(self, texts: Iterable[str] | pa.Array) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers. Few texts are held at a time."""
-        held, size = [], 0
-        for text in texts:
-            text = text.as_py() if isinstance(text, pa.Scalar) else text
-            if held and size + len(text) > AT_ONCE:
-                yield from self._some(held)
-                held, size = [], 0
-            held.append(text)
-            size += len(text)
-        yield from self._some(held)
+        if not len(texts):
+            return []
+        pieces, before = self._pieces(texts)
+        ends, parts, size = [np.zeros(1, np.int64)], [], 0
+        for i in range(0, len(pieces), PIECES_AT_ONCE):
+            until, raw = self._ids(pieces.slice(i, PIECES_AT_ONCE))
+            ends.append(until + size)
+            parts.append(raw[:until[-1]])
+            size += int(until[-1])
+        return _cut(parts[0] if len(parts) == 1 else b"".join(parts), np.concatenate(ends)[before])
+
+    def _some(self, texts: pa.LargeStringArray) -> Iterator[bytes]:
+        whole = pc.match_substring_regex(texts, self._alone)
+        known = iter(self._together(texts.filter(pc.invert(whole))))
+        for text, alone in zip(texts, whole.to_pylist()):
+            yield self._whole(text.as_py()) if alone else next(known)
+
+    def encode_all(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers. The pieces of few texts are held at a time."""
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        edges, start = np.cumsum(pc.binary_length(texts).to_numpy()), 0
+        while start < len(texts):
+            before = edges[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(edges, before + AT_ONCE, "right")))
+            yield from self._some(texts.slice(start, end - start))
+            start = end
 
     def encode(self, text: str) -> bytes:
         """The ids of one text."""
