@@ -94,12 +94,22 @@ def compress(ids: np.ndarray, least_count: int = LEAST_COUNT) -> tuple[int, np.n
     return first, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), symbols
 
 
+def _rounds(first: int, rules: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rules that name only ids and rules before the range."""
+    highest, start = rules.max(axis=1, initial=0), 0
+    while start < len(rules):
+        later = np.flatnonzero(highest[start + 1:] >= first + start)
+        end = start + 1 + int(later[0]) if len(later) else len(rules)
+        yield start, end
+        start = end
+
+
 def expansion_lengths(first: int, rules: np.ndarray) -> np.ndarray:
     """How many ids each rule stands for."""
-    lengths = np.ones(len(rules), np.int64)
-    for k, (left, right) in enumerate(rules.tolist()):
-        lengths[k] = (lengths[left - first] if left >= first else 1) + (lengths[right - first] if right >= first else 1)
-    return lengths
+    lengths = np.ones(first + len(rules), np.int64)
+    for start, end in _rounds(first, rules):
+        lengths[first + start:first + end] = lengths[rules[start:end]].sum(axis=1)
+    return lengths[first:]
 
 
 class Shard:
@@ -127,25 +137,25 @@ class Shard:
         self._place = np.concatenate([np.arange(self.first), self.first + np.cumsum(lengths) - lengths])
         self._flat = np.empty(self.first + int(lengths.sum()), np.uint32)
         self._flat[:self.first] = np.arange(self.first)
-        place, length, flat = self._place.tolist(), self._length.tolist(), self._flat
-        for k, (left, right) in enumerate(rules.tolist()):
-            to, middle = place[self.first + k], place[self.first + k] + length[left]
-            flat[to:middle] = flat[place[left]:place[left] + length[left]]
-            flat[middle:middle + length[right]] = flat[place[right]:place[right] + length[right]]
+        for start, end in _rounds(self.first, rules):
+            some, to = self._flat[self._spread(rules[start:end].ravel())], self._place[self.first + start]
+            self._flat[to:to + len(some)] = some
         self._until = np.cumsum(self._length[self.symbols])
 
+    def _spread(self, symbols: np.ndarray) -> np.ndarray:
+        """Where the ids of symbols lie among all expansions."""
+        sizes = self._length[symbols]
+        ends = np.cumsum(sizes)
+        return np.arange(ends[-1]) + np.repeat(self._place[symbols] - (ends - sizes), sizes)
+
     def ids(self, start: int, length: int) -> np.ndarray:
         """``length`` ids from position ``start`` on; only the symbols that cover them are expanded."""
         if not length:
             return np.zeros(0, np.uint32)
         low = int(np.searchsorted(self._until, start, "right"))
         high = int(np.searchsorted(self._until, start + length, "left")) + 1
-        some = self.symbols[low:high]
-        sizes = self._length[some]
-        ends = np.cumsum(sizes)
-        spread = np.arange(ends[-1]) + np.repeat(self._place[some] - (ends - sizes), sizes)
-        skip = start - (int(self._until[low]) - int(sizes[0]))
-        return self._flat[spread[skip:skip + length]]
+        skip = start - int(self._until[low] - self._length[self.symbols[low]])
+        return self._flat[self._spread(self.symbols[low:high])[skip:skip + length]]
 
     def document(self, k: int) -> np.ndarray:
         """The ids of the shard's document ``k``."""

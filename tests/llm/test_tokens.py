@@ -128,6 +128,21 @@ def test_pairs_of_16_bit_symbols_are_sorted_as_32_bits(monkeypatch):
     assert set(kinds) == {4}
 
 
+@pytest.mark.parametrize("ids", [np.zeros(3000), np.arange(20_000) ** 2 % 97, np.arange(9) % 3])
+def test_rules_are_expanded_round_by_round(ids):
+    ids = ids.astype("<u4")
+    first, rules, symbols = grammar.compress(ids)
+    rounds = list(grammar._rounds(first, rules))
+    assert [k for start, end in rounds for k in range(start, end)] == list(range(len(rules))) and len(rounds) < 30
+    assert all((rules[start:end] < first + start).all() for start, end in rounds)
+    whole = [[i] for i in range(first)]
+    for left, right in rules.tolist():
+        whole.append(whole[left] + whole[right])
+    assert [len(w) for w in whole[first:]] == grammar.expansion_lengths(first, rules).tolist()
+    assert [i for s in symbols.tolist() for i in whole[s]] == ids.tolist()
+    assert (grammar.Shard(grammar.shard_bytes([1], [ids.tobytes()])).document(0) == ids).all()
+
+
 def test_odd_rows_of_both(odd, none):
     rows = grammar.encode_documents(odd, BYTES).collect()
     assert len(rows) == len(ROWS) and sum(r.doc_id is None for r in rows) == 2
