@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flowlens.operators import evaluate as ev
 from flowlens.operators.detect import DETECTION_COLUMNS
 from flowlens.operators.features import stratified_split
-from flowlens.plans.captures import write_captures
+from flowlens.plans.captures import Captures
 from flowlens.plans.fixtures import table, view
 from flowlens.plans.q_blocks import order_ledger
 from flowlens.plans.q_detect import event_history, flows
@@ -23,53 +23,50 @@ CONN_TYPES = {"id.orig_p": "port", "id.resp_p": "port"}
 
 
 def capture_files(spark, sf, parts=4, **how):
-    """The packet view as capture files; returns their folder."""
-    path = new_path(spark, "captures")
-    write_captures(view(spark, sf, "packets").repartition(parts, "src_ip"), path, **how).collect()
-    return path
+    """The packet view as groups of capture files."""
+    return Captures(spark, view(spark, sf, "packets"), parts, **how)
 
 
-def many_ranges(spark, sf):
-    """Bytes of a range, so that the captures are cut into some dozens."""
-    return max(4096, table(spark, sf, "lineitem").count() * 20)
+def range_bytes(captures, bytes_per_packet):
+    """Bytes of a range, so that the captures of a group are cut into many."""
+    return max(4096, captures.packets // captures.groups * bytes_per_packet)
 
 
 @query("src_pcap_roundtrip", PACKET_SQL)
 def src_pcap_roundtrip(spark, sf):
-    return pcap.read_pcap(spark, capture_files(spark, sf)).drop("timestamp")
+    return pcap.read_groups(spark, capture_files(spark, sf)).drop("timestamp")
 
 
 @query("src_pcap_split", PACKET_SQL)
 def src_pcap_split(spark, sf):
-    """One capture file read in many ranges."""
-    size = table(spark, sf, "lineitem").count() * 100
-    return pcap.read_pcap(spark, capture_files(spark, sf, 1), split_bytes=max(4096, size)).drop("timestamp")
+    """One capture file read in many ranges, or one such file of each group."""
+    captures = capture_files(spark, sf, 1)
+    return pcap.read_groups(spark, captures, split_bytes=range_bytes(captures, 100)).drop("timestamp")
 
 
 @query("src_pcap_blocks", PACKET_SQL)
 def src_pcap_blocks(spark, sf):
     """Block-structured captures with many sections and two interfaces, each read in many ranges."""
-    return pcap.read_pcap(spark, capture_files(spark, sf, 2, blocks=True), split_bytes=many_ranges(spark, sf)).drop("timestamp")
+    captures = capture_files(spark, sf, 2, blocks=True)
+    return pcap.read_groups(spark, captures, split_bytes=range_bytes(captures, 20)).drop("timestamp")
 
 
 @query("src_pcap_gzip", f"{PACKET_SQL} union all {PACKET_SQL}")
 def src_pcap_gzip(spark, sf):
     """Captures of both kinds in gzip; what is inflated is cut into ranges."""
-    size = many_ranges(spark, sf)
-    paths = [capture_files(spark, sf, 2, blocks=b, zipped=True) for b in (False, True)]
-    return pcap.read_pcap(spark, paths, split_bytes=size).drop("timestamp")
+    kinds = [capture_files(spark, sf, 2, blocks=b, zipped=True) for b in (False, True)]
+    return pcap.read_groups(spark, map(list, zip(*kinds, strict=True)), split_bytes=range_bytes(kinds[0], 20)).drop("timestamp")
 
 
 @query("src_pcap_corrupt", """
 select packet_size < 200 and protocol = 6 as corrupt, count(*) as packets from packets group by all""")
 def src_pcap_corrupt(spark, sf):
     """Small TCP packets are cut inside their IP header."""
-    path = new_path(spark, "captures")
     rows = view(spark, sf, "packets")
     bad = (F.col("protocol") == 6) & (F.col("packet_size") < 200)
     cut = rows.withColumn("packet_size", F.when(bad, 0).otherwise(F.col("packet_size")))
-    write_captures(cut.repartition(4, "src_ip"), path, short=True).collect()
-    return pcap.corrupt_packets(spark, path)
+    counted = pcap.read_groups(spark, Captures(spark, cut, short=True), pcap.corrupt_packets)
+    return counted.groupBy("corrupt").agg(F.sum("packets").alias("packets"))
 
 
 @query("sink_packets_json", PACKET_SQL)

@@ -6,6 +6,7 @@ Every step is a plan; a run writes one table per step and the later steps read t
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,7 +18,9 @@ from flowlens.operators.flows import flow_features
 from flowlens.operators.logs import merge_logs
 from flowlens.session import stage
 from flowlens.sources import logs as log_source, tables
-from flowlens.sources.pcap import read_pcap
+from flowlens.sources.pcap import read_groups, read_pcap
+
+Captured = str | list[str] | Iterable[str | list[str]]
 
 
 def _kept(df: DataFrame, label: str, path: str | None) -> DataFrame:
@@ -38,9 +41,10 @@ def log_features(spark: SparkSession, files: dict[str, str], output: str | None
     return _kept(merge_logs(log_source.read_logs(spark, files)), "log-features", _at(output, at))
 
 
-def capture_flows(spark: SparkSession, path: str | list[str], output: str | None = None, at: dt.datetime | None = None) -> DataFrame:
-    """Capture files to the flow table; ``at`` stamps its path."""
-    return _kept(flow_features(read_pcap(spark, path)), "flows", _at(output, at))
+def capture_flows(spark: SparkSession, path: Captured, output: str | None = None, at: dt.datetime | None = None) -> DataFrame:
+    """Capture files, or groups of them that are read one after the other, to the flow table; ``at`` stamps its path."""
+    packets = read_pcap(spark, path) if isinstance(path, str | list) else read_groups(spark, path)
+    return _kept(flow_features(packets), "flows", _at(output, at))
 
 
 @dataclass
@@ -87,7 +91,7 @@ def evaluate_models(prepared: ml.Prepared, models: dict[str, ml.TrainedModel],
     return results, ev.best_model(results, order=settings.MODEL_NAMES)
 
 
-def full_run(spark: SparkSession, captures: str | list[str], logs: dict[str, str], ledger: DataFrame,
+def full_run(spark: SparkSession, captures: Captured, logs: dict[str, str], ledger: DataFrame,
              training: DataFrame | None = None, as_of=None, params: dict[str, dict] | None = None,
              models_path: str | None = None, at: dt.datetime | None = None) -> DataFrame:
     """Everything in order, with the training step if there is a table for it; one row that sums the run up.

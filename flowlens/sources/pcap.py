@@ -13,8 +13,8 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
-from typing import BinaryIO
+from collections.abc import Callable, Iterable, Iterator
+from typing import BinaryIO, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flowlens.functions.packets import dotted, flag_letters, protocol_class
 from flowlens.functions.timing import from_micros
-from flowlens.session import stage, work_path
+from flowlens.session import drop_path, new_path, shuffles_freed, stage, work_path
 from flowlens.sources.files import exists, locate, open_input, publish
 
 SPLIT_BYTES = 256 * 1024 * 1024
@@ -34,6 +34,7 @@ HEAD_BYTES = 160          # link header, tags, longest IPv4 header and the trans
 PROOF_RECORDS = 64        # believable records in a row that prove a start
 SEARCH_BYTES = 2 * 1024 * 1024  # read at a time while searching
 NEAR_SECONDS = 86_400     # between the times of neighbours
+MOST_BESIDE = 256 * 1024  # bytes after a range that are read with its last blocks
 MOST_CAPTURED = 16 * 1024 * 1024  # bytes of a record, whatever the file header says
 
 # Fixed values of the two container formats.
@@ -189,6 +190,32 @@ class Heads:
         grid = np.frombuffer(b"".join([r[2].ljust(WIDTH, b"\0") for r in records]), np.uint8).reshape(len(records), WIDTH)
         return cls(*(np.array([r[k] for r in records], kind) for k, kind in ((0, np.int64), (1, np.int64), (3, np.int64), (4, bool))), grid)
 
+    @classmethod
+    def joined(cls, heads: list[Heads]) -> Heads:
+        return heads[0] if len(heads) == 1 else cls(
+            *(np.concatenate([getattr(h, k) for h in heads]) for k in ("times", "links", "sizes", "whole", "grid")))
+
+
+def gathered(found: Iterator[Heads | Record]) -> Iterator[Heads]:
+    """Gathered and single records, in their order, together by about ``BATCH_ROWS``."""
+    batch: list[Heads] = []
+    single: list[Record] = []
+    rows = 0
+    for one in found:
+        if isinstance(one, Heads):
+            if single:
+                batch, single = [*batch, Heads.of(single)], []
+            batch.append(one)
+            rows += len(one.times)
+        else:
+            single.append(one)
+            rows += 1
+        if rows >= BATCH_ROWS:
+            yield Heads.joined([*batch, Heads.of(single)] if single else batch)
+            batch, single, rows = [], [], 0
+    if rows:
+        yield Heads.joined([*batch, Heads.of(single)] if single else batch)
+
 
 def classic_heads(f: BinaryIO, start: int, end: int | None) -> Iterator[Heads]:
     """Records that start in [start, end); both are starts of believable records, or the ends of the file.
@@ -251,12 +278,44 @@ def _classic_step(f: BinaryIO, about: _Classic, at: int, last: int | None, lengt
 Interface = tuple[int, int, int, int]  # link type, ticks per second, seconds to add, snap length
 
 
-def _blocks(f: BinaryIO, at: int, order: str, stop: int, length: int) -> Iterator[tuple[int, int | None, int, str, bool, int]]:
+class PacketRow(NamedTuple):
+    """Packet blocks in a row: the bytes they were read in, and their offsets there."""
+    data: memoryview
+    offsets: list[int]
+    order: str
+
+
+def _in_a_row(data: memoryview, order: str, room: int) -> tuple[list[int], int]:
+    """Offsets below ``room`` of the enhanced packet blocks at the beginning of ``data`` that are whole, and where they end."""
+    head, tail, held = struct.Struct(order + "II").unpack_from, struct.Struct(order + "I").unpack_from, len(data)
+    out, at = [], 0
+    while at < room and at + 12 <= held:
+        kind, size = head(data, at)
+        if kind != ENHANCED_PACKET or not 32 <= size <= held - at or tail(data, at + size - 4)[0] != size:
+            break
+        out.append(at)
+        at += size
+    return out, at
+
+
+def _blocks(f: BinaryIO, at: int, order: str, stop: int, length: int) -> Iterator[PacketRow | tuple[int, int | None, int, str, bool, int]]:
     """Blocks that start in [at, stop): offset, kind, size, byte order, whether the lengths agree, and where the next one starts.
 
-    A damaged length gives kind -1, and reading goes on at the next block whose lengths agree.
+    Whole packet blocks in a row are followed inside blocks of bytes and given out together. A damaged length gives kind -1, and
+    reading goes on at the next block whose lengths agree.
     """
+    data, begin = memoryview(b""), at  # bytes of the file, and their offset
     while at < min(stop, length):
+        offsets, end = _in_a_row(data[at - begin:], order, stop - at)
+        wanted = min(BLOCK_BYTES, length - at, stop - at + MOST_BESIDE)
+        if not offsets and len(data) - (at - begin) <= wanted // 2:
+            f.seek(at)
+            data, begin = memoryview(f.read(wanted)), at
+            offsets, end = _in_a_row(data, order, stop - at)
+        if offsets:
+            yield PacketRow(data[at - begin:at - begin + end], offsets, order)
+            at += end
+            continue
         kind, size, order, agreed = _block(f, at, order, length)
         following = at + size
         if not agreed:
@@ -272,7 +331,11 @@ def walk_blocks(f: BinaryIO, at: int, order: str, stop: int) -> tuple[int, str,
     """Where the walk from ``at`` leaves the range that ends at ``stop``, in which byte order, whether a section begins on the
     way, and the interfaces since then."""
     length, began, links = f.seek(0, 2), False, []
-    for here, kind, size, order, agreed, at in _blocks(f, at, order, stop, length):
+    for found in _blocks(f, at, order, stop, length):
+        if isinstance(found, PacketRow):
+            at += len(found.data)
+            continue
+        here, kind, size, order, agreed, at = found
         if kind == SECTION:
             began, links = True, []
         elif kind == INTERFACE and agreed:
@@ -281,14 +344,45 @@ def walk_blocks(f: BinaryIO, at: int, order: str, stop: int) -> tuple[int, str,
     return at, order, began, links
 
 
-def block_records(f: BinaryIO, start: int = 0, stop: int | None = None, order: str = "<", links: list[Interface] | None = None) -> Iterator[Record]:
+def row_heads(row: PacketRow, links: list[Interface]) -> Heads:
+    """The packets of blocks in a row, gathered at once."""
+    at = np.array(row.offsets, np.int64)
+    raw = np.frombuffer(bytes(row.data) + bytes(WIDTH), np.uint8)
+    fields = np.ascontiguousarray(sliding_window_view(raw, 28)[at]).view(row.order + "u4").astype(np.int64)
+    size, which, high, low, captured = (fields[:, k] for k in range(1, 6))
+    known = [*links, (1, 1_000_000, 0, 0)]  # the last one is that of packets without an interface
+    which = np.minimum(which, len(links))
+    plain = np.array([0 < x[1] <= 10 ** 12 and abs(x[2]) < 1 << 40 for x in known])[which] & (high < 1 << 31)
+    per_second = np.array([x[1] if 0 < x[1] <= 10 ** 12 else 1 for x in known], np.int64)[which]
+    shift = np.array([x[2] if abs(x[2]) < 1 << 40 else 0 for x in known], np.int64)[which]
+    ticks = ((high & 0x7FFFFFFF) << 32) | low
+    seconds, rest = ticks // per_second, ticks % per_second
+    plain &= seconds < 1 << 42
+    times = (shift + np.where(plain, seconds, 0)) * 1_000_000 + rest * 1_000_000 // per_second
+    for i in np.flatnonzero(~plain).tolist():  # too large for 64 bits on the way
+        _, ticks_per_second, added, _ = known[which[i]]
+        times[i] = added * 1_000_000 + ((int(high[i]) << 32) | int(low[i])) * 1_000_000 // ticks_per_second
+    held = np.minimum(captured, size - 32)
+    grid = sliding_window_view(raw, WIDTH)[at + 28]
+    grid[np.arange(WIDTH) >= np.minimum(held, HEAD_BYTES)[:, None]] = 0
+    return Heads(times, np.array([x[0] for x in known], np.int64)[which], held, held == captured, grid)
+
+
+def block_records(f: BinaryIO, start: int = 0, stop: int | None = None, order: str = "<",
+                  links: list[Interface] | None = None) -> Iterator[Heads | Record]:
     """Records of a block-structured capture, over all its sections and interfaces, or of the blocks that start in [start, stop).
 
+    Packets in a row come gathered, others one by one.
+
     ``order`` and ``links`` are the byte order and the interfaces known at the start. Blocks of other kinds are stepped over,
     whatever their size; of packets only the first bytes are read. A damaged length gives one incomplete record.
     """
     length, links = f.seek(0, 2), list(links or [])
-    for at, kind, size, order, agreed, _ in _blocks(f, start, order, length if stop is None else stop, length):
+    for found in _blocks(f, start, order, length if stop is None else stop, length):
+        if isinstance(found, PacketRow):
+            yield row_heads(found, links)
+            continue
+        at, kind, size, order, agreed, _ = found
         room = min(size, length - at) - (12 if agreed else 8)  # of the body
         f.seek(at + 8)
         if kind == -1:
@@ -487,14 +581,8 @@ def decode_range(path: str, start: int, end: int | None, order: str | None = Non
             for heads in classic_heads(f, start, end):
                 yield _decode(path, heads)
             return
-        batch: list[Record] = []
-        for record in block_records(f, start, end, order or "<", links):
-            batch.append(record)
-            if len(batch) == BATCH_ROWS:
-                yield _decode(path, Heads.of(batch))
-                batch = []
-        if batch:
-            yield _decode(path, Heads.of(batch))
+        for heads in gathered(block_records(f, start, end, order or "<", links)):
+            yield _decode(path, heads)
 
 
 def _listing(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
@@ -633,12 +721,13 @@ def block_ranges(places: DataFrame) -> DataFrame:
 
 
 def read_pcap(spark: SparkSession, path: str | list[str], split_bytes: int | None = SPLIT_BYTES,
-              keep_corrupt: bool = False, glob: str | None = None) -> DataFrame:
+              keep_corrupt: bool = False, glob: str | None = None, inflated: str | None = None) -> DataFrame:
     """IPv4 packets of capture files or folders, in both container formats, plain or in gzip.
 
-    A packet that cannot be decoded is left out, or kept and marked with ``keep_corrupt``.
+    A packet that cannot be decoded is left out, or kept and marked with ``keep_corrupt``. What is inflated goes to the folder
+    ``inflated``, or else to one that is kept for the next read of the same files.
     """
-    folder = work_path(spark, "inflated")
+    folder = inflated or work_path(spark, "inflated")
     files = _listing(spark, path, glob)
     files = stage(files.repartition(max(1, files.count()), "path").mapInArrow(
         lambda batches: _opened(batches, folder), "path string, length bigint, kind string"), "captures")
@@ -667,6 +756,37 @@ def read_pcap(spark: SparkSession, path: str | list[str], split_bytes: int | Non
     return _packets(parts.repartition(tasks).mapInArrow(_decode_batches, RAW), keep_corrupt)
 
 
+def read_groups(spark: SparkSession, groups: Iterable[str | list[str]], read: Callable[..., DataFrame] = read_pcap, **options) -> DataFrame:
+    """What ``read`` gives for each of several groups of captures, as one table.
+
+    The rows of a group are written before the next group is asked for, and what was inflated for it is deleted, so that
+    whoever hands out the groups can let go of each in turn: captures of any size need the disk of one group.
+    """
+    out, schema = new_path(spark, "packets"), None
+    for group in groups:
+        inflated = new_path(spark, "inflated")
+        with shuffles_freed(spark):
+            part = read(spark, group, inflated=inflated, **options)
+            part.write.mode("append").parquet(out)
+        schema = part.schema
+        drop_path(spark, inflated)
+    if schema is None:
+        raise ValueError("no captures to read")
+    return spark.read.schema(schema).parquet(out)
+
+
+def resolved(packets: DataFrame, names: DataFrame | None) -> DataFrame:
+    """Packets with the names of their addresses, where the table ``names`` (``address``, ``name``) has one."""
+    if names is None:
+        return packets
+    out = packets
+    for column in ("src_ip", "dst_ip"):
+        known = names.select(F.col("address").alias("_address"), F.col("name").alias("_name"))
+        out = out.join(known, F.col(column) == F.col("_address"), "left").withColumn(
+            column, F.coalesce("_name", column)).drop("_address", "_name")
+    return out
+
+
 def stream_pcap(spark: SparkSession, path: str, keep_corrupt: bool = False, glob: str | None = None,
                 max_files: int | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Packets of capture files as they land in a folder, plain or in gzip; each file is decoded once."""
