@@ -155,5 +155,10 @@ def stream_detection_log(spark, sf):
 
 @query("stream_pcap_landing", PACKET_SQL)
 def stream_pcap_landing(spark, sf):
+    """Captures land in groups; the stream stops after each and goes on with the next, so each file is decoded once."""
     tune(spark)
-    return drained(spark, stream_pcap(spark, capture_files(spark, sf), glob="*.pcap")).drop("timestamp")
+    captures, path, mark = capture_files(spark, sf), new_path(spark, "sink"), new_path(spark, "checkpoint")
+    for _ in captures:
+        stream = stream_pcap(spark, f"{captures.base}/*", glob="*.pcap")
+        sinks.append_table(stream, path, mark, available_now=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path).drop("timestamp")
