@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -39,9 +40,57 @@ def _due(ts_us: int) -> int:
     return int(ts_us) // 1000 + 1
 
 
+CONNECTION = ["src_ip", "dst_ip", "dst_port"]
+INSTANTS = pa.schema([("src_ip", pa.string()), ("dst_ip", pa.string()), ("dst_port", pa.int32()), ("ts_us", pa.int64()), ("events", pa.int64())])
+BUCKETS = 512          # of connections; each is one key of the state
+CHUNK_ROWS = 100_000   # instants that are kept as one value
+
+
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    """Each instant of a connection once, with its events."""
+    one = pa.concat_tables(tables).group_by([*CONNECTION, "ts_us"]).aggregate([("events", "sum")])
+    return one.rename_columns([*CONNECTION, "ts_us", "events"]).cast(INSTANTS)
+
+
+def _packed(instants: pa.Table) -> list[tuple[bytes]]:
+    """Instants as values of a list state."""
+    out = []
+    for at in range(0, instants.num_rows, CHUNK_ROWS):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, INSTANTS, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+            writer.write_table(instants.slice(at, CHUNK_ROWS).combine_chunks())
+        out.append((sink.getvalue().to_pybytes(),))
+    return out
+
+
+def _unpacked(state) -> pa.Table:
+    chunks = [pa.ipc.open_stream(bytes(row[0])).read_all() for row in state.get()] if state.exists() else []
+    return _summed([INSTANTS.empty_table(), *chunks])
+
+
+def _recent(instants: pa.Table, window_us: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Instants by connection and time: their places in the table, times, events, and the events of the connection in the
+    window up to each."""
+    times, counts = instants["ts_us"].to_numpy(), instants["events"].to_numpy()
+    connection = np.zeros(len(times), np.int64)
+    for name in CONNECTION:
+        codes = instants[name].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        connection = np.unique(connection * (len(times) + 1) + codes, return_inverse=True)[1]
+    order = np.lexsort((times, connection))
+    times, counts, connection = times[order], counts[order], connection[order]
+    known = np.unique(times)
+    steps = connection * (len(known) + 1)
+    gone = np.searchsorted(steps + np.searchsorted(known, times), steps + np.searchsorted(known, times - window_us, side="right"))
+    upto = np.concatenate([[0], np.cumsum(counts)])
+    return order, times, counts, upto[1:] - upto[gone]
+
+
 class TrailingCount(StatefulProcessor):
     """Adds instants to the state as they come; counts them once the watermark has passed them, so that their order
     of arrival does not matter. Instants stay until no later one can count them.
+
+    A key of the state is a bucket of connections, whose instants are kept as packed tables and counted together: what a
+    key costs does not depend on its connections.
     """
 
     def __init__(self, window_us: int, threshold: int):
@@ -49,14 +98,25 @@ class TrailingCount(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getListState("seen", "ts_us bigint, events bigint")
+        self.seen = handle.getListState("seen", "instants binary")
         self.done = handle.getValueState("done", "mark_us bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        times, events = _instants(rows)
-        if len(times):
-            self.seen.appendList([(int(t), int(n)) for t, n in zip(times, events)])
-            self.handle.registerTimer(_due(times[0]))
+        first, held, tables = None, 0, []
+        for pdf in rows:
+            pdf = pdf[pdf["ts_us"].notna()].assign(events=1)
+            if not len(pdf):
+                continue
+            tables.append(_summed([pa.Table.from_pandas(pdf, schema=INSTANTS, preserve_index=False)]))
+            first = min(int(pdf["ts_us"].min()), first) if first is not None else int(pdf["ts_us"].min())
+            held += tables[-1].num_rows
+            if held >= CHUNK_ROWS:
+                self.seen.appendList(_packed(_summed(tables)))
+                held, tables = 0, []
+        if tables:
+            self.seen.appendList(_packed(_summed(tables)))
+        if first is not None:
+            self.handle.registerTimer(_due(first))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -64,27 +124,24 @@ class TrailingCount(StatefulProcessor):
         done = self.done.get()[0] if self.done.exists() else None
         if done == mark:
             return iter([])  # another timer of this batch has done it
-        times, counts = _held(self.seen)
-        upto = np.cumsum(counts)
-        closed = np.flatnonzero((times < mark) & (done is None or times >= done))
-        gone = np.searchsorted(times, times[closed] - self.window_us, side="right")
-        recent = upto[closed] - np.where(gone > 0, upto[gone - 1], 0)
+        instants = _unpacked(self.seen)
+        order, times, counts, recent = _recent(instants, self.window_us)
+        closed = (times < mark) & (done is None or times >= done)
         alive = times > mark - self.window_us
         if alive.any():
-            self.seen.put([(int(t), int(n)) for t, n in zip(times[alive], counts[alive])])
+            self.seen.put(_packed(instants.take(order[alive])))
             self.done.update((int(mark),))
             pending = times[times >= mark]
-            self.handle.registerTimer(_due(pending[0]) if len(pending) else _due(times[-1] + self.window_us))
+            self.handle.registerTimer(_due(pending.min()) if len(pending) else _due(times.max() + self.window_us))
         else:
             self.seen.clear()
             self.done.clear()
-        hits = closed[recent > self.threshold]
+        hits = np.flatnonzero(closed & (recent > self.threshold))
         if not len(hits):
             return iter([])
-        out = pd.DataFrame({"ts_us": times[hits], "events": counts[hits], "recent": recent[recent > self.threshold]})
-        for i, name in enumerate(("src_ip", "dst_ip", "dst_port")):
-            out.insert(i, name, key[i])
-        return iter([out])
+        named = instants.select(CONNECTION).take(order[hits])
+        out = pd.DataFrame({name: pd.Series(named[name].to_pylist(), dtype=object) for name in CONNECTION})
+        return iter([out.assign(ts_us=times[hits], events=counts[hits], recent=recent[hits])])
 
     def close(self) -> None:
         pass
@@ -94,9 +151,9 @@ def stream_rate_limited(packets: DataFrame, threshold: int = settings.RATE_LIMIT
                         window_us: int = settings.RATE_WINDOW_SECONDS * MICROS,
                         delay: str = "10 seconds") -> DataFrame:
     """Instants with more than ``threshold`` events of a (src, dst, port) in the trailing window, once the watermark passed them."""
-    rows = packets.withWatermark("timestamp", delay).select(
-        "src_ip", "dst_ip", "dst_port", "timestamp", "ts_us")
-    return rows.groupBy("src_ip", "dst_ip", "dst_port").transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64(*CONNECTION), F.lit(BUCKETS)).alias("bucket")
+    rows = packets.withWatermark("timestamp", delay).select(bucket, *CONNECTION, "timestamp", "ts_us")
+    return rows.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=TrailingCount(window_us, threshold),
         outputStructType="src_ip string, dst_ip string, dst_port int, ts_us bigint, events bigint, "
                          "recent bigint",

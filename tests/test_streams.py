@@ -89,3 +89,26 @@ def test_log_restarts_where_it_stopped(spark):
     rows.where("id < 3").write.mode("append").parquet(folder)
     sinks.append_table(stream, sink, mark, available_now=True).awaitTermination()
     assert spark.read.parquet(sink).count() == 13
+
+
+def test_rate_limit_state_is_kept_by_buckets_of_connections(spark, monkeypatch):
+    """Missing parts of a key, rows without a time, several packed values of one bucket, and few keys of the state."""
+    tune(spark)
+    monkeypatch.setattr(state, "BUCKETS", 3)
+    monkeypatch.setattr(state, "CHUNK_ROWS", 7)
+    schema = "src_ip string, dst_ip string, dst_port int, ts_us bigint"
+    at = [(f"s{i % 5}" if i % 5 else None, f"d{i % 2}" if i % 3 else None, i % 4 or None, 1_000_000 * (i // 8 + 1) + i % 7) for i in range(900)]
+    rows = spark.createDataFrame([r for r in at for _ in range(2)], schema).withColumn("timestamp", from_micros(F.col("ts_us")))
+    lost = rows.limit(20).withColumn("ts_us", F.lit(None).cast("bigint"))
+    parts = [rows.where(f"ts_us < {c} and ts_us >= {c - 40_000_000}").coalesce(1) for c in range(40_000_000, 160_000_000, 40_000_000)]
+    stream = sp.table_stream(spark, landed(spark, rows, lost.coalesce(1), *parts), rows.schema, max_files=1)
+    got = drained(spark, state.stream_rate_limited(stream, threshold=3, window_us=9_000_000))
+    key = ["src_ip", "dst_ip", "dst_port", "ts_us", "events", "recent"]
+    want = closed(detect.rate_limited(rows, threshold=3, window_us=9_000_000), rows).select(key)
+    text = lambda df: sorted(str(tuple(r)) for r in df.select(key).collect())
+    assert text(got) == text(want) and got.count() > 100 and got.where("src_ip is null").count() > 10
+    assert state.stream_rate_limited(stream).schema == got.schema
+    mark = state._packed(state.INSTANTS.empty_table())
+    assert mark == []
+    plan = state.stream_rate_limited(stream)._jdf.queryExecution().analyzed().toString()
+    assert "bucket" in plan.split("TransformWithState", 1)[1].splitlines()[0]
