@@ -13,10 +13,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from flowlens.functions.packets import FLAG_LETTERS
-from flowlens.session import drop_path, new_path, shuffles_freed
+from flowlens.functions.packets import FLAG_LETTERS, dotted
+from flowlens.session import drop_path, new_path, shuffles_freed, stage
 from flowlens.sources.pcap import (BYTE_ORDER_MARK, ENHANCED_PACKET, INTERFACE, IPV4, MAGIC_MICRO, MAGIC_NANO, SECTION,
-                                   open_target)
+                                   open_target, resolved)
 
 GROUP_BYTES = 1 << 30  # of captures that lie on the disk at a time,
 MOST_GROUPS = 32       # or this part of all, if that is more
@@ -187,11 +187,39 @@ def block_frames(batch: pa.RecordBatch, number: int, section_packets: int) -> by
     return out.tobytes()
 
 
+OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+ADDRESS = f"^{OCTET}([.]{OCTET}){{3}}$"
+RESERVED = 240 << 24  # addresses from here on are assigned to nobody
+
+
+def stand_ins(spark: SparkSession, rows: DataFrame) -> DataFrame | None:
+    """An unused reserved address for each name that no packet header can hold (``address``, ``name``); None if there is none."""
+    every = stage(rows.select(F.col("src_ip").alias("name")).union(rows.select("dst_ip")).distinct(), "addresses")
+    held = F.col("name").rlike(ADDRESS)
+    odd = every.where(~held)
+    count = odd.count()
+    if not count:
+        return None
+    number = sum(F.split("name", "[.]")[i].cast("bigint") * (1 << 24 - 8 * i) for i in range(4))
+    last = every.where(held).agg(F.max(number)).first()[0]
+    first = max(RESERVED, (last or 0) + 1)
+    if first + count > 1 << 32:
+        raise ValueError(f"no room for {count} names after the largest address")
+    numbered = odd.orderBy("name").rdd.zipWithIndex().map(lambda found: (first + found[1], found[0][0]))
+    return stage(spark.createDataFrame(numbered, "number bigint, name string").select(dotted(F.col("number")).alias("address"), "name"), "names")
+
+
+def addressed(rows: DataFrame, names: DataFrame | None) -> DataFrame:
+    """The rows with the stand-ins of their names; ``resolved`` is the way back."""
+    return rows if names is None else resolved(rows, names.select(F.col("name").alias("address"), F.col("address").alias("name")))
+
+
 class Captures:
     """A packet table as groups of capture files of about ``GROUP_BYTES``, handed out as folders, one after the other.
 
     The files of a group are written when it is asked for and deleted when the next one is. Frames are filled up with zeros, so
-    all captures together take some thirty times the disk of the table.
+    all captures together take some thirty times the disk of the table. Names that are no IPv4 addresses are written as the
+    addresses that ``names`` gives them, the same for the same table; pass it to ``resolved`` with what was read.
     """
 
     def __init__(self, spark: SparkSession, rows: DataFrame, parts: int = 4, base: str | None = None, **how):
@@ -200,7 +228,8 @@ class Captures:
         size = F.greatest(F.col("packet_size"), F.lit(HEADERS)).cast("bigint") + 32
         self.packets, total = rows.agg(F.count("*"), F.sum(size)).first()
         self.groups = min(MOST_GROUPS, max(1, math.ceil((total or 0) / GROUP_BYTES)))
-        self.rows, self.sorted = rows, None
+        self.names = stand_ins(spark, rows)
+        self.rows, self.sorted = addressed(rows, self.names), None
 
     def __iter__(self) -> Iterator[str]:
         try:

@@ -39,7 +39,8 @@ def pipe_log_features(spark, sf):
 
 @query("pipe_packet_flows", FLOW_SQL)
 def pipe_packet_flows(spark, sf):
-    return runs.capture_flows(spark, capture_files(spark, sf)).select(
+    captures = capture_files(spark, sf)
+    return runs.capture_flows(spark, captures, names=captures.names).select(
         "flow_key", *FLOW_KEYS, "packet_count", "byte_count", "flow_duration", "packet_rate", "byte_rate")
 
 
@@ -66,8 +67,9 @@ def pipe_full_summary(spark, sf):
     small = {"random_forest": {"trees": 10, "depth": 5}, "xgboost": {"rounds": 3, "depth": 3}, "svm": {"features": 20},
              "decision_tree": {"depth": 5}, "logistic_regression": {"max_iter": 50}}
     path, at = new_path(spark, "models"), dt.datetime(2024, 1, 1, 0, 6, 40)
-    out = runs.full_run(spark, capture_files(spark, sf), log_paths(spark, sf), order_ledger(spark, sf), view(spark, sf, "training"),
-                        LEDGER_AS_OF, small, path, at)
+    captures = capture_files(spark, sf)
+    out = runs.full_run(spark, captures, log_paths(spark, sf), order_ledger(spark, sf), view(spark, sf, "training"),
+                        LEDGER_AS_OF, small, path, at, captures.names)
     saved = spark.read.text(f"{path}/*_20240101_000640/about", wholetext=True).agg(F.count("*").alias("saved_models"))
     return out.withColumn("best_is_known", F.col("best_model").isin(*settings.MODEL_NAMES)).drop("best_model").join(saved, F.lit(True))
 

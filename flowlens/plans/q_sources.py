@@ -34,28 +34,32 @@ def range_bytes(captures, bytes_per_packet):
 
 @query("src_pcap_roundtrip", PACKET_SQL)
 def src_pcap_roundtrip(spark, sf):
-    return pcap.read_groups(spark, capture_files(spark, sf)).drop("timestamp")
+    captures = capture_files(spark, sf)
+    return pcap.resolved(pcap.read_groups(spark, captures), captures.names).drop("timestamp")
 
 
 @query("src_pcap_split", PACKET_SQL)
 def src_pcap_split(spark, sf):
     """One capture file read in many ranges, or one such file of each group."""
     captures = capture_files(spark, sf, 1)
-    return pcap.read_groups(spark, captures, split_bytes=range_bytes(captures, 100)).drop("timestamp")
+    packets = pcap.read_groups(spark, captures, split_bytes=range_bytes(captures, 100))
+    return pcap.resolved(packets, captures.names).drop("timestamp")
 
 
 @query("src_pcap_blocks", PACKET_SQL)
 def src_pcap_blocks(spark, sf):
     """Block-structured captures with many sections and two interfaces, each read in many ranges."""
     captures = capture_files(spark, sf, 2, blocks=True)
-    return pcap.read_groups(spark, captures, split_bytes=range_bytes(captures, 20)).drop("timestamp")
+    packets = pcap.read_groups(spark, captures, split_bytes=range_bytes(captures, 20))
+    return pcap.resolved(packets, captures.names).drop("timestamp")
 
 
 @query("src_pcap_gzip", f"{PACKET_SQL} union all {PACKET_SQL}")
 def src_pcap_gzip(spark, sf):
     """Captures of both kinds in gzip; what is inflated is cut into ranges."""
     kinds = [capture_files(spark, sf, 2, blocks=b, zipped=True) for b in (False, True)]
-    return pcap.read_groups(spark, map(list, zip(*kinds, strict=True)), split_bytes=range_bytes(kinds[0], 20)).drop("timestamp")
+    packets = pcap.read_groups(spark, map(list, zip(*kinds, strict=True)), split_bytes=range_bytes(kinds[0], 20))
+    return pcap.resolved(packets, kinds[0].names).drop("timestamp")
 
 
 @query("src_pcap_corrupt", """

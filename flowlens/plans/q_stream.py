@@ -16,7 +16,7 @@ from flowlens.plans.q_detect import by_window, event_history
 from flowlens.plans.q_sources import PACKET_SQL, capture_files
 from flowlens.plans.registry import CHECKS, DERIVED, query
 from flowlens.session import new_path, tune
-from flowlens.sources.pcap import stream_pcap
+from flowlens.sources.pcap import resolved, stream_pcap
 from flowlens.streaming import packets as sp, sinks, state
 
 DERIVED["mark"] = "select (max(ts_us) // 1000 - 10000) * 1000 as mark_us from packets"
@@ -161,4 +161,4 @@ def stream_pcap_landing(spark, sf):
     for _ in captures:
         stream = stream_pcap(spark, f"{captures.base}/*", glob="*.pcap")
         sinks.append_table(stream, path, mark, available_now=True).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path).drop("timestamp")
+    return resolved(spark.read.schema(stream.schema).parquet(path), captures.names).drop("timestamp")

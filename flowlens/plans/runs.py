@@ -18,7 +18,7 @@ from flowlens.operators.flows import flow_features
 from flowlens.operators.logs import merge_logs
 from flowlens.session import stage
 from flowlens.sources import logs as log_source, tables
-from flowlens.sources.pcap import read_groups, read_pcap
+from flowlens.sources.pcap import read_groups, read_pcap, resolved
 
 Captured = str | list[str] | Iterable[str | list[str]]
 
@@ -41,10 +41,12 @@ def log_features(spark: SparkSession, files: dict[str, str], output: str | None
     return _kept(merge_logs(log_source.read_logs(spark, files)), "log-features", _at(output, at))
 
 
-def capture_flows(spark: SparkSession, path: Captured, output: str | None = None, at: dt.datetime | None = None) -> DataFrame:
-    """Capture files, or groups of them that are read one after the other, to the flow table; ``at`` stamps its path."""
+def capture_flows(spark: SparkSession, path: Captured, output: str | None = None, at: dt.datetime | None = None,
+                  names: DataFrame | None = None) -> DataFrame:
+    """Capture files, or groups of them that are read one after the other, to the flow table; ``at`` stamps its path, ``names``
+    has the names of addresses."""
     packets = read_pcap(spark, path) if isinstance(path, str | list) else read_groups(spark, path)
-    return _kept(flow_features(packets), "flows", _at(output, at))
+    return _kept(flow_features(resolved(packets, names)), "flows", _at(output, at))
 
 
 @dataclass
@@ -93,13 +95,13 @@ def evaluate_models(prepared: ml.Prepared, models: dict[str, ml.TrainedModel],
 
 def full_run(spark: SparkSession, captures: Captured, logs: dict[str, str], ledger: DataFrame,
              training: DataFrame | None = None, as_of=None, params: dict[str, dict] | None = None,
-             models_path: str | None = None, at: dt.datetime | None = None) -> DataFrame:
+             models_path: str | None = None, at: dt.datetime | None = None, names: DataFrame | None = None) -> DataFrame:
     """Everything in order, with the training step if there is a table for it; one row that sums the run up.
 
-    Trained models are saved below ``models_path``, stamped with ``at``.
+    Trained models are saved below ``models_path``, stamped with ``at``; ``names`` has the names of captured addresses.
     """
     merged = log_features(spark, logs)
-    flows = capture_flows(spark, captures)
+    flows = capture_flows(spark, captures, names=names)
     alarm = detect_and_block(flows, ledger, as_of)
     best = None
     if training is not None:

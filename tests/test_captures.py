@@ -5,12 +5,14 @@ from __future__ import annotations
 import glob
 import random
 
+import duckdb
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from flowlens.plans import captures as made
+from flowlens.plans import captures as made, catalog
 from flowlens.sources import pcap
+from tools.check_queries import compare
 
 COLUMNS = ["src_ip", "dst_ip", "protocol", "packet_size", "src_port", "dst_port", "flags", "ts_us"]
 
@@ -92,3 +94,37 @@ def test_counts_of_groups_add_up(spark, monkeypatch):
     got = {r["corrupt"]: r["n"] for r in counts.groupBy("corrupt").agg(F.sum("packets").alias("n")).collect()}
     bad = cut.where("packet_size = 0").count()
     assert got == {True: bad, False: 1000 - bad}
+
+
+NAMES = [("10.0.300.7", "10.0.0.1"), ("10.0.0.01", "240.0.0.9"), ("host-a", "10.0.1406.64"), ("10.0.0.1", "host-a"), ("240.0.0.3", "10.0.0.01")]
+
+
+def test_names_that_no_header_holds_come_back(spark):
+    row = "6 as protocol, 60 as packet_size, 7 as src_port, 8 as dst_port, 'S' as flags, cast(1000000 as bigint) as ts_us"
+    table = spark.createDataFrame(NAMES, "src_ip string, dst_ip string").selectExpr("src_ip", "dst_ip", *row.split(", "))
+    groups = made.Captures(spark, table, 2)
+    got = pcap.resolved(pcap.read_groups(spark, groups), groups.names).select("src_ip", "dst_ip").collect()
+    assert sorted(map(tuple, got)) == sorted(NAMES)
+    held = {r["address"]: r["name"] for r in groups.names.collect()}
+    assert sorted(held.values()) == ["10.0.0.01", "10.0.1406.64", "10.0.300.7", "host-a"] and not {a for pair in NAMES for a in pair} & set(held)
+    assert made.Captures(spark, table.where("src_ip = '240.0.0.3'").withColumn("dst_ip", F.lit("1.2.3.4"))).names is None
+
+
+@pytest.fixture(scope="module")
+def many_suppliers(spark, sf, tmp_path_factory):
+    """A folder of tables whose suppliers have keys around 65,536."""
+    folder = tmp_path_factory.mktemp("suppliers")
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").limit(1500)
+    rows.withColumn("l_suppkey", F.col("l_suppkey") + 65_530).write.parquet(f"{folder}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from '{folder}/lineitem.parquet/*.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("name", ["src_pcap_roundtrip", "src_pcap_split", "src_pcap_corrupt", "pipe_packet_flows", "src_pcap_gzip",
+                                  "stream_pcap_landing"])
+def test_suppliers_beyond_two_octets(spark, many_suppliers, monkeypatch, name):
+    """Their names have a third part above 255; captures come in more than one group."""
+    folder, con = many_suppliers
+    monkeypatch.setattr(made, "GROUP_BYTES", 700_000)
+    assert compare(spark, con, catalog.QUERIES[name], catalog.ORACLES[name], folder) is None
