@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from flowlens.plans import captures as made, catalog
+from flowlens.plans import captures as made, catalog, runs
 from flowlens.sources import pcap
 from tools.check_queries import compare
 
@@ -128,3 +128,15 @@ def test_suppliers_beyond_two_octets(spark, many_suppliers, monkeypatch, name):
     folder, con = many_suppliers
     monkeypatch.setattr(made, "GROUP_BYTES", 700_000)
     assert compare(spark, con, catalog.QUERIES[name], catalog.ORACLES[name], folder) is None
+
+
+def test_flows_over_groups_of_captures_are_whole(spark, monkeypatch):
+    """The packets of a flow lie in several groups, and one flow has most of them."""
+    monkeypatch.setattr(made, "GROUP_BYTES", 300_000)
+    table = packet_table(spark, 1200).withColumn("src_ip", F.when(F.col("packet_size") > 77, "10.0.0.1").otherwise("10.0.0.2")) \
+        .withColumn("src_port", F.lit(7)).withColumn("dst_port", F.lit(9)).withColumn("protocol", F.lit(17)).withColumn("flags", F.lit(""))
+    groups = made.Captures(spark, table)
+    flows = runs.capture_flows(spark, groups, names=groups.names)
+    want = table.groupBy("src_ip", "dst_ip").agg(F.count("*"), F.sum("packet_size"))
+    assert groups.groups > 2 and flows.count() == 8
+    assert sorted(map(tuple, flows.select("src_ip", "dst_ip", "packet_count", "byte_count").collect())) == sorted(map(tuple, want.collect()))
